@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import feed_timestamp
 from ..functions.volume import volume_min
-from ..schemas import NEWS
+from ..operators.normalize import feed_trend_fields
+from ..schemas import NEWS, TREND_SCHEMA_VERSION, TREND_STRUCT
 
 # Fixed value: prefix of the look-up link of a trend (the term is not encoded).
 EXPLORE_LINK = "https://trends.google.com/trends/explore?q="
@@ -116,6 +117,34 @@ def read_feeds(
     )
 
 
+def feed_envelopes(landing: DataFrame) -> DataFrame:
+    """Normalized envelopes, one per readable document, without any shuffle.
+
+    The trends of a document are normalized where they are, inside its row.
+    """
+    raw_names = ["trend", "traffic", "traffic_min", "published", "published_raw", "explore_link", "image",
+                 "news_articles"]
+    raws = F.transform(F.col("doc.channel.item"), lambda item: F.struct(*raw_trend_fields(item, F.col("geo"))))
+    trends = F.transform(
+        raws, lambda r, i: F.struct(*feed_trend_fields({n: r[n] for n in raw_names}, (i + 1).cast("int")))
+    )
+    version, source = F.lit(TREND_SCHEMA_VERSION), F.lit("rss")
+    return (
+        _parsed(landing)
+        .select(
+            source.alias("source"),
+            "geo",
+            "fetched_at",
+            _keep(~_is_bad(F.col("doc")), F.coalesce(trends, F.array().cast(f"array<{TREND_STRUCT}>")).alias("trends")),
+        )
+        .select("source", "geo", "fetched_at", version.alias("schema_version"), F.size("trends").alias("count"), "trends")
+        .withColumn(
+            "payload_json",
+            F.to_json(F.struct("schema_version", "source", "geo", "fetched_at", "count", "trends")),
+        )
+    )
+
+
 def feed_snapshots(landing: DataFrame) -> DataFrame:
     """One header per readable document, also for a feed without items."""
     items = F.greatest(F.coalesce(F.size("doc.channel.item"), F.lit(0)), F.lit(0))
