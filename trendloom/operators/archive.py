@@ -10,6 +10,7 @@ groups by their min/max.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -137,9 +138,13 @@ def append(spark: SparkSession, root: str, envelopes: DataFrame) -> None:
     ``envelopes`` need ``source, geo, fetched_at, schema_version, payload_json``
     and the columns of :func:`keyword_rows`.  Each table is checked against its
     own keys and the headers come last, so a run that was cut short is finished
-    by running it again.
+    by running it again.  The batch is staged once: both tables, their date
+    lists and the part totals then read the same narrow columns from there
+    instead of running the ingest again.
     """
-    batch = _one_per_key(envelopes)
+    staging = f"{_path(root, '_staging')}/append-{uuid.uuid4().hex[:12]}"
+    _one_per_key(envelopes).write.parquet(staging)
+    batch = spark.read.schema(envelopes.schema).parquet(staging)
     date = F.to_date("fetched_at")
     rows = (
         keyword_rows(batch)
@@ -168,6 +173,7 @@ def append(spark: SparkSession, root: str, envelopes: DataFrame) -> None:
         date.alias("fetched_date"),
     )
     _write(_missing(headers, payloads(spark, root)), _path(root, "snapshots"))
+    _delete(spark, staging)
 
 
 # --- reading ------------------------------------------------------------------

@@ -75,7 +75,7 @@ def story_report(raw: DataFrame, trusted: Sequence[str] = TRUSTED_SOURCES, top:
         F.when(covered, F.array_join(confirmed, ",")).alias("confirmed_by"),
         F.when(covered, F.size(confirmed) > 0).alias("is_verified"),
         F.when(covered, angle).alias("story_angle"),
-        (F.length("image.url") > 0).alias("has_image"),
+        F.coalesce(F.length("image.url") > 0, F.lit(False)).alias("has_image"),
     )
 
 

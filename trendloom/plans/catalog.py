@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import history
+from . import exports, feeds, history, interests
 
-_MODULES = [history]
+_MODULES = [history, feeds, exports, interests]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}

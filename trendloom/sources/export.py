@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import EXPORT_COLUMNS, EXPORT_SCHEMA
 
-# Fixed value: trends_{geo}_{hours}h_{category}_{yyyyMMdd-HHmmss}.csv
-FILE_NAME = r"^trends_(.+)_(\d+)h_(\w+?)_(\d{8}-\d{6})\.csv$"
+# Fixed value: trends_{geo}_{hours}h_{category}_{yyyyMMdd-HHmmss}.csv, which may
+# also be the folder that Spark wrote as one CSV file.
+FILE_NAME = r"(?:^|[/=])trends_([^/]+)_(\d+)h_(\w+?)_(\d{8}-\d{6})\.csv(?:/[^/]+)?$"
 
 
 def _number_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,11 +50,11 @@ def read_exports(spark: SparkSession, path: str) -> DataFrame:
         .select(
             *[F.col(f"`{c}`") for c in EXPORT_COLUMNS],
             F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_name").alias("file_name"),
         )
     )
-    numbered = raw.mapInArrow(_number_rows, f"{EXPORT_SCHEMA}, file_path STRING, file_name STRING, rank INT")
-    part = lambda i: F.nullif(F.regexp_extract("file_name", FILE_NAME, i), F.lit(""))
+    numbered = raw.mapInArrow(_number_rows, f"{EXPORT_SCHEMA}, file_path STRING, rank INT")
+    name = F.try_url_decode("file_path")
+    part = lambda i: F.nullif(F.regexp_extract(name, FILE_NAME, i), F.lit(""))
     return numbered.select(
         part(1).alias("geo"),
         part(2).cast("int").alias("hours"),
