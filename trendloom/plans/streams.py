@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import archive, changes, envelopes
-from ..schemas import CHANGES
+from ..schemas import CHANGE_COLUMNS, CHANGES
 from ..session import RECOMMENDED, shared_folder
 from ..sources.landing import stream_snapshots
 from ..streaming import alerts, watch
@@ -38,7 +38,7 @@ def watched_changes(spark: SparkSession, d: str, splits: int = watch.DEFAULT_SPL
             stream, lambda batch, n: batch.write.mode("overwrite").parquet(f"{found}/batch={n}"), check
         )
         query.awaitTermination()
-    return spark.read.schema(CHANGES).parquet(found)
+    return spark.read.schema(CHANGES).parquet(found).select(CHANGE_COLUMNS)
 
 
 def change_stream(spark: SparkSession, d: str) -> DataFrame:
