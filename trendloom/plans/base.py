@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.ranking import ranked_snapshots, snapshot_headers
 from ..schemas import IMAGE, NEWS
+from ..session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,18 +28,30 @@ def flat(df: DataFrame) -> DataFrame:
     )
 
 
-def keyword_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line item as the use of a keyword (part name) in a geo (region)."""
-    geo = (
+def geo_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``c_custkey, geo``: the region of each customer."""
+    return (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("c_custkey", F.col("r_name").alias("geo"))
     )
+
+
+def keyword_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item as the use of a keyword (part name) in a geo (region).
+
+    Orders meet their customers before the line items, so the largest table is
+    shuffled for the order and the part only.
+    """
+    orders = (
+        table(spark, sf_dir, "orders")
+        .join(geo_of_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", "geo")
+    )
     return (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(geo, F.col("o_custkey") == F.col("c_custkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select("geo", F.col("l_shipdate").alias("ts"), F.col("p_name").alias("keyword"))
     )
@@ -63,8 +76,14 @@ def trend_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trend_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot_headers(trend_snap(spark, sf_dir))
+def landed_snap(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Trends and headers of ``trend_snap``, written once by this call.
+
+    Jobs that look at the snapshots from several sides read the short ranked
+    lists instead of ranking the whole history again for each side.
+    """
+    trends = materialize(spark, trend_snap(spark, sf_dir), "snapshots")
+    return trends, snapshot_headers(trends)
 
 
 TREND_SNAP_SQL = """

@@ -8,7 +8,7 @@ from ..operators import normalize, quality, reports
 from ..schemas import EXPORT_COLUMNS
 from ..session import shared_folder
 from ..sources import export, feed
-from .base import TREND_SNAP_SQL, flat, table
+from .base import TREND_SNAP_SQL, flat, geo_of_customers, table
 from .feeds import BROKEN_MONTH, landing
 
 CATEGORY_OF = {
@@ -24,13 +24,7 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
     carries +3, -4 or no offset by order status, with a narrow no-break space
     in the last form; open orders have no end.
     """
-    geo = (
-        table(spark, d, "customer")
-        .join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", F.col("r_name").alias("geo"))
-    )
-    orders = table(spark, d, "orders").join(geo, F.col("o_custkey") == F.col("c_custkey"))
+    orders = table(spark, d, "orders").join(geo_of_customers(spark, d), F.col("o_custkey") == F.col("c_custkey"))
     month_end = F.add_months(F.date_trunc("month", "o_orderdate"), 1)
     category = F.element_at(F.create_map(*[F.lit(v) for kv in CATEGORY_OF.items() for v in kv]), F.col("geo"))
     stem = F.concat(

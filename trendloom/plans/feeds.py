@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import envelopes, normalize, quality, reports
-from ..session import shared_folder
+from ..session import materialize, shared_folder
 from ..sinks import files
 from ..sources import feed
-from .base import TREND_SNAP_SQL, flat, table, trend_snap
+from .base import TREND_SNAP_SQL, flat, landed_snap, table
 
 OUTLETS = {"src0": "CNN", "src1": "BBC", "src2": "Reuters"}
 OPENERS = {"de": "Breaking: ", "fr": "Update: "}
@@ -45,7 +45,18 @@ def _articles(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_landed: dict[tuple[str, str], DataFrame] = {}
+
+
 def landing(spark: SparkSession, d: str) -> DataFrame:
+    """The landed feed documents, written once per application and input."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _landed:
+        _landed[at] = materialize(spark, rendered(spark, d), "feeds")
+    return _landed[at]
+
+
+def rendered(spark: SparkSession, d: str) -> DataFrame:
     """One feed document per region and month.
 
     Rank 18 has no picture, 19 no volume, 20 a date in another form.  A trend
@@ -54,7 +65,7 @@ def landing(spark: SparkSession, d: str) -> DataFrame:
     """
     geo_no = table(spark, d, "region").select(F.col("r_name").alias("geo"), F.col("r_regionkey").alias("geo_no"))
     month_no = (F.year("fetched_at") - 1995) * 12 + F.month("fetched_at") - 1
-    trends = trend_snap(spark, d).join(geo_no, "geo").withColumn(
+    trends = landed_snap(spark, d)[0].join(geo_no, "geo").withColumn(
         "first_doc", (month_no * 100 + F.col("geo_no") * 20 + F.col("rank") - 1).cast("bigint")
     )
     wanted = trends.where(F.col("rank") % 8 > 0).select(

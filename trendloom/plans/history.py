@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import archive, changes, envelopes, normalize
+from ..operators.ranking import ranked_snapshots
 from ..schemas import CHANGE_EVENTS
-from ..session import shared_folder
-from .base import CHANGES_SQL, TREND_SNAP_SQL, flat, trend_headers, trend_rows, trend_snap
+from ..session import materialize, shared_folder
+from .base import CHANGES_SQL, TREND_SNAP_SQL, flat, keyword_events, landed_snap, trend_rows, trend_snap
 
 _SNAP_COLUMNS = "source, geo, fetched_at, keyword, rank, volume_min"
 _CHANGE_COLUMNS = "source, geo, fetched_at, event, keyword, rank, prev_rank, volume_min, prev_volume_min"
@@ -21,14 +22,20 @@ def ranked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def change_history(spark: SparkSession, d: str) -> DataFrame:
-    return flat(changes.diff_history(trend_snap(spark, d), trend_headers(spark, d)))
+    return flat(changes.diff_history(*landed_snap(spark, d)))
 
 
 OLD_MONTH, NEW_MONTH = "1997-06-01", "1997-12-01"
 
 
 def diff_pair(spark: SparkSession, d: str) -> DataFrame:
-    trends = trend_snap(spark, d)
+    """Two months compared; the scan reads line items of these months only."""
+    month = lambda day: F.col("ts").between(
+        F.lit(day).cast("timestamp_ntz"),
+        F.lit(day).cast("timestamp_ntz") + F.expr("INTERVAL 1 MONTH") - F.expr("INTERVAL 1 MICROSECOND"),
+    )
+    events = keyword_events(spark, d).where(month(OLD_MONTH) | month(NEW_MONTH))
+    trends = materialize(spark, ranked_snapshots(events, "month", 20), "month-pair")
     at = lambda day: trends.where(F.col("fetched_at") == F.lit(day).cast("timestamp"))
     return flat(changes.diff_snapshots(at(OLD_MONTH), at(NEW_MONTH)))
 
@@ -37,13 +44,13 @@ FILTER_VOLUME, FILTER_EVENTS, FILTER_TERMS = 3, ["new", "volume_up"], ["RED", "p
 
 
 def filtered_changes(spark: SparkSession, d: str) -> DataFrame:
-    found = changes.diff_history(trend_snap(spark, d), trend_headers(spark, d))
+    found = changes.diff_history(*landed_snap(spark, d))
     return flat(changes.filter_changes(found, FILTER_VOLUME, FILTER_EVENTS, FILTER_TERMS))
 
 
 def change_summary(spark: SparkSession, d: str) -> DataFrame:
-    headers = trend_headers(spark, d)
-    return flat(changes.change_summary(headers, changes.diff_history(trend_snap(spark, d), headers)))
+    trends, headers = landed_snap(spark, d)
+    return flat(changes.change_summary(headers, changes.diff_history(trends, headers)))
 
 
 COMPACT_GEOS = ["ASIA", "EUROPE"]

@@ -10,7 +10,7 @@ from ..session import RECOMMENDED, shared_folder
 from ..sources.landing import stream_snapshots
 from ..streaming import alerts, watch
 from ..streaming.ingest import archive_batches
-from .base import CHANGES_SQL, TREND_SNAP_SQL, flat, trend_headers, trend_rows, trend_snap
+from .base import CHANGES_SQL, TREND_SNAP_SQL, flat, landed_snap, trend_rows, trend_snap
 
 RESTART_AT = "1998-06-01"
 
@@ -48,7 +48,7 @@ def change_stream(spark: SparkSession, d: str) -> DataFrame:
 def alert_records(spark: SparkSession, d: str) -> DataFrame:
     """Changes as alert records in JSON, written and read back."""
     path = shared_folder(spark, "alerts")
-    found = changes.diff_history(trend_snap(spark, d), trend_headers(spark, d))
+    found = changes.diff_history(*landed_snap(spark, d))
     alerts.alert_folder(path)(changes.filter_changes(found, events=["new", "dropped"]), 0)
     record = alerts.read_alerts(spark, path)
     field = lambda name: F.get_json_object("record", f"$.{name}").alias(name)
@@ -66,7 +66,7 @@ def alert_delivery(spark: SparkSession, d: str) -> DataFrame:
             raise ConnectionError("refused")
         return True
 
-    found = changes.diff_history(trend_snap(spark, d), trend_headers(spark, d))
+    found = changes.diff_history(*landed_snap(spark, d))
     return alerts.delivery_report(alerts.deliver(found, send))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the jobs are designed for; all but the first are cluster defaults too.
 RECOMMENDED = {
@@ -43,3 +43,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             _local_base.append(tempfile.mkdtemp(prefix="trendloom-"))
         base = _local_base[0]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table written to the shared folder.
+
+    It cuts the lineage: lost executors re-read files, they recompute nothing.
+    """
+    path = shared_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
