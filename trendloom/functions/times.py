@@ -10,36 +10,30 @@ from pyspark.sql import Column, functions as F
 
 from .text import squeeze
 
-_WEEKDAY = r"(?i)^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),\s*"
-_EXPORT = r"^(.+?) UTC([+-]\d{1,2}(?::?\d{2})?)?$"
-_OFFSET = r"^([+-])(\d{1,2}?):?(\d{2})?$"
+_FEED = r"^(?i:Mon|Tue|Wed|Thu|Fri|Sat|Sun),\s*(.+)$"
+_SHORT_OFFSET = r" UTC([+-])(\d)(:?\d\d)?$"  # one digit of hours; "$10" is group 1, then a zero
 
 
 def feed_timestamp(col: Column) -> Column:
     """``Tue, 4 Nov 2025 03:00:00 -0800``; NULL when the text has another form."""
     # Spark refuses EEE when parsing, so the weekday is checked and cut by regexp.
-    body = F.when(F.regexp_like(col, F.lit(_WEEKDAY)), F.regexp_replace(col, _WEEKDAY, ""))
-    return F.coalesce(
-        F.try_to_timestamp(body, F.lit("d MMM yyyy H:m:s Z")),
-        F.try_to_timestamp(body, F.lit("d MMM yyyy H:m:s XXX")),
-    )
+    return F.try_to_timestamp(F.regexp_extract(col, _FEED, 1), F.lit("d MMM yyyy H:m:s [XX][XXX]"))
 
 
 def export_timestamp(col: Column) -> Column:
-    """``August 15, 2026 at 7:10:00 AM UTC+3``; NULL when it cannot be read."""
-    text = squeeze(col)
-    body = F.concat(F.regexp_extract(text, _EXPORT, 1), F.lit(" +00:00"))
-    wall = F.coalesce(
-        F.try_to_timestamp(body, F.lit("MMMM d, yyyy 'at' h:mm:ss a XXX")),
-        F.try_to_timestamp(body, F.lit("MMM d, yyyy 'at' h:mm:ss a XXX")),
-    )
-    offset = F.regexp_extract(text, _EXPORT, 2)
-    sign = F.when(offset.startswith("-"), -1).otherwise(1)
-    seconds = sign * (
-        F.coalesce(F.regexp_extract(offset, _OFFSET, 2).try_cast("int"), F.lit(0)) * 3600
-        + F.coalesce(F.regexp_extract(offset, _OFFSET, 3).try_cast("int"), F.lit(0)) * 60
+    """``August 15, 2026 at 7:10:00 AM UTC+3``; NULL when it cannot be read.
+
+    The offset is brought to a form that the parser reads itself.  Every part
+    is used once or in an always evaluated place: a regexp inside a branch
+    would run again for each mention.
+    """
+    text = F.regexp_replace(squeeze(col), _SHORT_OFFSET, " UTC$10$2$3")
+    text = F.concat(text, F.when(text.endswith(" UTC"), "Z").otherwise(""))
+    zone = "h:mm:ss a 'UTC'[XXX][XX][X]"
+    return F.coalesce(
+        F.try_to_timestamp(text, F.lit(f"MMMM d, yyyy 'at' {zone}")),
+        F.try_to_timestamp(text, F.lit(f"MMM d, yyyy 'at' {zone}")),
     )
-    return F.when(F.abs(seconds) < 86_400, F.timestamp_seconds(F.unix_seconds(wall) - seconds))
 
 
 def epoch_timestamp(col: Column) -> Column:

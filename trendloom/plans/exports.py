@@ -60,7 +60,8 @@ def export_folder(spark: SparkSession, d: str) -> str:
         path = shared_folder(spark, "exports")
         (
             rendered(spark, d)
-            .repartition("file")  # one writer per file keeps its row order
+            # one writer per file keeps its row order; the number keeps small inputs parallel
+            .repartition(spark.sparkContext.defaultParallelism, "file")
             .sortWithinPartitions("file", "o_orderkey")
             .drop("o_orderkey")
             .write.partitionBy("file")
