@@ -21,12 +21,16 @@ def walk(seed, n, keys="ab"):
 
 @pytest.mark.parametrize("bucket", ["minute", "hour", "day", "year"])
 def test_neighbours_equal_brute_force(spark, bucket):
-    times = sorted({(k, t) for k, t, _, _ in walk(3, 300)})
-    got = neighbours(spark.createDataFrame(times, "k STRING, t TIMESTAMP"), ["k"], "t", bucket).collect()
+    times = sorted({(k, t): v for k, t, _, v in walk(3, 300)}.items())
+    made = spark.createDataFrame([(k, t, v) for (k, t), v in times], "k STRING, t TIMESTAMP, v INT")
+    got = neighbours(made, ["k"], "t", bucket, carry=["v"]).collect()
     want = []
     for key in "ab":
-        own = [t for k, t in times if k == key]
-        want += [(key, t, p, n) for t, p, n in zip(own, [None, *own], [*own[1:], None])]
+        own = [(t, v) for (k, t), v in times if k == key]
+        for i, (t, v) in enumerate(own):
+            before = own[i - 1] if i else (None, None)
+            after = own[i + 1][0] if i + 1 < len(own) else None
+            want.append((key, t, v, before[0], after, own[0][0], before[1]))
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 

@@ -211,6 +211,13 @@ def matching(
     return rows
 
 
+def _snapshot_key(*tables: DataFrame) -> list[str]:
+    """The snapshot key; with the partition date where all tables carry it, so
+    that a join on it can prune partitions at run time."""
+    dated = all("fetched_date" in t.columns for t in tables)
+    return [*SNAPSHOT_KEY, "fetched_date"] if dated else list(SNAPSHOT_KEY)
+
+
 def _key_of(rows: DataFrame) -> Column:
     return F.col("keyword_key") if "keyword_key" in rows.columns else fold_ascii(F.col("keyword"))
 
@@ -233,7 +240,8 @@ def read_snapshots(
     found = matching(headers, geo, source, start, end)
     if keyword is not None:
         hits = matching(rows, geo, source, start, end).where(_key_of(rows) == fold_ascii(F.lit(keyword)))
-        found = found.join(hits.select(*SNAPSHOT_KEY), SNAPSHOT_KEY, "left_semi")
+        key = _snapshot_key(found, hits)
+        found = found.join(hits.select(*key), key, "left_semi")
     found = found.orderBy(F.desc("fetched_at"), "source", "geo")
     return found if limit is None else found.limit(limit)
 
@@ -277,7 +285,8 @@ def compact_history(
         raise ValueError(f"limit must be between 1 and 100, got {limit}")
     newest = read_snapshots(headers, rows, geo, TRENDING_SOURCES, start, end, keyword, limit)
     # at most 100 snapshot keys by the check above
-    entries = rows.join(F.broadcast(newest.select(*SNAPSHOT_KEY, "trend_count")), SNAPSHOT_KEY).select(
+    key = _snapshot_key(newest, rows)
+    entries = rows.join(F.broadcast(newest.select(*key, "trend_count")), key).select(
         *SNAPSHOT_KEY, "trend_count", "keyword", "rank", "volume_min"
     )
     timeline = keyword_history(rows, keyword, geo, start, end, TRENDING_SOURCES) if keyword else None
@@ -319,19 +328,10 @@ def keyword_movement(rows: DataFrame, geo: str | None = None, bucket: str = "day
     The previous appearance is looked up per time bucket, so a keyword that is
     in every snapshot does not become one long task.
     """
-    picked = matching(rows, geo)
-    first = picked.groupBy("source", "geo", "keyword", "fetched_at").agg(
-        F.min("rank").alias("rank")
-    )
-    keys = ["source", "geo", "keyword"]
-    linked = neighbours(first, keys, "fetched_at", bucket)
-    seen = linked.groupBy(*keys).agg(F.min("fetched_at").alias("first_seen_at"))
-    before = first.select(*keys, F.col("fetched_at").alias("prev_at"), F.col("rank").alias("prev_rank"))
-    return (
-        linked.join(before, [*keys, "prev_at"], "left")
-        .join(seen, keys)
-        .select(*keys, "fetched_at", "first_seen_at", "prev_at", "rank", "prev_rank",
-                (F.col("prev_rank") - F.col("rank")).alias("moved_up"))
+    best = matching(rows, geo).groupBy("source", "geo", "keyword", "fetched_at").agg(F.min("rank").alias("rank"))
+    return neighbours(best, ["source", "geo", "keyword"], "fetched_at", bucket, carry=["rank"]).select(
+        "source", "geo", "keyword", "fetched_at", F.col("first_at").alias("first_seen_at"), "prev_at", "rank", "prev_rank",
+        (F.col("prev_rank") - F.col("rank")).alias("moved_up"),
     )
 
 

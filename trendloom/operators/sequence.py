@@ -15,29 +15,45 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _BUCKET = "_bucket"
 
 
-def neighbours(headers: DataFrame, keys: Sequence[str], ts: str, bucket: str = "day") -> DataFrame:
-    """Add ``prev_at`` and ``next_at``: the adjacent ``ts`` of the same key."""
-    rows = headers.withColumn(_BUCKET, F.date_trunc(bucket, ts))
+def neighbours(
+    rows: DataFrame, keys: Sequence[str], ts: str, bucket: str = "day", carry: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``prev_at``, ``next_at`` and ``first_at``: times of the same key.
+
+    For each column in ``carry``, ``prev_<column>`` is its value in the previous
+    row.  ``ts`` must be unique within a key.
+    """
+    marked = rows.withColumn(_BUCKET, F.date_trunc(bucket, ts))
     over_buckets = Window.partitionBy(*keys).orderBy(_BUCKET)
+    whole_key = over_buckets.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     borders = (
-        rows.groupBy(*keys, _BUCKET)
-        .agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
+        marked.groupBy(*keys, _BUCKET)
+        .agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), *[F.max_by(c, ts).alias(f"_end_{c}") for c in carry])
         .select(
             *keys,
             _BUCKET,
             F.lag("_hi").over(over_buckets).alias("_before"),
             F.lead("_lo").over(over_buckets).alias("_after"),
+            F.first("_lo").over(whole_key).alias("first_at"),
+            *[F.lag(f"_end_{c}").over(over_buckets).alias(f"_in_{c}") for c in carry],
         )
     )
     inside = Window.partitionBy(*keys, _BUCKET).orderBy(ts)
     return (
-        rows.withColumn("_prev", F.lag(ts).over(inside))
-        .withColumn("_next", F.lead(ts).over(inside))
+        marked.select(
+            "*",
+            F.lag(ts).over(inside).alias("_prev"),
+            F.lead(ts).over(inside).alias("_next"),
+            *[F.lag(c).over(inside).alias(f"_own_{c}") for c in carry],
+        )
         .join(borders, [*keys, _BUCKET])
         .select(
-            *headers.columns,
+            *rows.columns,
             F.coalesce("_prev", "_before").alias("prev_at"),
             F.coalesce("_next", "_after").alias("next_at"),
+            "first_at",
+            # the first row of a bucket has no row before it there
+            *[F.when(F.col("_prev").isNull(), F.col(f"_in_{c}")).otherwise(F.col(f"_own_{c}")).alias(f"prev_{c}") for c in carry],
         )
     )
 
