@@ -60,7 +60,7 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
     """One feed document per region and month.
 
     Rank 18 has no picture, 19 no volume, 20 a date in another form.  A trend
-    of rank r has up to r mod 8 articles.  The documents of one month are cut
+    of rank r has up to r - 1 articles, seven at most.  The documents of one month are cut
     off and must end in quarantine.
     """
     geo_no = table(spark, d, "region").select(F.col("r_name").alias("geo"), F.col("r_regionkey").alias("geo_no"))
@@ -68,11 +68,10 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
     trends = landed_snap(spark, d)[0].join(geo_no, "geo").withColumn(
         "first_doc", (month_no * 100 + F.col("geo_no") * 20 + F.col("rank") - 1).cast("bigint")
     )
-    wanted = trends.where(F.col("rank") % 8 > 0).select(
-        "geo", "fetched_at", "rank",
-        F.explode(F.sequence(F.lit(0), F.col("rank") % 8 - 1)).alias("nth"),
-        "first_doc",
-    ).withColumn("doc_id", F.col("first_doc") + F.col("nth"))
+    places = F.slice(F.sequence(F.lit(0), F.lit(6)), F.lit(1), F.col("rank") - 1)
+    wanted = trends.select("geo", "fetched_at", "rank", F.explode(places).alias("nth"), "first_doc").withColumn(
+        "doc_id", F.col("first_doc") + F.col("nth")
+    )
     news = (
         wanted.join(_articles(spark, d), "doc_id")
         .select(
@@ -268,7 +267,7 @@ numbered AS (
 ),
 news AS (
   SELECT geo, fetched_at, rank, doc_id - first_doc + 1 AS nth, nullif(headline, '') AS headline, url, outlet
-  FROM numbered JOIN articles ON doc_id >= first_doc AND doc_id < first_doc + rank % 8
+  FROM numbered JOIN articles ON doc_id >= first_doc AND doc_id < first_doc + least(rank - 1, 7)
 ),
 ordered_news AS (
   SELECT *, row_number() OVER (PARTITION BY geo, fetched_at, rank ORDER BY nth) AS place FROM news
