@@ -135,34 +135,19 @@ def change_summary(snapshots: DataFrame, changes: DataFrame, bucket: str = "day"
     ``snapshots`` must carry ``trend_count``; counts include every position of
     a snapshot, also blank and repeated keywords.
     """
-    links = neighbours(snapshots.select(*SNAPSHOT_KEY, "trend_count"), ["source", "geo"], "fetched_at", bucket)
-    own = links.select(
-        *SNAPSHOT_KEY, F.lit(False).alias("is_next"), F.col("prev_at").isNull().alias("baseline"), "trend_count"
-    )
-    ahead = links.where(F.col("next_at").isNotNull()).select(
-        "source", "geo", F.col("next_at").alias("fetched_at"), F.lit(True).alias("is_next"),
-        F.lit(None).cast("boolean").alias("baseline"), "trend_count",
+    links = neighbours(
+        snapshots.select(*SNAPSHOT_KEY, "trend_count"), ["source", "geo"], "fetched_at", bucket, carry=["trend_count"]
     )
     counted = changes.groupBy(*SNAPSHOT_KEY).agg(
         F.count(F.lit(1)).alias("change_count"),
         *[F.count_if(F.col("event") == e).alias(f"{e}_count") for e in CHANGE_EVENTS],
     )
     zero = F.lit(0).cast("bigint")
-    return (
-        own.unionByName(ahead)
-        .groupBy(*SNAPSHOT_KEY)
-        .agg(
-            F.bool_or("baseline").alias("baseline"),
-            F.max(F.when(F.col("is_next"), F.col("trend_count"))).alias("previous_count"),
-            F.max(F.when(~F.col("is_next"), F.col("trend_count"))).alias("current_count"),
-        )
-        .join(counted, SNAPSHOT_KEY, "left")
-        .select(
-            *SNAPSHOT_KEY,
-            "baseline",
-            "previous_count",
-            "current_count",
-            F.coalesce("change_count", zero).alias("change_count"),
-            *[F.coalesce(f"{e}_count", zero).alias(f"{e}_count") for e in CHANGE_EVENTS],
-        )
+    return links.join(counted, SNAPSHOT_KEY, "left").select(
+        *SNAPSHOT_KEY,
+        F.col("prev_at").isNull().alias("baseline"),
+        F.col("prev_trend_count").alias("previous_count"),
+        F.col("trend_count").alias("current_count"),
+        F.coalesce("change_count", zero).alias("change_count"),
+        *[F.coalesce(f"{e}_count", zero).alias(f"{e}_count") for e in CHANGE_EVENTS],
     )

@@ -16,27 +16,52 @@ def _index(n: Column, peak: Column) -> Column:
     return F.when(peak > 0, F.round(n * F.lit(100.0) / peak)).otherwise(F.lit(0.0)).cast("int")
 
 
-def bucket_counts(events: DataFrame, bucket: str = "day") -> DataFrame:
+def _group_peak() -> Column:
+    """Largest count of a comparison.
+
+    The window is not partitioned: a comparison has five keywords at most, so
+    it sees five rows per bucket or region, all counted before.  A second
+    aggregation for the peak would read the events again.
+    """
+    return F.max("n").over(Window.partitionBy())
+
+
+def bucket_counts(events: DataFrame, bucket: str = "day", start=None, end=None, as_of=None) -> DataFrame:
     """Counts of ``events(keyword, ts)`` per keyword and bucket, gaps filled with 0.
 
-    All keywords share the time span of the data.  The zero rows are unioned in
-    before the final sum, so filling the gaps needs no join.
+    All keywords share one time span: ``start`` to ``end`` as given (columns),
+    else that of the data, which costs one more scan of ``ts`` alone.  A bucket
+    is partial when it ends after ``as_of``, by default the newest event.
+
+    A row fills the gap up to the next row of its keyword, so the zeros need
+    neither a grid nor a join; the window sees one row per bucket with events.
     """
-    counts = events.groupBy("keyword", F.date_trunc(bucket, "ts").alias("ts")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("ts").cast("timestamp").alias("last_ts")
-    )
-    span = counts.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.max("last_ts").alias("as_of"))
-    lo, hi, as_of = (span.select(c).scalar() for c in ("lo", "hi", "as_of"))
+    if start is not None:
+        events = events.where(F.col("ts") >= start)
+    if end is not None:
+        events = events.where(F.col("ts") <= end)
+    newest = events.agg(F.struct(F.min("ts").alias("lo"), F.max("ts").alias("hi")).alias("span")).scalar()
+    lo = F.date_trunc(bucket, newest["lo"] if start is None else start)
+    hi = F.date_trunc(bucket, newest["hi"] if end is None else end)
+    as_of = newest["hi"] if as_of is None else as_of
     step = F.expr(f"INTERVAL 1 {bucket}")
-    zeros = counts.select("keyword").distinct().select(
-        "keyword", F.explode(F.sequence(lo, hi, step)).alias("ts"), F.lit(0).cast("bigint").alias("n")
+
+    counts = events.groupBy("keyword", F.date_trunc(bucket, "ts").alias("at")).agg(F.count(F.lit(1)).alias("count"))
+    order = Window.partitionBy("keyword").orderBy("at")
+    placed = counts.select(
+        "keyword",
+        "at",
+        "count",
+        F.when(F.lag("at").over(order).isNull(), lo).otherwise(F.col("at")).alias("first"),
+        F.coalesce(F.lead("at").over(order) - step, hi).alias("last"),
     )
-    return (
-        counts.select("keyword", "ts", "n")
-        .unionByName(zeros)
-        .groupBy("keyword", "ts")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("is_partial", F.col("ts") + step > as_of)
+    return placed.select(
+        "keyword", "at", "count", F.explode(F.sequence("first", "last", step)).alias("ts")
+    ).select(
+        "keyword",
+        "ts",
+        F.when(F.col("ts") == F.col("at"), F.col("count")).otherwise(F.lit(0).cast("bigint")).alias("n"),
+        (F.col("ts") + step > as_of).alias("is_partial"),
     )
 
 
@@ -51,8 +76,7 @@ def compare_keywords(counts: DataFrame, keywords: Sequence[str]) -> DataFrame:
     if not 2 <= len(keywords) <= 5:
         raise ValueError(f"compare 2 to 5 keywords, got {len(keywords)}")
     picked = counts.where(F.col("keyword").isin(list(keywords)))
-    peak = picked.agg(F.max("n")).scalar()
-    return picked.select("keyword", "ts", _index(F.col("n"), peak).alias("value"), "is_partial")
+    return picked.select("keyword", "ts", _index(F.col("n"), _group_peak()).alias("value"), "is_partial")
 
 
 def averages(series: DataFrame) -> DataFrame:
@@ -138,10 +162,9 @@ def compare_regions(counts: DataFrame, keywords: Sequence[str]) -> DataFrame:
     if not 2 <= len(keywords) <= 5:
         raise ValueError(f"compare 2 to 5 keywords, got {len(keywords)}")
     picked = counts.where(F.col("keyword").isin(list(keywords)))
-    peak = picked.agg(F.max("n")).scalar()
     position = F.array_position(F.lit(list(keywords)), F.col("keyword")).cast("int")
     scaled = picked.select(
-        "keyword", "geo_code", "geo_name", position.alias("pos"), _index(F.col("n"), peak).alias("value")
+        "keyword", "geo_code", "geo_name", position.alias("pos"), _index(F.col("n"), _group_peak()).alias("value")
     )
     return scaled.groupBy("geo_code", "geo_name").agg(
         F.max_by("keyword", F.struct("value", -F.col("pos"))).alias("top_keyword"),

@@ -48,43 +48,38 @@ def related_queries(
             F.count_if("was_before").alias("prior"),
         )
     )
-    strongest = companions.groupBy("seed").agg(F.max("n").alias("most"))
-    top = companions.join(strongest, "seed").select(
-        "seed",
-        "query",
-        F.lit("top").alias("bucket"),
-        F.round(F.col("n") * 100.0 / F.col("most")).cast("int").alias("value"),
-        F.lit(0).alias("breakout"),
-        F.col("n").alias("weight"),
+    # Candidates of both lists in one pass.  The top list is ordered by count, so
+    # its first row is the peak: the limit reaches below the window's shuffle and
+    # the peak is read off what is left.
+    growth = F.round((F.col("now") - F.col("prior")) * 100.0 / F.nullif(F.col("prior"), F.lit(0))).cast("bigint")
+    none = F.lit(0).cast("bigint")
+    top = F.struct(
+        F.lit("top").alias("bucket"), F.lit(0).alias("breakout"), F.col("n").alias("score"), F.col("n").alias("weight")
     )
-    growth = F.round((F.col("now") - F.col("prior")) * 100.0 / F.nullif(F.col("prior"), F.lit(0))).cast("int")
-    rising = companions.where((F.col("now") > F.col("prior"))).select(
-        "seed",
-        "query",
-        F.lit("rising").alias("bucket"),
-        F.coalesce(growth, F.lit(0)).alias("value"),
-        (F.col("prior") == 0).cast("int").alias("breakout"),
-        F.col("now").alias("weight"),
+    rising = F.struct(
+        F.lit("rising").alias("bucket"), (F.col("prior") == 0).cast("int").alias("breakout"),
+        F.coalesce(growth, none).alias("score"), F.col("now").alias("weight"),
     )
-    order = Window.partitionBy("seed", "bucket").orderBy(
-        F.desc("breakout"), F.desc("value"), F.desc("weight"), "query"
+    lists = F.filter(F.array(top, rising), lambda e: (e["bucket"] == "top") | (F.col("now") > F.col("prior")))
+    order = Window.partitionBy("seed", "bucket").orderBy(F.desc("breakout"), F.desc("score"), F.desc("weight"), "query")
+    ranked = (
+        companions.select("seed", "query", F.inline(lists))
+        .withColumn("pos", F.row_number().over(order))
+        .where(F.col("pos") <= limit)
     )
+    share = F.round(F.col("score") * 100.0 / F.first("score").over(order))
+    value = F.when(F.col("bucket") == "top", share).otherwise(F.col("score")).cast("int")
     text = (
         F.when(F.col("breakout") == 1, F.lit(BREAKOUT))
         .when(F.col("bucket") == "rising", F.concat(F.lit("+"), F.format_number("value", 0), F.lit("%")))
         .otherwise(F.col("value").cast("string"))
     )
-    return (
-        top.unionByName(rising)
-        .withColumn("pos", F.row_number().over(order))
-        .where(F.col("pos") <= limit)
-        .select(
-            F.col("seed").alias("keyword"),
-            "bucket",
-            "pos",
-            "query",
-            "value",
-            text.alias("formatted_value"),
-            F.concat(F.lit(LINK_ORIGIN + "/trends/explore?q="), F.col("query")).alias("link"),
-        )
+    return ranked.withColumn("value", value).select(
+        F.col("seed").alias("keyword"),
+        "bucket",
+        "pos",
+        "query",
+        "value",
+        text.alias("formatted_value"),
+        F.concat(F.lit(LINK_ORIGIN + "/trends/explore?q="), F.col("query")).alias("link"),
     )

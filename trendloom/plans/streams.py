@@ -20,7 +20,8 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     session = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
         session.conf.set(key, RECOMMENDED[key])
-    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many state partitions as cores: each one holds a state store and a Python worker
+    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
     return session
 
 
