@@ -51,6 +51,19 @@ def test_rank_is_the_line_over_many_files_and_batches(spark, tmp_path):
     assert len(got) == 30 * 480 and all(int(r["Trends"].split("\n")[1]) + 1 == r["rank"] for r in got)
 
 
+def test_large_files_are_read_in_blocks(spark, tmp_path):
+    for f in range(2):
+        write(tmp_path, f"trends_US_4h_all_2026080{f + 1}-000000.csv", [line(f"{i}") for i in range(4000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = export.read_exports(spark, str(tmp_path), multi_line=False)
+        assert found.rdd.getNumPartitions() > 2
+        got = found.select("Trends", "rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 8000 and all(int(r["Trends"]) + 1 == r["rank"] for r in got)
+
+
 def test_reading_needs_no_shuffle(spark, folder):
     plan = normalize.normalize_export(export.read_exports(spark, str(folder)))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

@@ -34,7 +34,10 @@ def watched_changes(spark: SparkSession, d: str, splits: int = watch.DEFAULT_SPL
     early = F.col("fetched_at") < F.lit(RESTART_AT).cast("timestamp")
     for part in (packed.where(early), packed.where(~early)):
         part.write.mode("append").json(land)
-        stream = watch.watch(stream_snapshots(session, land), splits=splits)
+        # the files of one write carry no time order, so they are one micro-batch: it
+        # holds 20 trends per geo and month, however many line items there are
+        landed = stream_snapshots(session, land, max_bytes_per_trigger=None)
+        stream = watch.watch(landed, splits=splits)
         query = watch.start_watch(
             stream, lambda batch, n: batch.write.mode("overwrite").parquet(f"{found}/batch={n}"), check
         )

@@ -1,9 +1,8 @@
 """Trend export files (CSV) to raw rows.
 
-The rank of an exported trend is its line in the file.  A file with
-``multiLine`` is read by one task from first to last byte, so the task can
-number its rows while they stream past: no shuffle, no sort, and a file of any
-length needs only the running counter.
+The rank of an exported trend is its line in the file.  A task reads its file
+or file block from first to last byte, so it can number the rows while they
+stream past, with a counter and no sort.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..schemas import EXPORT_COLUMNS, EXPORT_SCHEMA
 
@@ -22,37 +21,50 @@ FILE_NAME = r"(?:^|[/=])trends_([^/]+)_(\d+)h_(\w+?)_(\d{8}-\d{6})\.csv(?:/[^/]+
 
 
 def _number_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Append the 1-based position of each row within its file."""
+    """Append the 1-based position of each row within its file block."""
     current, seen = None, 0
     for batch in batches:
         if batch.num_rows == 0:
             continue
         files = batch.column("file_path").to_numpy(zero_copy_only=False)
+        blocks = batch.column("block").to_numpy()
         index = np.arange(len(files))
-        starts = np.r_[files[0] != current, files[1:] != files[:-1]]
+        starts = np.r_[(files[0], blocks[0]) != current, (files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])]
         begin = np.maximum.accumulate(np.where(starts, index, -1))
-        # rows before the first start continue the file of the previous batch
+        # rows before the first start continue the block of the previous batch
         rank = np.where(begin >= 0, index - begin, index + seen) + 1
-        current, seen = files[-1], int(rank[-1])
+        current, seen = (files[-1], blocks[-1]), int(rank[-1])
         yield batch.append_column("rank", pa.array(rank, pa.int32()))
 
 
-def read_exports(spark: SparkSession, path: str) -> DataFrame:
+def read_exports(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Raw export rows with ``geo, hours, category, fetched_at, rank`` added.
 
+    By default a file is read by one task, since its cells may hold line breaks;
+    ranks then need no shuffle.  ``multi_line=False`` is for large files without
+    such cells: they are read in blocks, and the row counts of the blocks before
+    are added to the position in the block.
+
     ``enforceSchema=false`` makes a file with other headers fail instead of
     shifting its columns.  The time in a file name is taken as UTC.
     """
     raw = (
         spark.read.schema(EXPORT_SCHEMA)
-        .options(header=True, multiLine=True, escape='"', enforceSchema=False)
+        .options(header=True, multiLine=multi_line, escape='"', enforceSchema=False)
         .csv(path)
         .select(
             *[F.col(f"`{c}`") for c in EXPORT_COLUMNS],
             F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("block"),
         )
     )
-    numbered = raw.mapInArrow(_number_rows, f"{EXPORT_SCHEMA}, file_path STRING, rank INT")
+    numbered = raw.mapInArrow(_number_rows, f"{EXPORT_SCHEMA}, file_path STRING, block BIGINT, rank INT")
+    if not multi_line:
+        before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = numbered.groupBy("file_path", "block").agg(F.max("rank").alias("n")).select(
+            "file_path", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int").alias("offset")
+        )
+        numbered = numbered.join(offsets, ["file_path", "block"]).withColumn("rank", F.col("rank") + F.col("offset"))
     name = F.try_url_decode("file_path")
     part = lambda i: F.nullif(F.regexp_extract(name, FILE_NAME, i), F.lit(""))
     return numbered.select(

@@ -7,9 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import SNAPSHOT_LANDING
 
 
-def stream_snapshots(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of landed snapshots, one JSON line each, oldest file first."""
+#: Landed bytes per micro-batch: bounds what one key part of the stream's state
+#: has to look at in one go.
+MAX_BYTES_PER_TRIGGER = "4g"
+
+
+def stream_snapshots(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: str | None = MAX_BYTES_PER_TRIGGER,
+) -> DataFrame:
+    """Stream of landed snapshots, one JSON line each, oldest file first.
+
+    A micro-batch ends at the file limit if one is given, else at the byte
+    limit.  Snapshots may come in any order within a micro-batch, but not
+    across: files have to land in time order, as polling leaves them.  Without
+    any limit (both ``None``) all that has landed is one micro-batch.
+    """
     reader = spark.readStream.schema(SNAPSHOT_LANDING)
-    if max_files_per_trigger:
+    if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.json(path)
