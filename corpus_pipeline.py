@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import decontamination, mixing, quality_rules, sharding
+from trendloom.llm import decontamination, mixing, near_dedup, quality_rules, sharding
 from trendloom.session import materialize
 
 
@@ -13,6 +13,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dedup.keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -28,7 +33,10 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.assign(docs)
 
 
-STAGES = [("quality rules", quality), ("decontamination", decontaminate), ("mixing", mix), ("sharding", shard)]
+STAGES = [
+    ("quality rules", quality), ("near-duplicates", dedup), ("decontamination", decontaminate), ("mixing", mix),
+    ("sharding", shard),
+]
 #: Line statistics, near-duplicate groups and seeded repetitions are no SQL; tests hold them against brute force.
 ORACLE_SQL = None
 

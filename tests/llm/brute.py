@@ -80,3 +80,27 @@ def targets(sizes, share=1.0, epochs=3.0):
             out[s] = epochs * sizes[s]
             left -= out[s]
         free -= over
+
+
+def near(docs, width, percent):
+    """doc_id -> (set size, smallest id reachable)."""
+    sets = {}
+    for doc, text in docs:
+        words = WORD.findall(lower(text))
+        w = min(width, len(words))
+        sets[doc] = {tuple(words[i : i + w]) for i in range(len(words) - w + 1)} if w else set()
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                lo, hi = sorted((find(a), find(b)))
+                root[hi] = lo
+    return {d: (len(sets[d]), find(d)) for d in ids}

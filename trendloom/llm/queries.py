@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, mixing, quality_rules, sharding
+from . import decontamination, mixing, near_dedup, quality_rules, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
