@@ -104,3 +104,21 @@ def near(docs, width, percent):
                 lo, hi = sorted((find(a), find(b)))
                 root[hi] = lo
     return {d: (len(sets[d]), find(d)) for d in ids}
+
+
+def secret_spans(text):
+    text, out = text or "", []
+    for no, (kind, pattern, group, least) in enumerate((
+        ("assign", r"""((?:(?ai:password|passwd|secret|token|api_?key)))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24),
+    )):
+        out += [(m.start(), no, m.end(), kind) for m in re.finditer(pattern, text) if len(m.group(group)) >= least]
+    return [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(out)]
+
+
+def phrases(text):
+    words, out = ALNUM.findall(lower(text)), []
+    for phrase, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")):
+        p = phrase.split()
+        out += [(i, label) for i in range(len(words)) if words[i : i + len(p)] == p]
+    return len(words), out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, mixing, near_dedup, quality_rules, sharding
+from . import decontamination, licenses, mixing, near_dedup, quality_rules, secret_scan, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,16 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -41,6 +51,8 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
+    "op6_secrets": op6_secrets,
     "op7_decontamination": op7_decontamination,
+    "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {}
