@@ -176,7 +176,8 @@ def _family_forest(ids, members, code, bounds, mark, percent):
 
 def _links(docs: DataFrame, members: DataFrame, width: int, percent: int, keys: list[str]) -> DataFrame:
     """Links among the texts of ``members (node, family, *keys)``, each share of equal keys by itself."""
-    shares = docs.join(members, F.col("doc_id") == F.col("node")).select(
+    # The members grow with the documents: never a side to broadcast, whatever a small run would choose.
+    shares = docs.join(members.hint("merge"), F.col("doc_id") == F.col("node")).select(
         *dict.fromkeys(["doc_id", "text", "family", *keys])
     )
     return shares.groupBy(*keys).applyInArrow(_forest(width, percent), "a long, b long")
