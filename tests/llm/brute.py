@@ -122,3 +122,24 @@ def phrases(text):
         p = phrase.split()
         out += [(i, label) for i in range(len(words)) if words[i : i + len(p)] == p]
     return len(words), out
+
+
+def repeats(docs, length=50):
+    """(doc_id, bytes, removed, runs, digest of the rest) by brute force."""
+    low = {}
+    data = [(d, (t or "").encode()) for d, t in docs]
+    for d, b in data:
+        for p in range(len(b) - length + 1):
+            s = b[p : p + length]
+            if d is not None and (s not in low or d < low[s]):
+                low[s] = d
+    out = []
+    for d, b in data:
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            first = low.get(b[p : p + length])
+            if first is not None and (d is None or first < d):
+                gone[p : p + length] = b"\1" * length
+        runs = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(b)))
+        out.append((d, len(b), sum(gone), runs, sha(bytes(x for x, g in zip(b, gone) if not g))))
+    return out

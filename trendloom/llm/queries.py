@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, licenses, mixing, near_dedup, quality_rules, secret_scan, sharding
+from . import decontamination, licenses, mixing, near_dedup, quality_rules, secret_scan, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,12 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_secrets": op6_secrets,
     "op7_decontamination": op7_decontamination,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {}
