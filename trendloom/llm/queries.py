@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, licenses, mixing, near_dedup, quality_rules, secret_scan, sharding, suffix_dedup
+from . import chunk_dedup, decontamination, licenses, mixing, near_dedup, quality_rules, secret_scan, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chunk_dedup.remove_chunks(_table(spark, sf_dir, "documents"))
+    return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op6_secrets": op6_secrets,
     "op7_decontamination": op7_decontamination,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_chunk_dedup": op9_chunk_dedup,
     "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {}
