@@ -143,3 +143,27 @@ def repeats(docs, length=50):
         runs = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(b)))
         out.append((d, len(b), sum(gone), runs, sha(bytes(x for x, g in zip(b, gone) if not g))))
     return out
+
+
+def line_dedup(docs, percent=80):
+    """doc_id -> (lines, links of sets first seen here, kept line numbers); ids are distinct."""
+    first, lines = {}, {}
+    for d, t in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines[d] = []
+        for i, x in enumerate((t or "").split("\n")):
+            if s := frozenset(WORD.findall(lower(x))):
+                lines[d].append((i, s))
+                first.setdefault(s, (d, i))
+    order = list(first)
+    links, later = Counter(), set()
+    for i, a in enumerate(order):
+        for b in order[i + 1 :]:
+            if 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and 100 * len(a & b) >= percent * len(a | b):
+                links[a] += 1
+                links[b] += 1
+                later.add(b)
+    return {
+        d: (len(own), sum(links[s] for i, s in own if first[s] == (d, i)),
+            ",".join(str(i) for i, s in own if first[s] == (d, i) and s not in later))
+        for d, own in lines.items()
+    }

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chunk_dedup, decontamination, licenses, mixing, near_dedup, quality_rules, secret_scan, sharding, suffix_dedup
+from . import chunk_dedup, decontamination, licenses, line_dedup, mixing, near_dedup, quality_rules, secret_scan, sharding, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -58,6 +62,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_mixing": op4_mixing,
