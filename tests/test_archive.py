@@ -1,21 +1,30 @@
+import json
 from datetime import datetime
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from trendloom import archive
+from trendloom.operators.envelopes import snapshot_envelopes
+from trendloom.schemas import TREND_FIELDS, TREND_STRUCT
 
 ENTRY = "array<struct<keyword:string,rank:int,volume_text:string,volume_min:bigint>>"
 SHAPE = f"source STRING, geo STRING, fetched_at TIMESTAMP, trends {ENTRY}"
 HISTORY = [
-    ("rss", "US", datetime(2026, 8, 5, 9), ["bitcoin", "cpap"]),
-    ("csv", "GB", datetime(2026, 8, 5, 9, 30), ["wimbledon"]),
-    ("rss", "US", datetime(2026, 8, 5, 10), ["bitcoin"]),
-    ("rss", "US", datetime(2026, 8, 5, 11), ["solar eclipse"]),
+    ("rss", "US", datetime(2031, 3, 14, 9), ["harbor", "tide table"]),
+    ("csv", "PT", datetime(2031, 3, 14, 9, 30), ["quilt fair"]),
+    ("rss", "US", datetime(2031, 3, 14, 10), ["harbor"]),
+    ("rss", "US", datetime(2031, 3, 14, 11), ["night train"]),
 ]
 
 
+def normalize_fields():
+    """Names and types of a trend's fields."""
+    kinds = T._parse_datatype_string(TREND_STRUCT)
+    return {f.name: f.dataType for f in kinds.fields if f.name in TREND_FIELDS}
+
+
 def envelopes(spark, history=HISTORY):
     data = [(s, g, t, [(k, i, f"{i}+", i * 10) for i, k in enumerate(ks, 1)]) for s, g, t, ks in history]
     made = spark.createDataFrame(data, SHAPE).withColumn("schema_version", F.lit("1.0"))
@@ -46,7 +55,7 @@ def test_new_archive_is_empty(spark, tmp_path):
 def test_append_twice_is_once(spark, root):
     before = rows(archive.trends(spark, root)), rows(archive.snapshots(spark, root))
     archive.append(spark, root, envelopes(spark))
-    more = envelopes(spark, HISTORY[:1] + [("rss", "US", datetime(2026, 8, 5, 12), [])])
+    more = envelopes(spark, HISTORY[:1] + [("rss", "US", datetime(2031, 3, 14, 12), [])])
     archive.append(spark, root, more.unionAll(more))
     assert rows(archive.trends(spark, root)) == before[0]
     got = archive.snapshots(spark, root)
@@ -55,14 +64,14 @@ def test_append_twice_is_once(spark, root):
 
 
 def test_first_stored_wins(spark, root):
-    archive.append(spark, root, envelopes(spark, [("rss", "US", datetime(2026, 8, 5, 9), ["other"])]))
+    archive.append(spark, root, envelopes(spark, [("rss", "US", datetime(2031, 3, 14, 9), ["other"])]))
     assert archive.trends(spark, root).where("keyword = 'other'").count() == 0
 
 
 def test_differing_duplicates_in_one_batch_give_one_snapshot(spark, tmp_path):
     at = str(tmp_path / "dup")
     archive.create(spark, at)
-    when = datetime(2026, 8, 6)
+    when = datetime(2031, 3, 15)
     both = envelopes(spark, [("rss", "US", when, ["a", "b"]), ("rss", "US", when, ["c"])])
     archive.append(spark, at, both)
     head = archive.snapshots(spark, at).collect()
@@ -71,7 +80,7 @@ def test_differing_duplicates_in_one_batch_give_one_snapshot(spark, tmp_path):
 
 
 def test_interrupted_append_is_finished_by_the_next(spark, root, monkeypatch):
-    batch = envelopes(spark, [("rss", "US", datetime(2026, 8, 7), ["late", "later"])])
+    batch = envelopes(spark, [("rss", "US", datetime(2031, 3, 16), ["late", "later"])])
     real = archive._write
 
     def failing(df, path, sort=()):
@@ -88,18 +97,60 @@ def test_interrupted_append_is_finished_by_the_next(spark, root, monkeypatch):
     assert archive.snapshots(spark, root).count() == 5
 
 
-def test_parts_of_a_long_snapshot(spark, tmp_path):
+def test_long_and_empty_snapshots_are_whole(spark, tmp_path):
     at = str(tmp_path / "long")
     archive.create(spark, at)
-    parts = envelopes(spark, [("csv", "US", datetime(2026, 8, 5), ["a", "b"])]).withColumn("part", F.lit(0))
-    tail = envelopes(spark, [("csv", "US", datetime(2026, 8, 5), ["c"])]).withColumn("part", F.lit(1))
-    archive.append(spark, at, parts.unionByName(tail))
-    assert [r["trend_count"] for r in archive.snapshots(spark, at).collect()] == [3]
-    assert archive.payloads(spark, at).count() == 2 and archive.trends(spark, at).count() == 3
+    when = F.lit("2031-03-14").cast("timestamp")
+    row = lambda n, rank: spark.range(n).select(
+        F.lit("csv").alias("source"), F.concat(F.lit("G"), F.lit(str(n))).alias("geo"), when.alias("fetched_at"),
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("keyword"), rank.cast("int").alias("rank"),
+        F.lit("1+").alias("volume_text"), F.lit(1).cast("bigint").alias("volume_min"),
+    )
+    trends = row(1500, F.col("id") + 1).union(row(7, F.col("id") + 2000)).union(row(2, F.when(F.col("id") == 0, 1)))
+    for name, kind in normalize_fields().items():
+        if name not in trends.columns:
+            trends = trends.withColumn(name, F.lit(None).cast(kind))
+    empty = spark.createDataFrame([("csv", "G0", datetime(2031, 3, 14))], "source STRING, geo STRING, fetched_at TIMESTAMP")
+    headers = trends.select("source", "geo", "fetched_at").union(empty)
+    packed = snapshot_envelopes(trends, headers)
+    archive.append(spark, at, packed)
+    got = {r["geo"]: r for r in archive.snapshots(spark, at).collect()}
+    assert {g: r["trend_count"] for g, r in got.items()} == {"G1500": 1500, "G7": 7, "G2": 2, "G0": 0}
+    for geo, n in (("G1500", 1500), ("G7", 7), ("G0", 0)):
+        payload = json.loads(got[geo]["payload_json"])
+        assert payload["count"] == n and [t["keyword"] for t in payload["trends"]] == [f"k{i}" for i in range(n)]
+    assert [t.get("rank") for t in json.loads(got["G2"]["payload_json"])["trends"]] == [1, None]
+
+
+def test_the_day_is_utc_whatever_the_session_says(spark, root):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    when = datetime(2031, 3, 20, 2)
+    batch = envelopes(spark, [("rss", "US", when, ["late"])]).persist()
+    try:
+        batch.count()
+        archive.append(spark, root, batch)
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        archive.append(spark, root, batch)
+        rows_ = archive.trends(spark, root)
+        assert rows_.where("keyword = 'late'").count() == 1
+        bound = {"start": "2031-03-20T02:00:00Z", "end": "2031-03-20T02:00:00Z"}
+        assert archive.read_snapshots(archive.snapshots(spark, root), rows_, **bound).count() == 1
+        assert archive.prune(spark, root, "2031-03-20T02:00:01Z", source="rss") == 4
+        assert archive.snapshots(spark, root).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_incomplete_keys_are_set_aside(spark, root):
+    batch = envelopes(spark, [("rss", None, datetime(2031, 3, 14), ["a"]), ("rss", "US", None, ["b"]), ("csv", "US", datetime(2031, 3, 14), ["c"])])
+    for _ in range(2):
+        archive.append(spark, root, batch)
+    assert archive.trends(spark, root).count() == 6 and archive.snapshots(spark, root).count() == 5
+    assert rows(archive.incomplete(batch).select("reason")) == [("no fetched_at",), ("no geo",)]
 
 
 def test_keyword_rows_of_every_kind(spark):
-    when = datetime(2026, 8, 5)
+    when = datetime(2031, 3, 14)
     shape = f"source STRING, geo STRING, fetched_at TIMESTAMP, trends {ENTRY}, keywords ARRAY<STRING>, keyword STRING"
     made = spark.createDataFrame(
         [
@@ -123,11 +174,11 @@ def test_read(spark, root):
     read = lambda **kw: hours(archive.read_snapshots(head, trends, **kw))
     assert read() == [11, 10, 9.5, 9]
     assert read(geo="US") == [11, 10, 9]
-    assert read(geo="US", start="2026-08-05 09:00", end=datetime(2026, 8, 5, 10)) == [10, 9]
-    assert read(start="2026-08-05T12:00:00+02:00") == [11, 10]
-    assert read(end="2026-08-05") == [] and read(start="2026-08-05") == [11, 10, 9.5, 9]
-    assert read(keyword="BITCOIN") == [10, 9]
-    assert read(keyword=" bitcoin") == []
+    assert read(geo="US", start="2031-03-14 09:00", end=datetime(2031, 3, 14, 10)) == [10, 9]
+    assert read(start="2031-03-14T12:00:00+02:00") == [11, 10]
+    assert read(end="2031-03-14") == [] and read(start="2031-03-14") == [11, 10, 9.5, 9]
+    assert read(keyword="HARBOR") == [10, 9]
+    assert read(keyword=" harbor") == []
     assert read(geo="US", limit=1) == [11]
     assert read(source=["csv", "explore"]) == [9.5] and read(source="csv") == [9.5]
     for bad in ({"source": []}, {"source": [1]}, {"start": " "}):
@@ -136,16 +187,16 @@ def test_read(spark, root):
 
 
 def test_filters_prune_partitions(spark, root):
-    found = archive.matching(archive.trends(spark, root), source="rss", start="2026-08-05")
+    found = archive.matching(archive.trends(spark, root), source="rss", start="2031-03-14")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan and "fetched_date" in plan.split("PartitionFilters")[1][:200]
-    looked = archive.keyword_history(archive.trends(spark, root), "bitcoin")
-    assert "EqualTo(keyword_key,bitcoin)" in looked._jdf.queryExecution().executedPlan().toString()
+    looked = archive.keyword_history(archive.trends(spark, root), "harbor")
+    assert "EqualTo(keyword_key,harbor)" in looked._jdf.queryExecution().executedPlan().toString()
 
 
 def test_history(spark, root):
     trends = archive.trends(spark, root)
-    got = archive.keyword_history(trends, " BitCoin ").collect()
+    got = archive.keyword_history(trends, " HarBor ").collect()
     assert [(r["fetched_at"].hour, r["rank"], r["volume_min"]) for r in got] == [(9, 1, 10), (10, 1, 10)]
     assert archive.keyword_history(trends, "nothing").count() == 0
     with pytest.raises(ValueError):
@@ -155,7 +206,7 @@ def test_history(spark, root):
 def test_history_folds_ascii_only_and_keeps_repeats(spark, tmp_path):
     at = str(tmp_path / "fold")
     archive.create(spark, at)
-    archive.append(spark, at, envelopes(spark, [("rss", "FR", datetime(2026, 8, 5), ["École", "école", "ECOLE", "Ecole"])]))
+    archive.append(spark, at, envelopes(spark, [("rss", "FR", datetime(2031, 3, 14), ["École", "école", "ECOLE", "Ecole"])]))
     trends = archive.trends(spark, at)
     assert [r["rank"] for r in archive.keyword_history(trends, "école").collect()] == [2]
     assert [r["rank"] for r in archive.keyword_history(trends, "ecole").collect()] == [3, 4]
@@ -163,8 +214,8 @@ def test_history_folds_ascii_only_and_keeps_repeats(spark, tmp_path):
 
 def test_compact_history(spark, root):
     head, trends = archive.snapshots(spark, root), archive.trends(spark, root)
-    entries, line = archive.compact_history(head, trends, geo="US", keyword="bitcoin", limit=1)
-    assert [(r["fetched_at"].hour, r["keyword"]) for r in entries.collect()] == [(10, "bitcoin")]
+    entries, line = archive.compact_history(head, trends, geo="US", keyword="harbor", limit=1)
+    assert [(r["fetched_at"].hour, r["keyword"]) for r in entries.collect()] == [(10, "harbor")]
     assert hours(line) == [9, 10]
     assert archive.compact_history(head, trends)[1] is None
     for limit in (0, 101):
@@ -175,24 +226,24 @@ def test_compact_history(spark, root):
 def test_stats(spark, root):
     stats = archive.archive_stats(archive.snapshots(spark, root), archive.trends(spark, root)).first()
     assert stats.asDict() == {
-        "snapshot_count": 4, "trend_row_count": 5, "geos": ["GB", "US"], "sources": ["csv", "rss"],
-        "first_fetched_at": datetime(2026, 8, 5, 9), "last_fetched_at": datetime(2026, 8, 5, 11), "answer_count": 0,
+        "snapshot_count": 4, "trend_row_count": 5, "geos": ["PT", "US"], "sources": ["csv", "rss"],
+        "first_fetched_at": datetime(2031, 3, 14, 9), "last_fetched_at": datetime(2031, 3, 14, 11), "answer_count": 0,
     }
 
 
 def test_prune_is_strict_and_takes_trends_along(spark, root):
-    assert archive.prune_counts(archive.snapshots(spark, root), datetime(2026, 8, 5, 10)).first()["deleted"] == 2
-    assert archive.prune(spark, root, datetime(2026, 8, 5, 10)) == 2
+    assert archive.prune_counts(archive.snapshots(spark, root), datetime(2031, 3, 14, 10)).first()["deleted"] == 2
+    assert archive.prune(spark, root, datetime(2031, 3, 14, 10)) == 2
     assert rows(archive.snapshots(spark, root).select(F.hour("fetched_at"))) == [(10,), (11,)]
-    assert rows(archive.trends(spark, root).select("keyword")) == [("bitcoin",), ("solar eclipse",)]
-    assert archive.prune(spark, root, datetime(2026, 8, 5, 10)) == 0
+    assert rows(archive.trends(spark, root).select("keyword")) == [("harbor",), ("night train",)]
+    assert archive.prune(spark, root, datetime(2031, 3, 14, 10)) == 0
 
 
 def test_prune_by_geo_and_source(spark, root):
-    assert archive.prune(spark, root, "2027-01-01", geo="GB") == 1
-    assert archive.prune(spark, root, "2027-01-01", source="csv") == 0
+    assert archive.prune(spark, root, "2032-01-01", geo="PT") == 1
+    assert archive.prune(spark, root, "2032-01-01", source="csv") == 0
     assert archive.snapshots(spark, root).count() == 3
-    assert archive.prune(spark, root, "2027-01-01", source="rss") == 3
+    assert archive.prune(spark, root, "2032-01-01", source="rss") == 3
     assert archive.trends(spark, root).count() == archive.snapshots(spark, root).count() == 0
 
 
@@ -201,9 +252,19 @@ def test_layout_guard(spark, root):
     assert archive.guard_layout(head).count() == 4 and archive.incompatible_layout(head).count() == 0
     assert archive.incompatible_layout(head, 2).first()["snapshot_count"] == 4
     with pytest.raises(Exception, match="unsupported archive layout 1"):
-        archive.guard_layout(head, 2).collect()
+        archive.guard_layout(head, 2).select("geo").collect()
+
+
+@pytest.mark.parametrize("table", ["trends", "snapshots"])
+def test_readers_refuse_other_layouts(spark, root, table):
+    other = archive.stored(spark, root, table).limit(1).withColumn("layout_version", F.lit(99))
+    other.write.mode("append").partitionBy("source", "fetched_date").parquet(f"{root}/{table}")
+    reader = {"trends": archive.trends, "snapshots": archive.snapshots}[table]
+    with pytest.raises(Exception, match="unsupported archive layout 99"):
+        reader(spark, root).select("geo").collect()
+    assert archive.incompatible_layout(archive.stored(spark, root, table)).first()["snapshot_count"] == 1
 
 
 def test_movement(spark, root):
-    got = archive.keyword_movement(archive.trends(spark, root), "US").where("keyword = 'bitcoin'").orderBy("fetched_at").collect()
+    got = archive.keyword_movement(archive.trends(spark, root), "US").where("keyword = 'harbor'").orderBy("fetched_at").collect()
     assert [(r["first_seen_at"].hour, r["prev_rank"], r["moved_up"]) for r in got] == [(9, None, None), (9, 1, 0)]

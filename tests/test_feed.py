@@ -92,10 +92,12 @@ def test_envelopes_agree_with_rows(landing):
     assert payload["count"] == 4 and [t["rank"] for t in payload["trends"]] == [1, 2, 3, 4]
 
 
-def test_long_snapshots_continue_in_parts(landing):
+def test_headers_keep_empty_snapshots(landing):
     trends = normalize.normalize_feed(feed.read_feeds(landing))
-    parts = envelopes.snapshot_envelopes(trends, part_rows=3).orderBy("part").collect()
-    assert [(p["part"], p["count"], [t["rank"] for t in p["trends"]]) for p in parts] == [(0, 3, [1, 2, 3]), (1, 1, [4])]
+    headers = feed.feed_envelopes(landing).select("source", "geo", "fetched_at")
+    assert rows(envelopes.snapshot_envelopes(trends, headers).select("geo", "count")) == [("DE", 0), ("US", 4)]
+    plain = envelopes.plain_envelopes(feed.read_feeds(landing), headers)
+    assert rows(plain.select("geo", "count")) == [("DE", 0), ("US", 4)]
 
 
 def test_plain_envelope(landing):

@@ -17,11 +17,11 @@ REQUEST = (
 )
 
 
-def answer(name, ago, related=False, geo=False, keywords=("bitcoin",), timeframe="today 12-m", kind="explore"):
+def answer(name, ago, related=False, geo=False, keywords=("kayak",), timeframe="today 12-m", kind="explore"):
     return (name, kind, list(keywords), "US", timeframe, 0, "", related, geo, NOW - timedelta(seconds=ago))
 
 
-def request(name="r", related=False, geo=False, ttl=None, keywords=("Bitcoin",), timeframe="today 12-m", kind="explore"):
+def request(name="r", related=False, geo=False, ttl=None, keywords=("Kayak",), timeframe="today 12-m", kind="explore"):
     return (name, kind, list(keywords), "US", timeframe, 0, "", related, geo, NOW, ttl)
 
 
@@ -102,3 +102,15 @@ def test_retention_is_thirty_days_and_one_per_key(spark):
     )
     kept = reuse.compact_answers(answers, F.lit(NOW))
     assert rows(kept.select("answer_id")) == [("b",), ("c",), ("edge",)] and kept.columns == answers.columns
+
+
+def test_every_request_comes_back(spark):
+    made = [answer("w", 5, geo=True), answer("c", 5, geo=True, kind="comparison", keywords=("a", "b"))]
+    nowhere = (*request("nogeo")[:3], None, *request()[4:])
+    never = (*request("nevertime")[:9], None, None)
+    got = served(spark, made, request("plain"), request("pair", kind="comparison", keywords=("A", "B")),
+                 request("same", kind="comparison", keywords=("a", "b"), geo=True), request("turned", kind="comparison", keywords=("b", "a"), geo=True),
+                 nowhere, never)
+    assert {k: v["answer_id"] for k, v in got.items()} == {
+        "plain": "w", "pair": None, "same": "c", "turned": None, "nogeo": None, "nevertime": None,
+    }

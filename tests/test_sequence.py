@@ -47,3 +47,11 @@ def test_last_known_equals_brute_force(spark, bucket):
                 state[k, "odd"] = v
         want[i] = (state.get((k, "seen")), state.get((k, "odd")))
     assert {r["i"]: (r["seen"], r["odd"]) for r in found.collect()} == want
+
+
+def test_null_keys_and_times_stay(spark):
+    rows = [(None, START, 1), (None, START + timedelta(days=3), 2), ("a", None, 3), ("a", START, 4)]
+    got = neighbours(spark.createDataFrame(rows, "k STRING, t TIMESTAMP, v INT"), ["k"], "t", carry=["v"]).collect()
+    assert {(r["v"], r["prev_at"], r["first_at"]) for r in got} == {
+        (1, None, START), (2, START, START), (3, None, START), (4, None, START),
+    }

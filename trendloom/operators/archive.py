@@ -1,9 +1,9 @@
 """Append-only history of snapshots: two partitioned Parquet tables.
 
-``snapshots`` holds header and payload text per (source, geo, fetched_at) - a
-very long snapshot continues in further ``part`` rows - and ``trends`` holds the
-narrow keyword rows.  Both are partitioned by
-``source`` and ``fetched_date``, so filters on source and time prune files, and
+``snapshots`` holds header and payload text per (source, geo, fetched_at), and
+``trends`` holds the narrow keyword rows.  Both are partitioned by ``source``
+and ``fetched_date`` (the UTC day, whatever the session's time zone), so filters
+on source and time prune files, and
 ``trends`` files are sorted by ``keyword_key`` so a keyword look-up skips row
 groups by their min/max.
 """
@@ -21,12 +21,12 @@ from ..schemas import LAYOUT_VERSION, SNAPSHOT_KEY, TRENDING_SOURCES
 from .sequence import neighbours
 
 SNAPSHOTS = (
-    "source STRING, geo STRING, fetched_at TIMESTAMP, part INT, schema_version STRING, trend_count INT,"
+    "source STRING, geo STRING, fetched_at TIMESTAMP, schema_version STRING, trend_count INT,"
     " payload_json STRING, layout_version INT, fetched_date DATE"
 )
 TRENDS = (
     "source STRING, geo STRING, fetched_at TIMESTAMP, keyword STRING, keyword_key STRING, rank INT,"
-    " volume_text STRING, volume_min BIGINT, fetched_date DATE"
+    " volume_text STRING, volume_min BIGINT, layout_version INT, fetched_date DATE"
 )
 _PARTITIONS = ["source", "fetched_date"]
 
@@ -42,18 +42,24 @@ def create(spark: SparkSession, root: str) -> None:
         empty.write.mode("append").partitionBy(*_PARTITIONS).parquet(_path(root, table))
 
 
-def payloads(spark: SparkSession, root: str) -> DataFrame:
-    """All payload parts."""
-    return spark.read.schema(SNAPSHOTS).parquet(_path(root, "snapshots"))
+def utc_day(instant: Column) -> Column:
+    """The UTC day of an instant; ``to_date`` would give the day in the session's zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(instant) / 86_400_000_000).cast("int"))
+
+
+def stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All stored rows of ``snapshots`` or ``trends``, whatever their layout."""
+    return spark.read.schema({"snapshots": SNAPSHOTS, "trends": TRENDS}[table]).parquet(_path(root, table))
 
 
 def snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """One row per snapshot."""
-    return payloads(spark, root).where(F.col("part") == 0).drop("part")
+    """One row per snapshot; fails on rows of another layout."""
+    return guard_layout(stored(spark, root, "snapshots"))
 
 
 def trends(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(TRENDS).parquet(_path(root, "trends"))
+    """One row per keyword of a snapshot; fails on rows of another layout."""
+    return guard_layout(stored(spark, root, "trends"))
 
 
 # --- building -----------------------------------------------------------------
@@ -97,16 +103,23 @@ def keyword_rows(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(*SNAPSHOT_KEY, F.inline(entries))
 
 
+def incomplete(envelopes: DataFrame) -> DataFrame:
+    """Envelopes that cannot be stored, with a ``reason``: a part of their key is NULL."""
+    reason = F.concat_ws(", ", *[F.when(F.col(k).isNull(), F.lit(f"no {k}")) for k in SNAPSHOT_KEY])
+    return envelopes.withColumn("reason", reason).where(F.col("reason") != "")
+
+
 def _one_per_key(envelopes: DataFrame) -> DataFrame:
-    """One envelope part per key; of differing duplicates the choice is fixed.
+    """One envelope per key; of differing duplicates the choice is fixed.
 
     The aggregate combines before the shuffle, so a key that fills a third of
     the batch still sends one row per task.
     """
-    key = [*SNAPSHOT_KEY, "part"] if "part" in envelopes.columns else list(SNAPSHOT_KEY)
+    key = list(SNAPSHOT_KEY)
     rest = [c for c in envelopes.columns if c not in key]
     return (
-        envelopes.groupBy(*key)
+        envelopes.dropna(subset=key)
+        .groupBy(*key)
         .agg(F.min_by(F.struct(*rest), F.struct(F.xxhash64("payload_json"), "payload_json")).alias("_kept"))
         .select(*key, "_kept.*")
     )
@@ -117,11 +130,12 @@ def _missing(rows: DataFrame, existing: DataFrame) -> DataFrame:
 
     Only the stored partitions of the batch's own dates are read: the list of
     distinct dates is bounded by the calendar, which makes its broadcast safe
-    and lets Spark prune the partitions from it at run time.
+    and lets Spark prune the partitions from it at run time.  Stored keys are
+    made distinct before the shuffle.
     """
     dates = rows.select("source", "fetched_date").distinct()
-    stored = existing.join(F.broadcast(dates), ["source", "fetched_date"], "left_semi")
-    return rows.join(stored.select(*SNAPSHOT_KEY), SNAPSHOT_KEY, "left_anti")
+    near = existing.join(F.broadcast(dates), ["source", "fetched_date"], "left_semi")
+    return rows.join(near.select(*SNAPSHOT_KEY).distinct(), SNAPSHOT_KEY, "left_anti")
 
 
 def _write(rows: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
@@ -136,19 +150,21 @@ def append(spark: SparkSession, root: str, envelopes: DataFrame) -> None:
     """Append envelopes; a key that is stored already is left alone.
 
     ``envelopes`` need ``source, geo, fetched_at, schema_version, payload_json``
-    and the columns of :func:`keyword_rows`.  Each table is checked against its
-    own keys and the headers come last, so a run that was cut short is finished
-    by running it again.  The batch is staged once: both tables, their date
-    lists and the part totals then read the same narrow columns from there
-    instead of running the ingest again.
+    and the columns of :func:`keyword_rows`; those with an :func:`incomplete` key
+    are left out.  Each table is checked against its own keys and the headers
+    come last, so a run that was cut short is finished by running it again.
+    The batch is staged once: both tables and their date lists then read the
+    same narrow columns from there instead of running the ingest again.  One
+    append at a time: two that run together may store the same key twice.
     """
     staging = f"{_path(root, '_staging')}/append-{uuid.uuid4().hex[:12]}"
     _one_per_key(envelopes).write.parquet(staging)
     batch = spark.read.schema(envelopes.schema).parquet(staging)
-    date = F.to_date("fetched_at")
+    date = utc_day(F.col("fetched_at"))
     rows = (
         keyword_rows(batch)
         .withColumn("keyword_key", fold_ascii(F.col("keyword")))
+        .withColumn("layout_version", F.lit(LAYOUT_VERSION))
         .withColumn("fetched_date", date)
     )
     _write(_missing(rows, trends(spark, root)), _path(root, "trends"), sort=["keyword_key"])
@@ -158,21 +174,15 @@ def append(spark: SparkSession, root: str, envelopes: DataFrame) -> None:
     if "keyword" in batch.columns:
         counts.append(F.when(F.col("keyword").isNotNull(), 1))
     batch = batch.withColumn("trend_count", F.coalesce(*counts, F.lit(0)))
-    if "part" in batch.columns:
-        totals = batch.groupBy(*SNAPSHOT_KEY).agg(F.sum("trend_count").alias("trend_count"))
-        batch = batch.drop("trend_count").join(totals, SNAPSHOT_KEY)
-    else:
-        batch = batch.withColumn("part", F.lit(0))
     headers = batch.select(
         *SNAPSHOT_KEY,
-        "part",
         F.col("schema_version").cast("string"),
         F.col("trend_count").cast("int"),
         "payload_json",
         F.lit(LAYOUT_VERSION).alias("layout_version"),
         date.alias("fetched_date"),
     )
-    _write(_missing(headers, payloads(spark, root)), _path(root, "snapshots"))
+    _write(_missing(headers, snapshots(spark, root)), _path(root, "snapshots"))
     _delete(spark, staging)
 
 
@@ -206,7 +216,7 @@ def matching(
         instant = as_instant(bound)
         rows = rows.where(F.col("fetched_at") >= instant if lower else F.col("fetched_at") <= instant)
         if dated:
-            day = F.to_date(instant)
+            day = utc_day(instant)
             rows = rows.where(F.col("fetched_date") >= day if lower else F.col("fetched_date") <= day)
     return rows
 
@@ -344,11 +354,15 @@ def incompatible_layout(headers: DataFrame, supported: int = LAYOUT_VERSION) ->
     )
 
 
-def guard_layout(headers: DataFrame, supported: int = LAYOUT_VERSION) -> DataFrame:
-    """``headers`` unchanged; the job fails on the first row of another layout."""
+def guard_layout(rows: DataFrame, supported: int = LAYOUT_VERSION) -> DataFrame:
+    """``rows`` unchanged; the job fails on the first row of another layout.
+
+    The check is a filter, so it runs whatever columns are asked for.
+    """
     ok = F.col("layout_version").eqNullSafe(F.lit(supported))
-    message = F.concat(F.lit("unsupported archive layout "), F.col("layout_version").cast("string"))
-    return headers.withColumn("layout_version", F.when(ok, F.col("layout_version")).otherwise(F.raise_error(message)))
+    found = F.coalesce(F.col("layout_version").cast("string"), F.lit("NULL"))
+    refused = F.raise_error(F.concat(F.lit("unsupported archive layout "), found)).cast("boolean")
+    return rows.where(F.when(ok, True).otherwise(refused))
 
 
 # --- pruning ------------------------------------------------------------------
@@ -384,10 +398,12 @@ def prune(spark: SparkSession, root: str, before, geo: str | None = None, source
     Returns the number of deleted snapshots.
     """
     deleted = prune_counts(snapshots(spark, root), before, geo, source).first()["deleted"]
-    last_day = F.to_date(as_instant(before))
+    last_day = utc_day(as_instant(before))
+    run = uuid.uuid4().hex[:12]
     for table, schema in (("trends", TRENDS), ("snapshots", SNAPSHOTS)):
         path = _path(root, table)
-        touched = spark.read.schema(schema).parquet(path).where(F.col("fetched_date") <= last_day)
+        reader = {"trends": trends, "snapshots": snapshots}[table]
+        touched = reader(spark, root).where(F.col("fetched_date") <= last_day)
         if source is not None:
             touched = touched.where(F.col("source") == source)
         # partitions of interest: one row per (source, date) with losses
@@ -401,7 +417,7 @@ def prune(spark: SparkSession, root: str, before, geo: str | None = None, source
             keep = spark.createDataFrame(
                 [(p["source"], p["fetched_date"]) for p in partial], "source STRING, fetched_date DATE"
             )
-            staging = f"{root.rstrip('/')}/_staging/{table}"
+            staging = f"{_path(root, '_staging')}/prune-{run}/{table}"
             survivors = touched.join(F.broadcast(keep), _PARTITIONS, "left_semi").where(~gone)
             _write_staged(survivors, staging)
             (
@@ -415,6 +431,7 @@ def prune(spark: SparkSession, root: str, before, geo: str | None = None, source
         for p in plan:
             if p["left"] == 0:
                 _delete(spark, f"{path}/source={p['source']}/fetched_date={p['fetched_date']}")
+    _delete(spark, f"{_path(root, '_staging')}/prune-{run}")
     return deleted
 
 

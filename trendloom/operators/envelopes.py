@@ -3,50 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import SNAPSHOT_KEY, TREND_FIELDS, TREND_SCHEMA_VERSION
 
-#: Trends per envelope row.  Ranks are unique in a snapshot, so a group never
-#: holds more rows than this however long the snapshot is.
-PART_ROWS = 1000
-
 
 def assemble(
     trends: DataFrame,
     fields: Sequence[str] = tuple(TREND_FIELDS),
     key: Sequence[str] = tuple(SNAPSHOT_KEY),
-    part_rows: int = PART_ROWS,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
-    """``key..., part, count, trends[]`` in rank order.
+    """``key..., count, trends[]``: each snapshot whole, in rank order, trends without rank last.
 
-    Snapshots of usual length (20 or 480 trends) are one row with ``part`` 0;
-    a longer one continues in further parts.
+    ``headers`` names all snapshots by ``key``, so that those without any trend
+    get an envelope with count 0.  A snapshot is one payload by nature; its
+    size is that of the document it came from.
     """
-    part = F.floor((F.col("rank") - 1) / part_rows).cast("int")
     # rank leads the sorted struct; the nested row keeps the order of ``fields``
-    entry = F.struct(F.col("rank").alias("_rank"), F.struct(*fields).alias("trend"))
+    entry = F.struct(F.coalesce("rank", F.lit(2**31 - 1)).alias("_rank"), F.struct(*fields).alias("trend"))
     ordered = F.array_sort(
         F.collect_list(entry),
         lambda a, b: F.when(a["_rank"] < b["_rank"], -1).when(a["_rank"] > b["_rank"], 1).otherwise(0),
     )
-    return (
-        trends.groupBy(*key, part.alias("part"))
-        .agg(ordered.alias("entries"))
-        .select(
-            *key,
-            "part",
-            F.size("entries").alias("count"),
-            F.transform("entries", lambda e: e["trend"]).alias("trends"),
+    packed = trends.groupBy(*key).agg(F.transform(ordered, lambda e: e["trend"]).alias("trends"))
+    if headers is not None:
+        named = headers.select(*[F.col(k).alias(f"_of_{k}") for k in key]).distinct()
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in key])
+        packed = named.join(packed, same, "full_outer").select(
+            *[F.coalesce(k, f"_of_{k}").alias(k) for k in key],
+            F.coalesce("trends", F.array().cast(packed.schema["trends"].dataType)).alias("trends"),
         )
-    )
+    return packed.select(*key, F.size("trends").alias("count"), "trends")
 
 
-def snapshot_envelopes(trends: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+def snapshot_envelopes(trends: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """Normalized envelopes with their schema version and payload text."""
     return (
-        assemble(trends, part_rows=part_rows)
+        assemble(trends, headers=headers)
         .withColumn("schema_version", F.lit(TREND_SCHEMA_VERSION))
         .withColumn(
             "payload_json",
@@ -55,7 +52,7 @@ def snapshot_envelopes(trends: DataFrame, part_rows: int = PART_ROWS) -> DataFra
     )
 
 
-def plain_envelopes(raw: DataFrame) -> DataFrame:
+def plain_envelopes(raw: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """``geo, fetched_at, count, trends[]`` around raw rows of either path."""
     fields = [f"`{c}`" for c in raw.columns if c not in ("geo", "fetched_at", "hours", "category", "source")]
-    return assemble(raw, fields=fields, key=["geo", "fetched_at"])
+    return assemble(raw, fields=fields, key=["geo", "fetched_at"], headers=headers)

@@ -89,8 +89,10 @@ def match_answers(requests: DataFrame, answers: DataFrame, bucket: str = "hour")
     def candidate(name: str) -> Column:
         related, geo = _WIDGETS[name]
         fresh = F.unix_micros(F.col(name)["stored_at"]) >= oldest
-        covers = (F.lit(related) | ~F.col("want_related")) & (F.lit(geo) | ~F.col("want_geo"))
         exact = (F.col("want_related") == related) & (F.col("want_geo") == geo)
+        wider = (F.lit(related) | ~F.col("want_related")) & (F.lit(geo) | ~F.col("want_geo"))
+        # a stored comparison serves the same request only
+        covers = exact | (wider & (F.col("kind") == "explore"))
         return F.when(
             covers & fresh,
             F.struct(

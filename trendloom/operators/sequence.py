@@ -9,19 +9,29 @@ over a whole key sees those summaries: as many rows as the key has buckets.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _BUCKET = "_bucket"
 
 
+def _join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with their key's summary; NULL keys and NULL times are keys like any other."""
+    renamed = summary.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [rows[k].eqNullSafe(renamed[f"_of_{k}"]) for k in keys]
+    return rows.join(renamed, reduce(and_, same)).drop(*[f"_of_{k}" for k in keys])
+
+
 def neighbours(
     rows: DataFrame, keys: Sequence[str], ts: str, bucket: str = "day", carry: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``prev_at``, ``next_at`` and ``first_at``: times of the same key.
 
     For each column in ``carry``, ``prev_<column>`` is its value in the previous
-    row.  ``ts`` must be unique within a key.
+    row.  ``ts`` must be unique within a key.  Rows with a NULL in the key belong
+    together; rows without time come before all others.
     """
     marked = rows.withColumn(_BUCKET, F.date_trunc(bucket, ts))
     over_buckets = Window.partitionBy(*keys).orderBy(_BUCKET)
@@ -34,27 +44,24 @@ def neighbours(
             _BUCKET,
             F.lag("_hi").over(over_buckets).alias("_before"),
             F.lead("_lo").over(over_buckets).alias("_after"),
-            F.first("_lo").over(whole_key).alias("first_at"),
+            F.min("_lo").over(whole_key).alias("first_at"),
             *[F.lag(f"_end_{c}").over(over_buckets).alias(f"_in_{c}") for c in carry],
         )
     )
     inside = Window.partitionBy(*keys, _BUCKET).orderBy(ts)
-    return (
-        marked.select(
-            "*",
-            F.lag(ts).over(inside).alias("_prev"),
-            F.lead(ts).over(inside).alias("_next"),
-            *[F.lag(c).over(inside).alias(f"_own_{c}") for c in carry],
-        )
-        .join(borders, [*keys, _BUCKET])
-        .select(
-            *rows.columns,
-            F.coalesce("_prev", "_before").alias("prev_at"),
-            F.coalesce("_next", "_after").alias("next_at"),
-            "first_at",
-            # the first row of a bucket has no row before it there
-            *[F.when(F.col("_prev").isNull(), F.col(f"_in_{c}")).otherwise(F.col(f"_own_{c}")).alias(f"prev_{c}") for c in carry],
-        )
+    stepped = marked.select(
+        "*",
+        F.lag(ts).over(inside).alias("_prev"),
+        F.lead(ts).over(inside).alias("_next"),
+        *[F.lag(c).over(inside).alias(f"_own_{c}") for c in carry],
+    )
+    return _join_summary(stepped, borders, [*keys, _BUCKET]).select(
+        *rows.columns,
+        F.coalesce("_prev", "_before").alias("prev_at"),
+        F.coalesce("_next", "_after").alias("next_at"),
+        "first_at",
+        # the first row of a bucket has no row before it there
+        *[F.when(F.col("_prev").isNull(), F.col(f"_in_{c}")).otherwise(F.col(f"_own_{c}")).alias(f"prev_{c}") for c in carry],
     )
 
 
@@ -93,10 +100,7 @@ def last_known(
     inside = (
         Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        marked.select(
-            "*", *[F.last(f"_set_{n}", ignorenulls=True).over(inside).alias(f"_own_{n}") for n in values]
-        )
-        .join(carried, [*keys, _BUCKET])
-        .select(*rows.columns, *[F.coalesce(f"_own_{n}", f"_in_{n}").alias(n) for n in values])
+    own = marked.select("*", *[F.last(f"_set_{n}", ignorenulls=True).over(inside).alias(f"_own_{n}") for n in values])
+    return _join_summary(own, carried, [*keys, _BUCKET]).select(
+        *rows.columns, *[F.coalesce(f"_own_{n}", f"_in_{n}").alias(n) for n in values]
     )
