@@ -7,9 +7,9 @@ neighbouring bands are merged, and a merged span is verified by the share of the
 template's runs that it holds in order.  Besides, base phrases are found wherever
 their words stand next to each other.
 
-The templates are a table of the caller (or ``TEMPLATES``); their runs are the small side
-of the join, which Spark broadcasts if its own size check allows.  Texts are never
-shuffled: only hits are.
+The templates are a table of the caller (or ``TEMPLATES``).  Their runs are counted: up to
+``MAX_RUNS`` they are broadcast and only hits are shuffled, beyond that the runs of the
+texts are shuffled to them.
 
 Defined results: null and empty texts have no words, no labels and score 0; rows that
 share a ``doc_id`` are judged one by one; other columns are ignored.
@@ -25,6 +25,8 @@ K = 5
 #: Diagonals that differ by less than this many words count as one (words put in or left out).
 BAND = 8
 MIN_SCORE = 0.4
+#: Template runs (of under 100 bytes each) that may be broadcast.
+MAX_RUNS = 100_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Phrases with their labels.
@@ -122,6 +124,8 @@ def spans(docs: DataFrame, templates: DataFrame) -> DataFrame:
         .select("template", "label", (F.size("words") - K + 1).alias("t_runs"),
                 F.posexplode(_runs(F.col("words"))).alias("t_at", "run"))
     )
+    own = materialize(docs.sparkSession, own, "templates")
+    own = F.broadcast(own) if own.count() <= MAX_RUNS else own.hint("merge")
     hits = (
         docs.select("row", F.split(F.trim("spaced"), " ").alias("words"))
         .select("row", F.posexplode(_runs(F.col("words"))).alias("at", "run"))
