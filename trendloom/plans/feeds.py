@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators import envelopes, normalize, quality, reports
 from ..session import materialize, shared_folder
@@ -34,9 +34,9 @@ def _tag(name: str, text: Column) -> Column:
 
 
 def _articles(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as news articles: outlet, first line as headline."""
+    """Documents as news articles: outlet, the whole text in one line as headline."""
     docs = table(spark, d, "documents")
-    headline = F.concat(_mapped(F.col("lang"), OPENERS, F.lit("")), F.substring_index("text", "\n", 1))
+    headline = F.concat(_mapped(F.col("lang"), OPENERS, F.lit("")), F.replace("text", F.lit("\n"), F.lit(" ")))
     return docs.select(
         "doc_id",
         headline.alias("headline"),
@@ -59,21 +59,20 @@ def landing(spark: SparkSession, d: str) -> DataFrame:
 def rendered(spark: SparkSession, d: str) -> DataFrame:
     """One feed document per region and month.
 
-    Rank 18 has no picture, 19 no volume, 20 a date in another form.  A trend
-    of rank r has up to r - 1 articles, seven at most.  The documents of one month are cut
-    off and must end in quarantine.
+    Rank 18 has no picture, 19 no volume, 20 a date in another form.  Every
+    document is an article of one trend: they are dealt out by their id.  The
+    documents of one month are cut off and must end in quarantine.
     """
-    geo_no = table(spark, d, "region").select(F.col("r_name").alias("geo"), F.col("r_regionkey").alias("geo_no"))
-    month_no = (F.year("fetched_at") - 1995) * 12 + F.month("fetched_at") - 1
-    trends = landed_snap(spark, d)[0].join(geo_no, "geo").withColumn(
-        "first_doc", (month_no * 100 + F.col("geo_no") * 20 + F.col("rank") - 1).cast("bigint")
-    )
-    places = F.slice(F.sequence(F.lit(0), F.lit(6)), F.lit(1), F.col("rank") - 1)
-    wanted = trends.select("geo", "fetched_at", "rank", F.explode(places).alias("nth"), "first_doc").withColumn(
-        "doc_id", F.col("first_doc") + F.col("nth")
-    )
+    trends, headers = landed_snap(spark, d)
+    # one row per snapshot here; the trends themselves are numbered without any order of their own
+    before = Window.orderBy("geo", "fetched_at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = headers.select("geo", "fetched_at", F.coalesce(F.sum("trend_count").over(before), F.lit(0)).alias("offset"))
+    trends = trends.join(offsets, ["geo", "fetched_at"]).withColumn("number", F.col("offset") + F.col("rank") - 1)
+    total = headers.agg(F.sum("trend_count").cast("bigint")).scalar()
+    dealt = _articles(spark, d).withColumns({"number": F.pmod(F.col("doc_id") * 7919, total), "nth": F.col("doc_id")})
+    wanted = trends.select("geo", "fetched_at", "rank", "number")
     news = (
-        wanted.join(_articles(spark, d), "doc_id")
+        wanted.join(dealt, "number")
         .select(
             "geo", "fetched_at", "rank", "nth",
             F.concat(
@@ -84,7 +83,7 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
                 F.lit("</ht:news_item>"),
             ).alias("item"),
         )
-        .groupBy("geo", "fetched_at", "rank")  # at most seven articles per trend
+        .groupBy("geo", "fetched_at", "rank")  # the articles of one feed item
         .agg(F.array_sort(F.collect_list(F.struct("nth", "item"))).alias("items"))
         .select("geo", "fetched_at", "rank", F.array_join(F.transform("items", lambda i: i["item"]), "").alias("news"))
     )
@@ -191,6 +190,15 @@ def feed_quality(spark: SparkSession, d: str) -> DataFrame:
     return flat(quality.feed_quality(feed.read_feeds(landing(spark, d))))
 
 
+def article_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Articles per region without a limit: every document of a readable feed, once and whole."""
+    raw = feed.read_feeds(landing(spark, d), max_articles=2**31 - 1)
+    each = raw.select("geo", F.explode("news_articles").alias("a"))
+    return each.groupBy("geo").agg(
+        F.count("*").alias("articles"), F.countDistinct("a.url").alias("documents"), F.sum(F.length("a.headline")).alias("characters")
+    )
+
+
 def traffic_distribution(spark: SparkSession, d: str) -> DataFrame:
     return reports.traffic_distribution(feed.read_feeds(landing(spark, d)))
 
@@ -242,6 +250,7 @@ QUERIES = {
     "feed_slim": feed_slim,
     "feed_plain_envelopes": feed_plain_envelopes,
     "feed_quality": feed_quality,
+    "article_coverage": article_coverage,
     "traffic_distribution": traffic_distribution,
     "coverage_report": coverage_report,
     "high_traffic": high_traffic,
@@ -256,18 +265,18 @@ _FEED_SQL = (
     + f""",
 articles AS (
   SELECT doc_id, CASE lang WHEN 'de' THEN 'Breaking: ' WHEN 'fr' THEN 'Update: ' ELSE '' END
-                 || split_part(text, chr(10), 1) AS headline,
+                 || replace(text, chr(10), ' ') AS headline,
          'https://news.example/' || doc_id AS url,
          CASE source WHEN 'src0' THEN 'CNN' WHEN 'src1' THEN 'BBC' WHEN 'src2' THEN 'Reuters' ELSE source END AS outlet
   FROM documents
 ),
-numbered AS (
-  SELECT *, ((year(fetched_at) - 1995) * 12 + month(fetched_at) - 1) * 100 + geo_no * 20 + rank - 1 AS first_doc
-  FROM trend_snap WHERE fetched_at <> TIMESTAMP '{BROKEN_MONTH}'
+dealt AS (
+  SELECT *, row_number() OVER (ORDER BY geo, fetched_at, rank) - 1 AS number, count(*) OVER () AS total FROM trend_snap
 ),
+numbered AS (SELECT * FROM dealt WHERE fetched_at <> TIMESTAMP '{BROKEN_MONTH}'),
 news AS (
-  SELECT geo, fetched_at, rank, doc_id - first_doc + 1 AS nth, nullif(headline, '') AS headline, url, outlet
-  FROM numbered JOIN articles ON doc_id >= first_doc AND doc_id < first_doc + least(rank - 1, 7)
+  SELECT geo, fetched_at, rank, doc_id AS nth, nullif(headline, '') AS headline, url, outlet
+  FROM numbered JOIN articles ON doc_id * 7919 % total = number
 ),
 ordered_news AS (
   SELECT *, row_number() OVER (PARTITION BY geo, fetched_at, rank ORDER BY nth) AS place FROM news
@@ -346,6 +355,11 @@ SELECT geo, fetched_at, count(*) AS row_count, count(*) FILTER (traffic_min > 0)
        count(published) AS dates_ok,
        count(*) FILTER (traffic_min > 0) * 10 >= count(*) * 9 AND count(published) = count(*) AS passes
 FROM raw_feed GROUP BY geo, fetched_at"""
+    ),
+    "article_coverage": _feed(
+        """
+SELECT geo, count(*) AS articles, count(DISTINCT url) AS documents, CAST(sum(length(headline)) AS BIGINT) AS characters
+FROM news GROUP BY geo"""
     ),
     "traffic_distribution": _feed("SELECT traffic, count(*) AS trend_count FROM raw_feed GROUP BY traffic"),
     "coverage_report": _feed(
