@@ -37,6 +37,7 @@ from . import cells
 LENGTH = 50
 GRAM = 12
 SPAN = LENGTH - GRAM + 1
+CELL_BYTES = 1 << 20
 BUCKET_BYTES = 3 << 20
 RANGES = 1024
 SAMPLE_CELLS = 256
@@ -57,7 +58,7 @@ def _pack(batches):
     for batch in batches:
         ids = batch.column("doc_id").fill_null(LAST).to_numpy(zero_copy_only=False)
         null = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-        for t in cells.texts_of(batch.column("text"), cells.CHUNK // 2):
+        for t in cells.texts_of(batch.column("text"), CELL_BYTES):
             own = slice(t.lo, t.lo + t.n)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -92,9 +93,10 @@ class Cell:
             least = np.minimum(least[:-step], least[step:])
             width += step
         anchor = (least & np.uint64((1 << 30) - 1)).astype(np.int64)
+        del key, least
         # Windows that lie within one document.
-        text = np.repeat(np.arange(len(self.ids)), np.maximum(np.diff(self.at) - LENGTH + 1, 0))
         room = np.maximum(np.diff(self.at) - LENGTH + 1, 0)
+        text = np.repeat(np.arange(len(self.ids)), room)
         window = np.arange(len(text)) - np.repeat(np.cumsum(room) - room, room) + self.at[text]
         anchor = anchor[window]
         new = np.ones(len(window), bool)
@@ -160,6 +162,22 @@ def _send(splitters: np.ndarray, parts: int):
 _SENT = pa.schema([("bucket", pa.int64()), ("cell", pa.int64()), *[(c, pa.binary()) for c in ("numbers", "lows", "sizes", "data")]])
 
 
+def _window_codes(data: np.ndarray, size: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Content codes of all windows of all blocks, some MB of blocks at a time."""
+    at, out = np.concatenate([[0], np.cumsum(size)]), []
+    lo = 0
+    while lo < len(size):
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + CELL_BYTES, "right")) - 1)
+        part, n = data[at[lo] : at[hi]], count[lo:hi]
+        start = np.repeat(at[lo:hi] - at[lo] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        up, down = cells.powers(len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(cells._TABLE[part] * up[: len(part)], out=sums[1:])
+        out.append(cells.mix((sums[start + LENGTH] - sums[start]) * down[start]))
+        lo = hi
+    return np.concatenate(out)
+
+
 def _match(table: pa.Table) -> pa.Table:
     """Per cell the blocks with windows that a smaller document holds, and which windows these are."""
     read = lambda c, kind: [_unzip(x, kind) for x in table.column(c).to_pylist()]
@@ -169,13 +187,9 @@ def _match(table: pa.Table) -> pa.Table:
     numbers, lows, size = (np.concatenate(x) for x in (numbers, lows, sizes))
     size = size.astype(np.int64)
     count = size - LENGTH + 1
-    block = np.repeat(np.arange(len(size)), count)
-    offset = np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count)
-    start = (np.cumsum(size) - size)[block] + offset
-    up, down = cells.powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(cells._TABLE[data] * up[: len(data)], out=sums[1:])
-    code = cells.mix((sums[start + LENGTH] - sums[start]) * down[start])
+    block = np.repeat(np.arange(len(size), dtype=np.int32), count)
+    offset = (np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count)).astype(np.uint8)
+    code = _window_codes(data, size, count)
     order = np.argsort(code)
     ordered = code[order]
     head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
