@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.payloads import LINK_ORIGIN
 
-MAX_SEEDS = 5
 BREAKOUT = "Breakout"
 
 
 def related_queries(
     uses: DataFrame,
-    seeds: Sequence[str],
+    seeds: Sequence[str] | DataFrame,
     recent_from,
     previous_from,
     limit: int = 25,
@@ -26,18 +25,24 @@ def related_queries(
     a companion without earlier use is a ``Breakout`` with value 0 and comes
     first.  ``limit`` is the length of the two lists.
 
-    Only baskets with a seed are looked at, and a basket row is repeated once
-    per seed in its basket (five at most): no pairs within a basket arise.
+    ``seeds`` are keywords, or a table with them in its first column.  Only
+    baskets with a seed are looked at: they are picked before anything is
+    counted, and a basket row is repeated once per seed in its basket.
     """
-    if not 1 <= len(seeds) <= MAX_SEEDS:
-        raise ValueError(f"pass 1 to {MAX_SEEDS} seeds, got {len(seeds)}")
+    if isinstance(seeds, DataFrame):
+        wanted = uses.join(seeds.select(F.col(seeds.columns[0]).alias("_seed")).distinct(), F.col("keyword") == F.col("_seed"), "left_semi")
+    elif not seeds:
+        raise ValueError("pass at least one seed")
+    else:
+        wanted = uses.where(F.col("keyword").isin(list(seeds)))
     recent = F.col("ts") >= recent_from
     before = (F.col("ts") >= previous_from) & ~recent
+    seeded = wanted.select("basket", F.col("keyword").alias("seed")).distinct()
+    near = uses.join(seeded.select(F.col("basket").alias("_near")).distinct(), F.col("basket") == F.col("_near"), "left_semi")
     # one row per basket and keyword, whatever the number of repeats
-    used = uses.groupBy("basket", "keyword").agg(
+    used = near.groupBy("basket", "keyword").agg(
         F.bool_or(recent).alias("is_recent"), F.bool_or(before).alias("was_before")
     )
-    seeded = used.where(F.col("keyword").isin(list(seeds))).select("basket", F.col("keyword").alias("seed"))
     companions = (
         used.join(seeded, "basket")
         .where(F.col("keyword") != F.col("seed"))

@@ -62,9 +62,9 @@ def trend_snap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_snapshots(keyword_events(spark, sf_dir), "month", 20)
 
 
-def trend_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``trend_snap`` in the full normalized schema."""
-    return trend_snap(spark, sf_dir).select(
+def trend_rows(spark: SparkSession, sf_dir: str, snap: DataFrame | None = None) -> DataFrame:
+    """``trend_snap`` (or the one given, ranked before) in the full normalized schema."""
+    return (trend_snap(spark, sf_dir) if snap is None else snap).select(
         "source", "geo", "fetched_at", "keyword", "rank", "volume_text", "volume_min", "started_at",
         F.lit(None).cast("string").alias("started_at_raw"),
         F.lit(None).cast("timestamp").alias("ended_at"),

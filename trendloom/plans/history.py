@@ -77,19 +77,22 @@ def snapshot_envelopes(spark: SparkSession, d: str) -> DataFrame:
 _built: dict[tuple[str, str], str] = {}
 
 
-def _explore_envelopes(spark: SparkSession, d: str) -> DataFrame:
+def _explore_envelopes(snap: DataFrame) -> DataFrame:
     """Explore answers to archive: each month's leading keyword per geo was looked up."""
-    lead = trend_snap(spark, d).where(F.col("rank") == 1)
+    lead = snap.where(F.col("rank") == 1)
     body = lead.select(F.lit("explore").alias("source"), "geo", "fetched_at", "keyword")
     return body.withColumn("schema_version", F.lit("1.2")).withColumn(
         "payload_json", F.to_json(F.struct("geo", "keyword"))
     )
 
 
-def _fill(spark: SparkSession, root: str, d: str) -> None:
+def _fill(spark: SparkSession, root: str, d: str) -> DataFrame:
+    """Archive all snapshots; the history is ranked once, and its short lists are returned."""
+    snap = landed_snap(spark, d)[0]
     archive.create(spark, root)
-    archive.append(spark, root, envelopes.snapshot_envelopes(trend_rows(spark, d)))
-    archive.append(spark, root, _explore_envelopes(spark, d))
+    archive.append(spark, root, envelopes.snapshot_envelopes(trend_rows(spark, d, snap)))
+    archive.append(spark, root, _explore_envelopes(snap))
+    return snap
 
 
 def built_archive(spark: SparkSession, d: str) -> str:
@@ -105,15 +108,28 @@ def built_archive(spark: SparkSession, d: str) -> str:
 def archive_append(spark: SparkSession, d: str) -> DataFrame:
     """The stored rows after everything was appended twice."""
     root = shared_folder(spark, "archive-twice")
-    _fill(spark, root, d)
-    archive.append(spark, root, envelopes.snapshot_envelopes(trend_rows(spark, d)))
+    snap = _fill(spark, root, d)
+    archive.append(spark, root, envelopes.snapshot_envelopes(trend_rows(spark, d, snap)))
     rows = archive.trends(spark, root)
     return flat(rows.select("source", "geo", "fetched_at", "keyword", "keyword_key", "rank", "volume_min"))
 
 
 def archive_keyword_rows(spark: SparkSession, d: str) -> DataFrame:
-    trending = archive.keyword_rows(envelopes.snapshot_envelopes(trend_rows(spark, d)))
-    return flat(trending.unionByName(archive.keyword_rows(_explore_envelopes(spark, d))))
+    snap = landed_snap(spark, d)[0]
+    trending = archive.keyword_rows(envelopes.snapshot_envelopes(trend_rows(spark, d, snap)))
+    return flat(trending.unionByName(archive.keyword_rows(_explore_envelopes(snap))))
+
+
+def archive_empty_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """A day after each region's last snapshot comes one without trends: what the archive says has changed then."""
+    snap, headers = landed_snap(spark, d)
+    last = headers.groupBy("source", "geo").agg((F.max("fetched_at") + F.expr("INTERVAL 1 DAY")).alias("fetched_at"))
+    every = headers.select("source", "geo", "fetched_at").unionByName(last)
+    root = shared_folder(spark, "archive-empty")
+    archive.create(spark, root)
+    archive.append(spark, root, envelopes.snapshot_envelopes(trend_rows(spark, d, snap), every))
+    found = changes.diff_history(archive.trends(spark, root), archive.snapshots(spark, root))
+    return flat(found.join(last, ["source", "geo", "fetched_at"], "left_semi"))
 
 
 def archive_flat(spark: SparkSession, d: str) -> DataFrame:
@@ -157,6 +173,15 @@ def compact_history(spark: SparkSession, d: str) -> DataFrame:
     return flat(entries)
 
 
+def keyword_timeline(spark: SparkSession, d: str) -> DataFrame:
+    """The second part of a compact history: where the keyword stood in every trending snapshot."""
+    root = built_archive(spark, d)
+    _, line = archive.compact_history(
+        archive.snapshots(spark, root), archive.trends(spark, root), geo="ASIA", keyword="red plate", limit=10
+    )
+    return flat(line)
+
+
 def archive_stats(spark: SparkSession, d: str) -> DataFrame:
     root = built_archive(spark, d)
     stats = archive.archive_stats(archive.snapshots(spark, root), archive.trends(spark, root))
@@ -206,6 +231,8 @@ QUERIES = {
     "keyword_history": keyword_history,
     "keyword_movement": keyword_movement,
     "compact_history": compact_history,
+    "keyword_timeline": keyword_timeline,
+    "archive_empty_snapshots": archive_empty_snapshots,
     "archive_stats": archive_stats,
     "archive_layouts": archive_layouts,
     "prune_counts": prune_counts,
@@ -322,6 +349,18 @@ WINDOW w AS (PARTITION BY source, geo, keyword), o AS (PARTITION BY source, geo,
   ORDER BY fetched_at DESC LIMIT 10)
 SELECT source, geo, fetched_at, trend_count, keyword, rank, volume_min
 FROM newest JOIN stored USING (source, geo, fetched_at)"""
+    ),
+    "keyword_timeline": _stored(
+        """
+SELECT fetched_at, geo, source, rank, volume_min FROM stored
+WHERE source = 'rss' AND geo = 'ASIA' AND lower(keyword) = 'red plate'"""
+    ),
+    "archive_empty_snapshots": _snap(
+        """
+, last AS (SELECT source, geo, max(fetched_at) AS fetched_at FROM headers GROUP BY source, geo)
+SELECT source, geo, fetched_at + INTERVAL 1 DAY AS fetched_at, 'dropped' AS event, keyword,
+       CAST(NULL AS INTEGER) AS rank, rank AS prev_rank, CAST(NULL AS BIGINT) AS volume_min, volume_min AS prev_volume_min
+FROM last JOIN trend_snap USING (source, geo, fetched_at)"""
     ),
     "archive_stats": _stored(
         """

@@ -77,7 +77,7 @@ def alert_delivery(spark: SparkSession, d: str) -> DataFrame:
 def stream_to_archive(spark: SparkSession, d: str) -> DataFrame:
     """Envelopes streamed into an archive; part of them arrives twice."""
     land, root, check = (shared_folder(spark, p) for p in ("envelopes", "stream-archive", "archive-state"))
-    packed = envelopes.snapshot_envelopes(trend_rows(spark, d))
+    packed = envelopes.snapshot_envelopes(trend_rows(spark, d, landed_snap(spark, d)[0]))
     early = F.col("fetched_at") < F.lit(RESTART_AT).cast("timestamp")
     packed.write.mode("append").parquet(land)
     packed.where(early).write.mode("append").parquet(land)
