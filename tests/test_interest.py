@@ -82,6 +82,8 @@ def test_related(spark):
         ("rising", 1, "y", 0, "Breakout"), ("rising", 2, "x", 200, "+200%"),
         ("top", 1, "x", 100, "100"), ("top", 2, "y", 25, "25"), ("top", 3, "z", 25, "25"),
     ]
-    for bad in ([], list("abcdef")):
-        with pytest.raises(ValueError):
-            related.related_queries(uses, bad, DAY, DAY)
+    table = uses.sparkSession.createDataFrame([(k,) for k in "kabcdefk"], "seed STRING")
+    same = related.related_queries(uses, table, DAY - timedelta(days=365), DAY - timedelta(days=730))
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, found.collect()))
+    with pytest.raises(ValueError):
+        related.related_queries(uses, [], DAY, DAY)
