@@ -151,7 +151,7 @@ def line_dedup(docs, percent=80):
     for d, t in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0)):
         lines[d] = []
         for i, x in enumerate((t or "").split("\n")):
-            if s := frozenset(WORD.findall(lower(x))):
+            if s := frozenset(WORD.findall(x.lower())):
                 lines[d].append((i, s))
                 first.setdefault(s, (d, i))
     order = list(first)

@@ -1,6 +1,6 @@
 """Line dedup as an exact set-similarity join, with DataFrame functions only.
 
-A line is the set of its words (lower-cased A-Z, split at white space).  A line goes if an
+A line is the set of its words (in lower case, split at white space).  A line goes if an
 earlier line, by (doc_id, line number), has the same set or one with Jaccard similarity
 of at least ``PERCENT`` %.
 
@@ -11,9 +11,10 @@ word's hash.  Two similar sets share a token among their first (rarest) ones, so
 these prefixes are joined.  A pair survives if lengths allow the similarity, if the
 shared token's positions leave room for the overlap, and if parity bitmaps of the sets
 do not differ in more bits than the sets may in words.  What survives is verified on the
-full token sets, read from the texts of the candidates only.
+full token sets.  Texts without candidates are told by a bitmap of fixed size and not
+shuffled for that.
 
-The table of counts has a fixed size.  All links between different classes are found;
+The table of counts has a fixed size, too.  All links between different classes are found;
 copies are never paired.
 
 Defined results: lines without words are kept and not counted; null and empty texts have
@@ -31,20 +32,23 @@ from ..session import materialize
 
 PERCENT = 80
 SLOTS = 1 << 14
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: 64-bit numbers of the bitmap of documents that hold candidates.
+MAP = 1 << 12
 
 
-def _words(line: Column) -> Column:
-    flat = F.trim(F.regexp_replace(F.translate(line, _UPPER, _LOWER), r"[\x20\x09-\x0D]+", " "))
-    return F.when(flat != "", F.split(flat, " "))
+def _words(lines: DataFrame) -> DataFrame:
+    """``words`` instead of ``line``, for lines that have any."""
+    split = lines.withColumn("words", F.array_remove(F.split(F.lower("line"), r"[\x20\x09-\x0D]+"), "")).drop("line")
+    return split.filter(F.size("words") > 0)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """``doc_id, line_no, words`` of all lines with a word."""
-    return (
-        docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .select("doc_id", "line_no", _words(F.col("line")).alias("words")).filter("words is not null")
-    )
+    return _words(docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")))
+
+
+def _bit(number: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(63).cast("int"))
 
 
 def word_ranks(docs: DataFrame) -> Column:
@@ -76,19 +80,21 @@ def _least(total: Column, percent: int) -> Column:
 
 
 def _classes(docs: DataFrame, ranks: Column, percent: int) -> DataFrame:
-    """Distinct sets: ``set, check, size, first, n, bits, prefix``."""
+    """Distinct sets: ``set, check, size, first, n, bits1, bits2, prefix``."""
     size = F.size("tokens")
-    parity = F.aggregate(
+    # Two bitmaps of 64 bits: a word flips one bit of either, so few flips mean few words.
+    parity = lambda half: F.aggregate(
         "tokens", F.lit(0).cast("long"),
-        lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))),
+        lambda acc, x: F.when(x.bitwiseAND(64) == half, acc.bitwiseXOR(_bit(x))).otherwise(acc),
     )
     keyed = _tokens(_lines(docs), ranks).select(
         F.xxhash64("tokens").alias("set"), F.xxhash64(F.lit(77), "tokens").alias("check"), size.alias("size"),
-        F.struct("doc_id", "line_no").alias("at"), parity.alias("bits"),
+        F.struct("doc_id", "line_no").alias("at"), parity(0).alias("bits1"), parity(64).alias("bits2"),
         F.slice("tokens", 1, size - F.ceil(size * percent / 100).cast("int") + 1).alias("prefix"),
     )
     return keyed.groupBy("set", "check", "size").agg(
-        F.min("at").alias("first"), F.count("*").alias("n"), F.any_value("bits").alias("bits"), F.any_value("prefix").alias("prefix")
+        F.min("at").alias("first"), F.count("*").alias("n"), F.any_value("bits1").alias("bits1"), F.any_value("bits2").alias("bits2"),
+        F.any_value("prefix").alias("prefix"),
     )
 
 
@@ -97,7 +103,8 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     # A set so small that a partner must be equal to it has none.
     some = classes.filter(F.floor(F.col("size") * 100 / percent) > F.ceil(F.col("size") * percent / 100))
     side = lambda s: some.select(
-        F.posexplode("prefix").alias(f"p{s}", "token"), F.col("set").alias(s), F.col("size").alias(f"n{s}"), F.col("bits").alias(f"x{s}")
+        F.posexplode("prefix").alias(f"p{s}", "token"), F.col("set").alias(s), F.col("size").alias(f"n{s}"),
+        F.col("bits1").alias(f"x{s}"), F.col("bits2").alias(f"y{s}"),
     )
     na, nb, pa, pb = (F.col(c) for c in ("na", "nb", "pa", "pb"))
     least = _least(na + nb, percent)
@@ -105,26 +112,34 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
         (F.col("a") < F.col("b"))
         & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
         & (F.least(na - pa, nb - pb) + F.least(pa, pb) >= least)
-        & (F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) <= na + nb - 2 * least)
+        & (F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) + F.bit_count(F.col("ya").bitwiseXOR(F.col("yb"))) <= na + nb - 2 * least)
     )
     return side("a").join(side("b").hint("merge"), "token").filter(fits).select("a", "b").distinct()
 
 
-def links(docs: DataFrame, ranks: Column, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Verified links between sets: ``a, b`` (hash and check of both)."""
+def _maybe_in(ids: DataFrame) -> Column:
+    """Whether ``doc_id`` may be among ``ids (id)``, by a bitmap of ``64 * MAP`` bits: never wrong for one that is."""
+    h = F.xxhash64(F.lit(9), "id")
+    words = ids.groupBy(F.shiftright(h, 6).bitwiseAND(MAP - 1).cast("int").alias("at")).agg(F.bit_or(_bit(h)).alias("bits"))
+    held = dict(words.collect())
+    bitmap = F.from_json(F.lit(json.dumps([held.get(i, 0) for i in range(MAP)])), "array<bigint>")
+    mine = F.xxhash64(F.lit(9), "doc_id")
+    return F.get(bitmap, F.shiftright(mine, 6).bitwiseAND(MAP - 1).cast("int")).bitwiseAND(_bit(mine)) != 0
+
+
+def links(docs: DataFrame, ranks: Column, pairs: DataFrame, firsts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The candidate ``pairs`` that are links: ``a, a_check, b, b_check`` (hash and check of both sets)."""
     spark = docs.sparkSession
-    pairs = materialize(spark, _candidates(classes, percent), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
-    firsts = classes.join(wanted, F.col("set") == F.col("w"), "left_semi").select(
-        F.col("first.doc_id").alias("f_id"), F.col("first.line_no").alias("f_line"), F.col("set").alias("f_set")
-    )
-    asked = firsts.groupBy("f_id").agg(F.collect_set("f_line").alias("f_lines"))
-    texts = docs.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("f_id")))
+    lines = firsts.join(wanted, F.col("set") == F.col("w"), "left_semi")
+    asked = lines.groupBy(F.col("first.doc_id").alias("f_id")).agg(F.collect_set("first.line_no").alias("f_lines"))
+    asked = materialize(spark, asked, "asked")
+    near = docs.filter(_maybe_in(asked.select(F.col("f_id").alias("id"))))
+    texts = near.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("f_id")))
     found = texts.select("doc_id", "f_lines", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(
         F.array_contains("f_lines", F.col("line_no"))
     )
-    lines = found.select("doc_id", "line_no", _words(F.col("line")).alias("words")).filter("words is not null")
-    sets = _tokens(lines, ranks).select(
+    sets = _tokens(_words(found.drop("f_lines")), ranks).select(
         F.xxhash64("tokens").alias("set"), F.xxhash64(F.lit(77), "tokens").alias("check"), "tokens"
     ).dropDuplicates(["set", "check"])
     side = lambda s: sets.select(F.col("set").alias(s), F.col("check").alias(f"{s}_check"), F.col("tokens").alias(f"{s}_tokens"))
@@ -139,11 +154,12 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     ``n_links``: links of the sets that stand first in this document to other sets.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ranks = word_ranks(docs)
-    classes = _classes(docs, ranks, percent)
-    found = links(docs, ranks, classes, percent)
+    classes = materialize(spark, _classes(docs, ranks, percent), "line-sets")
     firsts = classes.select("set", "check", "first")
+    found = links(docs, ranks, materialize(spark, _candidates(classes, percent), "pairs"), firsts, percent)
     near = found.select("a", "a_check", "b", "b_check").union(found.select("b", "b_check", "a", "a_check"))
     own = firsts.select(F.col("set").alias("a"), F.col("check").alias("a_check"), F.col("first").alias("a_first"))
     other = firsts.select(F.col("set").alias("b"), F.col("check").alias("b_check"), F.col("first").alias("b_first"))
