@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 3 << 20
+CHUNK = 1 << 19
 #: What separates words: white space only, or everything in ASCII but letters and digits.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 NON_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -112,17 +112,19 @@ def texts_of(column: pa.Array, limit: int = CHUNK):
     """The texts of an Arrow column in chunks; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if not len(column):
         return
-    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    at = np.frombuffer(column.buffers()[1], width)[column.offset : column.offset + len(column) + 1]
     buffer = column.buffers()[2]
     data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < len(column):
-        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + limit, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(at, int(at[lo]) + limit, "right")) - 1)
         hi = min(hi, len(column))
-        yield Texts(data[at[lo] : at[hi]], (at[lo : hi + 1] - at[lo]).astype(np.int64), lo)
+        yield Texts(data[at[lo] : at[hi]], at[lo : hi + 1].astype(np.int64) - int(at[lo]), lo)
         lo = hi
 
 

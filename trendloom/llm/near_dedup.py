@@ -33,7 +33,7 @@ from . import cells
 from .components import components
 
 ROWS_PER_BAND = 4
-LIMIT = 1_000_000
+LIMIT = 500_000
 PIVOTS = 32
 
 
@@ -96,7 +96,7 @@ def _scan(width: int, bands: int):
     def run(batches):
         salt = cells.seeds(ROWS_PER_BAND, 31)
         for batch in batches:
-            for t in cells.texts_of(batch.column("text"), cells.CHUNK // 2):
+            for t in cells.texts_of(batch.column("text")):
                 text, hashes = shingles(t, width)
                 bounds = t.bounds(text)
                 sig = super_min_hash(text, hashes, t.n, bands * ROWS_PER_BAND).reshape(t.n, bands, ROWS_PER_BAND)
