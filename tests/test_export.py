@@ -36,10 +36,16 @@ def test_file_name_and_rank(spark, folder):
         ("US", 24, "sports", datetime(2026, 8, 16, 10, 15), 2, 'quo"ted, and\nbroken'),
         ("US", 24, "sports", datetime(2026, 8, 16, 10, 15), 3, None),
         ("US-CA", 168, "all", datetime(2026, 8, 16, 10, 16), 1, "west"),
-        (None, None, None, None, 1, "lost"),
     ]
 
 
+def test_foreign_names_are_set_aside(spark, folder):
+    assert export.rejected_exports(spark, str(folder)).count() == 1
+    one = export.read_exports(spark, str(folder), geos=["US-CA"], start="2026-08-16 10:16")
+    assert rows(one.select("geo", "Trends")) == [("US-CA", "west")]
+    assert export.read_exports(spark, str(folder), end="2026-08-16 10:15").count() == 3
+
+
 def test_rank_is_the_line_over_many_files_and_batches(spark, tmp_path):
     for f in range(30):
         write(tmp_path, f"trends_US_4h_all_202608{f % 28 + 1:02d}-{f:06d}.csv", [line(f"{f}\n{i}") for i in range(480)])

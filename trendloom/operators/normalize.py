@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -60,8 +62,11 @@ def normalize_feed(raw: DataFrame) -> DataFrame:
     return raw.select(F.lit("rss").alias("source"), "geo", "fetched_at", *fields)
 
 
-def normalize_export(raw: DataFrame) -> DataFrame:
-    """Raw export rows to normalized trends; ``is_active`` means no end time."""
+def normalize_export(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw export rows to normalized trends; ``is_active`` means no end time.
+
+    ``keep`` names further columns to carry along, such as ``hours`` and ``category``.
+    """
     volume_text = F.coalesce(clean(F.col("`Search volume`")), F.lit(""))
     ended = export_timestamp(F.col("Ended"))
     return raw.select(
@@ -80,6 +85,7 @@ def normalize_export(raw: DataFrame) -> DataFrame:
         F.array().cast(NEWS).alias("news"),
         F.lit(None).cast(IMAGE).alias("image"),
         F.coalesce(clean(F.col("`Explore link`")), F.lit("")).alias("explore_url"),
+        *keep,
     )
 
 

@@ -6,6 +6,10 @@ reason instead of raising on the first bad one.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import strip
@@ -92,24 +96,38 @@ def check_comparisons(requests: DataFrame) -> DataFrame:
 # --- delivered data -----------------------------------------------------------
 
 
-def feed_quality(raw: DataFrame) -> DataFrame:
+def _every(report: DataFrame, delivered: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """A report that also has what was delivered without any row: counts 0, not passed."""
+    if delivered is None:
+        return report
+    named = delivered.select(*[F.col(k).alias(f"_of_{k}") for k in keys]).distinct()
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    empty = {name: F.lit(False) if kind == "boolean" else F.lit(0).cast(kind) for name, kind in report.dtypes if name not in keys}
+    return named.join(report, same, "left").select(
+        *[F.col(f"_of_{k}").alias(k) for k in keys], *[F.coalesce(name, value).alias(name) for name, value in empty.items()]
+    )
+
+
+def feed_quality(raw: DataFrame, snapshots: DataFrame | None = None) -> DataFrame:
     """Per feed snapshot: do volumes and dates parse, as they did when landed?
 
     A snapshot passes with one row or more, at least 90 % volumes above 0 and
-    every date readable.
+    every date readable.  ``snapshots`` names all delivered ones, so that an
+    empty feed fails instead of being left out.
     """
     n = F.count(F.lit(1))
     volumes = F.count_if(F.col("traffic_min") > 0)
     dates = F.count_if(F.col("published").isNotNull())
-    return raw.groupBy("geo", "fetched_at").agg(
+    report = raw.groupBy("geo", "fetched_at").agg(
         n.alias("row_count"),
         volumes.alias("volumes_ok"),
         dates.alias("dates_ok"),
         ((volumes * 10 >= n * 9) & (dates == n)).alias("passes"),
     )
+    return _every(report, snapshots, ["geo", "fetched_at"])
 
 
-def export_quality(raw: DataFrame, minimum: int = 100) -> DataFrame:
+def export_quality(raw: DataFrame, minimum: int = 100, snapshots: DataFrame | None = None) -> DataFrame:
     """Per export snapshot: enough rows, and every time text that is there parses."""
     started, ended = F.col("Started"), F.col("Ended")
     has_start, has_end = F.length(started) > 0, F.length(ended) > 0
@@ -122,13 +140,14 @@ def export_quality(raw: DataFrame, minimum: int = 100) -> DataFrame:
     )
     n, starts = F.count(F.lit(1)), F.count_if("s")
     bad_starts, bad_ends = F.count_if("bad_s"), F.count_if("bad_e")
-    return checked.groupBy("geo", "fetched_at").agg(
+    report = checked.groupBy("geo", "fetched_at").agg(
         n.alias("row_count"),
         starts.alias("started_count"),
         bad_starts.alias("bad_started"),
         bad_ends.alias("bad_ended"),
         ((n >= minimum) & (starts >= minimum) & (bad_starts == 0) & (bad_ends == 0)).alias("passes"),
     )
+    return _every(report, snapshots, ["geo", "fetched_at"])
 
 
 def missing_export_headers(columns) -> list[str]:
@@ -136,26 +155,41 @@ def missing_export_headers(columns) -> list[str]:
     return [c for c in EXPORT_COLUMNS if c not in set(columns)]
 
 
-def interest_quality(points: DataFrame, minimum: int = 40) -> DataFrame:
-    """Per answer: enough points, values within 0-100, dates there and in order."""
+def interest_quality(points: DataFrame, minimum: int = 40, answers: DataFrame | None = None) -> DataFrame:
+    """Per answer: enough points, values within 0-100, dates there and in order.
+
+    ``answers (answer_id, keyword)`` names all delivered ones, here and in the checks below.
+    """
     n = F.count(F.lit(1))
     in_range = F.count_if(F.col("value").between(0, 100))
     dated = F.count_if(F.col("ts").isNotNull())
     ordered = F.coalesce(F.min_by("ts", "pos") < F.max_by("ts", "pos"), F.lit(False))
-    return points.groupBy("answer_id", "keyword").agg(
+    report = points.groupBy("answer_id", "keyword").agg(
         n.alias("point_count"),
         in_range.alias("values_ok"),
         dated.alias("dates_ok"),
         ordered.alias("is_chronological"),
         ((n >= minimum) & (in_range == n) & (dated == n) & ordered).alias("passes"),
     )
+    return _every(report, answers, ["answer_id", "keyword"])
+
+
+def region_quality(regions: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+    """Per answer: at least one region, each with a code and a value within 0-100."""
+    n = F.count(F.lit(1))
+    good = F.count_if((F.length("geo_code") > 0) & F.col("value").between(0, 100))
+    report = regions.groupBy("answer_id", "keyword").agg(
+        n.alias("region_count"), good.alias("regions_ok"), ((n > 0) & (good == n)).alias("passes")
+    )
+    return _every(report, answers, ["answer_id", "keyword"])
 
 
-def related_quality(related: DataFrame) -> DataFrame:
+def related_quality(related: DataFrame, answers: DataFrame | None = None) -> DataFrame:
     """Per answer: the top list must not be empty."""
     top = F.count_if(F.col("bucket") == "top")
-    return related.groupBy("answer_id", "keyword").agg(
+    report = related.groupBy("answer_id", "keyword").agg(
         top.alias("top_count"),
         F.count_if(F.col("bucket") == "rising").alias("rising_count"),
         (top > 0).alias("passes"),
     )
+    return _every(report, answers, ["answer_id", "keyword"])

@@ -99,11 +99,7 @@ def export_normalized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _with_category(spark: SparkSession, d: str) -> DataFrame:
-    raw = raw_exports(spark, d)
-    trends = normalize.normalize_export(raw)
-    # one file per (geo, fetched_at): the category is a fact of that pair
-    files = raw.groupBy("geo", "fetched_at").agg(F.min("category").alias("category"))
-    return trends.join(files, ["geo", "fetched_at"])
+    return normalize.normalize_export(raw_exports(spark, d), keep=["category"])
 
 
 def export_filtered(spark: SparkSession, d: str) -> DataFrame:

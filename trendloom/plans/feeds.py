@@ -187,7 +187,8 @@ def feed_plain_envelopes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feed_quality(spark: SparkSession, d: str) -> DataFrame:
-    return flat(quality.feed_quality(feed.read_feeds(landing(spark, d))))
+    landed = landing(spark, d)
+    return flat(quality.feed_quality(feed.read_feeds(landed), feed.feed_snapshots(landed)))
 
 
 def article_coverage(spark: SparkSession, d: str) -> DataFrame:

@@ -260,12 +260,25 @@ def comparison_answers(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _delivered(payloads: DataFrame) -> DataFrame:
+    """All answers, and next to each a silent one that gave no rows at all."""
+    asked = payloads.select("answer_id", "keyword")
+    return asked.union(asked.select(F.concat("answer_id", F.lit("-silent")), "keyword"))
+
+
 def interest_quality(spark: SparkSession, d: str) -> DataFrame:
-    return quality.interest_quality(explore.read_interest(explore_payloads(spark, d)), minimum=30)
+    payloads = explore_payloads(spark, d)
+    return quality.interest_quality(explore.read_interest(payloads), minimum=30, answers=_delivered(payloads))
 
 
 def related_quality(spark: SparkSession, d: str) -> DataFrame:
-    return quality.related_quality(explore.read_related(related_payloads(spark, d)))
+    payloads = related_payloads(spark, d)
+    return quality.related_quality(explore.read_related(payloads), _delivered(payloads))
+
+
+def region_quality(spark: SparkSession, d: str) -> DataFrame:
+    payloads = explore_payloads(spark, d)
+    return quality.region_quality(explore.read_regions(payloads), _delivered(payloads))
 
 
 QUERIES = {
@@ -289,6 +302,7 @@ QUERIES = {
     "comparison_answers": comparison_answers,
     "interest_quality": interest_quality,
     "related_quality": related_quality,
+    "region_quality": region_quality,
 }
 
 _INTEREST_SQL = """
@@ -462,12 +476,21 @@ FROM shared_scale"""
         """
 SELECT 'a-' || keyword AS answer_id, keyword, count(*) AS point_count, count(*) AS values_ok, count(*) AS dates_ok,
        min(ts) < max(ts) AS is_chronological, count(*) >= 30 AS passes
-FROM own_scale GROUP BY keyword"""
+FROM own_scale GROUP BY keyword
+UNION ALL SELECT DISTINCT 'a-' || keyword || '-silent', keyword, 0, 0, 0, false, false FROM own_scale"""
+    ),
+    "region_quality": _i(
+        """
+SELECT 'a-' || keyword AS answer_id, keyword, count(*) AS region_count, count(*) FILTER (value BETWEEN 0 AND 100) AS regions_ok,
+       true AS passes
+FROM own_regions WHERE value >= 50 GROUP BY keyword
+UNION ALL SELECT DISTINCT 'a-' || keyword || '-silent', keyword, 0, 0, false FROM own_regions"""
     ),
     "related_quality": _r(
         """
 SELECT 'r-' || keyword AS answer_id, keyword, count(*) FILTER (bucket = 'top') AS top_count,
        count(*) FILTER (bucket = 'rising') AS rising_count, count(*) FILTER (bucket = 'top') > 0 AS passes
-FROM related GROUP BY keyword"""
+FROM related GROUP BY keyword
+UNION ALL SELECT DISTINCT 'r-' || keyword || '-silent', keyword, 0, 0, false FROM related"""
     ),
 }

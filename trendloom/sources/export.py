@@ -7,12 +7,13 @@ stream past, with a counter and no sort.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..functions.times import as_instant
 from ..schemas import EXPORT_COLUMNS, EXPORT_SCHEMA
 
 # Fixed value: trends_{geo}_{hours}h_{category}_{yyyyMMdd-HHmmss}.csv, which may
@@ -37,9 +38,29 @@ def _number_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.append_column("rank", pa.array(rank, pa.int32()))
 
 
-def read_exports(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def _name_fields(file_path: str) -> dict[str, Column]:
+    """What a file's name says: NULLs where it is no export's name."""
+    name = F.try_url_decode(file_path)
+    part = lambda i: F.nullif(F.regexp_extract(name, FILE_NAME, i), F.lit(""))
+    at = F.try_to_timestamp(F.concat(part(4), F.lit(" +00:00")), F.lit("yyyyMMdd-HHmmss XXX"))
+    return {"geo": part(1), "hours": part(2).cast("int"), "category": part(3), "fetched_at": at}
+
+
+def rejected_exports(spark: SparkSession, path: str) -> DataFrame:
+    """Files whose name is no export's name; :func:`read_exports` leaves them out."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(path)
+    fields = _name_fields("path")
+    return files.where(fields["geo"].isNull() | fields["fetched_at"].isNull()).select(F.col("path").alias("file_path"))
+
+
+def read_exports(
+    spark: SparkSession, path: str, multi_line: bool = True, geos: Sequence[str] | None = None, start=None, end=None
+) -> DataFrame:
     """Raw export rows with ``geo, hours, category, fetched_at, rank`` added.
 
+    ``geos``, ``start`` and ``end`` (inclusive) look at the files' names, so files that they
+    leave out are not opened.
+
     By default a file is read by one task, since its cells may hold line breaks;
     ranks then need no shuffle.  ``multi_line=False`` is for large files without
     such cells: they are read in blocks, and the row counts of the blocks before
@@ -58,6 +79,14 @@ def read_exports(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
             F.col("_metadata.file_block_start").alias("block"),
         )
     )
+    named = _name_fields("file_path")
+    raw = raw.where(named["geo"].isNotNull() & named["fetched_at"].isNotNull())
+    if geos is not None:
+        raw = raw.where(named["geo"].isin(list(geos)))
+    if start is not None:
+        raw = raw.where(named["fetched_at"] >= as_instant(start))
+    if end is not None:
+        raw = raw.where(named["fetched_at"] <= as_instant(end))
     numbered = raw.mapInArrow(_number_rows, f"{EXPORT_SCHEMA}, file_path STRING, block BIGINT, rank INT")
     if not multi_line:
         before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,13 +94,8 @@ def read_exports(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
             "file_path", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("int").alias("offset")
         )
         numbered = numbered.join(offsets, ["file_path", "block"]).withColumn("rank", F.col("rank") + F.col("offset"))
-    name = F.try_url_decode("file_path")
-    part = lambda i: F.nullif(F.regexp_extract(name, FILE_NAME, i), F.lit(""))
     return numbered.select(
-        part(1).alias("geo"),
-        part(2).cast("int").alias("hours"),
-        part(3).alias("category"),
-        F.try_to_timestamp(F.concat(part(4), F.lit(" +00:00")), F.lit("yyyyMMdd-HHmmss XXX")).alias("fetched_at"),
+        *[column.alias(name) for name, column in _name_fields("file_path").items()],
         "rank",
         *[F.col(f"`{c}`") for c in EXPORT_COLUMNS],
     )
