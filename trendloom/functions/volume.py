@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Band suffixes.
+# Band suffixes and the form of a band.
 SUFFIXES = {"K": 1_000, "M": 1_000_000, "B": 1_000_000_000}
-
 _BAND = r"([\d,.]+)\s*([KMBkmb]?)"
 
 

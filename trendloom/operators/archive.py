@@ -205,7 +205,7 @@ def matching(
     if source is not None:
         sources = [source] if isinstance(source, str) else list(source)
         if not sources or not all(isinstance(s, str) for s in sources):
-            raise ValueError(f"source must be a string or a non-empty sequence of strings, got {source!r}")
+            raise ValueError(f"pass one source name or a list of at least one, not {source!r}")
         rows = rows.where(F.col("source").isin(sources))
     dated = "fetched_date" in rows.columns
     for bound, lower in ((start, True), (end, False)):
@@ -269,7 +269,7 @@ def keyword_history(
     The narrow table answers alone: its rows carry the snapshot key.
     """
     if not isinstance(keyword, str) or not keyword.strip():
-        raise ValueError(f"keyword must be a non-empty string, got {keyword!r}")
+        raise ValueError(f"a history needs a keyword with some text, not {keyword!r}")
     return (
         matching(rows, geo, source, start, end)
         .where(_key_of(rows) == fold_ascii(F.lit(keyword.strip())))
@@ -292,7 +292,7 @@ def compact_history(
     Explore answers are left out: they were asked for, they did not trend.
     """
     if not 1 <= limit <= 100:
-        raise ValueError(f"limit must be between 1 and 100, got {limit}")
+        raise ValueError(f"a compact history shows 1 to 100 snapshots, not {limit}")
     newest = read_snapshots(headers, rows, geo, TRENDING_SOURCES, start, end, keyword, limit)
     # at most 100 snapshot keys by the check above
     key = _snapshot_key(newest, rows)
