@@ -53,7 +53,7 @@ def test_baseline_then_filtered_changes_and_late_snapshots(spark, tmp_path):
     assert feed.run().count() == 0
     feed.put(("US", at + timedelta(hours=1), B))
     feed.put(("US", at, [("late", 1000)]), ("US", at + timedelta(hours=1), [("again", 1000)]))
-    assert rows(feed.run().select("event", "keyword", "volume_min")) == [("volume_up", "beta", 80)]
+    assert rows(feed.run().select("event", "keyword", "volume_min")) == [("volume_up", "east", 333)]
 
 
 @pytest.fixture
