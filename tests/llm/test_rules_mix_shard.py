@@ -34,6 +34,23 @@ def test_common_lines_deplete(spark):
     assert quality_rules.keep_good(docs).count() == 70
 
 
+def test_common_lines_in_any_host_size(spark):
+    body = lambda i, n: " ".join(f"word{i}x{j}" for j in range(n))
+    line = lambda name: " ".join(f"{name}{j}" for j in range(30))
+    # 11 of 300 documents have one line, 10 have another, and both keep over 30 % of their words.
+    rows = [(i, body(i, 40) + "\n" + line("eleven" if i < 11 else "ten"), "large") for i in range(21)]
+    rows += [(i, body(i, 60), "large") for i in range(21, 300)]
+    # 5 of 20 documents of a small host, and 4 of 20.
+    rows += [(i, body(i, 40) + "\n" + line("five"), "small") for i in range(600, 605)]
+    rows += [(i, body(i, 40) + "\n" + line("four"), "small") for i in range(605, 609)]
+    rows += [(i, body(i, 60), "small") for i in range(609, 620)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = plain(quality_rules.judge(docs), "doc_id", "kept", "n_common_lines", "words_left")
+    gone = {*range(11), *range(600, 605)}
+    assert {r[0] for r in got if r[2]} == gone == {r[0] for r in got if not r[1]}
+    assert {r[3] for r in got if r[0] in gone} == {40}
+
+
 def test_stage_filters_keep_columns(odd_docs, spark):
     items = spark.createDataFrame([(1, "second line of the same text")], "item_id long, text string")
     for out in (quality_rules.keep_good(odd_docs), decontamination.drop_contaminated(odd_docs, items), mixing.sample(odd_docs)):

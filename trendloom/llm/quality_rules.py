@@ -2,14 +2,17 @@
 
 Base counts come from one pass over the text.  The method's verdict is about
 cross-document lines: every normalised line (lower-cased A-Z, words joined by one
-space) is hashed, its distinct documents are counted per host, lines in more than
-``max_docs`` documents and more than ``max_share`` of the host's documents are
-taken out, and a document of which less than ``min_left`` of the words is left is
-rejected as depleted.
+space) is hashed, its distinct documents are counted per host, and common lines are
+taken out: those in more than ``max_docs`` documents, however large the host is, and
+in small hosts also those in ``share_docs`` documents or more that are more than
+``max_share`` of the host's.  A document of which less than ``min_left`` of the
+words, or less than ``min_words`` words, are left is rejected as depleted.
 
 Counting combines before the shuffle, so a line that every document has costs one
-row per task.  The lines above the limits are at most (lines per document /
-``max_share``) for each host.
+row per task.  The common lines of a host are at most its lines / ``share_docs``;
+beyond what can be broadcast they are joined by a shuffle.  Where more than
+``max_docs`` documents of a host are exact copies, all their lines are common and
+all of them are rejected.
 
 Defined results: null and empty texts have no words and fail the base rules; a
 null host is a host of its own; rows that share a ``doc_id`` are judged one by
@@ -40,6 +43,7 @@ class Limits:
     max_repeat_percent: int = 50
     max_docs: int = 10
     max_share: float = 0.10
+    share_docs: int = 5
     min_left: float = 0.30
 
 
@@ -112,9 +116,9 @@ def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
     common = materialize(
         spark,
         lines.groupBy("host", "line").agg(F.count("*").alias("docs"))
-        .filter(F.col("docs") > limits.max_docs).alias("c")
+        .filter((F.col("docs") > limits.max_docs) | (F.col("docs") >= limits.share_docs)).alias("c")
         .join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
-        .filter(F.col("docs") > limits.max_share * F.col("host_docs"))
+        .filter((F.col("docs") > limits.max_docs) | (F.col("docs") > limits.max_share * F.col("host_docs")))
         .select(F.col("c.host").alias("c_host"), F.col("line").alias("c_line")),
         "common-lines",
     )
@@ -129,7 +133,8 @@ def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
         .withColumn("n_common_lines", F.coalesce("n_common_lines", F.lit(0)))
         .withColumn("words_left", n - F.coalesce("common_words", F.lit(0)))
         .withColumn("base_failed", (n < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * n))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("words_left") >= limits.min_left * n))
+        .withColumn("depleted", (F.col("words_left") < limits.min_left * n) | (F.col("words_left") < limits.min_words))
+        .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
         .select(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
             "n_common_lines", "words_left", "kept",
