@@ -87,3 +87,32 @@ def test_license_cases(spark):
     spaced = spark.createDataFrame([(1, texts[1])], "row long, text string").select("row", licenses._spaced(F.col("text")).alias("spaced"))
     span = next(r for r in licenses.spans(spaced, licenses.template_table(spark)).collect() if r.score == 1)
     assert (span.first_word, span.last_word) == (2, 1 + len(mit.split()))
+
+
+def test_license_spans_are_held_in_order(spark):
+    runs = [f"w{i} x{i} y{i} z{i} v{i} u{i}" for i in range(4)]
+    templates = spark.createDataFrame([(0, "long", " ".join(runs))], "template int, label string, text string")
+    gpl = next(t for label, t in licenses.TEMPLATES if label == "gpl")
+    texts = [
+        "This work is licensed under CC BY-SA. " * 4, "this work is licensed under my own terms " * 50, gpl, f"{gpl} {gpl}",
+        "this work is licensed under the new gnu general public license version 3", " ".join(runs[::-1]), " ".join(runs),
+        " ".join(runs[:2] + ["put in"] + runs[2:]),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(3, texts[3])], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert [got[i].labels for i in range(5)] == ["", "", "gpl", "gpl", "gpl"]
+    assert [got[i].score for i in range(5)] == [0, 0, 1, 1, 0.5]
+    own = {r.doc_id: r.score for r in licenses.scan(docs, templates).collect()}
+    assert [own[i] for i in (5, 6, 7)] == [0, 1, 0.8]
+
+
+def test_longest_chain_of_hits(spark):
+    rng = random.Random(5)
+    cases = [sorted({(rng.randrange(30), -rng.randrange(20)) for _ in range(rng.randrange(40))}) for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(cases)), "no int, hits array<struct<at: int, back: int>>")
+    got = {r.no: r.n for r in rows.select("no", licenses._in_order(F.col("hits")).alias("n")).collect()}
+    for no, hits in enumerate(cases):
+        best = {}
+        for at, back in hits:
+            best[at, back] = 1 + max((n for (a, b), n in best.items() if a < at and b > back), default=0)
+        assert got[no] == max(best.values(), default=0)

@@ -117,6 +117,21 @@ def _phrase_starts(spaced: Column, phrase: str) -> Column:
     return F.when(spaced.contains(f" {phrase} "), starts).otherwise(F.array().cast("array<int>"))
 
 
+def _in_order(hits: Column) -> Column:
+    """How many different template positions the hits ``(at, -t_at)``, sorted, hold in rising order (the longest such chain).
+
+    ``ends[n]`` is the lowest position on which a chain of ``n + 1`` ends.  Positions of one
+    word of the text come in falling order, so a chain takes one of them at most.
+    """
+
+    def add(ends: Column, hit: Column) -> Column:
+        at = -hit["back"]
+        n = F.size(F.filter(ends, lambda end: end < at))
+        return F.concat(F.slice(ends, F.lit(1), n), F.array(at), F.slice(ends, n + 2, F.size(ends)))
+
+    return F.aggregate(hits, F.array().cast("array<int>"), add, F.size)
+
+
 def spans(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """Verified template spans: ``row, template, label, first_word, last_word, score`` of ``docs (row, spaced)``."""
     own = (
@@ -132,16 +147,14 @@ def spans(docs: DataFrame, templates: DataFrame) -> DataFrame:
         .join(own, "run")
         .select("row", "template", "label", "t_runs", "at", "t_at", F.floor((F.col("at") - F.col("t_at")) / BAND).alias("band"))
     )
-    bands = hits.groupBy("row", "template", "label", "t_runs", "band").agg(
-        F.min("at").alias("lo"), F.max("at").alias("hi"), F.size(F.collect_set("t_at")).alias("held")
-    )
+    bands = hits.groupBy("row", "template", "label", "t_runs", "band").agg(F.collect_set(F.struct("at", (-F.col("t_at")).alias("back"))).alias("hits"))
     before = Window.partitionBy("row", "template").orderBy("band")
     merged = (
         bands.withColumn("new", F.coalesce(F.col("band") - F.lag("band").over(before) > 1, F.lit(True)).cast("int"))
         .withColumn("span", F.sum("new").over(before))
-        .groupBy("row", "template", "label", "span")
-        .agg(F.min("lo").alias("first_word"), (F.max("hi") + K - 1).alias("last_word"),
-             F.least(F.sum("held") / F.max("t_runs"), F.lit(1.0)).alias("score"))
+        .groupBy("row", "template", "label", "t_runs", "span").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"))
+        .select("row", "template", "label", "span", F.col("hits")[0]["at"].alias("first_word"),
+                (F.element_at("hits", -1)["at"] + K - 1).alias("last_word"), (_in_order(F.col("hits")) / F.col("t_runs")).alias("score"))
     )
     return merged.filter(F.col("score") >= MIN_SCORE).drop("span")
 
