@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from tables import rows
 from pyspark.sql import functions as F, types as T
 
 from trendloom import archive

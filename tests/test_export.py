@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from tables import rows
 from pyspark.sql import functions as F
 
 from trendloom import envelopes, export, normalize, quality, reports, sinks

@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from tables import rows
 
 from trendloom import interest, ranking, related
 

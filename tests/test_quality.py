@@ -1,4 +1,4 @@
-from conftest import rows
+from tables import rows
 from pyspark.sql import functions as F
 
 from trendloom import dims, quality, reports

@@ -2,7 +2,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from tables import rows
 from test_changes import A, B, expected_history, random_history
 
 from trendloom import alerts, landing, watch
