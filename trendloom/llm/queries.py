@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chunk_dedup, decontamination, licenses, line_dedup, mixing, near_dedup, quality_rules, secret_scan, sharding, suffix_dedup
+from . import (
+    chunk_dedup, decontamination, licenses, line_dedup, mixing, near_dedup, phrases, quality_rules, secret_scan, sharding, spelling,
+    sql_texts, suffix_dedup, url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +64,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -72,5 +87,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_licenses": op10_licenses,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_url_filter": op12_url_filter,
+    "op13_phrases": op13_phrases,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(sql_texts.ORACLES)
