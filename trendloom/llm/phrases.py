@@ -1,9 +1,10 @@
 """Phrase collocations from a weighted de Bruijn graph of words.
 
-Texts are cut into pieces and words.  A first pass counts pairs of neighbouring words by
+Texts are cut into pieces and words.  A first pass counts words and pairs of neighbours by
 their 64-bit hash and keeps those that occur ``min_count`` times as a Bloom filter of fixed
-size; a phrase over a rarer pair can be no candidate, so a piece is cut there.  The filter
-only saves work: what it lets through is counted exactly.
+size; a phrase over a rarer pair can be no candidate, so a piece is cut there, and what
+starts with a rarer word alone only adds to the number of words.  The filter only saves work:
+what it lets through is counted exactly.
 
 The second pass aggregates the longest grams: an edge of ``width`` words joins the nodes of
 its first and its last ``width - 1`` words, and where a piece ends sooner, the shorter
@@ -23,6 +24,7 @@ each count.  Other columns are ignored.  An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,11 @@ TOP = 2000
 #: Bits of the filter of frequent pairs, and hashes per pair.
 BITS = 1 << 24
 PROBES = 3
-#: Distinct pairs that a task holds before it passes them on.
+#: Distinct words and pairs that a task holds before it passes them on.
 PAIRS = 1 << 20
+#: Bytes of whole texts looked at in one go, and distinct grams that a task holds.
+CHUNK = 1 << 20
+GRAMS = 100_000
 #: Words of a path's row.
 SEGMENT = 1000
 
@@ -81,9 +86,9 @@ def _pair_counts(batches):
 
     for batch in batches:
         langs = _langs(batch)
-        for t in cells.texts_of(batch.column("text"), counting.CHUNK):
+        for t in cells.texts_of(batch.column("text"), CHUNK):
             w = Words(t, langs[t.lo : t.lo + t.n])
-            key, n = np.unique(w.pair[w.joined], return_counts=True)
+            key, n = np.unique(np.concatenate([w.one, w.pair[w.joined]]), return_counts=True)
             keys.append(key)
             counts.append(n)
             size += len(key)
@@ -108,8 +113,15 @@ def _slots(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_probes(pair)).astype(np.int64))], ["slot"])
 
 
-def frequent_pairs(docs: DataFrame, min_count: int = MIN_COUNT) -> np.ndarray:
-    """A Bloom filter of ``BITS`` bits that holds every pair of words with ``min_count`` occurrences or more."""
+def _held_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    out = np.ones(len(keys), bool)
+    for slot in _probes(keys):
+        out &= (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+    return out
+
+
+def frequent(docs: DataFrame, min_count: int = MIN_COUNT) -> np.ndarray:
+    """A Bloom filter of ``BITS`` bits that holds every word and pair of words with ``min_count`` occurrences or more."""
     pairs = docs.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     slots = pairs.filter(F.col("n") >= min_count).select("pair").mapInArrow(_slots, "slot long")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(63).cast("int"))
@@ -121,40 +133,40 @@ def frequent_pairs(docs: DataFrame, min_count: int = MIN_COUNT) -> np.ndarray:
 
 def _grams(bits: np.ndarray, width: int):
     def run(batches):
-        held = counting.Held()
+        held, rare = counting.Held(), Counter()
         table = bits.view(np.uint64)
         for batch in batches:
             langs = _langs(batch)
-            for t in cells.texts_of(batch.column("text"), counting.CHUNK):
+            for t in cells.texts_of(batch.column("text"), CHUNK):
                 own = langs[t.lo : t.lo + t.n]
                 w = Words(t, own)
                 n = len(w.text)
-                linked = w.joined.copy()
-                for slot in _probes(w.pair):
-                    linked &= (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+                linked = w.joined & _held_in(table, w.pair)
                 # How many words from here to where the chain ends.
                 ends = np.flatnonzero(~linked)
                 left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) + 1 if n else np.zeros(0, np.int64)
                 size = np.minimum(left, width)
                 two = cells.mix(cells.span_hashes(counting.SECOND_LOWER[t.data], w.starts, w.ends) + w.lang)
-                at = np.arange(n)
-                key = [cells.span_hashes(x, at, at + size) + size.astype(np.uint64) for x in (w.one, two)]
+                usual = linked | _held_in(table, w.one)
+                for text, c in zip(*(x.tolist() for x in np.unique(w.text[~usual], return_counts=True))):
+                    rare[own[text]] += c
+                at = np.flatnonzero(usual)
+                key = [cells.span_hashes(x, at, at + size[at]) + size[at].astype(np.uint64) for x in (w.one, two)]
                 first, counts = counting.distinct(*key)
+                first = at[first]
                 raw = counting.lowered(t.data).tobytes()
                 starts, stops, text = w.starts.tolist(), w.ends.tolist(), w.text
                 for i, k, c in zip(first.tolist(), size[first].tolist(), counts.tolist()):
                     gram = b" ".join([raw[starts[j] : stops[j]] for j in range(i, i + k)])
                     held.counts[own[text[i]], gram, k] += c
-                if held.over:
-                    yield _gram_rows(held)
-        if held.counts:
-            yield _gram_rows(held)
+                if len(held.counts) > GRAMS:
+                    yield _gram_rows(held.take())
+        yield _gram_rows(held.take() + [((lang, b"", 0), n) for lang, n in rare.items()])
 
     return run
 
 
-def _gram_rows(held: counting.Held) -> pa.RecordBatch:
-    rows = held.take()
+def _gram_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([k[0] for k, _ in rows], pa.string()), counting.text_column([k[1] for k, _ in rows]),
          pa.array([k[2] for k, _ in rows], pa.int32()), pa.array([n for _, n in rows], pa.int64())],
@@ -165,10 +177,10 @@ def _gram_rows(held: counting.Held) -> pa.RecordBatch:
 def longest_grams(docs: DataFrame, min_count: int = MIN_COUNT, width: int = WIDTH) -> DataFrame:
     """``lang, gram, size, w``: edges of ``width`` words, and shorter rests where a piece or a chain of frequent pairs ends.
 
-    Every word starts exactly one row's occurrence.
+    Every word starts exactly one row's occurrence; rare words that start nothing else are summed up as size 0.
     """
     rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    bits = frequent_pairs(rows, min_count)
+    bits = frequent(rows, min_count)
     counted = rows.mapInArrow(_grams(bits, width), "lang string, gram string, size int, w long")
     return counted.groupBy("lang", "gram", "size").agg(F.sum("w").alias("w"))
 
@@ -180,7 +192,7 @@ def _first(text: str, n: Column) -> Column:
 
 def flow(grams: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """``lang, phrase, size, f`` of all phrases with ``min_count`` occurrences, from what starts with them."""
-    starts = grams.select("lang", "gram", "w", F.explode(F.sequence(F.lit(1), "size")).alias("size"))
+    starts = grams.filter(F.col("size") > 0).select("lang", "gram", "w", F.explode(F.sequence(F.lit(1), "size")).alias("size"))
     return (
         starts.groupBy("lang", _first("gram", F.col("size")).alias("phrase"), "size")
         .agg(F.sum("w").alias("f")).filter(F.col("f") >= min_count)
