@@ -1,14 +1,14 @@
 """Phrase collocations from a weighted de Bruijn graph of words.
 
 Texts are cut into pieces and words.  A first pass counts words and pairs of neighbours by
-their 64-bit hash and keeps those that occur ``min_count`` times as a Bloom filter of fixed
-size; a phrase over a rarer pair can be no candidate, so a piece is cut there, and what
-starts with a rarer word alone only adds to the number of words.  The filter only saves work:
-what it lets through is counted exactly.
-
-The second pass aggregates the longest grams: an edge of ``width`` words joins the nodes of
-its first and its last ``width - 1`` words, and where a piece ends sooner, the shorter
-rest is counted as that piece's end.  All shorter counts come from these rows: a
+their 64-bit hash, a second one triples of frequent pairs; those that occur ``min_count`` times
+are kept as Bloom filters of fixed size.  A phrase over a rarer pair or triple can be no
+candidate, so a gram ends before it, and a rarer word alone only adds to the number of
+words.  The filters only save work: what they let through is counted exactly.
+
+The last pass aggregates the longest grams: an edge of ``width`` words joins the nodes of
+its first and its last ``width - 1`` words, and where a piece (or what can be frequent) ends
+sooner, the shorter rest is counted as a piece's end.  All shorter counts come from these rows: a
 phrase occurs as often as edges leave it (node flow) plus the piece ends that start with
 it.  Counts combine inside tasks before the shuffle.
 
@@ -40,9 +40,9 @@ TOP = 2000
 BITS = 1 << 24
 PROBES = 3
 #: Distinct words and pairs that a task holds before it passes them on.
-PAIRS = 1 << 20
+PAIRS = 1 << 19
 #: Bytes of whole texts looked at in one go, and distinct grams that a task holds.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 GRAMS = 100_000
 #: Words of a path's row.
 SEGMENT = 1000
@@ -67,40 +67,57 @@ class Words:
         self.joined = np.zeros(len(text), bool)
         if len(text):
             self.joined[:-1] = (text[1:] == text[:-1]) & (breaks[self.starts[1:]] == breaks[self.ends[:-1]])
-        self.pair = np.zeros(len(text), np.uint64)
-        self.pair[:-1] = cells.mix(self.one[:-1] * _SCRAMBLE[0] + self.one[1:] * _SCRAMBLE[1])
+        self.pair = _both(self.one)
+
+
+def _both(keys: np.ndarray) -> np.ndarray:
+    """A key for each key and the next one."""
+    out = np.zeros(len(keys), np.uint64)
+    out[:-1] = cells.mix(keys[:-1] * _SCRAMBLE[0] + keys[1:] * _SCRAMBLE[1])
+    return out
 
 
 def _langs(batch: pa.RecordBatch) -> list[str]:
     return ["und" if x is None else x for x in batch.column("lang").to_pylist()]
 
 
-def _pair_counts(batches):
-    keys, counts, size = [], [], 0
+def _linked(w: Words, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a frequent pair starts here, and whether two that overlap do."""
+    two = w.joined & _held_in(pairs, w.pair)
+    return two, two & np.append(two[1:], False)
+
 
-    def merged():
+def _key_counts(pairs: np.ndarray | None):
+    """Counts of words and pairs, or of triples of what ``pairs`` holds."""
+
+    def merged(keys, counts):
         order = np.argsort(key := np.concatenate(keys))
         key, n = key[order], np.concatenate(counts)[order]
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         return key[head], np.add.reduceat(n, head)
 
-    for batch in batches:
-        langs = _langs(batch)
-        for t in cells.texts_of(batch.column("text"), CHUNK):
-            w = Words(t, langs[t.lo : t.lo + t.n])
-            key, n = np.unique(np.concatenate([w.one, w.pair[w.joined]]), return_counts=True)
-            keys.append(key)
-            counts.append(n)
-            size += len(key)
-            if size > PAIRS:
-                key, n = merged()
-                if len(key) > PAIRS // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(cells.signed(key)), pa.array(n)], ["pair", "n"])
-                    key, n = key[:0], n[:0]
-                keys, counts, size = [key], [n], len(key)
-    if size:
-        key, n = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(cells.signed(key)), pa.array(n)], ["pair", "n"])
+    def run(batches):
+        keys, counts, size = [], [], 0
+        for batch in batches:
+            langs = _langs(batch)
+            for t in cells.texts_of(batch.column("text"), CHUNK):
+                w = Words(t, langs[t.lo : t.lo + t.n])
+                some = np.concatenate([w.one, w.pair[w.joined]]) if pairs is None else _both(w.pair)[_linked(w, pairs)[1]]
+                key, n = np.unique(some, return_counts=True)
+                keys.append(key)
+                counts.append(n)
+                size += len(key)
+                if size > PAIRS:
+                    key, n = merged(keys, counts)
+                    if len(key) > PAIRS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(cells.signed(key)), pa.array(n)], ["pair", "n"])
+                        key, n = key[:0], n[:0]
+                    keys, counts, size = [key], [n], len(key)
+        if size:
+            key, n = merged(keys, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(cells.signed(key)), pa.array(n)], ["pair", "n"])
+
+    return run
 
 
 def _probes(pair: np.ndarray) -> list[np.ndarray]:
@@ -114,16 +131,20 @@ def _slots(batches):
 
 
 def _held_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    table = table.view(np.uint64)
     out = np.ones(len(keys), bool)
     for slot in _probes(keys):
         out &= (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
     return out
 
 
-def frequent(docs: DataFrame, min_count: int = MIN_COUNT) -> np.ndarray:
-    """A Bloom filter of ``BITS`` bits that holds every word and pair of words with ``min_count`` occurrences or more."""
-    pairs = docs.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    slots = pairs.filter(F.col("n") >= min_count).select("pair").mapInArrow(_slots, "slot long")
+def frequent(docs: DataFrame, min_count: int = MIN_COUNT, pairs: np.ndarray | None = None) -> np.ndarray:
+    """A Bloom filter of ``BITS`` bits that holds every word and pair of words with ``min_count`` occurrences or more.
+
+    With such a filter as ``pairs``: one that holds all triples.
+    """
+    keys = docs.mapInArrow(_key_counts(pairs), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    slots = keys.filter(F.col("n") >= min_count).select("pair").mapInArrow(_slots, "slot long")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(63).cast("int"))
     held = slots.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
     out = np.zeros(BITS // 64, np.int64)  # as many rows at most
@@ -131,23 +152,23 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT) -> np.ndarray:
     return out
 
 
-def _grams(bits: np.ndarray, width: int):
+def _grams(pairs: np.ndarray, triples: np.ndarray, width: int):
     def run(batches):
         held, rare = counting.Held(), Counter()
-        table = bits.view(np.uint64)
         for batch in batches:
             langs = _langs(batch)
             for t in cells.texts_of(batch.column("text"), CHUNK):
                 own = langs[t.lo : t.lo + t.n]
                 w = Words(t, own)
                 n = len(w.text)
-                linked = w.joined & _held_in(table, w.pair)
-                # How many words from here to where the chain ends.
-                ends = np.flatnonzero(~linked)
-                left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) + 1 if n else np.zeros(0, np.int64)
-                size = np.minimum(left, width)
+                linked, overlap = _linked(w, pairs)
+                overlap &= _held_in(triples, _both(w.pair))
+                # How far frequent triples go on from here: a word each, and the two words of the last.
+                ends = np.flatnonzero(~overlap)
+                left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) if n else np.zeros(0, np.int64)
+                size = np.where(left > 0, np.minimum(left + 2, width), 1 + linked)
                 two = cells.mix(cells.span_hashes(counting.SECOND_LOWER[t.data], w.starts, w.ends) + w.lang)
-                usual = linked | _held_in(table, w.one)
+                usual = linked | _held_in(pairs, w.one)
                 for text, c in zip(*(x.tolist() for x in np.unique(w.text[~usual], return_counts=True))):
                     rare[own[text]] += c
                 at = np.flatnonzero(usual)
@@ -180,8 +201,9 @@ def longest_grams(docs: DataFrame, min_count: int = MIN_COUNT, width: int = WIDT
     Every word starts exactly one row's occurrence; rare words that start nothing else are summed up as size 0.
     """
     rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    bits = frequent(rows, min_count)
-    counted = rows.mapInArrow(_grams(bits, width), "lang string, gram string, size int, w long")
+    pairs = frequent(rows, min_count)
+    triples = frequent(rows, min_count, pairs)
+    counted = rows.mapInArrow(_grams(pairs, triples, width), "lang string, gram string, size int, w long")
     return counted.groupBy("lang", "gram", "size").agg(F.sum("w").alias("w"))
 
 
