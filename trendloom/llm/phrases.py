@@ -1,10 +1,10 @@
 """Phrase collocations from a weighted de Bruijn graph of words.
 
 Texts are cut into pieces and words.  A first pass counts words and pairs of neighbours by
-their 64-bit hash, a second one triples of frequent pairs; those that occur ``min_count`` times
-are kept as Bloom filters of fixed size.  A phrase over a rarer pair or triple can be no
-candidate, so a gram ends before it, and a rarer word alone only adds to the number of
-words.  The filters only save work: what they let through is counted exactly.
+their 64-bit hash, further ones triples of frequent pairs and so on below ``width`` words; those
+that occur ``min_count`` times are kept as Bloom filters of fixed size.  A phrase over a rarer
+one can be no candidate, so a gram ends before it, and a rarer word alone only adds to the
+number of words.  The filters only save work: what they let through is counted exactly.
 
 The last pass aggregates the longest grams: an edge of ``width`` words joins the nodes of
 its first and its last ``width - 1`` words, and where a piece (or what can be frequent) ends
@@ -43,7 +43,7 @@ PROBES = 3
 PAIRS = 1 << 19
 #: Bytes of whole texts looked at in one go, and distinct grams that a task holds.
 CHUNK = 1 << 19
-GRAMS = 100_000
+GRAMS = 200_000
 #: Words of a path's row.
 SEGMENT = 1000
 
@@ -81,14 +81,18 @@ def _langs(batch: pa.RecordBatch) -> list[str]:
     return ["und" if x is None else x for x in batch.column("lang").to_pylist()]
 
 
-def _linked(w: Words, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether a frequent pair starts here, and whether two that overlap do."""
-    two = w.joined & _held_in(pairs, w.pair)
-    return two, two & np.append(two[1:], False)
+def _frequent_at(w: Words, filters: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For 2 words and more: whether so many that may be frequent start here, and the keys of one word more."""
+    keys, flags = w.pair, []
+    for bits in filters:
+        flag = flags[-1] & np.append(flags[-1][1:], False) if flags else w.joined
+        flags.append(flag & _held_in(bits, keys))
+        keys = _both(keys)
+    return flags, keys
 
 
-def _key_counts(pairs: np.ndarray | None):
-    """Counts of words and pairs, or of triples of what ``pairs`` holds."""
+def _key_counts(filters: list[np.ndarray]):
+    """Counts of words and pairs, or with filters of one word more than the last of them holds."""
 
     def merged(keys, counts):
         order = np.argsort(key := np.concatenate(keys))
@@ -102,7 +106,11 @@ def _key_counts(pairs: np.ndarray | None):
             langs = _langs(batch)
             for t in cells.texts_of(batch.column("text"), CHUNK):
                 w = Words(t, langs[t.lo : t.lo + t.n])
-                some = np.concatenate([w.one, w.pair[w.joined]]) if pairs is None else _both(w.pair)[_linked(w, pairs)[1]]
+                flags, some = _frequent_at(w, filters)
+                if flags:
+                    some = some[flags[-1] & np.append(flags[-1][1:], False)]
+                else:
+                    some = np.concatenate([w.one, some[w.joined]])
                 key, n = np.unique(some, return_counts=True)
                 keys.append(key)
                 counts.append(n)
@@ -138,12 +146,12 @@ def _held_in(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def frequent(docs: DataFrame, min_count: int = MIN_COUNT, pairs: np.ndarray | None = None) -> np.ndarray:
+def frequent(docs: DataFrame, min_count: int, filters: list[np.ndarray]) -> np.ndarray:
     """A Bloom filter of ``BITS`` bits that holds every word and pair of words with ``min_count`` occurrences or more.
 
-    With such a filter as ``pairs``: one that holds all triples.
+    With the ``filters`` for 2 to k words: one that holds all of k + 1 words.
     """
-    keys = docs.mapInArrow(_key_counts(pairs), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    keys = docs.mapInArrow(_key_counts(filters), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     slots = keys.filter(F.col("n") >= min_count).select("pair").mapInArrow(_slots, "slot long")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(63).cast("int"))
     held = slots.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
@@ -152,7 +160,7 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, pairs: np.ndarray | No
     return out
 
 
-def _grams(pairs: np.ndarray, triples: np.ndarray, width: int):
+def _grams(filters: list[np.ndarray], width: int):
     def run(batches):
         held, rare = counting.Held(), Counter()
         for batch in batches:
@@ -161,14 +169,14 @@ def _grams(pairs: np.ndarray, triples: np.ndarray, width: int):
                 own = langs[t.lo : t.lo + t.n]
                 w = Words(t, own)
                 n = len(w.text)
-                linked, overlap = _linked(w, pairs)
-                overlap &= _held_in(triples, _both(w.pair))
-                # How far frequent triples go on from here: a word each, and the two words of the last.
-                ends = np.flatnonzero(~overlap)
-                left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) if n else np.zeros(0, np.int64)
-                size = np.where(left > 0, np.minimum(left + 2, width), 1 + linked)
+                flags, _ = _frequent_at(w, filters)
+                size = 1 + sum(f.astype(np.int64) for f in flags)
+                # Where the longest filtered ones follow each other, a gram goes on.
+                ends = np.flatnonzero(~flags[-1])
+                left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) if n else size
+                size = np.minimum(np.where(left > 0, left + len(filters), size), width)
                 two = cells.mix(cells.span_hashes(counting.SECOND_LOWER[t.data], w.starts, w.ends) + w.lang)
-                usual = linked | _held_in(pairs, w.one)
+                usual = flags[0] | _held_in(filters[0], w.one)
                 for text, c in zip(*(x.tolist() for x in np.unique(w.text[~usual], return_counts=True))):
                     rare[own[text]] += c
                 at = np.flatnonzero(usual)
@@ -201,9 +209,10 @@ def longest_grams(docs: DataFrame, min_count: int = MIN_COUNT, width: int = WIDT
     Every word starts exactly one row's occurrence; rare words that start nothing else are summed up as size 0.
     """
     rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    pairs = frequent(rows, min_count)
-    triples = frequent(rows, min_count, pairs)
-    counted = rows.mapInArrow(_grams(pairs, triples, width), "lang string, gram string, size int, w long")
+    filters: list[np.ndarray] = []
+    for _ in range(2, max(3, width)):
+        filters.append(frequent(rows, min_count, filters))
+    counted = rows.mapInArrow(_grams(filters, width), "lang string, gram string, size int, w long")
     return counted.groupBy("lang", "gram", "size").agg(F.sum("w").alias("w"))
 
 
