@@ -9,6 +9,8 @@ unchanged keyword gives no row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,6 +18,13 @@ from ..schemas import CHANGE_COLUMNS, CHANGE_EVENTS, SNAPSHOT_KEY
 from .sequence import neighbours
 
 
+def same_key(left: DataFrame, right: DataFrame, key: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on ``key`` in which NULL is a key like any other; the left side's key stays."""
+    renamed = right.withColumnsRenamed({k: f"_of_{k}" for k in key})
+    same = reduce(and_, [left[k].eqNullSafe(renamed[f"_of_{k}"]) for k in key])
+    return left.join(renamed, same, how).drop(*[f"_of_{k}" for k in key])
+
+
 def _event() -> Column:
     return (
         F.when(F.col("prev_rank").isNull(), "new")
@@ -85,7 +94,7 @@ def diff_history(trends: DataFrame, snapshots: DataFrame, bucket: str = "day") -
     meet in one aggregation instead of a deduplication and a self-join.
     """
     links = neighbours(snapshots.select(*SNAPSHOT_KEY), ["source", "geo"], "fetched_at", bucket)
-    placed = _usable(trends, SNAPSHOT_KEY).join(links, SNAPSHOT_KEY)
+    placed = same_key(_usable(trends, SNAPSHOT_KEY), links, SNAPSHOT_KEY)
     targets = F.array(
         F.struct(F.when(F.col("prev_at").isNotNull(), F.col("fetched_at")).alias("at"), F.lit(False).alias("is_prev")),
         F.struct(F.col("next_at").alias("at"), F.lit(True).alias("is_prev")),
@@ -143,7 +152,7 @@ def change_summary(snapshots: DataFrame, changes: DataFrame, bucket: str = "day"
         *[F.count_if(F.col("event") == e).alias(f"{e}_count") for e in CHANGE_EVENTS],
     )
     zero = F.lit(0).cast("bigint")
-    return links.join(counted, SNAPSHOT_KEY, "left").select(
+    return same_key(links, counted, SNAPSHOT_KEY, "left").select(
         *SNAPSHOT_KEY,
         F.col("prev_at").isNull().alias("baseline"),
         F.col("prev_trend_count").alias("previous_count"),

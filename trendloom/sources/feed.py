@@ -145,6 +145,26 @@ def feed_envelopes(landing: DataFrame) -> DataFrame:
     )
 
 
+def feed_snapshot_rows(landing: DataFrame) -> DataFrame:
+    """Snapshots as a watch takes them: ``source, geo, fetched_at, trends, landed_at``, one per readable document."""
+    trends = F.transform(
+        F.col("doc.channel.item"),
+        lambda item, i: F.struct(
+            F.coalesce(item["title"], F.lit("N/A")).alias("keyword"),
+            (i + 1).cast("int").alias("rank"),
+            volume_min(F.coalesce(item["approx_traffic"], F.lit("N/A"))).cast("bigint").alias("volume_min"),
+        ),
+    )
+    none = F.array().cast("array<struct<keyword:string,rank:int,volume_min:bigint>>")
+    return _parsed(landing).select(
+        F.lit("rss").alias("source"),
+        "geo",
+        "fetched_at",
+        _keep(~_is_bad(F.col("doc")), F.coalesce(trends, none).alias("trends")),
+        "landed_at",
+    )
+
+
 def feed_snapshots(landing: DataFrame) -> DataFrame:
     """One header per readable document, also for a feed without items."""
     items = F.greatest(F.coalesce(F.size("doc.channel.item"), F.lit(0)), F.lit(0))

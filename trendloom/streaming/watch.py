@@ -1,164 +1,129 @@
 """Change detection on a stream of snapshots.
 
-State is the last snapshot per (source, geo), cut into ``splits`` parts by
-keyword hash: a busy geo is spread over that many keys, and each part diffs its
-own keywords.  Every snapshot sends a marker to every part, so a part notices a
-snapshot that has none of its keywords.
+Every micro-batch is one set-wise diff: its snapshots and the last stored one of every
+(source, geo) go through the same aggregation as a whole history, so a busy geo spreads
+over its keywords and no task holds a geo.
+
+A snapshot counts if it is newer than all of its geo that landed in earlier files;
+otherwise it is late, and is set aside and counted.  Only the order in which files
+landed decides, not how many of them make up a micro-batch, so every limit of files or bytes per
+trigger finds the same changes.  (Files with one modification time, to the
+millisecond, have no order; land one geo's snapshots in different milliseconds.)
+
+Tables of a watch, below its folder:
+
+* ``state/v=<batch>``: last snapshot per (source, geo), whole.  A batch reads the newest version
+  before its own and writes its own last, so a repeated batch finds the same;
+* ``late/batch=<batch>``: headers of late snapshots.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..operators.changes import filter_changes
-from ..schemas import CHANGE_COLUMNS, CHANGES
+from ..operators.changes import diff_history, filter_changes, same_key
+from ..schemas import SNAPSHOT_KEY
 
-DEFAULT_SPLITS = 4
+_GEO = ["source", "geo"]
+_STATE = "source STRING, geo STRING, fetched_at TIMESTAMP, keyword STRING, rank INT, volume_min BIGINT"
+_LATE = "source STRING, geo STRING, fetched_at TIMESTAMP, newest_at TIMESTAMP, batch BIGINT"
+#: Column in which a stream carries when its file landed.
+ARRIVED = "landed_at"
 
-_STATE = "fetched_at TIMESTAMP, keyword ARRAY<STRING>, rank ARRAY<INT>, volume_min ARRAY<BIGINT>"
 
+def written(spark: SparkSession, path: str, prefix: str = "v=") -> list[int]:
+    """Numbers of the complete versions (or batches) below ``path``."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    done = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith(prefix)]
+    return sorted(int(p.getName()[len(prefix):]) for p in done if files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
-def _spread(snapshots: DataFrame, splits: int) -> DataFrame:
-    """Snapshot rows to (source, geo, split) rows plus one marker per split."""
-    marker = F.transform(
-        F.sequence(F.lit(0), F.lit(splits - 1)),
-        lambda s: F.struct(
-            s.alias("split"),
-            F.lit(None).cast("string").alias("keyword"),
-            F.lit(None).cast("int").alias("rank"),
-            F.lit(None).cast("bigint").alias("volume_min"),
-        ),
-    )
-    named = F.filter("trends", lambda t: (t["keyword"] != "") & t["rank"].isNotNull())
-    rows = F.transform(
-        F.coalesce(named, F.array().cast("array<struct<keyword:string,rank:int,volume_min:bigint>>")),
-        lambda t: F.struct(
-            F.pmod(F.xxhash64(t["keyword"]), F.lit(splits)).cast("int").alias("split"),
-            t["keyword"].alias("keyword"),
-            t["rank"].alias("rank"),
-            F.coalesce(t["volume_min"], F.lit(0).cast("bigint")).alias("volume_min"),
-        ),
-    )
-    return snapshots.select("source", "geo", "fetched_at", F.inline(F.concat(marker, rows)))
 
+def _drop_version(spark: SparkSession, path: str, version: int) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/v={version}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
-def _changes(rows: pd.DataFrame, first: int, last: int) -> pd.DataFrame:
-    """Changes between numbered snapshots ``first..last`` of one part."""
-    before = rows[rows["seq"] < last].assign(seq=lambda d: d["seq"] + 1)
-    pairs = rows[rows["seq"] > first].merge(
-        before, how="outer", on=["seq", "keyword"], suffixes=("", "_old"), indicator="side"
-    )
-    up = pairs["volume_min"] - pairs["volume_min_old"]
-    pairs["event"] = np.select(
-        [pairs["side"] == "left_only", pairs["side"] == "right_only", up > 0, up < 0, pairs["rank"] != pairs["rank_old"]],
-        ["new", "dropped", "volume_up", "volume_down", "rank_change"],
-        default="",
-    )
-    return pairs[pairs["event"] != ""]
 
+def _place(snapshots: DataFrame, last: DataFrame) -> DataFrame:
+    """Adds ``newest_at``: the newest time of the geo in the state and in files that landed before."""
+    per_file = snapshots.groupBy(*_GEO, ARRIVED).agg(F.max("fetched_at").alias("hi"))
+    # One row per geo and file of the batch, all of which the driver has listed before.
+    before = Window.partitionBy(*_GEO).orderBy(ARRIVED).rowsBetween(Window.unboundedPreceding, -1)
+    upto = per_file.select(*_GEO, ARRIVED, F.max("hi").over(before).alias("upto"))
+    known = last.groupBy(*_GEO).agg(F.max("fetched_at").alias("stored"))
+    placed = same_key(same_key(snapshots, upto, [*_GEO, ARRIVED]), known, _GEO, "left")
+    return placed.withColumn("newest_at", F.greatest("upto", "stored")).drop("upto", "stored")
 
-class SnapshotDiff(StatefulProcessor):
-    """Diff each new snapshot against the last one kept for its key part.
 
-    Snapshots of a micro-batch are put in time order first; one that is not
-    newer than the kept one is ignored.  The first one is the baseline.
-    """
+@dataclass(frozen=True)
+class Watch:
+    """A ``foreachBatch`` writer that diffs landed snapshots; ``on_changes`` gets each batch's changes.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_snapshot", _STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        kept = self._last.get() if self._last.exists() else None
-        if kept is not None:
-            batch = batch[batch["fetched_at"] > pd.Timestamp(kept[0])]
-        times = np.sort(batch["fetched_at"].unique())
-        if len(times) == 0:
-            return
-        named = batch[batch["keyword"].notna()].sort_values("rank")
-        named = named.drop_duplicates(["fetched_at", "keyword"])
-        current = pd.DataFrame(
-            {
-                "seq": np.searchsorted(times, named["fetched_at"].to_numpy()) + 1,
-                "keyword": named["keyword"],
-                "rank": named["rank"].astype("int64"),
-                "volume_min": named["volume_min"].astype("int64"),
-            }
-        )
-        if kept is not None:
-            old = pd.DataFrame({"keyword": list(kept[1]), "rank": list(kept[2]), "volume_min": list(kept[3])})
-            current = pd.concat([old.assign(seq=0), current], ignore_index=True)
-        first, last = (1 if kept is None else 0), len(times)
-
-        newest = current[current["seq"] == last]
-        self._last.update(
-            (
-                pd.Timestamp(times[-1]).to_pydatetime(),
-                newest["keyword"].tolist(),
-                newest["rank"].astype(int).tolist(),
-                newest["volume_min"].astype(int).tolist(),
-            )
-        )
-        found = _changes(current, first, last)
-        if len(found):
-            yield pd.DataFrame(
-                {
-                    "source": key[0],
-                    "geo": key[1],
-                    "fetched_at": times[found["seq"].to_numpy() - 1],
-                    "event": found["event"],
-                    "keyword": found["keyword"],
-                    "rank": found["rank"].astype("Int32"),
-                    "prev_rank": found["rank_old"].astype("Int32"),
-                    "volume_min": found["volume_min"].astype("Int64"),
-                    "prev_volume_min": found["volume_min_old"].astype("Int64"),
-                }
-            )[CHANGE_COLUMNS]
-
-    def close(self) -> None:
-        pass
-
-
-def watch(
-    snapshots: DataFrame,
-    min_volume: int | None = None,
-    events: Sequence[str] | None = None,
-    keywords: Sequence[str] | None = None,
-    splits: int = DEFAULT_SPLITS,
-) -> DataFrame:
-    """Stream of changes between consecutive snapshots of every (source, geo).
-
-    Needs the RocksDB state store provider (``session.RECOMMENDED``).  The
-    baseline lives in the checkpoint and survives restarts.  ``splits`` is part
-    of the state layout: keep it for the life of a checkpoint.
+    ``snapshots`` rows have ``source, geo, fetched_at, trends, landed_at``; the first snapshot of a
+    geo is its baseline.  ``on_changes`` may see a batch again after a failure, with the
+    same number and the same changes.
     """
-    spread = _spread(snapshots, splits)
-    changes = spread.groupBy("source", "geo", "split").transformWithStateInPandas(
-        statefulProcessor=SnapshotDiff(),
-        outputStructType=CHANGES,
-        outputMode="Update",
-        timeMode="None",
-    )
-    return filter_changes(changes, min_volume, events, keywords)
 
-
-def start_watch(
-    changes: DataFrame,
-    on_batch: Callable[[DataFrame, int], None],
-    checkpoint: str,
-    interval: str | None = None,
-):
+    folder: str
+    on_changes: Callable[[DataFrame, int], None]
+    min_volume: int | None = None
+    events: Sequence[str] | None = None
+    keywords: Sequence[str] | None = None
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, state = batch.sparkSession, f"{self.folder}/state"
+        earlier = [v for v in written(spark, state) if v < batch_id]
+        last = spark.read.schema(_STATE).parquet(f"{state}/v={earlier[-1]}") if earlier else spark.createDataFrame([], _STATE)
+        batch = batch.persist()
+        try:
+            placed = _place(batch, last)
+            newer = F.col("newest_at").isNull() | (F.col("fetched_at") > F.col("newest_at"))
+            newer = F.coalesce(newer & F.col("fetched_at").isNotNull(), F.lit(False))  # without time: set aside, too
+            # Of one snapshot that a file holds twice, one stays.
+            fresh = placed.filter(newer).groupBy(*SNAPSHOT_KEY).agg(
+                F.min_by("trends", F.xxhash64(F.to_json("trends"))).alias("trends")
+            )
+            fresh = fresh.persist()
+            empty = F.array(F.struct(*[F.lit(None).cast(t).alias(c) for c, t in (("keyword", "string"), ("rank", "int"), ("volume_min", "bigint"))]))
+            # A snapshot without trends keeps one row, so that its time is not lost.
+            rows = fresh.select(*SNAPSHOT_KEY, F.inline(F.when(F.size("trends") > 0, F.col("trends")).otherwise(empty)))
+            both = last.unionByName(rows.select(*last.columns))
+            changes = diff_history(both, both.select(*SNAPSHOT_KEY).distinct())
+            self.on_changes(filter_changes(changes, self.min_volume, self.events, self.keywords), batch_id)
+            late = placed.filter(~newer).select(*SNAPSHOT_KEY, "newest_at")
+            late.write.mode("overwrite").parquet(f"{self.folder}/late/batch={batch_id}")
+            newest = both.groupBy(*_GEO).agg(F.max("fetched_at").alias("fetched_at"))
+            same_key(both, newest, SNAPSHOT_KEY, "left_semi").write.mode("overwrite").parquet(f"{state}/v={batch_id}")
+            for version in earlier[:-1]:
+                _drop_version(spark, state, version)
+            fresh.unpersist()
+        finally:
+            batch.unpersist()
+
+
+def start_watch(snapshots: DataFrame, watch: Watch, checkpoint: str, interval: str | None = None):
     """Run a watch: every ``interval``, or over what has landed and then stop."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
-        changes.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(on_batch)
-        .trigger(**trigger)
-        .start()
+        snapshots.writeStream.option("checkpointLocation", checkpoint).foreachBatch(watch).trigger(**trigger).start()
     )
+
+
+def baseline(spark: SparkSession, folder: str) -> DataFrame:
+    """What the next snapshots are compared with: ``source, geo, fetched_at, keyword, rank, volume_min``."""
+    versions = written(spark, f"{folder}/state")
+    if not versions:
+        return spark.createDataFrame([], _STATE)
+    rows = spark.read.schema(_STATE).parquet(f"{folder}/state/v={versions[-1]}")
+    return rows.filter(F.col("keyword").isNotNull() & (F.col("keyword") != ""))
+
+
+def late_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshots that landed too late, with the newest time that their geo had by then."""
+    return spark.read.schema(_LATE).parquet(f"{folder}/late").drop("batch")
