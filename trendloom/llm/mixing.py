@@ -11,8 +11,8 @@ The cut is found in two steps (sums per hash bucket, then order within the one
 bucket that holds it), so a source with a third of all rows is no single task.
 
 Defined results: a null source is a source, ordered last; null and empty texts have
-size 0 and take 0 words; rows with one ``doc_id`` share their hash and are taken
-alike; with no words at all every target is 0.  Other columns are ignored.
+size 0 and take 0 words; rows that agree in ``doc_id`` and text share their hash and are
+taken alike, others with one id (or none) are not; with no words at all every target is 0.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +29,13 @@ def n_words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _content(text: str = "text") -> Column:
+    """What tells rows without id, or with one id, apart."""
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def _hash(seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), "doc_id")
+    return F.xxhash64(F.lit(seed), "doc_id", "content")
 
 
 def cycled_weights(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -75,7 +80,7 @@ def fill(sources: DataFrame, share: float = 1.0, max_epochs: float = 3.0) -> Dat
 
 
 def plan(sized: DataFrame, share: float = 1.0, max_epochs: float = 3.0, seed: int = 17) -> DataFrame:
-    """One row per source: ``source, source_size, target, whole, cut``; sized has ``doc_id, source, size``."""
+    """One row per source: ``source, source_size, target, whole, cut``; sized has ``doc_id, source, size, content``."""
     spark = sized.sparkSession
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ratio = F.col("target") / F.col("source_size")
@@ -125,7 +130,8 @@ def mix(docs: DataFrame, share: float = 1.0, max_epochs: float = 3.0, seed: int
     """One row per document: ``doc_id, source, size, source_size, target, copies, taken``."""
     sized = materialize(
         docs.sparkSession,
-        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words().alias("size")), "sizes",
+        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words().alias("size"), _content().alias("content")),
+        "sizes",
     )
     p = plan(sized, share, max_epochs, seed).withColumnRenamed("source", "p_source")
     return sized.join(p, F.col("source").eqNullSafe(F.col("p_source"))).select(
@@ -140,10 +146,12 @@ def sample(docs: DataFrame, share: float = 1.0, max_epochs: float = 3.0, seed: i
     Documents stay where they are read: only the plan of one row per source is joined,
     and Spark broadcasts it if its size allows.
     """
-    sized = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words().alias("size"))
+    sized = docs.select(
+        F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words().alias("size"), _content().alias("content")
+    )
     p = plan(materialize(docs.sparkSession, sized, "sizes"), share, max_epochs, seed)
     p = p.select(F.col("source").alias("_p_source"), F.col("whole").alias("_p_whole"), F.col("cut").alias("_p_cut"))
-    copies = F.col("_p_whole") + (F.xxhash64(F.lit(seed), docs["doc_id"].cast("long")) <= F.col("_p_cut")).cast("long")
+    copies = F.col("_p_whole") + (F.xxhash64(F.lit(seed), docs["doc_id"].cast("long"), _content()) <= F.col("_p_cut")).cast("long")
     return (
         docs.join(p, docs["source"].cast("string").eqNullSafe(F.col("_p_source")))
         .withColumn("_p_copy", F.explode(F.sequence(F.lit(1), F.greatest(copies, F.lit(1)))))
