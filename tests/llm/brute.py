@@ -16,13 +16,13 @@ def sha(text):
     return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
 
 
-def quality(docs, max_docs=10, max_share=0.1, min_left=0.3):
-    """docs: (doc_id, text, source) rows."""
+def quality(docs, max_docs=10, max_share=0.1, share_docs=5, min_left=0.3, min_words=50):
+    """docs: (doc_id, text, source) rows; documents with the same lines count once in a host."""
     lines, hosts, out = Counter(), Counter(), []
     norm = lambda x: " ".join(WORD.findall(lower(x)))
-    for _, text, source in docs:
+    for source, content in {(s, frozenset({norm(x) for x in (t or "").split("\n")} - {""})) for _, t, s in docs}:
         hosts[source] += 1
-        for x in {norm(x) for x in (text or "").split("\n")} - {""}:
+        for x in content:
             lines[source, x] += 1
     for doc, text, source in docs:
         text = text or ""
@@ -37,11 +37,11 @@ def quality(docs, max_docs=10, max_share=0.1, min_left=0.3):
                 dup += x in seen
                 seen.add(x)
                 n = lines[source, norm(x)]
-                if n > max_docs and n > max_share * hosts[source]:
+                if n > max_docs or (n >= share_docs and n > max_share * hosts[source]):
                     left -= len(WORD.findall(x))
-        failed = len(words) < 50 or 100 * len(rep) > 50 * len(words)
+        failed = len(words) < min_words or 100 * len(rep) > 50 * len(words)
         out.append((doc, len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(rep), failed,
-                    not failed and left >= min_left * len(words)))
+                    not failed and left >= min_left * len(words) and left >= min_words))
     return out
 
 

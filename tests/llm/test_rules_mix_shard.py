@@ -51,6 +51,50 @@ def test_common_lines_in_any_host_size(spark):
     assert {r[3] for r in got if r[0] in gone} == {40}
 
 
+def test_copies_make_no_line_common(spark):
+    """Copies of one text in one host stay for the near-duplicate stage; a line of eleven texts goes."""
+    body = lambda i: " ".join(f"word{i}x{j}" for j in range(60))
+    rows = [(i if i < 6 else None, body(0) + "\n" + body(1), "h") for i in range(12)]
+    rows += [(20 + i, body(20 + i) + "\n" + body(2) + " common" * 20, "h") for i in range(11)]
+    rows += [(40 + i, body(40 + i), "h") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = plain(quality_rules.judge(docs), "doc_id", "kept", "n_common_lines")
+    assert [r[1:] for r in got if r[0] is None or r[0] < 6] == [(True, 0)] * 12
+    assert {r[2] for r in got if r[0] is not None and 20 <= r[0] < 40} == {1}
+    assert sorted(got, key=key) == sorted(((r[0], r[-1], int(20 <= (r[0] or 0) < 40)) for r in brute.quality(rows)), key=key)
+    assert quality_rules.keep_good(docs).count() == 123
+
+
+def test_given_texts_by_the_present_rule(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("source", F.lit("one"))
+    got = plain(quality_rules.judge(docs), "doc_id", "n_words", "kept")
+    want = brute.quality(plain(docs, "doc_id", "text", "source"))
+    assert sorted(got) == sorted((r[0], r[1], r[-1]) for r in want)
+
+
+def test_stages_judge_rows_by_themselves(spark):
+    """Rows without id, or with the id of a bad row, stay or go by their own text."""
+    good, passage = (" ".join(f"{w}{i}" for i in range(60)) for w in ("good", "leak"))
+    rows = [(None, good, "h"), (None, "too short", "h"), (7, good + " x", "h"), (7, passage, "h"), (None, passage + " more", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    items = spark.createDataFrame([(1, " ".join(f"leak{i}" for i in range(20)))], "item_id long, text string")
+    assert {r.text for r in quality_rules.keep_good(docs).collect()} == {r[1] for r in rows} - {"too short"}
+    clean = decontamination.drop_contaminated(docs, items).collect()
+    assert sorted((r.text for r in clean)) == sorted([good, "too short", good + " x"])
+
+
+def test_rows_without_id_reach_the_target(spark):
+    rows = [(None, "w " * 10 + str(i), "a") for i in range(100)] + [(i, "w " * 11, "b") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, target = Counter(), {}
+    for r in mixing.mix(docs).collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 11 for s in "ab")
+    again = Counter(r.text for r in mixing.sample(docs).collect() if r.source == "a")
+    assert sum(again.values()) * 11 == taken["a"]
+
+
 def test_stage_filters_keep_columns(odd_docs, spark):
     items = spark.createDataFrame([(1, "second line of the same text")], "item_id long, text string")
     for out in (quality_rules.keep_good(odd_docs), decontamination.drop_contaminated(odd_docs, items), mixing.sample(odd_docs)):

@@ -210,6 +210,12 @@ def _prefix_slots(batches):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Documents without any item window, with all their columns; rows without id stay."""
-    bad = contamination(docs, benchmark, width).filter("contaminated").select(F.col("doc_id").alias("_bad_id"))
-    return docs.join(bad, docs["doc_id"] == F.col("_bad_id"), "left_anti")
+    """Documents without any item window, with all their columns.
+
+    A verdict depends on the text only, so rows are told apart by its 64-bit hash: rows without id and rows that
+    share one are each judged by themselves.
+    """
+    key = F.xxhash64(docs["text"].cast("string"))
+    keyed = docs.select(key.alias("doc_id"), "text")
+    bad = contamination(keyed, benchmark, width).filter("contaminated").select(F.col("doc_id").alias("_bad_key")).distinct()
+    return docs.join(bad, key == F.col("_bad_key"), "left_anti")

@@ -5,18 +5,19 @@ cross-document lines: every normalised line (lower-cased A-Z, words joined by on
 space) is hashed, its distinct documents are counted per host, and common lines are
 taken out: those in more than ``max_docs`` documents, however large the host is, and
 in small hosts also those in ``share_docs`` documents or more that are more than
-``max_share`` of the host's.  A document of which less than ``min_left`` of the
+``max_share`` of the host's.  Documents with the same set of lines are copies of one document
+and count once, so copies alone make no line common: they are for a
+near-duplicate stage, which keeps one.  A document of which less than ``min_left`` of the
 words, or less than ``min_words`` words, are left is rejected as depleted.
 
-Counting combines before the shuffle, so a line that every document has costs one
-row per task.  The common lines of a host are at most its lines / ``share_docs``;
-beyond what can be broadcast they are joined by a shuffle.  Where more than
-``max_docs`` documents of a host are exact copies, all their lines are common and
-all of them are rejected.
+Documents are counted by (host, line, content), so a line that every document has spreads over
+its documents and combines before its second shuffle.  The common lines of a host are at most its
+lines / ``share_docs``; beyond what can be broadcast they are joined by a shuffle.
 
 Defined results: null and empty texts have no words and fail the base rules; a
 null host is a host of its own; rows that share a ``doc_id`` are judged one by
-one and each counts as a document.  Other columns of the input are ignored.
+one.  Very long texts are read whole.  Other columns of the input are ignored.  An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -109,13 +110,14 @@ def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
     stats = materialize(
         spark, rows.mapInArrow(_scan, SCHEMA).withColumn("row", F.monotonically_increasing_id()), "quality"
     )
-    hosts = stats.groupBy("host").agg(F.count("*").alias("host_docs"))
-    lines = stats.select("row", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select(
-        "row", "host", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words")
+    content = F.xxhash64("lines").alias("content")  # lines are distinct and in a fixed order
+    hosts = stats.select("host", content).groupBy("host").agg(F.count_distinct("content").alias("host_docs"))
+    lines = stats.select("row", "host", content, F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select(
+        "row", "host", "content", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words")
     )
     common = materialize(
         spark,
-        lines.groupBy("host", "line").agg(F.count("*").alias("docs"))
+        lines.groupBy("host", "line").agg(F.count_distinct("content").alias("docs"))
         .filter((F.col("docs") > limits.max_docs) | (F.col("docs") >= limits.share_docs)).alias("c")
         .join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
         .filter((F.col("docs") > limits.max_docs) | (F.col("docs") > limits.max_share * F.col("host_docs")))
@@ -143,6 +145,12 @@ def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
 
 
 def keep_good(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
-    """The documents that the rules keep, with all their columns; a row without id is judged as kept."""
-    bad = judge(docs, limits, host).filter(~F.col("kept")).select(F.col("doc_id").alias("_bad_id"))
-    return docs.join(bad, docs["doc_id"] == F.col("_bad_id"), "left_anti")
+    """The documents that the rules keep, with all their columns.
+
+    A verdict depends on text and host only, so rows are told apart by these (64-bit hash): rows without id and
+    rows that share one are each judged by themselves.
+    """
+    key = F.xxhash64(F.col("text").cast("string"), F.col(host).cast("string"))
+    keyed = docs.select(key.alias("doc_id"), "text", F.col(host).alias("host"))
+    bad = judge(keyed, limits, "host").filter(~F.col("kept")).select(F.col("doc_id").alias("_bad_key")).distinct()
+    return docs.join(bad, key == F.col("_bad_key"), "left_anti")
