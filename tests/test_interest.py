@@ -87,3 +87,42 @@ def test_related(spark):
     assert sorted(map(tuple, same.collect())) == sorted(map(tuple, found.collect()))
     with pytest.raises(ValueError):
         related.related_queries(uses, [], DAY, DAY)
+
+
+def test_many_comparisons_equal_single_ones(spark):
+    """Thirty comparisons in one job, all of them with one keyword; no window over everything."""
+    import random
+    from datetime import datetime, timedelta
+
+    draw = random.Random(9)
+    words = [f"k{i}" for i in range(12)]
+    data = [(draw.choice(words), datetime(2026, 1, 1) + timedelta(hours=draw.randrange(480)), f"u{draw.randrange(9)}") for _ in range(900)]
+    events = spark.createDataFrame(data, "keyword string, ts timestamp, user string")
+    users = spark.createDataFrame([(f"u{i}", f"g{i % 4}", f"G{i % 4}") for i in range(9)], "user string, geo_code string, geo_name string")
+    asked = {i: ["k0", *draw.sample(words[1:], 1 + i % 4)] for i in range(30)}
+    odd = [(100, ["k1", "k1"]), (101, words), (102, None), (None, ["k1", "k2"]), (103, ["k1", None, "k2", "never used"])]
+    requests = spark.createDataFrame([*asked.items(), *odd], "comparison_id long, keywords array<string>")
+    members = interest.comparison_members(requests)
+    counts, regions = interest.bucket_counts(events), interest.region_counts(events, users)
+    series = interest.compare_many(counts, members)
+    got, places = {}, {}
+    for r in series.collect():
+        got.setdefault(r.comparison_id, set()).add((r.keyword, r.ts, r.value, r.is_partial))
+    for r in interest.many_winners(series).collect():
+        places.setdefault(r.comparison_id, set()).add((r.keyword, r.average, r.place))
+    wins = {}
+    for r in interest.many_region_winners(regions, members).collect():
+        wins.setdefault(r.comparison_id, set()).add((r.geo_code, r.top_keyword, r.top_value))
+    assert set(got) == {*asked, 103}
+    for i in (0, 1, 2, 3, 17, 29):
+        single = interest.compare_keywords(counts, asked[i])
+        assert got[i] == {tuple(r) for r in single.collect()}
+        assert places[i] == {tuple(r) for r in interest.winners(interest.averages(single)).collect()}
+        one = interest.compare_regions(regions, asked[i])
+        assert wins[i] == {(r.geo_code, r.top_keyword, r.top_value) for r in one.collect()}
+    assert rows(interest.rejected_comparisons(requests)) == rows(
+        spark.createDataFrame([(100, 1), (101, 12), (102, 0), (None, 2)], "comparison_id long, term_count int")
+    )
+    plan = interest.many_winners(series)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("[comparison_id#" in w or "[keyword#" in w for w in windows)

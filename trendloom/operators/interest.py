@@ -79,6 +79,63 @@ def compare_keywords(counts: DataFrame, keywords: Sequence[str]) -> DataFrame:
     return picked.select("keyword", "ts", _index(F.col("n"), _group_peak()).alias("value"), "is_partial")
 
 
+def comparison_members(requests: DataFrame) -> DataFrame:
+    """``comparison_id, keyword, pos``: the distinct keywords of ``requests (comparison_id, keywords)``, 2 to 5 each.
+
+    Requests with fewer or more are left out here and listed by :func:`rejected_comparisons`.
+    """
+    named = _named_keywords(requests)
+    return named.filter(_comparable()).select("comparison_id", F.posexplode("terms").alias("pos", "keyword")).select(
+        "comparison_id", "keyword", (F.col("pos") + 1).alias("pos")
+    )
+
+
+def rejected_comparisons(requests: DataFrame) -> DataFrame:
+    """``comparison_id, term_count`` of requests that do not name 2 to 5 keywords, or have no id."""
+    return _named_keywords(requests).filter(~_comparable()).select("comparison_id", F.size("terms").alias("term_count"))
+
+
+def _named_keywords(requests: DataFrame) -> DataFrame:
+    terms = F.filter(F.array_distinct("keywords"), lambda k: k.isNotNull())
+    return requests.select("comparison_id", F.coalesce(terms, F.array().cast("array<string>")).alias("terms"))
+
+
+def _comparable() -> Column:
+    return F.col("comparison_id").isNotNull() & F.size("terms").between(2, 5)
+
+
+def _on_shared_scales(counts: DataFrame, members: DataFrame) -> DataFrame:
+    """``counts`` once per comparison of their keyword, with ``value`` against the comparison's peak.
+
+    Peaks come from one row per keyword, so counts are only joined once, after everything that
+    depends on comparisons alone; a keyword that many comparisons name is a skewed join that adaptive execution splits.
+    """
+    tops = counts.groupBy("keyword").agg(F.max("n").alias("top"))
+    peaks = members.join(tops, "keyword").groupBy("comparison_id").agg(F.max("top").alias("peak"))
+    placed = members.join(peaks, "comparison_id")
+    return counts.join(placed, "keyword").withColumn("value", _index(F.col("n"), F.col("peak")))
+
+
+def compare_many(counts: DataFrame, members: DataFrame) -> DataFrame:
+    """Any number of comparisons at once: ``comparison_id, pos, keyword, ts, value, is_partial``."""
+    return _on_shared_scales(counts, members).select("comparison_id", "pos", "keyword", "ts", "value", "is_partial")
+
+
+def many_winners(series: DataFrame) -> DataFrame:
+    """Keywords of every comparison by falling average with their place, ties by keyword."""
+    average = series.groupBy("comparison_id", "keyword").agg(F.round(F.avg("value")).cast("int").alias("average"))
+    order = Window.partitionBy("comparison_id").orderBy(F.desc("average"), "keyword")  # five rows at most
+    return average.select("*", F.row_number().over(order).alias("place"))
+
+
+def many_region_winners(counts: DataFrame, members: DataFrame) -> DataFrame:
+    """The strongest keyword of every comparison and region; on ties the one named first."""
+    scaled = _on_shared_scales(counts, members)
+    return scaled.groupBy("comparison_id", "geo_code", "geo_name").agg(
+        F.max_by("keyword", F.struct("value", -F.col("pos"))).alias("top_keyword"), F.max("value").alias("top_value")
+    )
+
+
 def averages(series: DataFrame) -> DataFrame:
     """Average per keyword on the scale of ``series``."""
     return series.groupBy("keyword").agg(F.round(F.avg("value")).cast("int").alias("average"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators import answers, interest, quality, related
 from ..sources import explore
-from .base import flat, table
+from .base import TREND_SNAP_SQL, flat, keyword_events, table
 
 KEYWORDS = ["click", "error", "purchase", "signup", "view"]
 SEEDS = ["red plate", "small widget", "hot ring"]
@@ -68,6 +68,31 @@ def region_interest(spark: SparkSession, d: str) -> DataFrame:
     return interest.strongest_first(interest.interest_by_region(_region_counts(spark, d)))
 
 
+def _order_comparisons(spark: SparkSession, d: str) -> DataFrame:
+    """Every order compares the part names it holds."""
+    named = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    held = named.groupBy(F.col("l_orderkey").alias("comparison_id")).agg(F.array_sort(F.collect_set("p_name")).alias("keywords"))
+    return held  # seven lines to an order at most
+
+
+def many_comparison_winners(spark: SparkSession, d: str) -> DataFrame:
+    """Keywords of each order compared by their months."""
+    uses = keyword_events(spark, d).select("keyword", F.col("ts").cast("timestamp").alias("ts"))
+    members = interest.comparison_members(_order_comparisons(spark, d))
+    return interest.many_winners(interest.compare_many(interest.bucket_counts(uses, "month"), members))
+
+
+def many_comparison_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Keywords of each order compared by region."""
+    counts = keyword_events(spark, d).groupBy("keyword", F.col("geo").alias("geo_code"), F.col("geo").alias("geo_name"))
+    members = interest.comparison_members(_order_comparisons(spark, d))
+    return interest.many_region_winners(counts.agg(F.count(F.lit(1)).alias("n")), members)
+
+
+def rejected_comparisons(spark: SparkSession, d: str) -> DataFrame:
+    return interest.rejected_comparisons(_order_comparisons(spark, d))
+
+
 def region_winners(spark: SparkSession, d: str) -> DataFrame:
     found = interest.compare_regions(_region_counts(spark, d), KEYWORDS)
     cells = [F.coalesce(F.try_element_at("values", F.lit(k)), F.lit(0)).alias(f"value_{k}") for k in KEYWORDS]
@@ -291,6 +316,9 @@ QUERIES = {
     "series_latest": series_latest,
     "region_interest": region_interest,
     "region_winners": region_winners,
+    "many_comparison_winners": many_comparison_winners,
+    "many_comparison_regions": many_comparison_regions,
+    "rejected_comparisons": rejected_comparisons,
     "related_queries": related_queries,
     "payload_interest": payload_interest,
     "payload_related": payload_related,
@@ -386,6 +414,26 @@ related AS (
 )"""
 
 
+_MANY_SQL = TREND_SNAP_SQL + """,
+month_counts AS (
+  SELECT keyword, CAST(date_trunc('month', ts) AS TIMESTAMP) AS ts, count(*) AS n FROM keyword_events GROUP BY ALL
+),
+months AS (SELECT CAST(unnest(generate_series(min(ts), max(ts), INTERVAL 1 MONTH)) AS TIMESTAMP) AS ts FROM month_counts),
+month_grid AS (
+  SELECT k.keyword, months.ts, coalesce(c.n, 0) AS n
+  FROM (SELECT DISTINCT keyword FROM month_counts) k CROSS JOIN months
+  LEFT JOIN month_counts c ON c.keyword = k.keyword AND c.ts = months.ts
+),
+geo_counts AS (SELECT keyword, geo, count(*) AS n FROM keyword_events GROUP BY ALL),
+named AS (SELECT DISTINCT l_orderkey AS comparison_id, p_name AS keyword FROM lineitem JOIN part ON l_partkey = p_partkey),
+sizes AS (SELECT comparison_id, CAST(count(*) AS INTEGER) AS term_count FROM named GROUP BY comparison_id),
+members AS (SELECT named.* FROM named JOIN sizes USING (comparison_id) WHERE term_count BETWEEN 2 AND 5)"""
+
+
+def _m(body: str) -> str:
+    return f"WITH {_MANY_SQL}\n{body}"
+
+
 def _i(body: str) -> str:
     return f"WITH {_INTEREST_SQL}\n{body}"
 
@@ -397,6 +445,27 @@ def _r(body: str) -> str:
 _PIVOT = ", ".join(f"max(value) FILTER (keyword = '{k}') AS \"{k}\"" for k in KEYWORDS)
 
 ORACLES = {
+    "many_comparison_winners": _m(
+        """
+SELECT comparison_id, keyword, average,
+       CAST(row_number() OVER (PARTITION BY comparison_id ORDER BY average DESC, keyword) AS INTEGER) AS place
+FROM (
+  SELECT comparison_id, keyword, CAST(round(avg(CAST(round(n * CAST(100 AS DOUBLE) / peak) AS INTEGER))) AS INTEGER) AS average
+  FROM members JOIN month_grid USING (keyword)
+  JOIN (SELECT comparison_id, max(n) AS peak FROM members JOIN month_grid USING (keyword) GROUP BY 1) USING (comparison_id)
+  GROUP BY comparison_id, keyword)"""
+    ),
+    "many_comparison_regions": _m(
+        """
+SELECT comparison_id, geo AS geo_code, geo AS geo_name, first(keyword ORDER BY value DESC, keyword) AS top_keyword,
+       max(value) AS top_value
+FROM (
+  SELECT comparison_id, keyword, geo,
+         CAST(round(n * CAST(100 AS DOUBLE) / max(n) OVER (PARTITION BY comparison_id)) AS INTEGER) AS value
+  FROM members JOIN geo_counts USING (keyword))
+GROUP BY comparison_id, geo"""
+    ),
+    "rejected_comparisons": _m("SELECT comparison_id, term_count FROM sizes WHERE term_count NOT BETWEEN 2 AND 5"),
     "interest_over_time": _i("SELECT keyword, ts, value, is_partial FROM own_scale"),
     "comparison_series": _i("SELECT keyword, ts, value, is_partial FROM shared_scale"),
     "comparison_winners": _i(
