@@ -46,6 +46,35 @@ def test_foreign_names_are_set_aside(spark, folder):
     assert export.read_exports(spark, str(folder), end="2026-08-16 10:15").count() == 3
 
 
+def test_columns_by_name(spark, tmp_path):
+    """Shuffled and added columns, a byte order mark, a missing column, an empty file, a foreign name, a file without rows."""
+    name = lambda geo: tmp_path / f"trends_{geo}_24h_all_20260816-101500.csv"
+    write(tmp_path, name("US").name, [line(f"us {i}") for i in range(700)])
+    turned = ["\ufeffExplore link", "Note", "Ended", " Trends", "Started", "Search volume", "Trend breakdown"]
+    body = "".join(f'l{i},"n,\n{i}",,"fr ""{i}""",s,{i}K+,b\n' for i in range(500))
+    name("FR").write_text(",".join(turned) + "\n" + body, encoding="utf-8")
+    name("DE").write_text("Trends,Volume\na,1\n")
+    name("IT").write_text("")
+    name("ES").write_text(HEADER)
+    write(tmp_path, "other.csv", [line("lost")])
+    got = export.read_exports_by_name(spark, str(tmp_path))
+    want = [("US", i + 1, f"us {i}", "5M+", None) for i in range(700)]
+    want += [("FR", i + 1, f'fr "{i}"', f"{i}K+", None) for i in range(500)]
+    assert rows(got.select("geo", "rank", "Trends", "`Search volume`", "Ended")) == sorted(
+        want, key=lambda r: tuple((v is None, str(v)) for v in r)
+    )
+    same = got.where("geo = 'US'").select("rank", *[f"`{c}`" for c in ("Trends", "Started", "Trend breakdown", "Explore link")])
+    one = export.read_exports(spark, str(name("US")))
+    assert rows(same) == rows(one.select(same.columns[0], *[f"`{c}`" for c in same.columns[1:]]))
+    heads = {r.geo: (r.header[:2], r.missing, r.extra) for r in export.export_headers(spark, str(tmp_path)).collect()}
+    assert heads["FR"] == (["Explore link", "Note"], [], ["Note"]) and heads["ES"][1:] == ([], [])
+    assert heads["DE"][1] == ["Search volume", "Started", "Ended", "Trend breakdown", "Explore link"]
+    reasons = {r.geo: r.reason for r in export.export_quarantine(spark, str(tmp_path)).collect()}
+    assert reasons == {
+        "DE": "no Search volume, Started, Ended, Trend breakdown, Explore link", None: "no export's name"
+    }
+
+
 def test_rank_is_the_line_over_many_files_and_batches(spark, tmp_path):
     for f in range(30):
         write(tmp_path, f"trends_US_4h_all_202608{f % 28 + 1:02d}-{f:06d}.csv", [line(f"{f}\n{i}") for i in range(480)])

@@ -76,6 +76,47 @@ def raw_exports(spark: SparkSession, d: str) -> DataFrame:
     return export.read_exports(spark, export_folder(spark, d))
 
 
+def _mixed_folder(spark: SparkSession, d: str) -> str:
+    """Export files of several layouts: columns of ASIA turned round with one more, EUROPE without the end."""
+    path, rows = shared_folder(spark, "mixed-exports"), rendered(spark, d)
+    layouts = {
+        "ASIA": ["Note", *reversed(EXPORT_COLUMNS)], "EUROPE": [c for c in EXPORT_COLUMNS if c != "Ended"], None: EXPORT_COLUMNS,
+    }
+    of = F.regexp_extract("file", "^trends_([^_]+)_", 1)
+    for geo, columns in layouts.items():
+        some = rows.where(~of.isin("ASIA", "EUROPE") if geo is None else of == geo).withColumn("Note", F.lit("x, y"))
+        (
+            some.repartition(spark.sparkContext.defaultParallelism, "file").sortWithinPartitions("file", "o_orderkey")
+            .select("file", *[F.col(f"`{c}`") for c in columns])
+            .write.mode("append").partitionBy("file").options(header=True, escape='"').csv(path)
+        )
+    return path
+
+
+def export_headers(spark: SparkSession, d: str) -> DataFrame:
+    """Header row of every file, and what it lacks."""
+    found = export.export_headers(spark, _mixed_folder(spark, d))
+    return flat(found.select("geo", "fetched_at", *[F.array_join(c, "|").alias(c) for c in ("header", "missing", "extra")]))
+
+
+def export_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Files whose header lacks a column."""
+    return flat(export.export_quarantine(spark, _mixed_folder(spark, d)).select("geo", "hours", "category", "fetched_at", "reason"))
+
+
+def export_by_name(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of files of several layouts, columns found by their names."""
+    raw = export.read_exports_by_name(spark, _mixed_folder(spark, d))
+    return flat(
+        raw.select(
+            "geo", "hours", "category", "fetched_at", "rank",
+            F.col("Trends").alias("trend"), F.col("`Search volume`").alias("volume"), F.col("Started").alias("started"),
+            F.col("Ended").alias("ended"), F.col("`Trend breakdown`").alias("breakdown"),
+            F.col("`Explore link`").alias("link"),
+        )
+    )
+
+
 def export_ingest(spark: SparkSession, d: str) -> DataFrame:
     return flat(
         raw_exports(spark, d).select(
@@ -130,6 +171,9 @@ def all_trends(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "export_ingest": export_ingest,
+    "export_headers": export_headers,
+    "export_quarantine": export_quarantine,
+    "export_by_name": export_by_name,
     "export_normalized": export_normalized,
     "export_filtered": export_filtered,
     "export_by_volume": export_by_volume,
@@ -179,6 +223,27 @@ SELECT geo, CAST(24 AS INTEGER) AS hours, category, fetched_at, rank, trend, tho
        priority || ', , status ' || o_orderstatus || ',customer ' || o_custkey AS breakdown,
        './explore?q=' || o_orderkey AS link
 FROM exported"""
+    ),
+    "export_by_name": _export(
+        """
+SELECT geo, CAST(24 AS INTEGER) AS hours, category, fetched_at, rank, trend, thousands || 'K+' AS volume, started, ended,
+       priority || ', , status ' || o_orderstatus || ',customer ' || o_custkey AS breakdown,
+       './explore?q=' || o_orderkey AS link
+FROM exported WHERE geo <> 'EUROPE'"""
+    ),
+    "export_headers": _export(
+        f"""
+SELECT DISTINCT geo, fetched_at,
+       CASE geo WHEN 'ASIA' THEN 'Note|{"|".join(reversed(EXPORT_COLUMNS))}'
+                WHEN 'EUROPE' THEN '{"|".join(c for c in EXPORT_COLUMNS if c != "Ended")}'
+                ELSE '{"|".join(EXPORT_COLUMNS)}' END AS header,
+       CASE geo WHEN 'EUROPE' THEN 'Ended' ELSE '' END AS missing, CASE geo WHEN 'ASIA' THEN 'Note' ELSE '' END AS extra
+FROM exported"""
+    ),
+    "export_quarantine": _export(
+        """
+SELECT DISTINCT geo, CAST(24 AS INTEGER) AS hours, category, fetched_at, 'no Ended' AS reason FROM exported
+WHERE geo = 'EUROPE'"""
     ),
     "export_normalized": _export(
         """

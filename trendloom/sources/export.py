@@ -99,3 +99,93 @@ def read_exports(
         "rank",
         *[F.col(f"`{c}`") for c in EXPORT_COLUMNS],
     )
+
+
+#: Columns of a file of unknown layout that are looked at.
+MAX_COLUMNS = 32
+_MARK = "\ufeff"
+
+
+def _headers_in(batch: pa.RecordBatch, current: str | None):
+    """Slices of one file each: first row, last row, file, whether the file begins there."""
+    files = batch.column("file_path").to_numpy(zero_copy_only=False)
+    edges = [0, *(np.flatnonzero(files[1:] != files[:-1]) + 1).tolist(), len(files)]
+    for a, b in zip(edges, edges[1:]):
+        yield a, b, files[a], a > 0 or files[a] != current
+
+
+def _header_row(batch: pa.RecordBatch, at: int) -> list[str]:
+    cells = [batch.column(f"c{i}")[at].as_py() for i in range(MAX_COLUMNS)]
+    while cells and cells[-1] is None:
+        cells.pop()
+    return [(c or "").strip().removeprefix(_MARK).strip() for c in cells]
+
+
+def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    current = None
+    for batch in batches:
+        found = {"file_path": [], "header": []}
+        for a, _, name, begins in _headers_in(batch, current) if batch.num_rows else ():
+            if begins:
+                found["file_path"].append(name)
+                found["header"].append(_header_row(batch, a))
+            current = name
+        yield pa.RecordBatch.from_pydict(found, pa.schema([("file_path", pa.string()), ("header", pa.list_(pa.string()))]))
+
+
+def _rows_by_name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the cells of the expected columns, wherever a file has them; files without one give none."""
+    current, places, seen = None, None, 0
+    for batch in batches:
+        for a, b, name, begins in _headers_in(batch, current) if batch.num_rows else ():
+            if begins:
+                header = _header_row(batch, a)
+                places = [header.index(c) for c in EXPORT_COLUMNS] if set(EXPORT_COLUMNS) <= set(header) else None
+                a, seen, current = a + 1, 0, name
+            if places is None or a == b:
+                continue
+            part = batch.slice(a, b - a)
+            rank = pa.array(np.arange(seen + 1, seen + 1 + len(part)), pa.int32())
+            seen += len(part)
+            cells = [part.column(f"c{i}") for i in places]
+            yield pa.RecordBatch.from_arrays([*cells, part.column("file_path"), rank], [*EXPORT_COLUMNS, "file_path", "rank"])
+
+
+def _cells(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of all files by position, header rows included; a file is read by one task."""
+    raw = spark.read.schema(", ".join(f"c{i} STRING" for i in range(MAX_COLUMNS)))
+    raw = raw.options(header=False, multiLine=True, escape='"', recursiveFileLookup=True, pathGlobFilter="*.csv").csv(path)
+    return raw.select(*[f"c{i}" for i in range(MAX_COLUMNS)], F.col("_metadata.file_path").alias("file_path"))
+
+
+def _named(rows: DataFrame, *columns: Column | str) -> DataFrame:
+    return rows.select(*[column.alias(name) for name, column in _name_fields("file_path").items()], *columns)
+
+
+def read_exports_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_exports`, with columns found by the names in each file's header row.
+
+    Columns may stand in any order and between others.  Files that lack one are left out and listed
+    by :func:`export_quarantine`.  The header travels with the task that reads the file: no join, no shuffle.
+    """
+    rows = _cells(spark, path).mapInArrow(_rows_by_name, f"{EXPORT_SCHEMA}, file_path STRING, rank INT")
+    named = _named(rows, "rank", *[F.col(f"`{c}`") for c in EXPORT_COLUMNS])
+    return named.where(F.col("geo").isNotNull() & F.col("fetched_at").isNotNull())
+
+
+def export_headers(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file with a row: ``geo, hours, category, fetched_at, file_path, header, missing, extra``."""
+    found = _cells(spark, path).mapInArrow(_first_rows, "file_path STRING, header ARRAY<STRING>")
+    wanted = F.array(*[F.lit(c) for c in EXPORT_COLUMNS])
+    return _named(
+        found, "file_path", "header",
+        F.array_except(wanted, "header").alias("missing"), F.array_except("header", wanted).alias("extra"),
+    )
+
+
+def export_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Files that :func:`read_exports_by_name` leaves out, with a ``reason``; files of no bytes are no rows to Spark."""
+    missing = F.when(F.size("missing") > 0, F.concat(F.lit("no "), F.array_join("missing", ", ")))
+    foreign = F.when(F.col("geo").isNull() | F.col("fetched_at").isNull(), F.lit("no export's name"))
+    judged = export_headers(spark, path).withColumn("reason", F.concat_ws("; ", foreign, missing))
+    return judged.where(F.col("reason") != "").select("geo", "hours", "category", "fetched_at", "file_path", "reason")
