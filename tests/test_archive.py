@@ -97,6 +97,56 @@ def test_interrupted_append_is_finished_by_the_next(spark, root, monkeypatch):
     assert archive.snapshots(spark, root).count() == 5
 
 
+@pytest.mark.parametrize("table", ["trends", "snapshots"])
+def test_half_a_table_written(spark, root, monkeypatch, table):
+    """A write that dies with a part of its rows in place leaves nothing half; the rerun makes it whole."""
+    days = [("rss", g, datetime(2031, 3, 17, h), ["wide", "narrow", "low"]) for g in ("US", "PT") for h in range(4)]
+    real = archive._write
+
+    def dying(df, path, sort=()):
+        if not path.endswith(table):
+            return real(df, path, sort)
+        real(df.where("geo = 'US' AND hour(fetched_at) < 3" + (" AND rank < 3" if table == "trends" else "")), path, sort)
+        raise OSError("lost")
+
+    monkeypatch.setattr(archive, "_write", dying)
+    with pytest.raises(OSError):
+        archive.append(spark, root, envelopes(spark, days))
+    monkeypatch.setattr(archive, "_write", real)
+    per_key = lambda: archive.trends(spark, root).where("keyword IN ('wide', 'narrow', 'low')").groupBy("geo", "fetched_at").count()
+    assert {r["count"] for r in per_key().collect()} <= {3}
+    archive.append(spark, root, envelopes(spark, days))
+    found = per_key().collect()
+    assert len(found) == 8 and {r["count"] for r in found} == {3}
+    assert archive.snapshots(spark, root).count() == 4 + 8
+
+
+def test_two_appends_at_once_count_once(spark, root, monkeypatch):
+    when = datetime(2031, 3, 18)
+    first, second = (envelopes(spark, [("rss", "US", when, ks)]) for ks in (["a", "b"], ["c"]))
+    monkeypatch.setattr(archive, "_missing", lambda rows, existing: rows)  # neither sees the other
+    archive.append(spark, root, first)
+    archive.append(spark, root, second)
+    monkeypatch.undo()
+    kept = archive.snapshots(spark, root).where(F.col("fetched_at") == F.lit(when)).collect()
+    assert [r["trend_count"] for r in kept] == [2]
+    assert rows(archive.trends(spark, root).where(F.col("fetched_at") == F.lit(when)).select("keyword")) == [("a",), ("b",)]
+    assert archive.stored(spark, root, "trends").where("keyword = 'c'").count() == 1
+    # a prune leaves out what no longer counts
+    assert archive.prune(spark, root, "2031-03-14T10:00:00Z") == 2
+    assert archive.prune(spark, root, "2032-01-01", geo="US") == 3
+    assert archive.stored(spark, root, "trends").count() == 0
+
+
+def test_rows_without_label_are_the_first_batch(spark, root):
+    old = archive.stored(spark, root, "snapshots").where("hour(fetched_at) = 11").drop("batch")
+    gone = archive.stored(spark, root, "trends").where("keyword = 'night train'").drop("batch")
+    for frame, table in ((old, "snapshots"), (gone.withColumn("keyword", F.lit("old train")), "trends")):
+        frame.write.mode("append").partitionBy("source", "fetched_date").parquet(f"{root}/{table}")
+    assert archive.snapshots(spark, root).count() == 4
+    assert archive.trends(spark, root).where("keyword LIKE '% train'").first()["keyword"] == "old train"
+
+
 def test_long_and_empty_snapshots_are_whole(spark, tmp_path):
     at = str(tmp_path / "long")
     archive.create(spark, at)

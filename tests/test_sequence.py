@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from trendloom.operators.sequence import last_known, neighbours
+from trendloom.operators.sequence import cut_in_ranges, last_known, neighbours
 
 START = datetime(2026, 1, 1)
 
@@ -19,7 +19,7 @@ def walk(seed, n, keys="ab"):
     return out
 
 
-@pytest.mark.parametrize("bucket", ["minute", "hour", "day", "year"])
+@pytest.mark.parametrize("bucket", ["minute", "hour", "day", "year", None])
 def test_neighbours_equal_brute_force(spark, bucket):
     times = sorted({(k, t): v for k, t, _, v in walk(3, 300)}.items())
     made = spark.createDataFrame([(k, t, v) for (k, t), v in times], "k STRING, t TIMESTAMP, v INT")
@@ -34,7 +34,7 @@ def test_neighbours_equal_brute_force(spark, bucket):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("bucket", ["minute", "hour", "day", "year"])
+@pytest.mark.parametrize("bucket", ["minute", "hour", "day", "year", None])
 def test_last_known_equals_brute_force(spark, bucket):
     data = walk(11, 400)
     df = spark.createDataFrame(data, "k STRING, t TIMESTAMP, i INT, v INT")
@@ -55,3 +55,38 @@ def test_null_keys_and_times_stay(spark):
     assert {(r["v"], r["prev_at"], r["first_at"]) for r in got} == {
         (1, None, START), (2, START, START), (3, None, START), (4, None, START),
     }
+
+
+@pytest.fixture
+def ranges_stay(spark):
+    """Small tables are not merged into one range."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_one_key_in_one_hour_is_cut(spark, ranges_stay):
+    """All rows of a table have one key and one hour: ranges are even, results as in one piece."""
+    at = F.timestamp_micros(F.lit(1_767_225_600_000_000) + F.col("id") * 89_000)
+    made = spark.range(40_000).select(F.lit("k").alias("k"), at.alias("t"), F.col("id").cast("int").alias("v"))
+    sizes = [r["count"] for r in cut_in_ranges(made, ["k"], [F.col("t")]).groupBy("_bucket").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1.5 * min(sizes)
+    got = neighbours(made, ["k"], "t", None, carry=["v"])
+    wrong = got.where(
+        ~F.col("prev_v").eqNullSafe(F.when(F.col("v") > 0, F.col("v") - 1))
+        | ~F.col("next_at").eqNullSafe(F.when(F.col("v") < 39_999, F.timestamp_micros(F.unix_micros("t") + 89_000)))
+    )
+    assert got.count() == 40_000 and wrong.count() == 0
+    rare = {"seen": F.when(F.col("v") % 13_000 == 0, F.col("v"))}
+    seen = last_known(made, ["k"], [F.col("t"), F.col("v")], "t", rare, None)
+    assert seen.where(F.col("seen") != F.floor(F.col("v") / 13_000) * 13_000).count() == 0
+
+
+def test_equal_times_share_a_range(spark, ranges_stay):
+    made = spark.range(1000).select(F.lit("k").alias("k"), F.lit(START).alias("t"), F.col("id").alias("v"))
+    assert cut_in_ranges(made, ["k"], [F.col("t")]).select("_bucket").distinct().count() == 1
+    assert cut_in_ranges(made.limit(0), ["k"], [F.col("t")]).count() == 0
+    seen = last_known(made, ["k"], [F.col("t"), F.col("v")], "t", {"seen": F.when(F.col("v") % 400 == 0, F.col("v"))}, None)
+    assert seen.where(F.col("seen") != F.floor(F.col("v") / 400) * 400).count() == 0

@@ -6,14 +6,20 @@ and ``fetched_date`` (the UTC day, whatever the session's time zone), so filters
 on source and time prune files, and
 ``trends`` files are sorted by ``keyword_key`` so a keyword look-up skips row
 groups by their min/max.
+
+Each append labels its rows with a batch.  A snapshot is there as soon as its
+header is, and its trends are those with the header's label: rows of an append
+that was cut short belong to no header and are not read.  Of several headers
+with one key, as after two appends at once, the earliest batch counts.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import fold_ascii
 from ..functions.times import as_instant
@@ -22,11 +28,11 @@ from .sequence import neighbours
 
 SNAPSHOTS = (
     "source STRING, geo STRING, fetched_at TIMESTAMP, schema_version STRING, trend_count INT,"
-    " payload_json STRING, layout_version INT, fetched_date DATE"
+    " payload_json STRING, layout_version INT, batch STRING, fetched_date DATE"
 )
 TRENDS = (
     "source STRING, geo STRING, fetched_at TIMESTAMP, keyword STRING, keyword_key STRING, rank INT,"
-    " volume_text STRING, volume_min BIGINT, layout_version INT, fetched_date DATE"
+    " volume_text STRING, volume_min BIGINT, layout_version INT, batch STRING, fetched_date DATE"
 )
 _PARTITIONS = ["source", "fetched_date"]
 
@@ -48,18 +54,35 @@ def utc_day(instant: Column) -> Column:
 
 
 def stored(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All stored rows of ``snapshots`` or ``trends``, whatever their layout."""
+    """All stored rows of ``snapshots`` or ``trends``, whatever their layout and batch."""
     return spark.read.schema({"snapshots": SNAPSHOTS, "trends": TRENDS}[table]).parquet(_path(root, table))
 
 
+def _counting(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Stored rows of the batch that counts for their snapshot, with its label.
+
+    The batch is read from the narrow columns of the headers.  Filters on a
+    keyword go below the join, filters on the key to both sides of it.
+    """
+    key = [*SNAPSHOT_KEY, "fetched_date"]
+    first = guard_layout(stored(spark, root, "snapshots")).groupBy(*key).agg(F.min(_label()).alias("_first"))
+    rows = guard_layout(stored(spark, root, table)).withColumn("_first", _label())
+    return rows.join(first, [*key, "_first"], "left_semi").drop("_first")
+
+
+def _label() -> Column:
+    """The batch; rows from before the labels are one batch that came first."""
+    return F.coalesce("batch", F.lit(""))
+
+
 def snapshots(spark: SparkSession, root: str) -> DataFrame:
     """One row per snapshot; fails on rows of another layout."""
-    return guard_layout(stored(spark, root, "snapshots"))
+    return _counting(spark, root, "snapshots").drop("batch")
 
 
 def trends(spark: SparkSession, root: str) -> DataFrame:
     """One row per keyword of a snapshot; fails on rows of another layout."""
-    return guard_layout(stored(spark, root, "trends"))
+    return _counting(spark, root, "trends").drop("batch")
 
 
 # --- building -----------------------------------------------------------------
@@ -151,38 +174,35 @@ def append(spark: SparkSession, root: str, envelopes: DataFrame) -> None:
 
     ``envelopes`` need ``source, geo, fetched_at, schema_version, payload_json``
     and the columns of :func:`keyword_rows`; those with an :func:`incomplete` key
-    are left out.  Each table is checked against its own keys and the headers
-    come last, so a run that was cut short is finished by running it again.
-    The batch is staged once: both tables and their date lists then read the
-    same narrow columns from there instead of running the ingest again.  One
-    append at a time: two that run together may store the same key twice.
+    are left out.  The trends are written before the headers that make them
+    count, so a run that was cut short anywhere is made good by running it again,
+    and of two that run together one counts for a key.  The batch is staged once:
+    both tables read the same narrow columns from there instead of running the
+    ingest again.
     """
-    staging = f"{_path(root, '_staging')}/append-{uuid.uuid4().hex[:12]}"
-    _one_per_key(envelopes).write.parquet(staging)
-    batch = spark.read.schema(envelopes.schema).parquet(staging)
-    date = utc_day(F.col("fetched_at"))
-    rows = (
-        keyword_rows(batch)
-        .withColumn("keyword_key", fold_ascii(F.col("keyword")))
-        .withColumn("layout_version", F.lit(LAYOUT_VERSION))
-        .withColumn("fetched_date", date)
-    )
-    _write(_missing(rows, trends(spark, root)), _path(root, "trends"), sort=["keyword_key"])
+    run = uuid.uuid4().hex[:12]
+    label = F.lit(f"{time.time_ns():020d}-{run}")
+    staging = f"{_path(root, '_staging')}/append-{run}"
+    _one_per_key(envelopes).withColumn("fetched_date", utc_day(F.col("fetched_at"))).write.parquet(staging)
+    schema = T.StructType([*envelopes.schema.fields, T.StructField("fetched_date", T.DateType())])
+    staged = spark.read.schema(schema).parquet(staging)
+    batch = _missing(staged, snapshots(spark, root))
+    stamps = {"layout_version": F.lit(LAYOUT_VERSION), "batch": label, "fetched_date": utc_day(F.col("fetched_at"))}
+    rows = keyword_rows(batch).withColumn("keyword_key", fold_ascii(F.col("keyword"))).withColumns(stamps)
+    _write(rows, _path(root, "trends"), sort=["keyword_key"])
 
     counts = [F.size(c) for c in ("trends", "keywords") if c in batch.columns]
     counts = [F.when(size >= 0, size) for size in counts]
     if "keyword" in batch.columns:
         counts.append(F.when(F.col("keyword").isNotNull(), 1))
-    batch = batch.withColumn("trend_count", F.coalesce(*counts, F.lit(0)))
     headers = batch.select(
         *SNAPSHOT_KEY,
         F.col("schema_version").cast("string"),
-        F.col("trend_count").cast("int"),
+        F.coalesce(*counts, F.lit(0)).cast("int").alias("trend_count"),
         "payload_json",
-        F.lit(LAYOUT_VERSION).alias("layout_version"),
-        date.alias("fetched_date"),
+        *[value.alias(name) for name, value in stamps.items()],
     )
-    _write(_missing(headers, snapshots(spark, root)), _path(root, "snapshots"))
+    _write(headers, _path(root, "snapshots"))
     _delete(spark, staging)
 
 
@@ -402,8 +422,7 @@ def prune(spark: SparkSession, root: str, before, geo: str | None = None, source
     run = uuid.uuid4().hex[:12]
     for table, schema in (("trends", TRENDS), ("snapshots", SNAPSHOTS)):
         path = _path(root, table)
-        reader = {"trends": trends, "snapshots": snapshots}[table]
-        touched = reader(spark, root).where(F.col("fetched_date") <= last_day)
+        touched = _counting(spark, root, table).where(F.col("fetched_date") <= last_day)
         if source is not None:
             touched = touched.where(F.col("source") == source)
         # partitions of interest: one row per (source, date) with losses

@@ -10,6 +10,32 @@ from ..functions.payloads import LINK_ORIGIN
 
 BREAKOUT = "Breakout"
 
+#: Keywords of one basket, and seeds of one basket, that meet in one task.
+PART = 10_000
+
+
+def cells(used: DataFrame, seeded: DataFrame, part: int = PART) -> tuple[DataFrame, DataFrame]:
+    """``used`` and ``seeded`` with the cells of their basket in which they meet.
+
+    A basket of n keywords and m seeds is a grid of ceil(n / part) lines and
+    ceil(m / part) columns: a keyword goes to all cells of its line, a seed to
+    all of its column, so each pair meets once.  Nearly all baskets are one cell;
+    only the larger ones are listed with their sizes.
+    """
+    heavy = used.groupBy("basket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > part)
+    sizes = heavy.join(seeded.groupBy("basket").agg(F.count(F.lit(1)).alias("_m")), "basket").select(
+        "basket", *[F.ceil(F.col(n) / part).cast("int").alias(n) for n in ("_n", "_m")]
+    )
+
+    def placed(rows: DataFrame, word: str, own: str, other: str) -> DataFrame:
+        one = F.lit(1)
+        line = F.pmod(F.xxhash64(word), F.coalesce(F.col(own), one)).cast("int")
+        every = F.sequence(F.lit(0), F.coalesce(F.col(other), one) - 1)
+        marked = rows.join(sizes, "basket", "left").withColumns({own: line, other: every})
+        return marked.withColumn(other, F.explode(other))
+
+    return placed(used, "keyword", "_n", "_m"), placed(seeded, "seed", "_m", "_n")
+
 
 def related_queries(
     uses: DataFrame,
@@ -17,6 +43,7 @@ def related_queries(
     recent_from,
     previous_from,
     limit: int = 25,
+    part: int = PART,
 ) -> DataFrame:
     """Top and rising companions of each seed in ``uses(basket, keyword, ts)``.
 
@@ -27,7 +54,8 @@ def related_queries(
 
     ``seeds`` are keywords, or a table with them in its first column.  Only
     baskets with a seed are looked at: they are picked before anything is
-    counted, and a basket row is repeated once per seed in its basket.
+    counted, and a basket row is repeated once per seed in its basket.  A basket
+    of more than ``part`` keywords is counted in parts, see :func:`cells`.
     """
     if isinstance(seeds, DataFrame):
         wanted = uses.join(seeds.select(F.col(seeds.columns[0]).alias("_seed")).distinct(), F.col("keyword") == F.col("_seed"), "left_semi")
@@ -43,8 +71,9 @@ def related_queries(
     used = near.groupBy("basket", "keyword").agg(
         F.bool_or(recent).alias("is_recent"), F.bool_or(before).alias("was_before")
     )
+    left, right = cells(used, seeded, part)
     companions = (
-        used.join(seeded, "basket")
+        left.join(right, ["basket", "_n", "_m"])
         .where(F.col("keyword") != F.col("seed"))
         .groupBy("seed", F.col("keyword").alias("query"))
         .agg(

@@ -34,7 +34,7 @@ def keyword_key(keywords: Column) -> Column:
     return F.transform(keywords, F.lower)
 
 
-def match_answers(requests: DataFrame, answers: DataFrame, bucket: str = "hour") -> DataFrame:
+def match_answers(requests: DataFrame, answers: DataFrame, bucket: str | None = None) -> DataFrame:
     """Every request with the stored answer that serves it, or NULLs.
 
     ``requests``: ``request_id``, the key columns with ``keywords``,
@@ -45,6 +45,7 @@ def match_answers(requests: DataFrame, answers: DataFrame, bucket: str = "hour")
     Requests and answers are put on one time line per key, and each request
     reads off the last answer of each widget set: rows stay linear in the
     input where a join would pair every request with every answer of its key.
+    The lines are cut into ranges of equal size, or into time buckets by name.
     """
     flags = {name: (F.col("has_related") == r) & (F.col("has_geo") == g) for name, (r, g) in _WIDGETS.items()}
     stored = answers.select(

@@ -1,9 +1,13 @@
 """Order-based lookups that do not funnel one key through one task.
 
 A window over a key puts all rows of that key into one task.  Here the key is
-first cut into time buckets; windows run per (key, bucket), and what crosses a
-bucket border comes from one summary row per (key, bucket).  The only window
-over a whole key sees those summaries: as many rows as the key has buckets.
+first cut into pieces; windows run per (key, piece), and what crosses a border
+comes from one summary row per (key, piece).  The only window over a whole key
+sees those summaries: as many rows as the key has pieces.
+
+A piece is a time bucket, or with ``bucket=None`` a range of the whole table in
+the order of key and time.  Buckets need no extra pass but follow the calendar;
+ranges follow the rows, so a key with all its rows in one hour is cut as well.
 """
 
 from __future__ import annotations
@@ -14,9 +18,30 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import materialize
+
 _BUCKET = "_bucket"
 
 
+def cut_in_ranges(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``rows`` with ``_bucket``, the number of their range by key and order.
+
+    Ranges hold about equally many rows; rows that are equal in key and order
+    share one.  The numbers are written with the rows: a second sampling of the
+    borders, as after a lost executor, could give others.
+    """
+    cut = rows.repartitionByRange(*keys, *order).withColumn(_BUCKET, F.spark_partition_id())
+    return materialize(rows.sparkSession, cut, "ranges")
+
+
+def _in_pieces(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[Column], ts: str, bucket: str | None
+) -> DataFrame:
+    if bucket is None:
+        return cut_in_ranges(rows, keys, order)
+    return rows.withColumn(_BUCKET, F.date_trunc(bucket, ts))
+
+
 def _join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with their key's summary; NULL keys and NULL times are keys like any other."""
     renamed = summary.withColumnsRenamed({k: f"_of_{k}" for k in keys})
@@ -25,7 +50,7 @@ def _join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> D
 
 
 def neighbours(
-    rows: DataFrame, keys: Sequence[str], ts: str, bucket: str = "day", carry: Sequence[str] = ()
+    rows: DataFrame, keys: Sequence[str], ts: str, bucket: str | None = "day", carry: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``prev_at``, ``next_at`` and ``first_at``: times of the same key.
 
@@ -33,7 +58,7 @@ def neighbours(
     row.  ``ts`` must be unique within a key.  Rows with a NULL in the key belong
     together; rows without time come before all others.
     """
-    marked = rows.withColumn(_BUCKET, F.date_trunc(bucket, ts))
+    marked = _in_pieces(rows, keys, [F.col(ts)], ts, bucket)
     over_buckets = Window.partitionBy(*keys).orderBy(_BUCKET)
     whole_key = over_buckets.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     borders = (
@@ -71,14 +96,14 @@ def last_known(
     order: Sequence[Column],
     ts: str,
     values: Mapping[str, Column],
-    bucket: str = "hour",
+    bucket: str | None = "hour",
 ) -> DataFrame:
     """Add, per name in ``values``, the last non-NULL value up to this row.
 
     ``order`` must be total within a key and start with ``ts``.  Each value
     expression is NULL on rows that do not set it.
     """
-    marked = rows.withColumn(_BUCKET, F.date_trunc(bucket, ts))
+    marked = _in_pieces(rows, keys, order, ts, bucket)
     for name, expression in values.items():
         marked = marked.withColumn(f"_set_{name}", expression)
     sort_key = F.struct(*order)
