@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from tables import rows
 
 from trendloom import interest, ranking, related
@@ -89,6 +90,28 @@ def test_related(spark):
         related.related_queries(uses, [], DAY, DAY)
 
 
+def test_large_baskets_are_counted_in_parts(spark):
+    """One basket with a third of all uses and half of the seeds: same rows in any number of parts, no large cell."""
+    big = spark.range(3000).select(F.lit(-1).cast("long").alias("basket"), (F.col("id") % 900).alias("w"), F.col("id").alias("i"))
+    small = spark.range(6000).select((F.col("id") % 500).alias("basket"), (F.col("id") * 7 % 1000).alias("w"), F.col("id").alias("i"))
+    uses = big.union(small).select(
+        "basket", F.concat(F.lit("w"), F.col("w").cast("string")).alias("keyword"),
+        (F.lit(DAY) - F.make_dt_interval(days=(F.col("i") % 700).cast("int"))).alias("ts"),
+    )
+    seeds = spark.range(0, 1000, 10).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("seed"))
+    bounds = DAY - timedelta(days=300), DAY - timedelta(days=600)
+    whole = related.related_queries(uses, seeds, *bounds, part=10_000)
+    assert rows(related.related_queries(uses, seeds, *bounds, part=20)) == rows(whole)
+    used = uses.select("basket", "keyword").distinct()
+    seeded = used.join(seeds, F.col("keyword") == F.col("seed"), "left_semi").select("basket", F.col("keyword").alias("seed"))
+    left, right = related.cells(used, seeded, part=20)
+    for side in (left, right):
+        assert side.groupBy("basket", "_n", "_m").count().agg(F.max("count")).first()[0] < 60
+    pairs = left.join(right, ["basket", "_n", "_m"]).groupBy("basket", "keyword", "seed").count()
+    assert pairs.agg(F.max("count")).first()[0] == 1
+    assert pairs.count() == used.join(seeded, "basket").count()
+
+
 def test_many_comparisons_equal_single_ones(spark):
     """Thirty comparisons in one job, all of them with one keyword; no window over everything."""
     import random

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import strip
+from ..schemas import SNAPSHOT_KEY
 from ..sources.dims import PERIOD_HOURS, SORT_OPTIONS
 
 # Volume limits of the bands, outlets that count as verification,
@@ -101,8 +102,7 @@ def filter_export(
     return kept.where("is_active") if active_only else kept
 
 
-def sort_trends(trends: DataFrame, by: str = "relevance") -> DataFrame:
-    """Trends of each snapshot by relevance, title, volume or recency."""
+def _sort_order(by: str) -> list[Column]:
     if by not in SORT_OPTIONS:
         raise ValueError(f"sort must be one of {SORT_OPTIONS}, got {by!r}")
     order = {
@@ -111,7 +111,23 @@ def sort_trends(trends: DataFrame, by: str = "relevance") -> DataFrame:
         "volume": F.desc("volume_min"),
         "recency": F.desc_nulls_last("started_at"),
     }[by]
-    return trends.orderBy("source", "geo", "fetched_at", order, "rank")
+    return [order, F.col("rank").asc()]
+
+
+def sort_trends(trends: DataFrame, by: str = "relevance") -> DataFrame:
+    """Trends of each snapshot by relevance, title, volume or recency."""
+    return trends.orderBy("source", "geo", "fetched_at", *_sort_order(by))
+
+
+def sort_places(trends: DataFrame, options: Sequence[str] = SORT_OPTIONS, keys: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
+    """Trends with ``by_<option>``: their place in the snapshot under each sort.
+
+    All options share one shuffle by snapshot; ties go by rank.  Exports of one
+    geo and second that differ in category are told apart by naming it in ``keys``.
+    """
+    return trends.select(
+        "*", *[F.row_number().over(Window.partitionBy(*keys).orderBy(*_sort_order(o))).alias(f"by_{o}") for o in options]
+    )
 
 
 def top_export_rows(raw: DataFrame, n: int = 10, terms: int = 3) -> DataFrame:

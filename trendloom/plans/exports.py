@@ -8,6 +8,7 @@ from ..operators import normalize, quality, reports
 from ..schemas import EXPORT_COLUMNS
 from ..session import shared_folder
 from ..sources import export, feed
+from ..sources.dims import SORT_OPTIONS
 from .base import TREND_SNAP_SQL, flat, geo_of_customers, table
 from .feeds import BROKEN_MONTH, landing
 
@@ -154,6 +155,12 @@ def export_by_volume(spark: SparkSession, d: str) -> DataFrame:
     return flat(ordered.select("source", "geo", "fetched_at", "rank", "keyword", "volume_min"))
 
 
+def export_places(spark: SparkSession, d: str) -> DataFrame:
+    """Place of each trend of an export under every sort option."""
+    placed = reports.sort_places(_with_category(spark, d), keys=["source", "geo", "fetched_at", "category"])
+    return flat(placed.select("geo", "fetched_at", "category", "rank", *[f"by_{o}" for o in SORT_OPTIONS]))
+
+
 def export_top(spark: SparkSession, d: str) -> DataFrame:
     return flat(reports.top_export_rows(raw_exports(spark, d)))
 
@@ -177,6 +184,7 @@ QUERIES = {
     "export_normalized": export_normalized,
     "export_filtered": export_filtered,
     "export_by_volume": export_by_volume,
+    "export_places": export_places,
     "export_top": export_top,
     "export_quality": export_quality,
     "all_trends": all_trends,
@@ -262,6 +270,14 @@ WHERE started_at >= fetched_at - INTERVAL 168 HOUR AND started_at <= fetched_at
     "export_by_volume": _export(
         "SELECT 'csv' AS source, geo, fetched_at, rank, trend AS keyword, thousands * 1000 AS volume_min FROM exported"
     ),
+    "export_places": _export(
+        """
+SELECT geo, fetched_at, category, rank, rank AS by_relevance,
+       CAST(row_number() OVER (PARTITION BY geo, fetched_at ORDER BY trend, rank) AS INTEGER) AS by_title,
+       CAST(row_number() OVER (PARTITION BY geo, fetched_at ORDER BY thousands DESC, rank) AS INTEGER) AS by_volume,
+       CAST(row_number() OVER (PARTITION BY geo, fetched_at ORDER BY started_at DESC, rank) AS INTEGER) AS by_recency
+FROM exported"""
+    ),
     "export_top": _export(
         """
 SELECT geo, fetched_at, rank, trend AS keyword, thousands || 'K+' AS volume_text,

@@ -9,6 +9,7 @@ from ..operators.ranking import ranked_snapshots
 from ..schemas import CHANGE_EVENTS
 from ..session import materialize, shared_folder
 from .base import CHANGES_SQL, TREND_SNAP_SQL, flat, keyword_events, landed_snap, trend_rows, trend_snap
+from .requests import stored_answers
 
 _SNAP_COLUMNS = "source, geo, fetched_at, keyword, rank, volume_min"
 _CHANGE_COLUMNS = "source, geo, fetched_at, event, keyword, rank, prev_rank, volume_min, prev_volume_min"
@@ -184,7 +185,7 @@ def keyword_timeline(spark: SparkSession, d: str) -> DataFrame:
 
 def archive_stats(spark: SparkSession, d: str) -> DataFrame:
     root = built_archive(spark, d)
-    stats = archive.archive_stats(archive.snapshots(spark, root), archive.trends(spark, root))
+    stats = archive.archive_stats(archive.snapshots(spark, root), archive.trends(spark, root), stored_answers(spark, d))
     return flat(
         stats.withColumn("geos", F.array_join("geos", ",")).withColumn("sources", F.array_join("sources", ","))
     )
@@ -367,7 +368,8 @@ FROM last JOIN trend_snap USING (source, geo, fetched_at)"""
 SELECT (SELECT count(*) FROM stored_headers) AS snapshot_count, count(*) AS trend_row_count,
        array_to_string(list_sort(list(DISTINCT geo)), ',') AS geos,
        array_to_string(list_sort(list(DISTINCT source)), ',') AS sources,
-       min(fetched_at) AS first_fetched_at, max(fetched_at) AS last_fetched_at, CAST(0 AS BIGINT) AS answer_count
+       min(fetched_at) AS first_fetched_at, max(fetched_at) AS last_fetched_at, 
+       (SELECT count(*) FROM events WHERE CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) < 50) AS answer_count
 FROM stored"""
     ),
     "archive_layouts": _stored(

@@ -166,12 +166,16 @@ def region_payloads(spark: SparkSession, d: str) -> DataFrame:
 
 
 def related_payloads(spark: SparkSession, d: str) -> DataFrame:
+    return _packed_lists(_related(spark, d))
+
+
+def _packed_lists(found: DataFrame) -> DataFrame:
     """One related-queries payload per seed: list 0 is top, list 1 rising."""
     entry = F.struct(
         "query", "value", F.col("formatted_value").alias("formattedValue"),
         F.replace("link", F.lit("https://trends.google.com"), F.lit("")).alias("link"),
     )
-    rows = _related(spark, d).withColumn("entry", entry)
+    rows = found.withColumn("entry", entry)
 
     def one(bucket: str):
         pairs = F.array_sort(
@@ -187,11 +191,21 @@ def related_payloads(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def event_related_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """What users of each event type also did: the last week against the one before."""
+    uses = table(spark, d, "events").select(F.col("user_id").alias("basket"), F.col("event_type").alias("keyword"), "ts")
+    newest = table(spark, d, "events").agg(F.max("ts")).scalar()
+    seeds = uses.select("keyword").distinct()
+    found = related.related_queries(uses, seeds, newest - F.expr("INTERVAL 7 DAYS"), newest - F.expr("INTERVAL 14 DAYS"))
+    return _packed_lists(found).select("keyword", "related_json")
+
+
 def explore_payloads(spark: SparkSession, d: str) -> DataFrame:
-    """Complete single-keyword answers; related lists come from no source here."""
+    """Complete single-keyword answers: series, regions and related queries."""
     return (
         series_payloads(spark, d)
         .join(region_payloads(spark, d), "keyword")
+        .join(event_related_payloads(spark, d), "keyword", "left")
         .withColumn("geo", F.lit("US"))
         .withColumn("timeframe", F.lit("today 1-m"))
         .withColumn("gprop", F.lit(""))
@@ -268,6 +282,8 @@ def explore_answers(spark: SparkSession, d: str) -> DataFrame:
             "is_empty",
             F.aggregate("interest_over_time", F.lit(0), lambda a, p: a + p["value"]).alias("value_sum"),
             F.size("top").alias("top_count"),
+            F.size("rising").alias("rising_count"),
+            F.array_join(F.transform("top", lambda r: r["query"]), ",").alias("top_queries"),
             F.size("interest_by_region").alias("region_count"),
             F.get_json_object("payload_json", "$.keyword").alias("payload_keyword"),
         )
@@ -524,13 +540,31 @@ LEFT JOIN shared_regions s ON s.geo_code = w.geo_code AND s.keyword = k.keyword
 WHERE w.top_value > 0"""
     ),
     "explore_answers": _i(
-        """
+        """,
+used AS (
+  SELECT user_id, event_type AS keyword, bool_or(ts >= newest - INTERVAL 7 DAY) AS is_recent,
+         bool_or(ts >= newest - INTERVAL 14 DAY AND ts < newest - INTERVAL 7 DAY) AS was_before
+  FROM events CROSS JOIN (SELECT max(ts) AS newest FROM events) GROUP BY ALL
+),
+companions AS (
+  SELECT s.keyword, u.keyword AS query, count(*) AS n, count(*) FILTER (u.is_recent) AS now_n,
+         count(*) FILTER (u.was_before) AS prior_n
+  FROM used s JOIN used u USING (user_id) WHERE u.keyword <> s.keyword GROUP BY s.keyword, u.keyword
+),
+listed AS (
+  SELECT keyword, CAST(least(count(*), 25) AS INTEGER) AS top_count,
+         CAST(least(count(*) FILTER (now_n > prior_n), 25) AS INTEGER) AS rising_count,
+         array_to_string(list(query ORDER BY n DESC, query)[1:25], ',') AS top_queries
+  FROM companions GROUP BY keyword
+)
 SELECT 'a-' || o.keyword AS answer_id, '1.2' AS schema_version, 'explore' AS source, o.keyword AS keyword, 'US' AS geo,
        'today 1-m' AS timeframe, '' AS gprop, TIMESTAMP '2024-02-01' AS fetched_at, CAST(count(*) AS INTEGER) AS count,
-       max(o.value) = 0 AS is_empty, CAST(sum(o.value) AS INTEGER) AS value_sum, CAST(0 AS INTEGER) AS top_count,
+       max(o.value) = 0 AS is_empty, CAST(sum(o.value) AS INTEGER) AS value_sum,
+       coalesce(any_value(top_count), 0) AS top_count, coalesce(any_value(rising_count), 0) AS rising_count,
+       coalesce(any_value(top_queries), '') AS top_queries,
        (SELECT CAST(count(*) AS INTEGER) FROM own_regions r WHERE r.keyword = o.keyword AND r.value >= 50) AS region_count,
        o.keyword AS payload_keyword
-FROM own_scale o GROUP BY o.keyword"""
+FROM own_scale o LEFT JOIN listed USING (keyword) GROUP BY o.keyword"""
     ),
     "comparison_answers": _i(
         """

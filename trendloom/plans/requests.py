@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import quality, reuse
+from ..sources.dims import CATEGORIES, PERIOD_HOURS, category_dim
 from .base import flat, table
 
 
@@ -36,6 +37,26 @@ def geo_check(spark: SparkSession, d: str) -> DataFrame:
     return checked.withColumn("suggestions", F.array_join("suggestions", ","))
 
 
+#: What customers of a segment ask for; the first three are no category.
+ASKED_CATEGORY = {
+    "AUTOMOBILE": "Automobile", "BUILDING": "BUSY", "FURNITURE": "Tables", "HOUSEHOLD": "Hobbies", "MACHINERY": "TECHNOLOGY",
+}
+
+
+def category_check(spark: SparkSession, d: str) -> DataFrame:
+    """Category and hours of each customer's request; nations 4, 9, ... ask for 12 hours, nation 24 for none."""
+    nation = F.col("c_nationkey")
+    category = F.element_at(F.create_map(*[F.lit(v) for kv in ASKED_CATEGORY.items() for v in kv]), F.col("c_mktsegment"))
+    hours = F.element_at(F.array(*[F.lit(h) for h in (*PERIOD_HOURS, 12)]), (nation % 5 + 1).cast("int"))
+    requests = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("request_id"), category.alias("category"), F.when(nation != 24, hours).alias("hours")
+    )
+    checked = quality.check_categories(requests, category_dim(spark))
+    return checked.withColumns(
+        {"suggestions": F.array_join("suggestions", ","), "hours_ok": quality.hours_ok(F.col("hours"))}
+    )
+
+
 def comparison_check(spark: SparkSession, d: str) -> DataFrame:
     """Every event as a comparison request whose shape depends on its value."""
     value, kind = F.col("value"), F.col("event_type")
@@ -63,19 +84,26 @@ def comparison_check(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _marked(spark: SparkSession, d: str) -> DataFrame:
-    """Events as answers (small k) and requests (large k) on shared keys."""
+    """Events as answers (small k) and requests (large k) on shared keys.
+
+    Even k are comparisons with a second keyword; views name it first.
+    """
+    k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
+    own, second = F.initcap("event_type"), F.lit("Other")
+    pair = F.when(F.col("event_type") == "view", F.array(second, own)).otherwise(F.array(own, second))
+    compares = k % 2 == 0
     last_digit = F.substring(F.col("user_id").cast("string"), -1, 1)
     return table(spark, d, "events").select(
         F.col("event_id").cast("string").alias("event_id"),
-        F.lit("explore").alias("kind"),
-        F.array(F.initcap("event_type")).alias("keywords"),
+        F.when(compares, "comparison").otherwise("explore").alias("kind"),
+        F.when(compares, pair).otherwise(F.array(own)).alias("keywords"),
         F.concat(F.lit("G"), last_digit).alias("geo"),
         F.when(F.col("value") < 20, "now 7-d").otherwise("today 12-m").alias("timeframe"),
         F.lit(0).alias("category"),
         F.lit("").alias("gprop"),
         F.col("ts").cast("timestamp").alias("ts"),
         "value",
-        F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
+        k.alias("k"),
     )
 
 
@@ -120,6 +148,7 @@ def answer_retention(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "geo_check": geo_check,
+    "category_check": category_check,
     "comparison_check": comparison_check,
     "answer_reuse": answer_reuse,
     "reuse_stats": reuse_stats,
@@ -128,17 +157,18 @@ QUERIES = {
 
 _REUSE_SQL = """
 marked AS (
-  SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS keyword, 'G' || right(CAST(user_id AS VARCHAR), 1) AS geo,
-         CASE WHEN value < 20 THEN 'now 7-d' ELSE 'today 12-m' END AS timeframe, ts, value,
-         CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) AS k
-  FROM events
+  SELECT CAST(event_id AS VARCHAR) AS event_id, CASE k % 2 WHEN 0 THEN 'comparison' ELSE 'explore' END AS kind,
+         CASE WHEN k % 2 = 1 THEN event_type WHEN event_type = 'view' THEN 'other,view' ELSE event_type || ',other' END AS keyword,
+         'G' || right(CAST(user_id AS VARCHAR), 1) AS geo,
+         CASE WHEN value < 20 THEN 'now 7-d' ELSE 'today 12-m' END AS timeframe, ts, value, k
+  FROM (SELECT *, CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) AS k FROM events)
 ),
 answers AS (
-  SELECT event_id AS answer_id, keyword, geo, timeframe, value > 10 AS has_related, k < 25 AS has_geo, ts AS stored_at
+  SELECT event_id AS answer_id, kind, keyword, geo, timeframe, value > 10 AS has_related, k < 25 AS has_geo, ts AS stored_at
   FROM marked WHERE k < 50
 ),
 requests AS (
-  SELECT event_id AS request_id, keyword, geo, timeframe, value > 15 AS want_related, k < 75 AS want_geo, ts AS asked_at,
+  SELECT event_id AS request_id, kind, keyword, geo, timeframe, value > 15 AS want_related, k < 75 AS want_geo, ts AS asked_at,
          CASE WHEN value > 40 THEN 172800 WHEN value < 20 THEN 3600 ELSE 86400 END AS ttl
   FROM marked WHERE k >= 50
 ),
@@ -149,9 +179,10 @@ candidates AS (
            CASE WHEN a.has_related = r.want_related AND a.has_geo = r.want_geo THEN 0
                 WHEN a.has_related AND a.has_geo THEN 1 WHEN a.has_related THEN 2 ELSE 3 END,
            a.stored_at DESC, a.answer_id DESC) AS choice
-  FROM requests r JOIN answers a USING (keyword, geo, timeframe)
+  FROM requests r JOIN answers a USING (kind, keyword, geo, timeframe)
   WHERE a.stored_at <= r.asked_at AND a.stored_at >= r.asked_at - to_seconds(r.ttl)
     AND (a.has_related OR NOT r.want_related) AND (a.has_geo OR NOT r.want_geo)
+    AND (r.kind = 'explore' OR (a.has_related = r.want_related AND a.has_geo = r.want_geo))
 ),
 matched AS (
   SELECT r.request_id, r.asked_at, c.answer_id IS NOT NULL AS is_hit, c.answer_id, c.stored_at, c.is_exact,
@@ -174,6 +205,24 @@ near AS (
 SELECT request_id, geo, upper(geo) AS code, 'Nation no. ' || n_nationkey AS name, n_name IS NOT NULL AS is_valid,
        CASE WHEN n_name IS NULL THEN coalesce(codes, '') ELSE '' END AS suggestions
 FROM requests LEFT JOIN nation ON upper(geo) = n_name LEFT JOIN near ON left(upper(geo), 1) = prefix""",
+    "category_check": f"""
+WITH categories AS (
+  SELECT unnest([{", ".join(f"'{c}'" for c in CATEGORIES)}]) AS code, unnest(range({len(CATEGORIES)})) AS pos
+),
+near AS (
+  SELECT left(code, 3) AS prefix, array_to_string(list(code ORDER BY pos)[1:5], ',') AS codes FROM categories GROUP BY 1
+),
+requests AS (
+  SELECT c_custkey AS request_id,
+         CASE c_mktsegment {" ".join(f"WHEN '{s}' THEN '{c}'" for s, c in ASKED_CATEGORY.items())} END AS category,
+         CASE WHEN c_nationkey <> 24 THEN
+           CAST([{", ".join(map(str, PERIOD_HOURS))}, 12][c_nationkey % 5 + 1] AS INTEGER) END AS hours
+  FROM customer
+)
+SELECT request_id, category, hours, lower(category) AS code, c.code AS name, c.code IS NOT NULL AS is_valid,
+       CASE WHEN c.code IS NULL THEN coalesce(codes, '') ELSE '' END AS suggestions,
+       coalesce(hours IN ({", ".join(map(str, PERIOD_HOURS))}), false) AS hours_ok
+FROM requests LEFT JOIN categories c ON lower(category) = c.code LEFT JOIN near ON left(lower(category), 3) = prefix""",
     "comparison_check": """
 SELECT event_id,
        CASE WHEN value < 5 THEN event_type
@@ -195,10 +244,10 @@ SELECT count(*) FILTER (is_hit) AS hits, count(*) FILTER (NOT is_hit) AS misses,
        round(count(*) FILTER (is_hit) * CAST(100 AS DOUBLE) / count(*), 1) AS hit_rate
 FROM matched""",
     "answer_retention": f"""WITH {_REUSE_SQL}
-SELECT answer_id, 'explore' AS kind, keyword AS keywords_lc, geo, timeframe, CAST(0 AS INTEGER) AS category, '' AS gprop,
+SELECT answer_id, kind, keyword AS keywords_lc, geo, timeframe, CAST(0 AS INTEGER) AS category, '' AS gprop,
        has_related, has_geo, stored_at
 FROM answers
 WHERE stored_at >= (SELECT max(ts) FROM events) - INTERVAL 15 DAY
-QUALIFY row_number() OVER (PARTITION BY keyword, geo, timeframe, has_related, has_geo
+QUALIFY row_number() OVER (PARTITION BY kind, keyword, geo, timeframe, has_related, has_geo
                            ORDER BY stored_at DESC, answer_id DESC) = 1""",
 }
