@@ -10,7 +10,7 @@ from ..session import shared_folder
 from ..sources import export, feed
 from ..sources.dims import SORT_OPTIONS
 from .base import TREND_SNAP_SQL, flat, geo_of_customers, table
-from .feeds import BROKEN_MONTH, landing
+from .feeds import BROKEN_MONTH, EDITIONS_SQL, landing
 
 CATEGORY_OF = {
     "AFRICA": "sports", "AMERICA": "business", "ASIA": "technology", "EUROPE": "travel", "MIDDLE EAST": "science",
@@ -290,10 +290,11 @@ SELECT geo, fetched_at, count(*) AS row_count, count(*) AS started_count, CAST(0
        CAST(0 AS BIGINT) AS bad_ended, count(*) >= 20 AS passes
 FROM exported GROUP BY geo, fetched_at"""
     ),
-    "all_trends": f"""WITH {TREND_SNAP_SQL}, {_EXPORT_SQL}
-SELECT source, geo, fetched_at, keyword, rank, CASE WHEN rank = 19 THEN 0 ELSE volume_min END AS volume_min,
-       CASE WHEN rank <> 20 THEN fetched_at + INTERVAL 8 HOUR END AS started_at, true AS is_active
-FROM trend_snap WHERE fetched_at <> TIMESTAMP '{BROKEN_MONTH}'
+    "all_trends": f"""WITH {TREND_SNAP_SQL}, {EDITIONS_SQL}, {_EXPORT_SQL}
+SELECT source, geo, fetched_at + to_minutes(edition) AS fetched_at, keyword, rank,
+       CASE WHEN rank = 19 THEN 0 ELSE volume_min END AS volume_min,
+       CASE WHEN rank <> 20 THEN fetched_at + to_minutes(edition) + INTERVAL 8 HOUR END AS started_at, true AS is_active
+FROM trend_snap CROSS JOIN editions WHERE fetched_at <> TIMESTAMP '{BROKEN_MONTH}'
 UNION ALL
 SELECT 'csv', geo, fetched_at, trend, rank, thousands * 1000, started_at, ended_at IS NULL FROM exported""",
 }

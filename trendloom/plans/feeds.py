@@ -13,6 +13,9 @@ from .base import TREND_SNAP_SQL, flat, landed_snap, table
 OUTLETS = {"src0": "CNN", "src1": "BBC", "src2": "Reuters"}
 OPENERS = {"de": "Breaking: ", "fr": "Update: "}
 BROKEN_MONTH = "2000-01-01"
+#: Articles that a trend gets in one feed document.  Further ones come in later editions of the document, so that
+#: documents of bounded size become more as articles do.
+PER_EDITION = 4
 
 
 def _mapped(column: Column, table_: dict[str, str], default: Column) -> Column:
@@ -57,11 +60,11 @@ def landing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rendered(spark: SparkSession, d: str) -> DataFrame:
-    """One feed document per region and month.
+    """One feed document per region, month and edition; editions are a minute apart.
 
     Rank 18 has no picture, 19 no volume, 20 a date in another form.  Every
-    document is an article of one trend: they are dealt out by their id.  The
-    documents of one month are cut off and must end in quarantine.
+    document is an article of one trend in one edition: they are dealt out by
+    their id.  The documents of one month are cut off and must end in quarantine.
     """
     trends, headers = landed_snap(spark, d)
     # one row per snapshot here; the trends themselves are numbered without any order of their own
@@ -69,10 +72,16 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
     offsets = headers.select("geo", "fetched_at", F.coalesce(F.sum("trend_count").over(before), F.lit(0)).alias("offset"))
     trends = trends.join(offsets, ["geo", "fetched_at"]).withColumn("number", F.col("offset") + F.col("rank") - 1)
     total = headers.agg(F.sum("trend_count").cast("bigint")).scalar()
-    dealt = _articles(spark, d).withColumns({"number": F.pmod(F.col("doc_id") * 7919, total), "nth": F.col("doc_id")})
-    wanted = trends.select("geo", "fetched_at", "rank", "number")
+    edition = F.floor(F.col("doc_id") / (total * PER_EDITION)).cast("int")
+    number = F.pmod(F.pmod(F.col("doc_id"), total) * 7919, total)
+    dealt = _articles(spark, d).withColumns({"number": number, "edition": edition, "nth": F.col("doc_id")})
+    last = F.coalesce(table(spark, d, "documents").agg(F.max("doc_id")).scalar(), F.lit(0))
+    editions = F.explode(F.sequence(F.lit(0), F.floor(last / (total * PER_EDITION)).cast("int")))
+    trends = trends.withColumn("month", F.col("fetched_at")).withColumn("edition", editions)
+    trends = trends.withColumn("fetched_at", F.col("month") + F.make_dt_interval(mins=F.col("edition")))
+    wanted = trends.select("geo", "fetched_at", "rank", "number", "edition")
     news = (
-        wanted.join(dealt, "number")
+        wanted.join(dealt, ["number", "edition"])
         .select(
             "geo", "fetched_at", "rank", "nth",
             F.concat(
@@ -92,7 +101,7 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
     volume = F.when(F.col("rank") != 19, F.col("volume_text"))
     picture = F.when(F.col("rank") != 18, F.concat(F.lit("https://img.example/?a=1&k="), F.col("keyword")))
     items = trends.join(news, ["geo", "fetched_at", "rank"], "left").select(
-        "geo", "fetched_at", "rank",
+        "geo", "month", "fetched_at", "rank",
         F.concat(
             F.lit("<item>"),
             _tag("title", F.col("keyword")),
@@ -105,9 +114,9 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
         ).alias("item"),
     )
     head = '<?xml version="1.0" encoding="UTF-8"?><rss xmlns:ht="https://trends.google.com/trending/rss"><channel>'
-    broken = F.col("fetched_at") == F.lit(BROKEN_MONTH).cast("timestamp")
+    broken = F.col("month") == F.lit(BROKEN_MONTH).cast("timestamp")
     return (
-        items.groupBy("geo", "fetched_at")  # at most 20 trends per document
+        items.groupBy("geo", "month", "fetched_at")  # at most 20 trends per document
         .agg(F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("items"))
         .select(
             "geo",
@@ -261,6 +270,11 @@ QUERIES = {
     "parquet_sink": parquet_sink,
 }
 
+EDITIONS_SQL = f"""editions AS (
+  SELECT unnest(range(0, coalesce((SELECT max(doc_id) FROM documents), 0)
+                         // ((SELECT count(*) FROM trend_snap) * {PER_EDITION}) + 1)) AS edition
+)"""
+
 _FEED_SQL = (
     TREND_SNAP_SQL
     + f""",
@@ -274,10 +288,14 @@ articles AS (
 dealt AS (
   SELECT *, row_number() OVER (ORDER BY geo, fetched_at, rank) - 1 AS number, count(*) OVER () AS total FROM trend_snap
 ),
-numbered AS (SELECT * FROM dealt WHERE fetched_at <> TIMESTAMP '{BROKEN_MONTH}'),
+{EDITIONS_SQL},
+edited AS (
+  SELECT * REPLACE (fetched_at + to_minutes(edition) AS fetched_at), fetched_at AS month FROM dealt CROSS JOIN editions
+),
+numbered AS (SELECT * FROM edited WHERE month <> TIMESTAMP '{BROKEN_MONTH}'),
 news AS (
   SELECT geo, fetched_at, rank, doc_id AS nth, nullif(headline, '') AS headline, url, outlet
-  FROM numbered JOIN articles ON doc_id * 7919 % total = number
+  FROM numbered JOIN articles ON doc_id % total * 7919 % total = number AND doc_id // (total * {PER_EDITION}) = edition
 ),
 ordered_news AS (
   SELECT *, row_number() OVER (PARTITION BY geo, fetched_at, rank ORDER BY nth) AS place FROM news
@@ -325,10 +343,10 @@ ORACLES = {
         f"SELECT {_FLAT}, published_raw, image_url, image_source, article_count, articles FROM raw_feed"
     ),
     "feed_quarantine": _feed(
-        f"SELECT geo, fetched_at, 'not well-formed' AS reason FROM headers WHERE fetched_at = TIMESTAMP '{BROKEN_MONTH}'"
+        f"SELECT DISTINCT geo, fetched_at, 'not well-formed' AS reason FROM edited WHERE month = TIMESTAMP '{BROKEN_MONTH}'"
     ),
     "feed_snapshots": _feed(
-        f"SELECT source, geo, fetched_at, trend_count FROM headers WHERE fetched_at <> TIMESTAMP '{BROKEN_MONTH}'"
+        "SELECT source, geo, fetched_at, CAST(count(*) AS INTEGER) AS trend_count FROM numbered GROUP BY ALL"
     ),
     "feed_envelopes": _feed(
         """
