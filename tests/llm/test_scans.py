@@ -45,6 +45,46 @@ def test_secret_cases(spark):
     assert "random:" in got[3][5] and got[3][5].count(":") == 4
 
 
+def labelled(spark, seed, n):
+    """Random strings of several alphabets and names of several styles."""
+    rng = random.Random(seed)
+    alphabets = [string.ascii_letters + string.digits, "0123456789ABCDEF", "0123456789abcdef", string.ascii_uppercase + "234567"]
+    parts = "get set user name time stamp value index count file path error handler number config load store page".split()
+    rows = []
+    for i in range(n):
+        rows.append(("".join(rng.choices(alphabets[i % 4], k=rng.randint(20, 40))), 1))
+        words = rng.choices(parts, k=5)
+        rows.append((["_".join(words), "-".join(words), "".join(w.title() for w in words), f"2024-01-{i % 28 + 1:02}T12-00-00_{words[0]}_{rng.randrange(10**9)}"][i % 4], 0))
+    return rows
+
+
+@pytest.mark.parametrize("which", ["odd_docs", "corpus", "no_docs", "tokens"])
+def test_spans_of_a_given_model(request, spark, which):
+    samples = labelled(spark, 1, 300)
+    if which == "tokens":
+        held = [t for t, _ in labelled(spark, 2, 100)]
+        docs = spark.createDataFrame([(i, f"é𝄞 {t} and token={t}, {t.lower()}") for i, t in enumerate(held)], "doc_id long, text string")
+    else:
+        docs = request.getfixturevalue(which)
+    weights = brute.model(samples, secret_scan.ALPHABET, secret_scan.BACKOFF)
+    got = plain(secret_scan.scan(docs, spark.createDataFrame(samples, "token string, secret int")), "doc_id", "spans")
+    want = [(d, brute.random_spans(t, weights, secret_scan.MIN_SCORE)) for d, t in plain(docs, "doc_id", "text")]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    # a quarter of the random strings is lower-case hex, most of which the base patterns take
+    assert which != "tokens" or sum("random" in r[1] for r in got) >= 75
+
+
+def test_model_of_the_corpus_held_out(spark, corpus):
+    docs = corpus.select("doc_id", "text")
+    matches = secret_scan._matches(docs).distinct()
+    weights = secret_scan.train(secret_scan.labelled_samples(docs, matches))
+    held = spark.createDataFrame(labelled(spark, 3, 400), "token string, secret int")
+    found = held.select("secret", (secret_scan.score(F.col("token"), weights) >= secret_scan.MIN_SCORE).alias("found"))
+    assert found.filter("secret = 1 and found").count() >= 0.95 * 400
+    dates = held.filter("secret = 0 and token like '2024-%'").select((secret_scan.score(F.col("token"), weights)).alias("s"))
+    assert dates.filter(F.col("s") >= secret_scan.MIN_SCORE).count() <= 0.02 * 100
+
+
 def test_model_held_out(spark):
     rng = random.Random(2)
     rand = lambda: "".join(rng.choices(string.ascii_letters + string.digits, k=rng.randint(16, 40)))

@@ -3,11 +3,14 @@
 The patterns (assigned values, access keys, long hex strings) give the base spans.  The
 method adds tokens that read more like random strings than like ordinary identifiers:
 two first-order Markov models of characters are trained on labelled samples, and a
-token's score is the sum of the log-likelihood ratios of its transitions.
-
-Samples: values found by the patterns are labelled as secret, other tokens of a bounded
-number of documents as ordinary.  Both bounds are parameters (``MAX_SECRETS`` values,
-``SAMPLE_DOCS`` documents, chosen by hash); a caller may pass its own labelled table.
+token's score is the mean log-likelihood ratio of its transitions, so that length alone
+makes no token a secret.
+
+Samples: values found by the patterns and seeded random strings of five alphabets (so that
+no alphabet is unknown because no pattern asks for it) are labelled as secret; other tokens
+of a bounded number of documents and seeded names, times and numbers are labelled as
+ordinary.  The bounds are parameters (``MAX_SECRETS`` values, ``SEEDS`` made samples of each
+form, ``SAMPLE_DOCS`` documents, chosen by hash); a caller may pass its own labelled table.
 The model itself is a table of ``len(ALPHABET)`` squared weights, a constant of the plan.
 
 Positions come from gaps: the pieces between the matches of a pattern and the matches
@@ -23,7 +26,7 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import materialize
 
@@ -38,7 +41,22 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 TOKEN = r"[A-Za-z0-9+/_=-]{8,}"
 MAX_SECRETS = 20_000
 SAMPLE_DOCS = 2_000
-MIN_SCORE = 12.0
+SEEDS = 2_000
+# Words of made identifiers.
+NAME_WORDS = (
+    "access account action address agent archive array backup batch block buffer build bytes cache client cluster code column"
+    " config connection content context control count create current data database date default device directory document"
+    " driver element engine error event exception factory field file filter format function group handler header history host"
+    " image index input instance interface item label language length library limit list load local logger manager map master"
+    " message method model module name network node number object option order output package page parameter parent parser"
+    " path pattern payload pool port process profile project property proxy public query queue random range record region"
+    " remote report request resource response result return root sample schema script search segment sequence server service"
+    " session setting shared signal size source stack start state status storage stream string structure system table target"
+    " task template test text thread time timeout token total trace transaction type unit update user utility value vector"
+    " version view virtual widget window worker write"
+).split()
+#: Natural log of the likelihood ratio per transition: held-out random strings reach 2 to 7, names and numbers stay below 0.
+MIN_SCORE = 1.5
 #: Weight of the single-character model in each character's transitions.
 BACKOFF = 8.0
 
@@ -71,8 +89,35 @@ def _matches(docs: DataFrame) -> DataFrame:
     return docs.select(_row().alias("row"), F.explode(some).alias("m")).select("row", "m.*")
 
 
+def random_strings(spark: SparkSession, seeds: int = SEEDS) -> DataFrame:
+    """``token``: 40 characters of each seed's digest in lower and upper hex digits, base 64, letters and digits, capitals and digits."""
+    digest = F.sha2(F.col("id").cast("string"), 256)
+    base64 = F.base64(F.unhex(digest))
+    letters = F.translate(base64, "+/=", "")
+    forms = F.array(*[F.substring(x, 1, 40) for x in (digest, F.upper(digest), base64, letters, F.upper(letters))])
+    return spark.range(seeds).select(F.explode(forms).alias("token"))
+
+
+def made_names(spark: SparkSession, seeds: int = SEEDS) -> DataFrame:
+    """``token``: names of four words in five styles, times with a word, and numbers, by the seed's digest."""
+    words = F.array(*map(F.lit, NAME_WORDS))
+    number = lambda i: F.conv(F.substring("digest", 8 * i + 1, 7), 16, 10).cast("long")
+    word = [F.element_at(words, (number(i) % len(NAME_WORDS) + 1).cast("int")) for i in range(4)]
+    title = F.concat(*map(F.initcap, word))
+    # Dates and times are digits of the same number, so that no calendar or time zone decides.
+    two = lambda i, n, low=0: F.lpad((number(i) % n + low).cast("string"), 2, "0")
+    time = F.concat(F.lit("20"), two(4, 30), F.lit("-"), two(5, 12, 1), F.lit("-"), two(6, 28, 1), F.lit("T"), two(7, 24), F.lit("-"), two(0, 60))
+    forms = F.array(
+        F.concat_ws("_", *word), F.concat_ws("-", *word), F.concat_ws("/", *word), title, F.upper(F.concat_ws("_", *word)),
+        F.concat_ws("_", time, word[0], (number(1) % 10_000).cast("string")),
+        F.concat(number(2).cast("string"), number(3).cast("string")),
+    )
+    digests = spark.range(seeds).select(F.sha2(F.concat(F.lit("name"), F.col("id").cast("string")), 256).alias("digest"))
+    return digests.select(F.explode(forms).alias("token"))
+
+
 def labelled_samples(docs: DataFrame, matches: DataFrame) -> DataFrame:
-    """``token, secret``: pattern values, and other tokens of a bounded number of documents."""
+    """``token, secret``: pattern values and random strings; made names, and other tokens of a bounded number of documents."""
     secrets = (
         matches.filter("kind < 3 and ok").select(F.col("value").alias("token")).distinct()
         .orderBy(F.xxhash64("token"), "token").limit(MAX_SECRETS)
@@ -82,7 +127,9 @@ def labelled_samples(docs: DataFrame, matches: DataFrame) -> DataFrame:
         F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("token")
     )
     ordinary = other.join(secrets, "token", "left_anti")
-    return secrets.select("token", F.lit(1).alias("secret")).union(ordinary.select("token", F.lit(0).alias("secret")))
+    known = secrets.union(random_strings(docs.sparkSession))
+    names = ordinary.union(made_names(docs.sparkSession))
+    return known.select("token", F.lit(1).alias("secret")).union(names.select("token", F.lit(0).alias("secret")))
 
 
 def train(samples: DataFrame) -> list[float]:
@@ -109,13 +156,14 @@ def train(samples: DataFrame) -> list[float]:
 
 
 def score(token: Column, weights: list[float]) -> Column:
-    """How much likelier a token's transitions are in random strings (natural log)."""
+    """How much likelier a token's transitions are in random strings (natural log, mean per transition)."""
     table = F.from_json(F.lit(json.dumps([round(w, 6) for w in weights])), "array<double>")
     at = lambda i: F.instr(F.lit(ALPHABET), F.substr(token, i, F.lit(1)))
-    return F.aggregate(
+    total = F.aggregate(
         F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0),
         lambda acc, i: acc + F.coalesce(F.get(table, (at(i) - 1) * len(ALPHABET) + at(i + 1) - 1), F.lit(0.0)),
     )
+    return total / (F.length(token) - 1)
 
 
 def scan(docs: DataFrame, samples: DataFrame | None = None, min_score: float = MIN_SCORE) -> DataFrame:
