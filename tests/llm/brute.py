@@ -1,9 +1,12 @@
 """Plain-Python versions of the operators' results, for small tables."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -116,6 +119,39 @@ def secret_spans(text):
     return [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(out)]
 
 
+def model(samples, alphabet, backoff):
+    """Log-likelihood ratios of all transitions: ``(a, b) -> weight``."""
+    out = Counter()
+    for label, sign in ((1, 1), (0, -1)):
+        pairs = Counter()
+        for token, secret in samples:
+            if secret == label:
+                pairs.update((a, b) for a, b in zip(token, token[1:]) if a in alphabet and b in alphabet)
+        total = sum(pairs.values()) + 0.5 * len(alphabet)
+        after = Counter()
+        start = Counter()
+        for (a, b), n in pairs.items():
+            after[b] += n
+            start[a] += n
+        for a in alphabet:
+            for b in alphabet:
+                out[a, b] += sign * math.log((pairs[a, b] + backoff * (after[b] + 0.5) / total) / (start[a] + backoff))
+    return out
+
+
+def random_spans(text, weights, least):
+    """Base spans and the candidates beside them that score ``least`` or more per transition."""
+    base = [x.split(":") for x in secret_spans(text)]
+    order = ["assign", "access", "hex", "random"]
+    spans = [(int(a), order.index(k), int(b)) for k, a, b in base]
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text or ""):
+        t = m.group()
+        if sum(weights[p] for p in zip(t, t[1:])) / (len(t) - 1) >= least:
+            if not any(int(a) < m.end() and m.start() < int(b) for _, a, b in base):
+                spans.append((m.start(), 3, m.end()))
+    return ",".join(f"{order[k]}:{a}:{b}" for a, k, b in sorted(spans))
+
+
 def phrases(text):
     words, out = ALNUM.findall(lower(text)), []
     for phrase, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")):
@@ -145,12 +181,17 @@ def repeats(docs, length=50):
     return out
 
 
+def text_hash(text):
+    """The engine's 64-bit hash of a text, which orders rows of one id."""
+    return 42 if text is None else int.from_bytes(xxhash.xxh64(text.encode(), seed=42).digest(), "big", signed=True)
+
+
 def line_dedup(docs, percent=80):
-    """doc_id -> (lines, links of sets first seen here, kept line numbers); ids are distinct."""
+    """(doc_id, text) -> (lines, links of sets first seen here, kept line numbers)."""
     first, lines = {}, {}
-    for d, t in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0)):
+    for d in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0, text_hash(r[1]))):
         lines[d] = []
-        for i, x in enumerate((t or "").split("\n")):
+        for i, x in enumerate((d[1] or "").split("\n")):
             if s := frozenset(WORD.findall(x.lower())):
                 lines[d].append((i, s))
                 first.setdefault(s, (d, i))

@@ -1,7 +1,7 @@
 """Line dedup as an exact set-similarity join, with DataFrame functions only.
 
 A line is the set of its words (in lower case, split at white space).  A line goes if an
-earlier line, by (doc_id, line number), has the same set or one with Jaccard similarity
+earlier line, by (doc_id, hash of the text, line number), has the same set or one with Jaccard similarity
 of at least ``PERCENT`` %.
 
 Lines with one set are one class; counting them combines before the shuffle, so a line
@@ -18,8 +18,10 @@ The table of counts has a fixed size, too.  All links between different classes
 copies are never paired.
 
 Defined results: lines without words are kept and not counted; null and empty texts have
-no lines; rows that share id and text count once in the order but each gets a result; a
-null id comes first in the order.  Other columns are ignored.
+no lines; rows are told apart by id and text, so rows that share an id, or have none, are
+judged by themselves; rows that share both count once in the order but each gets a result; a
+null id comes first in the order.  An empty table gives no rows; very long texts and lines are
+taken whole.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,8 +45,8 @@ def _words(lines: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, words`` of all lines with a word."""
-    return _words(docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")))
+    """``doc_id, row, line_no, words`` of all lines with a word."""
+    return _words(docs.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line")))
 
 
 def _bit(number: Column) -> Column:
@@ -89,7 +91,7 @@ def _classes(docs: DataFrame, ranks: Column, percent: int) -> DataFrame:
     )
     keyed = _tokens(_lines(docs), ranks).select(
         F.xxhash64("tokens").alias("set"), F.xxhash64(F.lit(77), "tokens").alias("check"), size.alias("size"),
-        F.struct("doc_id", "line_no").alias("at"), parity(0).alias("bits1"), parity(64).alias("bits2"),
+        F.struct("doc_id", "row", "line_no").alias("at"), parity(0).alias("bits1"), parity(64).alias("bits2"),
         F.slice("tokens", 1, size - F.ceil(size * percent / 100).cast("int") + 1).alias("prefix"),
     )
     return keyed.groupBy("set", "check", "size").agg(
@@ -118,12 +120,12 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _maybe_in(ids: DataFrame) -> Column:
-    """Whether ``doc_id`` may be among ``ids (id)``, by a bitmap of ``64 * MAP`` bits: never wrong for one that is."""
+    """Whether ``row`` may be among ``ids (id)``, by a bitmap of ``64 * MAP`` bits: never wrong for one that is."""
     h = F.xxhash64(F.lit(9), "id")
     words = ids.groupBy(F.shiftright(h, 6).bitwiseAND(MAP - 1).cast("int").alias("at")).agg(F.bit_or(_bit(h)).alias("bits"))
     held = dict(words.collect())
     bitmap = F.from_json(F.lit(json.dumps([held.get(i, 0) for i in range(MAP)])), "array<bigint>")
-    mine = F.xxhash64(F.lit(9), "doc_id")
+    mine = F.xxhash64(F.lit(9), "row")
     return F.get(bitmap, F.shiftright(mine, 6).bitwiseAND(MAP - 1).cast("int")).bitwiseAND(_bit(mine)) != 0
 
 
@@ -132,10 +134,10 @@ def links(docs: DataFrame, ranks: Column, pairs: DataFrame, firsts: DataFrame, p
     spark = docs.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
     lines = firsts.join(wanted, F.col("set") == F.col("w"), "left_semi")
-    asked = lines.groupBy(F.col("first.doc_id").alias("f_id")).agg(F.collect_set("first.line_no").alias("f_lines"))
+    asked = lines.groupBy(F.col("first.doc_id").alias("f_id"), F.col("first.row").alias("f_row")).agg(F.collect_set("first.line_no").alias("f_lines"))
     asked = materialize(spark, asked, "asked")
-    near = docs.filter(_maybe_in(asked.select(F.col("f_id").alias("id"))))
-    texts = near.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("f_id")))
+    near = docs.filter(_maybe_in(asked.select(F.col("f_row").alias("id"))))
+    texts = near.join(asked.hint("merge"), (F.col("row") == F.col("f_row")) & F.col("doc_id").eqNullSafe(F.col("f_id")))
     found = texts.select("doc_id", "f_lines", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(
         F.array_contains("f_lines", F.col("line_no"))
     )
@@ -155,7 +157,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ``n_links``: links of the sets that stand first in this document to other sets.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("row", F.xxhash64("text"))
     ranks = word_ranks(docs)
     classes = materialize(spark, _classes(docs, ranks, percent), "line-sets")
     firsts = classes.select("set", "check", "first")
@@ -169,14 +171,14 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .withColumnsRenamed({"a": "l_set", "a_check": "l_check"})
     )
     judged = firsts.join(linked, (F.col("set") == F.col("l_set")) & (F.col("check") == F.col("l_check")), "left")
-    per = judged.groupBy(F.col("first.doc_id").alias("k_id")).agg(
+    per = judged.groupBy(F.col("first.doc_id").alias("k_id"), F.col("first.row").alias("k_row")).agg(
         F.array_sort(F.collect_list(F.when(~F.coalesce("later", F.lit(False)), F.col("first.line_no")))).alias("kept"),
         F.sum(F.coalesce("links", F.lit(0))).alias("links"),
     )
     n = F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    counted = docs.select("doc_id", F.when(F.col("text").isNull(), F.lit(0)).otherwise(n).cast("long").alias("n_lines"))
+    counted = docs.select("doc_id", "row", F.when(F.col("text").isNull(), F.lit(0)).otherwise(n).cast("long").alias("n_lines"))
     kept = F.coalesce("kept", F.array().cast("array<int>"))
-    return counted.join(per, F.col("doc_id").eqNullSafe(F.col("k_id")), "left").select(
-        "doc_id", "n_lines", F.greatest(F.col("n_lines") - F.size(kept), F.lit(0)).cast("long").alias("n_removed"),
+    return counted.join(per, (F.col("row") == F.col("k_row")) & F.col("doc_id").eqNullSafe(F.col("k_id")), "left").select(
+        "doc_id", "n_lines", (F.col("n_lines") - F.size(kept)).cast("long").alias("n_removed"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.concat_ws(",", kept.cast("array<string>")).alias("kept_lines"),
     )
