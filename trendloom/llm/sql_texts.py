@@ -138,4 +138,160 @@ FROM ranked r LEFT JOIN whole ON whole.lang = r.lang AND whole.gram = r.phrase
 WHERE r.rank <= 2000
 """
 
-ORACLES = {"op11_spelling_variants": SPELLING, "op13_phrases": PHRASES}
+_SPACED, _ALNUM = "'[^\\x20\\x09-\\x0D]+'", "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+#: Documents with a number per row, so that rows with one id or none are told apart.
+_NUMBERED = "docs AS (SELECT *, row_number() OVER () AS row FROM documents)"
+
+#: All pairs of different sets that share a word, without prefixes; a set is its sorted words.
+LINES = f"""
+WITH {_NUMBERED},
+split AS (
+  SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS no
+  FROM docs WHERE text IS NOT NULL
+),
+lines AS (
+  SELECT row, doc_id, no, list_sort(list_distinct(regexp_extract_all(lower(line), {_SPACED}))) AS words
+  FROM split WHERE regexp_matches(line, {_SPACED})
+),
+sets AS (SELECT words, min((coalesce(doc_id, -9223372036854775808), row, no)) AS spot FROM lines GROUP BY words),
+listed AS (SELECT row_number() OVER (ORDER BY spot) AS id, spot, words, len(words) AS size FROM sets),
+tokens AS (SELECT id, size, unnest(words) AS token FROM listed),
+pairs AS (
+  SELECT a.id AS a, b.id AS b FROM tokens a JOIN tokens b ON a.token = b.token AND a.id < b.id
+   AND 100 * least(a.size, b.size) >= 80 * greatest(a.size, b.size)
+  GROUP BY a.id, b.id, a.size, b.size HAVING 100 * count(*) >= 80 * (a.size + b.size - count(*))
+),
+counted AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM pairs UNION ALL SELECT b FROM pairs) GROUP BY id),
+per AS (
+  SELECT spot[2] AS row, sum(coalesce(n, 0)) AS n_links, list(spot[3] ORDER BY spot[3]) FILTER (id NOT IN (SELECT b FROM pairs)) AS kept
+  FROM listed LEFT JOIN counted USING (id) GROUP BY ALL
+),
+sizes AS (SELECT row, count(*) AS n FROM lines GROUP BY row)
+SELECT doc_id, coalesce(n, 0) AS n_lines, coalesce(n, 0) - coalesce(len(kept), 0) AS n_removed,
+       CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, coalesce(array_to_string(kept, ','), '') AS kept_lines
+FROM docs LEFT JOIN sizes USING (row) LEFT JOIN per USING (row)
+"""
+
+#: Sizes of all intersections of different sets, then the documents that links reach.
+NEAR = f"""
+WITH RECURSIVE listed AS (SELECT doc_id, coalesce(regexp_extract_all({_lowered("text")}, {_SPACED}), []) AS words FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+           range(1, greatest(len(words) - 1, 2)), lambda i: array_to_string(words[i : i + 2], ' ')))) END AS shingles
+  FROM listed
+),
+classes AS (SELECT shingles, min(doc_id) AS rep, len(shingles) AS size FROM sets WHERE len(shingles) > 0 GROUP BY shingles),
+items AS (SELECT rep, size, unnest(shingles) AS shingle FROM classes),
+edges AS (
+  SELECT a.rep AS a, b.rep AS b FROM items a JOIN items b ON a.shingle = b.shingle AND a.rep <> b.rep
+   AND 100 * least(a.size, b.size) >= 85 * greatest(a.size, b.size)
+  GROUP BY a.rep, b.rep, a.size, b.size HAVING 100 * count(*) >= 85 * (a.size + b.size - count(*))
+),
+walk(node, here) AS (SELECT rep, rep FROM classes UNION SELECT node, b FROM walk JOIN edges ON here = a),
+lowest AS (SELECT node, min(here) AS component FROM walk GROUP BY node)
+SELECT doc_id, len(s.shingles) AS n_shingles, coalesce(rep, doc_id) AS class_id, coalesce(component, doc_id) AS component_id,
+       doc_id = coalesce(component, doc_id) AS kept
+FROM sets s LEFT JOIN classes c ON c.shingles = s.shingles LEFT JOIN lowest ON node = rep
+"""
+
+#: Counts within a document, and lines by the different contents of their host that hold them.
+RULES = f"""
+WITH {_NUMBERED},
+listed AS (
+  SELECT row, doc_id, coalesce(source, '') AS host, source IS NULL AS no_host, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), {_SPACED}) AS words
+  FROM docs
+),
+windows AS (
+  SELECT row, i, array_to_string(words[i : i + 2], ' ') AS w FROM listed, LATERAL (SELECT unnest(range(1, len(words) - 1)) AS i)
+),
+twice AS (SELECT row, unnest([i, i + 1, i + 2]) AS i FROM (SELECT *, count(*) OVER (PARTITION BY row, w) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT row, count(DISTINCT i) AS n_repeat_words FROM twice GROUP BY row),
+lines AS (
+  SELECT row, host, no_host, line, regexp_extract_all({_lowered("line")}, {_SPACED}) AS w
+  FROM (SELECT row, host, no_host, unnest(string_split(text, chr(10))) AS line FROM listed)
+  WHERE regexp_matches(line, {_SPACED})
+),
+dups AS (SELECT row, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY row),
+normed AS (SELECT row, host, no_host, array_to_string(w, ' ') AS line, sum(len(w)) AS n FROM lines GROUP BY ALL),
+contents AS (SELECT row, md5(string_agg(line, chr(10) ORDER BY line)) AS content FROM normed GROUP BY row),
+hosts AS (
+  SELECT host, no_host, count(DISTINCT coalesce(content, '')) AS host_docs FROM listed LEFT JOIN contents USING (row) GROUP BY ALL
+),
+common AS (
+  SELECT host, no_host, line FROM normed JOIN contents USING (row) JOIN hosts USING (host, no_host)
+  GROUP BY host, no_host, line, host_docs
+  HAVING count(DISTINCT content) > 10
+      OR (count(DISTINCT content) >= 5 AND count(DISTINCT content) > CAST(0.1 AS DOUBLE) * host_docs)
+),
+removed AS (SELECT row, sum(n) AS n, count(*) AS n_lines FROM normed JOIN common USING (host, no_host, line) GROUP BY row),
+counted AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(removed.n_lines, 0) AS n_common_lines, CAST(len(words) - coalesce(removed.n, 0) AS BIGINT) AS words_left
+  FROM listed LEFT JOIN repeats USING (row) LEFT JOIN dups USING (row) LEFT JOIN removed USING (row)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND words_left >= CAST(0.3 AS DOUBLE) * n_words AND words_left >= 50 AS kept
+FROM counted
+"""
+
+#: Every window of a document against every window of an item, on the words.
+CONTAMINATION = f"""
+WITH {_NUMBERED},
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_lowered("text")}, {_ALNUM}) AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(words), 10) AS width, array_to_string(words[i : i + least(len(words), 10) - 1], ' ') AS win
+  FROM items, LATERAL (SELECT unnest(range(1, len(words) - least(len(words), 10) + 2)) AS i) WHERE len(words) > 0
+),
+listed AS (SELECT row, doc_id, coalesce(regexp_extract_all({_lowered("text")}, {_ALNUM}), []) AS words FROM docs),
+places AS (
+  SELECT row, width, i, array_to_string(words[i : i + width - 1], ' ') AS win
+  FROM listed, (SELECT DISTINCT width FROM windows), LATERAL (SELECT unnest(range(1, len(words) - width + 2)) AS i)
+),
+found AS (SELECT row, i, width, item FROM places JOIN windows USING (width, win)),
+hit AS (SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + width)) AS place FROM found) GROUP BY row),
+named AS (SELECT row, list_sort(list(DISTINCT item)) AS ids FROM found GROUP BY row)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_hit, coalesce(len(ids), 0) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
+FROM listed LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""
+
+#: Every string of 50 bytes, as hexadecimal digits, with the smallest document that it starts in.
+REPEATS = f"""
+WITH {_NUMBERED},
+bytes AS (SELECT row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM docs),
+blocks AS (  -- with the 49 bytes after them
+  SELECT row, doc_id, o, substring(h, 2 * o + 1, 2 * 561) AS h
+  FROM bytes, LATERAL (SELECT unnest(range(0, CAST(length(h) // 2 AS BIGINT), 512)) AS o)
+),
+starts AS (
+  SELECT row, doc_id, o + i AS p, substring(h, 2 * i + 1, 100) AS s
+  FROM blocks, LATERAL (SELECT unnest(range(0, CAST(length(h) // 2 - 49 AS BIGINT))) AS i)
+),
+low AS (SELECT s, min(doc_id) AS low FROM starts GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT row, p FROM starts JOIN low USING (s) WHERE low < doc_id OR (doc_id IS NULL AND low IS NOT NULL)),
+marked AS (SELECT row, p, coalesce(p - lag(p) OVER (PARTITION BY row ORDER BY p) > 50, true) AS fresh FROM gone),
+runs AS (
+  SELECT row, run, min(p) AS a, max(p) + 50 AS b
+  FROM (SELECT row, p, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY row ORDER BY p) AS run FROM marked) GROUP BY row, run
+),
+gaps AS (
+  SELECT row, run, a, b, substring(h, 2 * coalesce(lag(b) OVER w, 0) + 1, 2 * (a - coalesce(lag(b) OVER w, 0))) AS piece,
+         CASE WHEN lead(a) OVER w IS NULL THEN substring(h, 2 * b + 1) ELSE '' END AS tail
+  FROM runs JOIN bytes USING (row) WINDOW w AS (PARTITION BY row ORDER BY run)
+),
+left_over AS (
+  SELECT row, string_agg(piece || tail, '' ORDER BY run) AS h, CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS n FROM gaps GROUP BY row
+)
+SELECT doc_id, length(bytes.h) // 2 AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(coalesce(l.h, bytes.h))) AS kept_sha256
+FROM bytes LEFT JOIN left_over l USING (row)
+"""
+
+ORACLES = {
+    "op1_line_dedup": LINES, "op2_near_dedup": NEAR, "op3_quality_rules": RULES, "op7_decontamination": CONTAMINATION,
+    "op8_suffix_dedup": REPEATS, "op11_spelling_variants": SPELLING, "op13_phrases": PHRASES,
+}
