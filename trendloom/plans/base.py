@@ -11,6 +11,9 @@ from ..operators.ranking import ranked_snapshots, snapshot_headers
 from ..schemas import IMAGE, NEWS
 from ..session import materialize
 
+#: Customer keys per area of a region.  The first area bears the region's own name, further ones are numbered.
+PER_AREA = 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,15 +41,22 @@ def geo_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def area_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``c_custkey, geo``: the region of each customer, in areas of a fixed number of customer keys."""
+    area = F.floor(F.col("c_custkey") / PER_AREA)
+    suffix = F.when(area > 0, F.concat(F.lit(" "), area.cast("string"))).otherwise("")
+    return geo_of_customers(spark, sf_dir).select("c_custkey", F.concat("geo", suffix).alias("geo"))
+
+
 def keyword_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line item as the use of a keyword (part name) in a geo (region).
+    """Every line item as the use of a keyword (part name) in a geo (area of a region).
 
     Orders meet their customers before the line items, so the largest table is
     shuffled for the order and the part only.
     """
     orders = (
         table(spark, sf_dir, "orders")
-        .join(geo_of_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+        .join(area_of_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "geo")
     )
     return (
@@ -58,7 +68,7 @@ def keyword_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trend_snap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly top-20 snapshots per region."""
+    """Monthly top-20 snapshots per area; areas, and with them snapshots, grow with the customers."""
     return ranked_snapshots(keyword_events(spark, sf_dir), "month", 20)
 
 
@@ -86,9 +96,10 @@ def landed_snap(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return trends, snapshot_headers(trends)
 
 
-TREND_SNAP_SQL = """
+TREND_SNAP_SQL = f"""
 keyword_events AS (
-  SELECT r_name AS geo, r_regionkey AS geo_no, l_shipdate AS ts, p_name AS keyword
+  SELECT r_name || CASE WHEN c_custkey >= {PER_AREA} THEN ' ' || CAST(c_custkey // {PER_AREA} AS VARCHAR) ELSE '' END AS geo,
+         l_shipdate AS ts, p_name AS keyword
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
@@ -97,7 +108,7 @@ keyword_events AS (
   JOIN part ON l_partkey = p_partkey
 ),
 keyword_counts AS (
-  SELECT geo, geo_no, CAST(date_trunc('month', ts) AS TIMESTAMP) AS fetched_at, keyword,
+  SELECT geo, CAST(date_trunc('month', ts) AS TIMESTAMP) AS fetched_at, keyword,
          count(*) AS volume_min, min(ts) AS started_at
   FROM keyword_events GROUP BY ALL
 ),
@@ -106,7 +117,7 @@ ranked AS (
   FROM keyword_counts
 ),
 trend_snap AS (
-  SELECT 'rss' AS source, geo, geo_no, fetched_at, keyword, rank,
+  SELECT 'rss' AS source, geo, fetched_at, keyword, rank,
          CAST(volume_min AS VARCHAR) || '+' AS volume_text, volume_min, started_at
   FROM ranked WHERE rank <= 20
 ),

@@ -60,16 +60,21 @@ def landing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rendered(spark: SparkSession, d: str) -> DataFrame:
-    """One feed document per region, month and edition; editions are a minute apart.
+    """One feed document per area, month and edition; editions are a minute apart.
 
     Rank 18 has no picture, 19 no volume, 20 a date in another form.  Every
     document is an article of one trend in one edition: they are dealt out by
     their id.  The documents of one month are cut off and must end in quarantine.
     """
     trends, headers = landed_snap(spark, d)
-    # one row per snapshot here; the trends themselves are numbered without any order of their own
-    before = Window.orderBy("geo", "fetched_at").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = headers.select("geo", "fetched_at", F.coalesce(F.sum("trend_count").over(before), F.lit(0)).alias("offset"))
+    # Trends are numbered by month, area and rank: sums within a month, and over the few months.
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda w: F.coalesce(F.sum("trend_count").over(before(w)), F.lit(0))
+    months = headers.groupBy("fetched_at").agg(F.sum("trend_count").alias("trend_count"))
+    months = months.select("fetched_at", so_far(Window.orderBy("fetched_at")).alias("month_offset"))
+    offsets = headers.join(F.broadcast(months), "fetched_at").select(
+        "geo", "fetched_at", (F.col("month_offset") + so_far(Window.partitionBy("fetched_at").orderBy("geo"))).alias("offset")
+    )
     trends = trends.join(offsets, ["geo", "fetched_at"]).withColumn("number", F.col("offset") + F.col("rank") - 1)
     total = headers.agg(F.sum("trend_count").cast("bigint")).scalar()
     edition = F.floor(F.col("doc_id") / (total * PER_EDITION)).cast("int")
@@ -286,7 +291,7 @@ articles AS (
   FROM documents
 ),
 dealt AS (
-  SELECT *, row_number() OVER (ORDER BY geo, fetched_at, rank) - 1 AS number, count(*) OVER () AS total FROM trend_snap
+  SELECT *, row_number() OVER (ORDER BY fetched_at, geo, rank) - 1 AS number, count(*) OVER () AS total FROM trend_snap
 ),
 {EDITIONS_SQL},
 edited AS (

@@ -46,11 +46,11 @@ def _watched(spark: SparkSession, d: str) -> tuple[str, str]:
     session = _stream_session(spark)
     job = watch.Watch(folder, alerts.changes_folder(found))
     for until, part in _parts(packed):
-        part.repartition(2, "source", "geo").write.mode("append").json(land)
+        part.repartition("source", "geo").write.mode("append").json(land)
         if until == PARTS[1]:
             again = packed.where(F.year("fetched_at") == LATE_YEAR).withColumn("trends", F.slice("trends", 3, 1))
-            again.repartition(1).write.mode("append").json(land)
-        watch.start_watch(stream_snapshots(session, land, max_files_per_trigger=2), job, check).awaitTermination()
+            again.repartition("source", "geo").write.mode("append").json(land)
+        watch.start_watch(stream_snapshots(session, land, max_files_per_trigger=8), job, check).awaitTermination()
     return folder, found
 
 
@@ -92,8 +92,8 @@ def _feed_changes(spark: SparkSession, d: str, session: SparkSession) -> str:
     documents = _feed_documents(spark, d)
     job = watch.Watch(folder, alerts.changes_folder(found), min_volume=2, events=FEED_EVENTS)
     for _, part in _parts(documents):
-        part.repartition(2, "geo").write.mode("append").parquet(land)
-        watch.start_watch(stream_feeds(session, land, max_files_per_trigger=2), job, check).awaitTermination()
+        part.repartition("geo").write.mode("append").parquet(land)
+        watch.start_watch(stream_feeds(session, land, max_files_per_trigger=8), job, check).awaitTermination()
     return found
 
 
