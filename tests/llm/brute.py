@@ -160,6 +160,34 @@ def phrases(text):
     return len(words), out
 
 
+def licenses(text, templates, k=5, band=8, least=0.4):
+    """Labels and best score of the templates: hits by diagonal bands, neighbours merged, the longest rising chain of each span."""
+    runs = lambda x: [tuple(x[i : i + k]) for i in range(len(x) - k + 1)]
+    words, labels, best = runs(ALNUM.findall(lower(text))), set(), 0.0
+    for label, template in templates:
+        own, places, bands = runs(ALNUM.findall(lower(template))), {}, {}
+        for t, run in enumerate(own):
+            places.setdefault(run, []).append(t)
+        for at, run in enumerate(words):
+            for t in places.get(run, ()):
+                bands.setdefault((at - t) // band, []).append((at, t))
+        spans, last = [], None
+        for b in sorted(bands):
+            if last is None or b - last > 1:
+                spans.append([])
+            spans[-1] += bands[b]
+            last = b
+        for hits in spans:
+            chain = {}
+            for at, t in sorted(hits):
+                chain[at, t] = 1 + max((n for (a, u), n in chain.items() if a < at and u < t), default=0)
+            score = max(chain.values()) / len(own)
+            if score >= least:
+                labels.add(label)
+                best = max(best, score)
+    return labels, best
+
+
 def repeats(docs, length=50):
     """(doc_id, bytes, removed, runs, digest of the rest) by brute force."""
     low = {}

@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter, defaultdict
 
 import brute
@@ -148,6 +149,17 @@ def test_shard_table():
         sharding.fill_table(["a"], 100)
 
 
+@pytest.mark.parametrize(("n", "slots"), [(1, 3), (7, 101), (64, 1009)])
+def test_shard_table_by_preference_lists(n, slots):
+    names = [f"shard-{i}" for i in range(n)]
+    number = lambda name, salt: int(hashlib.sha256(f"{salt}:{name}".encode()).hexdigest()[:16], 16)
+    wishes = [[(number(x, "offset") + j * (number(x, "step") % (slots - 1) + 1)) % slots for j in range(slots)] for x in names]
+    owner = {}
+    for turn in range(slots):
+        owner[next(s for s in wishes[turn % n] if s not in owner)] = turn % n
+    assert sharding.fill_table(names, slots) == [owner[s] for s in range(slots)]
+
+
 def test_sharding(odd_docs, corpus, no_docs, spark, tmp_path):
     table = sharding.fill_table([f"shard-{i:05d}" for i in range(sharding.SHARDS)], sharding.SLOTS)
     out = sharding.assign(corpus)

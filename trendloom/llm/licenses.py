@@ -12,7 +12,9 @@ The templates are a table of the caller (or ``TEMPLATES``).  Their runs are coun
 texts are shuffled to them.
 
 Defined results: null and empty texts have no words, no labels and score 0; rows that
-share a ``doc_id`` are judged one by one; other columns are ignored.
+share a ``doc_id`` are judged one by one, rows that share id and text alike; of equally good
+spans all labels count; very long texts are read whole; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations

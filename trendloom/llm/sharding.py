@@ -9,7 +9,8 @@ shard moves little more than that shard's part.
 The table is a parameter-sized constant (``slots`` numbers), never data.
 
 Defined results: a null id is placed by the hash of the null (one fixed slot); equal
-ids lie in one shard; other columns stay as they are.
+ids lie in one shard, repeated rows with them; texts, null or very long, are not read; an
+empty table stays empty; other columns stay as they are.
 """
 
 from __future__ import annotations
