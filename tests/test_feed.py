@@ -112,3 +112,14 @@ def test_compact(landing):
     for geos in ([], ["X"] * 21):
         with pytest.raises(ValueError):
             normalize.compact(trends, geos)
+
+
+def test_compact_keeps_all_areas_of_a_region(spark):
+    from trendloom.plans.base import region_of
+
+    geos = ["ASIA", "ASIA 1", "ASIA 12", "MIDDLE EAST 2", "AFRICA", None]
+    trends = spark.createDataFrame([("rss", g, "k", 1, 5, True) for g in geos], "source STRING, geo STRING, keyword STRING, rank INT, volume_min BIGINT, is_active BOOLEAN")
+    trends = trends.withColumn("fetched_at", F.lit("2025-11-04").cast("timestamp"))
+    kept = normalize.compact(trends, ["ASIA", "MIDDLE EAST"], within=region_of(F.col("geo")))
+    assert sorted(r.geo for r in kept.collect()) == ["ASIA", "ASIA 1", "ASIA 12", "MIDDLE EAST 2"]
+    assert [r.geo for r in normalize.compact(trends, ["ASIA"]).collect()] == ["ASIA"]

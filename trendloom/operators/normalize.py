@@ -98,12 +98,15 @@ def union_trends(*trends: DataFrame) -> DataFrame:
     return first
 
 
-def compact(trends: DataFrame, geos: Sequence[str] | None = None) -> DataFrame:
-    """Keyword, rank, volume and activity only; optionally for 1 to 20 geos."""
+def compact(trends: DataFrame, geos: Sequence[str] | None = None, within: Column | None = None) -> DataFrame:
+    """Keyword, rank, volume and activity only; optionally for 1 to 20 geos.
+
+    ``within`` is what the geos name, by default the geo itself; with the region of a geo, all of a region's geos are kept.
+    """
     if geos is not None:
         if not 1 <= len(geos) <= MAX_COMPARE_GEOS:
             raise ValueError(f"pass 1 to {MAX_COMPARE_GEOS} geos, got {len(geos)}")
-        trends = trends.where(F.col("geo").isin(list(geos)))
+        trends = trends.where((F.col("geo") if within is None else within).isin(list(geos)))
     return trends.select("source", "geo", "fetched_at", "keyword", "rank", "volume_min", "is_active")
 
 

@@ -5,7 +5,7 @@ The SQL texts next to the views say the same for an independent engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.ranking import ranked_snapshots, snapshot_headers
 from ..schemas import IMAGE, NEWS
@@ -48,6 +48,11 @@ def area_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo_of_customers(spark, sf_dir).select("c_custkey", F.concat("geo", suffix).alias("geo"))
 
 
+def region_of(geo: Column) -> Column:
+    """The region of an area: its name without the number."""
+    return F.regexp_replace(geo, " [0-9]+$", "")
+
+
 def keyword_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as the use of a keyword (part name) in a geo (area of a region).
 

@@ -8,7 +8,7 @@ from ..operators import archive, changes, envelopes, normalize
 from ..operators.ranking import ranked_snapshots
 from ..schemas import CHANGE_EVENTS
 from ..session import materialize, shared_folder
-from .base import CHANGES_SQL, TREND_SNAP_SQL, flat, keyword_events, landed_snap, trend_rows, trend_snap
+from .base import CHANGES_SQL, TREND_SNAP_SQL, flat, keyword_events, landed_snap, region_of, trend_rows, trend_snap
 from .requests import stored_answers
 
 _SNAP_COLUMNS = "source, geo, fetched_at, keyword, rank, volume_min"
@@ -58,7 +58,8 @@ COMPACT_GEOS = ["ASIA", "EUROPE"]
 
 
 def compact_trends(spark: SparkSession, d: str) -> DataFrame:
-    return flat(normalize.compact(trend_rows(spark, d), COMPACT_GEOS))
+    """All areas of two regions."""
+    return flat(normalize.compact(trend_rows(spark, d), COMPACT_GEOS, within=region_of(F.col("geo"))))
 
 
 def snapshot_envelopes(spark: SparkSession, d: str) -> DataFrame:
@@ -302,7 +303,7 @@ LEFT JOIN changes c ON c.source = h.source AND c.geo = h.geo AND c.fetched_at =
 GROUP BY h.source, h.geo, h.fetched_at"""
     ),
     "compact_trends": _snap(
-        f"SELECT {_SNAP_COLUMNS}, true AS is_active FROM trend_snap WHERE geo IN ('ASIA', 'EUROPE')"
+        f"SELECT {_SNAP_COLUMNS}, true AS is_active FROM trend_snap WHERE regexp_replace(geo, ' [0-9]+$', '') IN ('ASIA', 'EUROPE')"
     ),
     "snapshot_envelopes": _snap(
         """
