@@ -149,3 +149,31 @@ def test_many_comparisons_equal_single_ones(spark):
     plan = interest.many_winners(series)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert windows and all("[comparison_id#" in w or "[keyword#" in w for w in windows)
+
+
+def test_region_winners_of_many_chunks_and_blocks(spark, monkeypatch):
+    """Cells of every size find what one pass over all rows finds; nothing of the result's size is shuffled."""
+    import random
+
+    draw = random.Random(3)
+    words = [f"k{i}" for i in range(9)]
+    places = [(f"g{i}", f"G{i}") for i in range(23)] + [(None, None)]
+    used = [(w, *p, draw.choice([1, 2, 3, 7, 200, 399])) for w in words for p in places if draw.random() < 0.8]
+    counts = spark.createDataFrame(used, "keyword string, geo_code string, geo_name string, n long")
+    asked = [(i, draw.sample([*words, "never used"], 2 + i % 4)) for i in range(60)]
+    members = interest.comparison_members(spark.createDataFrame(asked, "comparison_id long, keywords array<string>"))
+    want, n = set(), {(w, c): k for w, c, _, k in used}
+    for i, terms in asked:
+        peak = max(k for (w, _), k in n.items() if w in terms)
+        for code, name in places:
+            found = [(-((n[w, code] * 200 + peak) // (2 * peak)), pos, w) for pos, w in enumerate(terms) if (w, code) in n]
+            if found:
+                value, _, word = min(found)
+                want.add((i, code, name, word, -value))
+    for chunk, block in ((4000, 250), (7, 5), (1, 1)):
+        monkeypatch.setattr(interest, "CHUNK", chunk)
+        monkeypatch.setattr(interest, "BLOCK", block)
+        got = interest.many_region_winners(counts, members)
+        assert {tuple(r) for r in got.collect()} == want
+        last = got._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+        assert "FlatMapCoGroupsInArrow" in last
