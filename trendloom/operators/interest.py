@@ -20,7 +20,10 @@ CHUNK, BLOCK = 4000, 250
 
 def _index(n: Column, peak: Column) -> Column:
     """Share of the peak in percent; a zero peak gives 0."""
-    return F.when(peak > 0, F.round(n * F.lit(100.0) / peak)).otherwise(F.lit(0.0)).cast("int")
+    share = n * F.lit(100.0) / peak
+    whole = F.floor(share)  # halves go up; ``round`` would make a decimal of every row
+    rounded = whole + F.when(share - whole >= 0.5, 1).otherwise(0)
+    return F.when(peak > 0, rounded).otherwise(0).cast("int")
 
 
 def _group_peak() -> Column:
