@@ -318,3 +318,16 @@ def test_readers_refuse_other_layouts(spark, root, table):
 def test_movement(spark, root):
     got = archive.keyword_movement(archive.trends(spark, root), "US").where("keyword = 'harbor'").orderBy("fetched_at").collect()
     assert [(r["first_seen_at"].hour, r["prev_rank"], r["moved_up"]) for r in got] == [(9, None, None), (9, 1, 0)]
+
+
+def test_only_repeated_keys_are_sorted_whole(spark):
+    from datetime import datetime
+
+    at = datetime(2026, 1, 1)
+    schema = "source string, geo string, fetched_at timestamp, schema_version string, payload_json string"
+    one = spark.createDataFrame([("rss", f"g{i}", at, "1.0", f"p{i}") for i in range(5)], schema)
+    assert "Aggregate" not in archive._one_per_key(one)._jdf.queryExecution().optimizedPlan().toString()
+    two = one.unionByName(spark.createDataFrame([("rss", "g1", at, "1.0", "other"), ("rss", "g2", at, "1.0", "p2")], schema))
+    kept = archive._one_per_key(two).collect()
+    assert sorted(r.geo for r in kept) == [f"g{i}" for i in range(5)]
+    assert {r.payload_json for r in kept} - {"other", "p1"} == {"p0", "p2", "p3", "p4"}

@@ -181,7 +181,7 @@ def test_region_winners_of_many_chunks_and_blocks(spark, monkeypatch):
 
 def test_index_rounds_halves_up_without_decimals(spark):
     pairs = spark.range(1, 130).select(F.col("id").alias("peak"), F.explode(F.sequence(F.lit(0).cast("long"), "id")).alias("n"))
-    pairs = pairs.union(spark.createDataFrame([(0, 0), (3, None), (None, 3)], pairs.schema))
+    pairs = pairs.union(spark.createDataFrame([(0, 0), (3, None), (None, 3)], "peak long, n long"))
     got = pairs.select("peak", "n", interest._index(F.col("n"), F.col("peak")).alias("v"))
     for peak, n, value in got.collect():
         want = 0 if not peak else None if n is None else (200 * n + peak) // (2 * peak)

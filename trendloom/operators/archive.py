@@ -133,19 +133,24 @@ def incomplete(envelopes: DataFrame) -> DataFrame:
 
 
 def _one_per_key(envelopes: DataFrame) -> DataFrame:
-    """One envelope per key; of differing duplicates the choice is fixed.
+    """One of the staged envelopes per key; of differing duplicates the choice is fixed.
 
-    The aggregate combines before the shuffle, so a key that fills a third of
-    the batch still sends one row per task.
+    Keys that come twice are found by the keys alone; only their envelopes are sorted and compared.  That
+    aggregate combines before the shuffle, so a key that fills a third of the batch still sends one row per task.
     """
     key = list(SNAPSHOT_KEY)
+    twice = envelopes.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*key)
+    if twice.isEmpty():
+        return envelopes
     rest = [c for c in envelopes.columns if c not in key]
-    return (
-        envelopes.dropna(subset=key)
+    single = envelopes.join(twice, key, "left_anti")
+    kept = (
+        envelopes.join(twice, key, "left_semi")
         .groupBy(*key)
         .agg(F.min_by(F.struct(*rest), F.struct(F.xxhash64("payload_json"), "payload_json")).alias("_kept"))
         .select(*key, "_kept.*")
     )
+    return single.unionByName(kept)
 
 
 def _missing(rows: DataFrame, existing: DataFrame) -> DataFrame:
@@ -183,9 +188,10 @@ def append(spark: SparkSession, root: str, envelopes: DataFrame) -> None:
     run = uuid.uuid4().hex[:12]
     label = F.lit(f"{time.time_ns():020d}-{run}")
     staging = f"{_path(root, '_staging')}/append-{run}"
-    _one_per_key(envelopes).withColumn("fetched_date", utc_day(F.col("fetched_at"))).write.parquet(staging)
+    whole = envelopes.dropna(subset=list(SNAPSHOT_KEY))
+    whole.withColumn("fetched_date", utc_day(F.col("fetched_at"))).write.parquet(staging)
     schema = T.StructType([*envelopes.schema.fields, T.StructField("fetched_date", T.DateType())])
-    staged = spark.read.schema(schema).parquet(staging)
+    staged = _one_per_key(spark.read.schema(schema).parquet(staging))
     batch = _missing(staged, snapshots(spark, root))
     stamps = {"layout_version": F.lit(LAYOUT_VERSION), "batch": label, "fetched_date": utc_day(F.col("fetched_at"))}
     rows = keyword_rows(batch).withColumn("keyword_key", fold_ascii(F.col("keyword"))).withColumns(stamps)
