@@ -123,3 +123,38 @@ def test_compact_keeps_all_areas_of_a_region(spark):
     kept = normalize.compact(trends, ["ASIA", "MIDDLE EAST"], within=region_of(F.col("geo")))
     assert sorted(r.geo for r in kept.collect()) == ["ASIA", "ASIA 1", "ASIA 12", "MIDDLE EAST 2"]
     assert [r.geo for r in normalize.compact(trends, ["ASIA"]).collect()] == ["ASIA"]
+
+
+def test_partitioned_parquet_has_a_file_per_folder(spark, tmp_path):
+    from trendloom.sinks import files
+
+    rows_ = spark.range(0, 800, 1, 8).select(F.concat(F.lit("g"), F.col("id") % 3).alias("geo"), "id")
+    files.write_parquet(rows_, str(tmp_path / "out"), partition_by=["geo"])
+    assert len(list(tmp_path.glob("out/geo=*/*.parquet"))) == 3
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 800
+
+
+def test_documents_are_rendered_after_their_trends_met(spark, tmp_path):
+    from datetime import datetime
+
+    from trendloom.plans import feeds
+
+    day = datetime(1996, 3, 5)
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "N", 0)]),
+        "customer": ("c_custkey long, c_nationkey int", [(1, 0)]),
+        "orders": ("o_orderkey long, o_custkey long", [(1, 1)]),
+        "part": ("p_partkey long, p_name string", [(1, "a & b"), (2, "c")]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_shipdate timestamp_ntz", [(1, 1, day), (1, 1, day), (1, 2, day)]),
+        "documents": ("doc_id long, text string, lang string, source string", [(0, "x <y>", "de", "src0"), (1, None, None, None)]),
+    }
+    for name, (schema, data) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = feeds.rendered(spark, str(tmp_path))
+    [document] = found.collect()
+    assert "<title>a &amp; b</title><ht:approx_traffic>2+</ht:approx_traffic>" in document.xml
+    assert document.xml.index("<title>c</title>") > document.xml.index("Breaking: x &lt;y&gt;")
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    grouped = next(i for i, line in enumerate(plan) if "Aggregate [geo" in line)
+    assert not any("<item>" in line for line in plan[grouped + 1 :])

@@ -101,34 +101,37 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("nth", "item"))).alias("items"))
         .select("geo", "fetched_at", "rank", F.array_join(F.transform("items", lambda i: i["item"]), "").alias("news"))
     )
-    day = F.date_format("fetched_at", "EEE, d MMM yyyy HH:mm:ss")
-    date = F.when(F.col("rank") == 20, F.date_format("fetched_at", "yyyy/MM/dd")).otherwise(F.concat(day, F.lit(" -0800")))
-    volume = F.when(F.col("rank") != 19, F.col("volume_text"))
-    picture = F.when(F.col("rank") != 18, F.concat(F.lit("https://img.example/?a=1&k="), F.col("keyword")))
-    items = trends.join(news, ["geo", "fetched_at", "rank"], "left").select(
-        "geo", "month", "fetched_at", "rank",
-        F.concat(
+    listed = trends.join(news, ["geo", "fetched_at", "rank"], "left").select(
+        "geo", "month", "fetched_at", F.struct("rank", "keyword", "volume_text", "news").alias("trend")
+    )
+
+    def item(trend: Column) -> Column:
+        day = F.date_format("fetched_at", "EEE, d MMM yyyy HH:mm:ss")
+        date = F.when(trend["rank"] == 20, F.date_format("fetched_at", "yyyy/MM/dd")).otherwise(F.concat(day, F.lit(" -0800")))
+        picture = F.when(trend["rank"] != 18, F.concat(F.lit("https://img.example/?a=1&k="), trend["keyword"]))
+        return F.concat(
             F.lit("<item>"),
-            _tag("title", F.col("keyword")),
-            _tag("ht:approx_traffic", volume),
+            _tag("title", trend["keyword"]),
+            _tag("ht:approx_traffic", F.when(trend["rank"] != 19, trend["volume_text"])),
             _tag("pubDate", date),
             _tag("ht:picture", picture),
             _tag("ht:picture_source", F.lit("Example & Co")),
-            F.coalesce("news", F.lit("")),
+            F.coalesce(trend["news"], F.lit("")),
             F.lit("</item>"),
-        ).alias("item"),
-    )
+        )
+
     head = '<?xml version="1.0" encoding="UTF-8"?><rss xmlns:ht="https://trends.google.com/trending/rss"><channel>'
     broken = F.col("month") == F.lit(BROKEN_MONTH).cast("timestamp")
     return (
-        items.groupBy("geo", "month", "fetched_at")  # at most 20 trends per document
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("items"))
+        listed.groupBy("geo", "month", "fetched_at")  # at most 20 trends per document
+        # the trends meet as they are and become XML inside the document's row
+        .agg(F.array_sort(F.collect_list("trend")).alias("trends"))
         .select(
             "geo",
             "fetched_at",
             F.concat(
                 F.lit(head),
-                F.array_join(F.transform("items", lambda i: i["item"]), ""),
+                F.array_join(F.transform("trends", item), ""),
                 F.when(broken, "").otherwise("</channel></rss>"),
             ).alias("xml"),
         )
