@@ -82,3 +82,15 @@ def test_tables(request, which):
         assert sorted(ids) == sorted(d for d, (_, c) in want.items() if c == d)
     elif which == "odd_docs":
         assert ids.count(None) == 2 and 6 in ids and 7 not in ids
+
+
+def test_only_members_texts_are_sent(spark):
+    ids = [None, -5, 0, 7, 7, *range(1000, 3000)]
+    docs = spark.createDataFrame([(i, f"text {i}", "x") for i in ids], "doc_id long, text string, lang string")
+    members = spark.createDataFrame([(i, 1) for i in (-5, 7, 1500, 1500, 99)], "node long, family int")
+    left = near_dedup._maybe_members(docs, members)
+    assert left.columns == docs.columns
+    got = [r.doc_id for r in left.collect()]
+    assert sorted(i for i in got if i in (-5, 7, 1500)) == [-5, 7, 7, 1500] and None not in got
+    assert len(got) < 20
+    assert near_dedup._maybe_members(docs, members.limit(0)).count() == 0

@@ -8,7 +8,8 @@ number of bands follows the similarity asked for (a link at the limit is missed
 a chance below 1e-5).
 
 Classes that share a band form candidate groups.  Their texts are brought together
-once and the links are confirmed on full shingle sets.  A group larger than ``limit``
+once (a bitmap of fixed size keeps other texts out of the shuffle) and the links are
+confirmed on full shingle sets.  A group larger than ``limit``
 shingles is cut into blocks: every block is resolved together with a few pivots of
 the group, and what is then outside the group's main component is compared with
 every block.  So a group that holds a third of all documents takes work in
@@ -35,6 +36,8 @@ from .components import components
 ROWS_PER_BAND = 4
 LIMIT = 500_000
 PIVOTS = 32
+#: 64-bit numbers, at most, of the bitmap that tells which texts a step of the comparison needs.
+MAP = 1 << 18
 
 
 def n_bands(percent: int, miss: float = 1e-5) -> int:
@@ -174,10 +177,21 @@ def _family_forest(ids, members, code, bounds, mark, percent):
                 group[group == group[j]] = group[i]
 
 
+def _maybe_members(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``docs`` without most of those whose id is no ``node``, by a bitmap of ``64 * MAP`` bits: all members stay."""
+    h = lambda c: F.xxhash64(F.lit(9), F.col(c).cast("long"))
+    at = lambda c: F.shiftright(h(c), 6).bitwiseAND(MAP - 1)
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), h(c).bitwiseAND(63).cast("int"))
+    words = members.groupBy(at("node").alias("_at")).agg(F.bit_or(bit("node")).alias("_bits"))
+    # Bounded whatever the number of members is, so a side to broadcast.
+    held = docs.withColumns({"_word": at("doc_id"), "_bit": bit("doc_id")}).join(F.broadcast(words), F.col("_word") == F.col("_at"))
+    return held.filter(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*docs.columns)
+
+
 def _links(docs: DataFrame, members: DataFrame, width: int, percent: int, keys: list[str]) -> DataFrame:
     """Links among the texts of ``members (node, family, *keys)``, each share of equal keys by itself."""
     # The members grow with the documents: never a side to broadcast, whatever a small run would choose.
-    shares = docs.join(members.hint("merge"), F.col("doc_id") == F.col("node")).select(
+    shares = _maybe_members(docs, members).join(members.hint("merge"), F.col("doc_id") == F.col("node")).select(
         *dict.fromkeys(["doc_id", "text", "family", *keys])
     )
     return shares.groupBy(*keys).applyInArrow(_forest(width, percent), "a long, b long")
