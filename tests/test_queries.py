@@ -25,3 +25,11 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+def test_feed_documents_read_the_ranked_lists(spark):
+    from trendloom.plans import streams
+
+    documents = streams._feed_documents(spark, "/root/testdata/sf0.001")
+    assert documents.count() > 0
+    assert all("/snapshots-" in name for name in documents.inputFiles())

@@ -79,7 +79,8 @@ def _feed_documents(spark: SparkSession, d: str) -> DataFrame:
         F.lit("</item>"),
     )
     head = '<?xml version="1.0" encoding="UTF-8"?><rss xmlns:ht="https://trends.google.com/trending/rss"><channel>'
-    items = trend_snap(spark, d).groupBy("geo", "fetched_at").agg(  # at most 20 trends per document
+    # Landed in parts, each of which would rank the whole history again.
+    items = landed_snap(spark, d)[0].groupBy("geo", "fetched_at").agg(  # at most 20 trends per document
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", item.alias("item")))), lambda i: i["item"]), "").alias("body")
     )
     end = F.when(F.col("fetched_at") == F.lit(BROKEN_MONTH).cast("timestamp"), "").otherwise("</channel></rss>")

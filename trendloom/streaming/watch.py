@@ -82,6 +82,7 @@ class Watch:
         last = spark.read.schema(_STATE).parquet(f"{state}/v={earlier[-1]}") if earlier else spark.createDataFrame([], _STATE)
         batch = batch.persist()
         try:
+            batch.count()  # read and parsed once; both of its readers below would do it at one time, on different executors
             placed = _place(batch, last)
             newer = F.col("newest_at").isNull() | (F.col("fetched_at") > F.col("newest_at"))
             newer = F.coalesce(newer & F.col("fetched_at").isNotNull(), F.lit(False))  # without time: set aside, too
