@@ -18,19 +18,25 @@ CATEGORY_OF = {
 _landed: dict[tuple[str, str], str] = {}
 
 
-def rendered(spark: SparkSession, d: str) -> DataFrame:
-    """Every order as an export row, with the name of the file it belongs to.
-
-    The file of a region and month is 'exported' when the month ends.  Started
-    carries +3, -4 or no offset by order status, with a narrow no-break space
-    in the last form; open orders have no end.
-    """
+def _filed(spark: SparkSession, d: str) -> DataFrame:
+    """Every order with the name of the file it belongs to: that of a region and month is 'exported' when the month ends."""
     orders = table(spark, d, "orders").join(geo_of_customers(spark, d), F.col("o_custkey") == F.col("c_custkey"))
     month_end = F.add_months(F.date_trunc("month", "o_orderdate"), 1)
     category = F.element_at(F.create_map(*[F.lit(v) for kv in CATEGORY_OF.items() for v in kv]), F.col("geo"))
     stem = F.concat(
         F.lit("trends_"), "geo", F.lit("_24h_"), category, F.lit("_"), F.date_format(month_end, "yyyyMMdd-HHmmss"), F.lit(".csv")
     )
+    return orders.select(
+        stem.alias("file"), "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
+
+
+def rendered(orders: DataFrame) -> DataFrame:
+    """Filed orders as export rows.
+
+    Started carries +3, -4 or no offset by order status, with a narrow no-break space
+    in the last form; open orders have no end.
+    """
     status = F.col("o_orderstatus")
     zone = F.when(status == "F", "UTC+3").when(status == "O", "UTC-4").otherwise("UTC")
     blank = F.when(status == "P", "\u202f").otherwise(" ")
@@ -50,7 +56,7 @@ def rendered(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("./explore?q="), F.col("o_orderkey").cast("string")),
     ]
     return orders.select(
-        stem.alias("file"), "o_orderkey", *[c.alias(n) for c, n in zip(cells, EXPORT_COLUMNS, strict=True)]
+        "file", "o_orderkey", *[c.alias(n) for c, n in zip(cells, EXPORT_COLUMNS, strict=True)]
     )
 
 
@@ -59,11 +65,15 @@ def export_folder(spark: SparkSession, d: str) -> str:
     at = (spark.sparkContext.applicationId, d)
     if at not in _landed:
         path = shared_folder(spark, "exports")
-        (
-            rendered(spark, d)
-            # one writer per file keeps its row order; the number keeps small inputs parallel
-            .repartition(spark.sparkContext.defaultParallelism, "file")
+        filed = (
+            _filed(spark, d)
+            # one writer per file keeps its row order; the number keeps small inputs parallel, and several
+            # shares per core let the cores even out what the files' hashes deal to each share
+            .repartition(4 * spark.sparkContext.defaultParallelism, "file")
             .sortWithinPartitions("file", "o_orderkey")
+        )
+        (
+            rendered(filed)  # orders move as they are and become text where they are written
             .drop("o_orderkey")
             .write.partitionBy("file")
             .options(header=True, escape='"')
@@ -79,7 +89,7 @@ def raw_exports(spark: SparkSession, d: str) -> DataFrame:
 
 def _mixed_folder(spark: SparkSession, d: str) -> str:
     """Export files of several layouts: columns of ASIA turned round with one more, EUROPE without the end."""
-    path, rows = shared_folder(spark, "mixed-exports"), rendered(spark, d)
+    path, rows = shared_folder(spark, "mixed-exports"), rendered(_filed(spark, d))
     layouts = {
         "ASIA": ["Note", *reversed(EXPORT_COLUMNS)], "EUROPE": [c for c in EXPORT_COLUMNS if c != "Ended"], None: EXPORT_COLUMNS,
     }
