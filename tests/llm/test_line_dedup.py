@@ -49,3 +49,21 @@ def test_edited_lines(spark, seed):
             lines.append(rng.choice([" ", "\t ", "  "]).join(x).upper() if rng.random() < 0.5 else " ".join(x))
         rows.append((rng.randrange(10**12), "\n".join(lines)))
     check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_families_are_not_listed_as_pairs(spark, monkeypatch):
+    """Variants of one line, and of one that shares half of it: all links count, but few pairs are rows."""
+    rng = random.Random(5)
+    bases = [[f"w{i}" for i in range(40)], [f"w{i}" for i in range(20, 60)]]
+    lines = [" ".join([w if i != k else f"n{j}" for i, w in enumerate(bases[j % 2])]) for j in range(160) for k in [rng.randrange(40)]]
+    listed, write = {}, line_dedup.materialize
+
+    def counted(session, df, purpose):
+        out = write(session, df, purpose)
+        listed[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    got = check(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    assert sum(r.n_links for r in got) == 2 * 80 * 79
+    assert listed["stars"] + listed["pairs"] + listed["links"] < 1000

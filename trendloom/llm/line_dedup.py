@@ -7,15 +7,22 @@ of at least ``PERCENT`` %.
 Lines with one set are one class; counting them combines before the shuffle, so a line
 of every document costs one row per task.  Tokens are 63-bit numbers that sort by rarity:
 the rank of the word's slot in a table of ``SLOTS`` counts over the whole corpus, then the
-word's hash.  Two similar sets share a token among their first (rarest) ones, so only
-these prefixes are joined.  A pair survives if lengths allow the similarity, if the
-shared token's positions leave room for the overlap, and if parity bitmaps of the sets
-do not differ in more bits than the sets may in words.  What survives is verified on the
-full token sets.  Texts without candidates are told by a bitmap of fixed size and not
-shuffled for that.
-
-The table of counts has a fixed size, too.  All links between different classes are found;
-copies are never paired.
+word's hash.  Two similar sets have two tokens in common
+that follow each other in both, and not far from the start: with ``h`` words in only one
+of the sets, at most ``h + 1`` common ones stand alone before that.  Such pairs of
+neighbours are the keys by which sets meet.  Sets that meet by chance are told by their sizes, by
+parity bitmaps of their first tokens, which cannot differ in more bits than these may in tokens, and by these tokens.
+
+Sets that meet get a family: that of the smallest set that they meet and may be similar to.  Within a
+family nothing is paired.  A set is told by its ``d`` words that differ from the family's
+centre, the words of most members; two sets differ in as many words as both do from the centre,
+less twice the differences that they share.  Without shared ones a link depends on one number per set
+only and links are counted on the numbers' histogram.  Pairs that are links only by what they share, and
+pairs of different families, are listed and verified on the full token sets.
+Texts without candidates are told by a bitmap of fixed size and not shuffled for that.
+The table of counts has a fixed size, too; words that only a line break parts count as one there.
+
+All links between different classes are found; copies are never paired.  ``percent`` is at least 50.
 
 Defined results: lines without words are kept and not counted; null and empty texts have
 no lines; rows are told apart by id and text, so rows that share an id, or have none, are
@@ -27,20 +34,29 @@ taken whole.  Other columns are ignored.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 
 PERCENT = 80
 SLOTS = 1 << 14
+#: First tokens that the bitmap of a set tells of.
+TOLD = 32
 #: 64-bit numbers of the bitmap of documents that hold candidates.
-MAP = 1 << 12
+MAP = 1 << 14
+
+
+def _split(text: str) -> Column:
+    """Words of a line in lower case, with empty ones; most have no white space but blanks, which is told faster than split."""
+    other = reduce(Column.__or__, (F.contains(F.col(text), F.lit(c)) for c in "\t\x0b\x0c\r"))
+    return F.when(other, F.split(F.lower(text), r"[\x20\x09-\x0D]+")).otherwise(F.split(F.lower(text), " "))
 
 
 def _words(lines: DataFrame) -> DataFrame:
     """``words`` instead of ``line``, for lines that have any."""
-    split = lines.withColumn("words", F.array_remove(F.split(F.lower("line"), r"[\x20\x09-\x0D]+"), "")).drop("line")
+    split = lines.withColumn("words", F.array_remove(_split("line"), "")).drop("line")
     return split.filter(F.size("words") > 0)
 
 
@@ -55,7 +71,7 @@ def _bit(number: Column) -> Column:
 
 def word_ranks(docs: DataFrame) -> Column:
     """For every slot of word hashes its rank by the words in it: a constant of ``SLOTS`` numbers."""
-    words = _lines(docs).select(F.explode("words").alias("word"))
+    words = docs.select(F.explode(_split("text")).alias("word"))
     counts = words.groupBy(F.xxhash64("word").bitwiseAND(SLOTS - 1).cast("int").alias("slot")).agg(F.count("*").alias("n"))
     n = dict(counts.collect())
     ranks = [0] * SLOTS
@@ -65,7 +81,7 @@ def word_ranks(docs: DataFrame) -> Column:
 
 
 def _tokens(lines: DataFrame, ranks: Column) -> DataFrame:
-    """Adds ``tokens``: the line's distinct tokens, rarest first."""
+    """``tokens`` instead of ``words``: the line's distinct tokens, rarest first."""
 
     def token(w: Column) -> Column:
         h = F.xxhash64(w)
@@ -76,47 +92,68 @@ def _tokens(lines: DataFrame, ranks: Column) -> DataFrame:
     return ids.withColumn("tokens", F.sort_array(F.array_distinct("ids"))).drop("ids")
 
 
-def _least(total: Column, percent: int) -> Column:
-    """Words two sets must share, from the sum of their sizes."""
-    return F.ceil(total * percent / (100 + percent))
+def _reach(size: Column, percent: int) -> Column:
+    """So many first tokens of a set hold two neighbours that any similar set has as neighbours, too."""
+    own = F.floor(size * (100 - percent) / 100)
+    return (own + F.floor((size - own) * (100 - percent) / percent) + 2).cast("int")
 
 
 def _classes(docs: DataFrame, ranks: Column, percent: int) -> DataFrame:
-    """Distinct sets: ``set, check, size, first, n, bits1, bits2, prefix``."""
+    """Distinct sets: ``id, size, first, heads, x, y``."""
     size = F.size("tokens")
-    # Two bitmaps of 64 bits: a word flips one bit of either, so few flips mean few words.
-    parity = lambda half: F.aggregate(
-        "tokens", F.lit(0).cast("long"),
-        lambda acc, x: F.when(x.bitwiseAND(64) == half, acc.bitwiseXOR(_bit(x))).otherwise(acc),
-    )
+    heads = F.transform(F.slice("tokens", 1, _reach(size, percent)), lambda x: F.shiftright(x, 25).bitwiseXOR(x).bitwiseAND(0x7FFFFFFF).cast("int"))
     keyed = _tokens(_lines(docs), ranks).select(
         F.xxhash64("tokens").alias("set"), F.xxhash64(F.lit(77), "tokens").alias("check"), size.alias("size"),
-        F.struct("doc_id", "row", "line_no").alias("at"), parity(0).alias("bits1"), parity(64).alias("bits2"),
-        F.slice("tokens", 1, size - F.ceil(size * percent / 100).cast("int") + 1).alias("prefix"),
+        F.struct("doc_id", "row", "line_no").alias("at"), heads.alias("heads"),
     )
-    return keyed.groupBy("set", "check", "size").agg(
-        F.min("at").alias("first"), F.count("*").alias("n"), F.any_value("bits1").alias("bits1"), F.any_value("bits2").alias("bits2"),
-        F.any_value("prefix").alias("prefix"),
-    )
-
-
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets that pass the filters; ``a`` and ``b`` are their hashes."""
+    sets = keyed.groupBy("set", "check", "size").agg(F.min("at").alias("first"), F.any_value("heads").alias("heads"))
+    # Two bitmaps of 64 bits: a token flips one bit of either, so few flips mean few tokens.
+    flip = lambda x, half: F.when(x.bitwiseAND(64) == half, _bit(x)).otherwise(F.lit(0).cast("long"))
+    parity = lambda half: reduce(Column.bitwiseXOR, (flip(F.get("heads", F.lit(i)), half) for i in range(TOLD)))
+    return sets.select(F.monotonically_increasing_id().alias("id"), "size", "first", "heads", parity(0).alias("x"), parity(64).alias("y"))
+
+
+def _fits(percent: int) -> Column:
+    """Whether sets of sizes ``na`` and ``nb`` with bitmaps ``xa, ya`` and ``xb, yb`` may be similar."""
+    na, nb = F.col("na"), F.col("nb")
+    most = F.floor((na + nb) * (100 - percent) / (100 + percent))
+    told_a, told_b = (F.least(_reach(n, percent), n, F.lit(TOLD)) for n in (na, nb))
+    # Of the first tokens that end sooner, those that the other's lack are words that the other set lacks.
+    more = F.greatest(told_b - told_a + most + na - nb, told_a - told_b + most + nb - na)
+    flips = F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) + F.bit_count(F.col("ya").bitwiseXOR(F.col("yb")))
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (flips <= more)
+
+
+def _meetings(classes: DataFrame, percent: int) -> DataFrame:
+    """``key, id, low, many`` of keys that several sets have: ``low`` is the smallest of them, ``many`` tells of three or more."""
     # A set so small that a partner must be equal to it has none.
     some = classes.filter(F.floor(F.col("size") * 100 / percent) > F.ceil(F.col("size") * percent / 100))
-    side = lambda s: some.select(
-        F.posexplode("prefix").alias(f"p{s}", "token"), F.col("set").alias(s), F.col("size").alias(f"n{s}"),
-        F.col("bits1").alias(f"x{s}"), F.col("bits2").alias(f"y{s}"),
-    )
-    na, nb, pa, pb = (F.col(c) for c in ("na", "nb", "pa", "pb"))
-    least = _least(na + nb, percent)
-    fits = (
-        (F.col("a") < F.col("b"))
-        & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
-        & (F.least(na - pa, nb - pb) + F.least(pa, pb) >= least)
-        & (F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) + F.bit_count(F.col("ya").bitwiseXOR(F.col("yb"))) <= na + nb - 2 * least)
-    )
-    return side("a").join(side("b").hint("merge"), "token").filter(fits).select("a", "b").distinct()
+    n = F.size("heads") - 1
+    both = some.select("id", F.explode(F.arrays_zip(F.slice("heads", F.lit(1), n).alias("x"), F.slice("heads", F.lit(2), n).alias("y"))).alias("k"))
+    keys = both.select(F.shiftleft(F.col("k.x").cast("long"), 31).bitwiseOR(F.col("k.y").cast("long")).alias("key"), "id")
+    same = Window.partitionBy("key")
+    met = keys.select("key", "id", F.min("id").over(same).alias("low"), F.count("*").over(same).alias("c"))
+    return met.filter("c > 1").select("key", "id", "low", (F.col("c") > 2).alias("many"))
+
+
+def _told(classes: DataFrame, as_: str) -> DataFrame:
+    return classes.select(F.col("id").alias(as_), F.col("size").alias(f"n{as_}"), F.col("x").alias(f"x{as_}"), F.col("y").alias(f"y{as_}"))
+
+
+def _stars(meetings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of the smallest set of a key and another one that has it, if they may be similar."""
+    pairs = meetings.filter("low < id").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
+    return pairs.join(_told(classes, "a"), "a").join(_told(classes, "b"), "b").filter(_fits(percent)).select("a", "b")
+
+
+def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs (a, b)`` that may be similar by all of their first tokens."""
+    side = lambda s: classes.select(F.col("id").alias(s), F.col("size").alias(f"n{s}"), F.col("heads").alias(f"h{s}"))
+    na, nb = F.col("na"), F.col("nb")
+    most = F.floor((na + nb) * (100 - percent) / (100 + percent))
+    # Where one's first tokens end sooner than the other's, those not among the other's are words that the other set lacks.
+    lacks = (2 * F.size(F.array_except("ha", "hb")) <= most + na - nb) | (2 * F.size(F.array_except("hb", "ha")) <= most + nb - na)
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(lacks).select("a", "b")
 
 
 def _maybe_in(ids: DataFrame) -> Column:
@@ -129,26 +166,112 @@ def _maybe_in(ids: DataFrame) -> Column:
     return F.get(bitmap, F.shiftright(mine, 6).bitwiseAND(MAP - 1).cast("int")).bitwiseAND(_bit(mine)) != 0
 
 
-def links(docs: DataFrame, ranks: Column, pairs: DataFrame, firsts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The candidate ``pairs`` that are links: ``a, a_check, b, b_check`` (hash and check of both sets)."""
+def _sets(docs: DataFrame, ranks: Column, wanted: DataFrame) -> DataFrame:
+    """``id, first, n, tokens`` of the ``wanted (id, first)`` sets, from the texts where they stand first."""
     spark = docs.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
-    lines = firsts.join(wanted, F.col("set") == F.col("w"), "left_semi")
-    asked = lines.groupBy(F.col("first.doc_id").alias("f_id"), F.col("first.row").alias("f_row")).agg(F.collect_set("first.line_no").alias("f_lines"))
+    asked = wanted.groupBy(F.col("first.doc_id").alias("f_id"), F.col("first.row").alias("f_row")).agg(
+        F.map_from_entries(F.collect_list(F.struct("first.line_no", "id"))).alias("f_lines")
+    )
     asked = materialize(spark, asked, "asked")
     near = docs.filter(_maybe_in(asked.select(F.col("f_row").alias("id"))))
     texts = near.join(asked.hint("merge"), (F.col("row") == F.col("f_row")) & F.col("doc_id").eqNullSafe(F.col("f_id")))
-    found = texts.select("doc_id", "f_lines", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(
-        F.array_contains("f_lines", F.col("line_no"))
-    )
-    sets = _tokens(_words(found.drop("f_lines")), ranks).select(
-        F.xxhash64("tokens").alias("set"), F.xxhash64(F.lit(77), "tokens").alias("check"), "tokens"
-    ).dropDuplicates(["set", "check"])
-    side = lambda s: sets.select(F.col("set").alias(s), F.col("check").alias(f"{s}_check"), F.col("tokens").alias(f"{s}_tokens"))
+    found = texts.select("doc_id", "row", "f_lines", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    found = found.withColumn("id", F.col("f_lines")[F.col("line_no")]).drop("f_lines").filter(F.col("id").isNotNull())
+    sets = _tokens(_words(found), ranks).dropDuplicates(["id"])
+    return sets.select("id", F.struct("doc_id", "row", "line_no").alias("first"), F.size("tokens").alias("n"), "tokens")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs (a, b)`` of sets that are links."""
+    side = lambda s: sets.select(F.col("id").alias(s), F.col("tokens").alias(f"{s}_tokens"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     union = F.size("a_tokens") + F.size("b_tokens") - shared
-    return materialize(spark, both.filter(100 * shared >= percent * union).select("a", "a_check", "b", "b_check"), "links")
+    return both.filter(100 * shared >= percent * union).select("a", "b")
+
+
+def families(stars: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, family`` of all ``ids``, from the pairs ``stars (a, b)``: the smallest ``a`` of a set, or of that one."""
+    low = stars.groupBy("b").agg(F.min("a").alias("a"))
+    far = low.select(F.col("b").alias("a"), F.col("a").alias("further"))
+    root = low.join(far, "a", "left").select(F.col("b").alias("id"), F.coalesce("further", "a").alias("root"))
+    return ids.join(root, "id", "left").select("id", F.coalesce("root", "id").alias("family"))
+
+
+def _members(sets: DataFrame, family: DataFrame, percent: int) -> DataFrame:
+    """``family, id, first, n, other, v`` of families of several sets.
+
+    ``other``: the words in only one of the set and its centre; two sets that share ``c`` of these
+    are a link if the sum of their ``v`` is at most ``2 * (100 + percent) * c``.
+    """
+    several = family.groupBy("family").agg(F.count("*").alias("members")).filter("members > 1")
+    own = sets.join(family, "id").join(several, "family")
+    usual = own.select("family", "members", F.explode("tokens").alias("token")).groupBy("family", "members", "token").agg(F.count("*").alias("c"))
+    centre = usual.filter(2 * F.col("c") > F.col("members")).groupBy("family").agg(F.collect_list("token").alias("centre"))
+    other = F.concat(F.array_except("tokens", "centre"), F.array_except("centre", "tokens"))
+    told = own.join(centre, "family", "left").withColumn("centre", F.coalesce("centre", F.array().cast("array<bigint>")))
+    v = (100 + percent) * F.size("other") - (100 - percent) * F.col("n")
+    return told.select("family", "id", "first", "n", other.alias("other")).withColumn("v", v)
+
+
+def _within(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links within families: ``id, links, low`` by numbers alone, and the pairs ``a, b`` that are links by what they share."""
+    kinds = members.groupBy("family", "v").agg(F.count("*").alias("c"), F.min("first").alias("low"))
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    at = kinds.schema["low"].dataType
+    asks = kinds.select("family", (-F.col("v")).alias("at"), F.col("v").alias("of"), F.lit(0).cast("long").alias("c"), none("low", at))
+    told = kinds.select("family", F.col("v").alias("at"), none("of", "int"), "c", "low").union(asks)
+    up_to = Window.partitionBy("family").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = told.select("family", "of", F.sum("c").over(up_to).alias("links"), F.min("low").over(up_to).alias("low")).filter(F.col("of").isNotNull())
+    by_number = members.join(sums.withColumnRenamed("of", "v"), ["family", "v"]).select(
+        "id", (F.col("links") - (F.col("v") <= 0).cast("long")).alias("links"), "low"
+    )
+    most = members.groupBy("family").agg(F.max("v").alias("most"))
+    far = members.join(most, "family").filter(F.col("v") + F.col("most") > 0)
+    side = lambda s: far.select("family", F.explode("other").alias("token"), F.col("id").alias(s), F.col("v").alias(f"v{s}"), F.size("other").alias(f"d{s}"))
+    total, each = F.col("va") + F.col("vb"), 2 * (100 + percent)
+    shared = (
+        side("a").join(side("b"), ["family", "token"])
+        .filter((F.col("a") < F.col("b")) & (total > 0) & (total <= each * F.least("da", "db")))
+        .groupBy("a", "b").agg(F.count("*").alias("c"), F.any_value(total).alias("total")).filter(F.col("total") <= each * F.col("c"))
+    )
+    return by_number, shared.select("a", "b")
+
+
+def _across(meetings: DataFrame, stars: DataFrame, family: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of sets of different families that meet and may be similar."""
+    of = lambda s: family.select(F.col("id").alias(s), F.col("family").alias(f"f{s}"))
+    apart = stars.join(of("a"), "a").join(of("b"), "b").filter("fa <> fb").select("a", "b")
+    # Where two sets meet, they are such a pair of a smallest one and another; where more do, others may be similar.
+    same = Window.partitionBy("key")
+    named = meetings.filter("many").select("key", "id").join(family, "id").join(_told(classes, "id"), "id")
+    mixed = named.select("*", F.min("family").over(same).alias("f"), F.max("family").over(same).alias("g")).filter("f < g").drop("f", "g")
+    side = lambda s: mixed.select(
+        "key", F.col("id").alias(s), F.col("family").alias(f"f{s}"), *(F.col(f"{c}id").alias(f"{c}{s}") for c in "nxy")
+    )
+    fits = (F.col("a") < F.col("b")) & (F.col("fa") != F.col("fb")) & _fits(percent)
+    return apart.union(side("a").join(side("b").hint("merge"), "key").filter(fits).select("a", "b")).distinct()
+
+
+def links(docs: DataFrame, ranks: Column, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``id, links, low`` of sets with links: their number, and where the earliest of the linked sets, or it itself, stands."""
+    spark = docs.sparkSession
+    meetings = materialize(spark, _meetings(classes, percent), "meetings")
+    stars = materialize(spark, _alike(_stars(meetings, classes, percent), classes, percent), "stars")
+    family = materialize(spark, families(stars, meetings.select("id").distinct()), "families")
+    across = materialize(spark, _alike(_across(meetings, stars, family, classes, percent), classes, percent), "pairs")
+    several = family.groupBy("family").agg(F.count("*").alias("c")).filter("c > 1").select("family")
+    near = family.join(several, "family", "left_semi").select("id").union(across.select(F.explode(F.array("a", "b")))).distinct()
+    sets = materialize(spark, _sets(docs, ranks, classes.select("id", "first").join(near, "id", "left_semi")), "sets")
+    members = materialize(spark, _members(sets, family, percent), "members")
+    by_number, shared = _within(members, percent)
+    pairs = materialize(spark, shared.union(_similar(across, sets, percent)), "links")
+    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    listed = both.join(sets.select(F.col("id").alias("b"), "first"), "b").groupBy(F.col("a").alias("id")).agg(
+        F.count("*").alias("links"), F.min("first").alias("low")
+    )
+    all_ = by_number.union(listed).groupBy("id").agg(F.sum("links").alias("links"), F.min("low").alias("low"))
+    return materialize(spark, all_.filter("links > 0"), "linked")
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -160,17 +283,8 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("row", F.xxhash64("text"))
     ranks = word_ranks(docs)
     classes = materialize(spark, _classes(docs, ranks, percent), "line-sets")
-    firsts = classes.select("set", "check", "first")
-    found = links(docs, ranks, materialize(spark, _candidates(classes, percent), "pairs"), firsts, percent)
-    near = found.select("a", "a_check", "b", "b_check").union(found.select("b", "b_check", "a", "a_check"))
-    own = firsts.select(F.col("set").alias("a"), F.col("check").alias("a_check"), F.col("first").alias("a_first"))
-    other = firsts.select(F.col("set").alias("b"), F.col("check").alias("b_check"), F.col("first").alias("b_first"))
-    linked = (
-        near.join(own, ["a", "a_check"]).join(other, ["b", "b_check"])
-        .groupBy("a", "a_check").agg(F.count("*").alias("links"), F.max(F.col("b_first") < F.col("a_first")).alias("later"))
-        .withColumnsRenamed({"a": "l_set", "a_check": "l_check"})
-    )
-    judged = firsts.join(linked, (F.col("set") == F.col("l_set")) & (F.col("check") == F.col("l_check")), "left")
+    linked = links(docs, ranks, classes, percent)
+    judged = classes.select("id", "first").join(linked, "id", "left").withColumn("later", F.col("low") < F.col("first"))
     per = judged.groupBy(F.col("first.doc_id").alias("k_id"), F.col("first.row").alias("k_row")).agg(
         F.array_sort(F.collect_list(F.when(~F.coalesce("later", F.lit(False)), F.col("first.line_no")))).alias("kept"),
         F.sum(F.coalesce("links", F.lit(0))).alias("links"),
