@@ -72,6 +72,15 @@ def test_words_start_one_gram_each(corpus):
     assert flows == {k: c for k, c in f.items() if c >= 4}
 
 
+def test_tasks_of_the_last_pass_take_several_splits(corpus):
+    """A frequent gram is a row of each task, so these grow slower than the splits."""
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    split = corpus.repartition(16 * cores)
+    assert phrases._shares(split).rdd.getNumPartitions() == 16 * cores // phrases.SPLITS
+    assert phrases._shares(corpus.repartition(cores)).rdd.getNumPartitions() == cores
+    assert plain(phrases.mine(split, 5, 300)) == plain(phrases.mine(corpus, 5, 300))
+
+
 def test_products_past_64_bits(spark):
     big = 3_000_000_000_000
     counts = [("x", "a", 1, big), ("x", "b", 1, big - 1), ("x", "a b", 2, big // 2)]

@@ -10,7 +10,8 @@ The last pass aggregates the longest grams: an edge of ``width`` words joins the
 its first and its last ``width - 1`` words, and where a piece (or what can be frequent) ends
 sooner, the shorter rest is counted as a piece's end.  All shorter counts come from these rows: a
 phrase occurs as often as edges leave it (node flow) plus the piece ends that start with
-it.  Counts combine inside tasks before the shuffle.
+it.  Counts combine inside tasks before the shuffle; the last pass has few tasks of several input splits each, as
+most frequent grams stand in every split.
 
 Cuts are scored with exact decimals.  A candidate inside a longer one that is as frequent is
 dropped; as counts never grow with length, it is enough to look one word further.
@@ -44,6 +45,8 @@ PAIRS = 1 << 19
 #: Bytes of whole texts looked at in one go, and distinct grams that a task holds.
 CHUNK = 1 << 19
 GRAMS = 200_000
+#: Input splits that a task of the last pass looks at; a gram counts once per task before the shuffle.
+SPLITS = 4
 #: Words of a path's row.
 SEGMENT = 1000
 
@@ -203,6 +206,11 @@ def _gram_rows(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def _shares(rows: DataFrame) -> DataFrame:
+    """The same rows in fewer tasks, ``SPLITS`` input splits each, but in two tasks per core at least."""
+    return rows.coalesce(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-rows.rdd.getNumPartitions() // SPLITS)))
+
+
 def longest_grams(docs: DataFrame, min_count: int = MIN_COUNT, width: int = WIDTH) -> DataFrame:
     """``lang, gram, size, w``: edges of ``width`` words, and shorter rests where a piece or a chain of frequent pairs ends.
 
@@ -212,7 +220,7 @@ def longest_grams(docs: DataFrame, min_count: int = MIN_COUNT, width: int = WIDT
     filters: list[np.ndarray] = []
     for _ in range(2, max(3, width)):
         filters.append(frequent(rows, min_count, filters))
-    counted = rows.mapInArrow(_grams(filters, width), "lang string, gram string, size int, w long")
+    counted = _shares(rows).mapInArrow(_grams(filters, width), "lang string, gram string, size int, w long")
     return counted.groupBy("lang", "gram", "size").agg(F.sum("w").alias("w"))
 
 
