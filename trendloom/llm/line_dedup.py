@@ -146,14 +146,18 @@ def _stars(meetings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(_told(classes, "a"), "a").join(_told(classes, "b"), "b").filter(_fits(percent)).select("a", "b")
 
 
-def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs (a, b)`` that may be similar by all of their first tokens."""
-    side = lambda s: classes.select(F.col("id").alias(s), F.col("size").alias(f"n{s}"), F.col("heads").alias(f"h{s}"))
+def _lacking(percent: int) -> Column:
+    """Whether sets of sizes ``na`` and ``nb`` with first tokens ``ha`` and ``hb`` may be similar by all of these."""
     na, nb = F.col("na"), F.col("nb")
     most = F.floor((na + nb) * (100 - percent) / (100 + percent))
     # Where one's first tokens end sooner than the other's, those not among the other's are words that the other set lacks.
-    lacks = (2 * F.size(F.array_except("ha", "hb")) <= most + na - nb) | (2 * F.size(F.array_except("hb", "ha")) <= most + nb - na)
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(lacks).select("a", "b")
+    return (2 * F.size(F.array_except("ha", "hb")) <= most + na - nb) | (2 * F.size(F.array_except("hb", "ha")) <= most + nb - na)
+
+
+def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs (a, b)`` that may be similar by all of their first tokens."""
+    side = lambda s: classes.select(F.col("id").alias(s), F.col("size").alias(f"n{s}"), F.col("heads").alias(f"h{s}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(_lacking(percent)).select("a", "b")
 
 
 def _maybe_in(ids: DataFrame) -> Column:
@@ -244,12 +248,13 @@ def _across(meetings: DataFrame, stars: DataFrame, family: DataFrame, classes: D
     apart = stars.join(of("a"), "a").join(of("b"), "b").filter("fa <> fb").select("a", "b")
     # Where two sets meet, they are such a pair of a smallest one and another; where more do, others may be similar.
     same = Window.partitionBy("key")
-    named = meetings.filter("many").select("key", "id").join(family, "id").join(_told(classes, "id"), "id")
+    told = classes.select("id", F.col("size").alias("n"), "x", "y", F.col("heads").alias("h"))
+    named = meetings.filter("many").select("key", "id").join(family, "id").join(told, "id")
     mixed = named.select("*", F.min("family").over(same).alias("f"), F.max("family").over(same).alias("g")).filter("f < g").drop("f", "g")
     side = lambda s: mixed.select(
-        "key", F.col("id").alias(s), F.col("family").alias(f"f{s}"), *(F.col(f"{c}id").alias(f"{c}{s}") for c in "nxy")
+        "key", F.col("id").alias(s), F.col("family").alias(f"f{s}"), *(F.col(c).alias(f"{c}{s}") for c in "nxyh")
     )
-    fits = (F.col("a") < F.col("b")) & (F.col("fa") != F.col("fb")) & _fits(percent)
+    fits = (F.col("a") < F.col("b")) & (F.col("fa") != F.col("fb")) & _fits(percent) & _lacking(percent)
     return apart.union(side("a").join(side("b").hint("merge"), "key").filter(fits).select("a", "b")).distinct()
 
 
@@ -259,7 +264,7 @@ def links(docs: DataFrame, ranks: Column, classes: DataFrame, percent: int = PER
     meetings = materialize(spark, _meetings(classes, percent), "meetings")
     stars = materialize(spark, _alike(_stars(meetings, classes, percent), classes, percent), "stars")
     family = materialize(spark, families(stars, meetings.select("id").distinct()), "families")
-    across = materialize(spark, _alike(_across(meetings, stars, family, classes, percent), classes, percent), "pairs")
+    across = materialize(spark, _across(meetings, stars, family, classes, percent), "pairs")
     several = family.groupBy("family").agg(F.count("*").alias("c")).filter("c > 1").select("family")
     near = family.join(several, "family", "left_semi").select("id").union(across.select(F.explode(F.array("a", "b")))).distinct()
     sets = materialize(spark, _sets(docs, ranks, classes.select("id", "first").join(near, "id", "left_semi")), "sets")
