@@ -67,3 +67,24 @@ def test_families_are_not_listed_as_pairs(spark, monkeypatch):
     got = check(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
     assert sum(r.n_links for r in got) == 2 * 80 * 79
     assert listed["stars"] + listed["pairs"] + listed["links"] < 1000
+
+
+def test_chance_meetings_are_told_where_they_meet(spark, monkeypatch):
+    """Lines that share two rare words and little else: their keys meet, but are no rows; crowded keys and white space count, too."""
+    rng = random.Random(7)
+    common = [f"c{i}" for i in range(60)]
+    lines = [f"r{i // 2} {' '.join(rng.sample(common, 8))} s{i // 2}" for i in range(200)]
+    crowd = [f"x\ty {' '.join(rng.sample(common, 8))}" for _ in range(20)]
+    listed, write = {}, line_dedup.materialize
+
+    def counted(session, df, purpose):
+        out = write(session, df, purpose)
+        listed[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    check(docs)
+    assert listed["meetings"] < 20
+    crowded = [*lines, *crowd, crowd[0] + " more", crowd[1].replace("\t", "\x0b")]
+    check(spark.createDataFrame(list(enumerate(crowded)), "doc_id long, text string"))

@@ -34,6 +34,7 @@ taken whole.  Other columns are ignored.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -42,27 +43,34 @@ from ..session import materialize
 
 PERCENT = 80
 SLOTS = 1 << 14
-#: First tokens that the bitmap of a set tells of.
+#: First tokens that the bitmaps of a set tell of.
 TOLD = 32
+#: Sets that a key may have for all of them to be compared with each other.
+FEW = 8
 #: 64-bit numbers of the bitmap of documents that hold candidates.
 MAP = 1 << 14
 
 
+def _odd() -> Column:
+    """Whether ``text`` has white space but blanks and line ends; most have none, and blanks alone are split faster."""
+    return F.col("text").rlike(r"[\x09\x0B-\x0D]")
+
+
 def _split(text: str) -> Column:
-    """Words of a line in lower case, with empty ones; most have no white space but blanks, which is told faster than split."""
-    other = reduce(Column.__or__, (F.contains(F.col(text), F.lit(c)) for c in "\t\x0b\x0c\r"))
-    return F.when(other, F.split(F.lower(text), r"[\x20\x09-\x0D]+")).otherwise(F.split(F.lower(text), " "))
+    """Words of a line of a text that may be ``odd``, in lower case, with empty ones."""
+    return F.when(F.col("odd"), F.split(F.lower(text), r"[\x20\x09-\x0D]+")).otherwise(F.split(F.lower(text), " "))
 
 
 def _words(lines: DataFrame) -> DataFrame:
-    """``words`` instead of ``line``, for lines that have any."""
-    split = lines.withColumn("words", F.array_remove(_split("line"), "")).drop("line")
+    """``words`` instead of ``odd`` and ``line``, for lines that have any."""
+    split = lines.withColumn("words", F.array_remove(_split("line"), "")).drop("odd", "line")
     return split.filter(F.size("words") > 0)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """``doc_id, row, line_no, words`` of all lines with a word."""
-    return _words(docs.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line")))
+    told = docs.withColumn("odd", _odd())
+    return _words(told.select("doc_id", "row", "odd", F.posexplode(F.split("text", "\n")).alias("line_no", "line")))
 
 
 def _bit(number: Column) -> Column:
@@ -71,7 +79,7 @@ def _bit(number: Column) -> Column:
 
 def word_ranks(docs: DataFrame) -> Column:
     """For every slot of word hashes its rank by the words in it: a constant of ``SLOTS`` numbers."""
-    words = docs.select(F.explode(_split("text")).alias("word"))
+    words = docs.withColumn("odd", _odd()).select(F.explode(_split("text")).alias("word"))
     counts = words.groupBy(F.xxhash64("word").bitwiseAND(SLOTS - 1).cast("int").alias("slot")).agg(F.count("*").alias("n"))
     n = dict(counts.collect())
     ranks = [0] * SLOTS
@@ -107,48 +115,61 @@ def _classes(docs: DataFrame, ranks: Column, percent: int) -> DataFrame:
         F.struct("doc_id", "row", "line_no").alias("at"), heads.alias("heads"),
     )
     sets = keyed.groupBy("set", "check", "size").agg(F.min("at").alias("first"), F.any_value("heads").alias("heads"))
-    # Two bitmaps of 64 bits: a token flips one bit of either, so few flips mean few tokens.
-    flip = lambda x, half: F.when(x.bitwiseAND(64) == half, _bit(x)).otherwise(F.lit(0).cast("long"))
-    parity = lambda half: reduce(Column.bitwiseXOR, (flip(F.get("heads", F.lit(i)), half) for i in range(TOLD)))
-    return sets.select(F.monotonically_increasing_id().alias("id"), "size", "first", "heads", parity(0).alias("x"), parity(64).alias("y"))
+    return sets.select(F.monotonically_increasing_id().alias("id"), "size", "first", "heads", _parity(lambda x: x).alias("x"))
 
 
-def _fits(percent: int) -> Column:
-    """Whether sets of sizes ``na`` and ``nb`` with bitmaps ``xa, ya`` and ``xb, yb`` may be similar."""
-    na, nb = F.col("na"), F.col("nb")
-    most = F.floor((na + nb) * (100 - percent) / (100 + percent))
-    told_a, told_b = (F.least(_reach(n, percent), n, F.lit(TOLD)) for n in (na, nb))
+def _parity(bits: Callable[[Column], Column]) -> Column:
+    """64 bits, of which each of the first tokens flips one, told by the last 6 of its ``bits``; so few flips mean few tokens."""
+    flip = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), bits(x))
+    return F.aggregate(F.slice("heads", 1, TOLD), F.lit(0).cast("long"), lambda all_, x: all_.bitwiseXOR(flip(x)))
+
+
+def _beyond(size: Column, percent: int) -> Column:
+    """Less than 0 by the words of a set that its bitmaps don't tell of."""
+    return (F.least(_reach(size, percent), size, F.lit(TOLD)) - size).cast("int")
+
+
+def _fits(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
+    """Whether sets of sizes ``n``, with ``t`` from ``_beyond`` and bitmaps (``x`` or both), may be similar."""
+    na, nb = a["n"], b["n"]
     # Of the first tokens that end sooner, those that the other's lack are words that the other set lacks.
-    more = F.greatest(told_b - told_a + most + na - nb, told_a - told_b + most + nb - na)
-    flips = F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) + F.bit_count(F.col("ya").bitwiseXOR(F.col("yb")))
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (flips <= more)
+    most = lambda flips: (100 + percent) * (flips - F.abs(a["t"] - b["t"])) <= (100 - percent) * (na + nb)
+    few = (most(F.bit_count(a[bits].bitwiseXOR(b[bits]))) for bits in a if bits in "xy")
+    return reduce(Column.__and__, few, 100 * F.least(na, nb) >= percent * F.greatest(na, nb))
 
 
 def _meetings(classes: DataFrame, percent: int) -> DataFrame:
-    """``key, id, low, many`` of keys that several sets have: ``low`` is the smallest of them, ``many`` tells of three or more."""
+    """``key, id, n, t, x, many, other`` of sets that share a key with a smaller set ``other`` that they may be similar to.
+
+    Of a key that more than ``FEW`` sets have, each is one row, and the only other one is the smallest, or none.
+    """
     # A set so small that a partner must be equal to it has none.
     some = classes.filter(F.floor(F.col("size") * 100 / percent) > F.ceil(F.col("size") * percent / 100))
     n = F.size("heads") - 1
-    both = some.select("id", F.explode(F.arrays_zip(F.slice("heads", F.lit(1), n).alias("x"), F.slice("heads", F.lit(2), n).alias("y"))).alias("k"))
-    keys = both.select(F.shiftleft(F.col("k.x").cast("long"), 31).bitwiseOR(F.col("k.y").cast("long")).alias("key"), "id")
-    same = Window.partitionBy("key")
-    met = keys.select("key", "id", F.min("id").over(same).alias("low"), F.count("*").over(same).alias("c"))
-    return met.filter("c > 1").select("key", "id", "low", (F.col("c") > 2).alias("many"))
-
-
-def _told(classes: DataFrame, as_: str) -> DataFrame:
-    return classes.select(F.col("id").alias(as_), F.col("size").alias(f"n{as_}"), F.col("x").alias(f"x{as_}"), F.col("y").alias(f"y{as_}"))
-
-
-def _stars(meetings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of the smallest set of a key and another one that has it, if they may be similar."""
-    pairs = meetings.filter("low < id").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
-    return pairs.join(_told(classes, "a"), "a").join(_told(classes, "b"), "b").filter(_fits(percent)).select("a", "b")
+    both = some.select("id", F.col("size").alias("n"), "x", F.explode(F.arrays_zip(F.slice("heads", F.lit(1), n).alias("h"), F.slice("heads", F.lit(2), n).alias("i"))).alias("k"))
+    keys = both.select(F.shiftleft(F.col("k.h").cast("long"), 31).bitwiseOR(F.col("k.i").cast("long")).alias("key"), "id", "n", "x")
+    same = Window.partitionBy("key").orderBy("id")
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = keys.withColumn("c", F.count("*").over(whole)).filter("c > 1").withColumn("t", _beyond(F.col("n"), percent))
+    one = F.struct("id", "n", "t", "x")
+    many = F.col("c") > FEW
+    others = [F.when(many, F.first(one).over(whole)), *(F.when(~many, F.lag(one, k).over(same)) for k in range(1, FEW))]
+    beside = met.select("key", "id", "n", "t", "x", many.alias("many"), *(other.alias(f"o{k}") for k, other in enumerate(others)))
+    pairs = beside.select("key", "id", "n", "t", "x", "many", F.explode(F.array(*(f"o{k}" for k in range(FEW)))).alias("o")).filter("o is not null")
+    fits = (F.col("o.id") < F.col("id")) & _fits({c: F.col(f"o.{c}") for c in "ntx"}, {c: F.col(c) for c in "ntx"}, percent)
+    told = pairs.select("key", "id", "n", "t", "x", "many", F.when(fits, F.col("o.id")).alias("other"))
+    return told.filter(F.col("many") | F.col("other").isNotNull())
+
+
+def _stars(meetings: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of a set and a smaller one that meet and may be similar."""
+    return meetings.filter("other is not null").select(F.col("other").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The ``pairs (a, b)`` that may be similar by all of their first tokens."""
-    side = lambda s: classes.select(F.col("id").alias(s), F.col("size").alias(f"n{s}"), F.col("heads").alias(f"h{s}"))
+    near = classes.filter(_maybe_in(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id"))
+    side = lambda s: near.select(F.col("id").alias(s), F.col("size").alias(f"n{s}"), F.col("heads").alias(f"h{s}"))
     na, nb = F.col("na"), F.col("nb")
     most = F.floor((na + nb) * (100 - percent) / (100 + percent))
     # Where one's first tokens end sooner than the other's, those not among the other's are words that the other set lacks.
@@ -156,13 +177,13 @@ def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(lacks).select("a", "b")
 
 
-def _maybe_in(ids: DataFrame) -> Column:
-    """Whether ``row`` may be among ``ids (id)``, by a bitmap of ``64 * MAP`` bits: never wrong for one that is."""
+def _maybe_in(ids: DataFrame, column: str) -> Column:
+    """Whether ``column`` may be among ``ids (id)``, by a bitmap of ``64 * MAP`` bits: never wrong for one that is."""
     h = F.xxhash64(F.lit(9), "id")
     words = ids.groupBy(F.shiftright(h, 6).bitwiseAND(MAP - 1).cast("int").alias("at")).agg(F.bit_or(_bit(h)).alias("bits"))
     held = dict(words.collect())
     bitmap = F.from_json(F.lit(json.dumps([held.get(i, 0) for i in range(MAP)])), "array<bigint>")
-    mine = F.xxhash64(F.lit(9), "row")
+    mine = F.xxhash64(F.lit(9), column)
     return F.get(bitmap, F.shiftright(mine, 6).bitwiseAND(MAP - 1).cast("int")).bitwiseAND(_bit(mine)) != 0
 
 
@@ -173,9 +194,9 @@ def _sets(docs: DataFrame, ranks: Column, wanted: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("first.line_no", "id"))).alias("f_lines")
     )
     asked = materialize(spark, asked, "asked")
-    near = docs.filter(_maybe_in(asked.select(F.col("f_row").alias("id"))))
+    near = docs.filter(_maybe_in(asked.select(F.col("f_row").alias("id")), "row"))
     texts = near.join(asked.hint("merge"), (F.col("row") == F.col("f_row")) & F.col("doc_id").eqNullSafe(F.col("f_id")))
-    found = texts.select("doc_id", "row", "f_lines", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    found = texts.withColumn("odd", _odd()).select("doc_id", "row", "odd", "f_lines", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     found = found.withColumn("id", F.col("f_lines")[F.col("line_no")]).drop("f_lines").filter(F.col("id").isNotNull())
     sets = _tokens(_words(found), ranks).dropDuplicates(["id"])
     return sets.select("id", F.struct("doc_id", "row", "line_no").alias("first"), F.size("tokens").alias("n"), "tokens")
@@ -242,14 +263,15 @@ def _across(meetings: DataFrame, stars: DataFrame, family: DataFrame, classes: D
     """Pairs ``a, b`` of sets of different families that meet and may be similar."""
     of = lambda s: family.select(F.col("id").alias(s), F.col("family").alias(f"f{s}"))
     apart = stars.join(of("a"), "a").join(of("b"), "b").filter("fa <> fb").select("a", "b")
-    # Where two sets meet, they are such a pair of a smallest one and another; where more do, others may be similar.
+    # Where few sets meet, all pairs of them are told; where many do, others may be similar.
     same = Window.partitionBy("key")
-    named = meetings.filter("many").select("key", "id").join(family, "id").join(_told(classes, "id"), "id")
-    mixed = named.select("*", F.min("family").over(same).alias("f"), F.max("family").over(same).alias("g")).filter("f < g").drop("f", "g")
-    side = lambda s: mixed.select(
-        "key", F.col("id").alias(s), F.col("family").alias(f"f{s}"), *(F.col(f"{c}id").alias(f"{c}{s}") for c in "nxy")
-    )
-    fits = (F.col("a") < F.col("b")) & (F.col("fa") != F.col("fb")) & _fits(percent)
+    many = meetings.filter("many").select("key", "id", "n", "t", "x").join(family, "id", "left").withColumn("family", F.coalesce("family", "id"))
+    mixed = many.select("*", F.min("family").over(same).alias("f"), F.max("family").over(same).alias("g")).filter("f < g").drop("f", "g")
+    told = classes.filter(_maybe_in(mixed.select("id"), "id")).select("id", _parity(lambda x: F.shiftright(x, 6)).alias("y"))
+    named = mixed.join(told, "id")
+    side = lambda s: named.select("key", F.col("id").alias(s), F.col("family").alias(f"f{s}"), *(F.col(c).alias(f"{c}{s}") for c in "ntxy"))
+    of_side = lambda s: {c: F.col(f"{c}{s}") for c in "ntxy"}
+    fits = (F.col("a") < F.col("b")) & (F.col("fa") != F.col("fb")) & _fits(of_side("a"), of_side("b"), percent)
     return apart.union(side("a").join(side("b").hint("merge"), "key").filter(fits).select("a", "b")).distinct()
 
 
@@ -257,9 +279,10 @@ def links(docs: DataFrame, ranks: Column, classes: DataFrame, percent: int = PER
     """``id, links, low`` of sets with links: their number, and where the earliest of the linked sets, or it itself, stands."""
     spark = docs.sparkSession
     meetings = materialize(spark, _meetings(classes, percent), "meetings")
-    stars = materialize(spark, _alike(_stars(meetings, classes, percent), classes, percent), "stars")
-    family = materialize(spark, families(stars, meetings.select("id").distinct()), "families")
-    across = materialize(spark, _alike(_across(meetings, stars, family, classes, percent), classes, percent), "pairs")
+    stars = materialize(spark, _alike(materialize(spark, _stars(meetings), "met"), classes, percent), "stars")
+    family = materialize(spark, families(stars, stars.select(F.explode(F.array("a", "b")).alias("id")).distinct()), "families")
+    across = materialize(spark, _across(meetings, stars, family, classes, percent), "across")
+    across = materialize(spark, _alike(across, classes, percent), "pairs")
     several = family.groupBy("family").agg(F.count("*").alias("c")).filter("c > 1").select("family")
     near = family.join(several, "family", "left_semi").select("id").union(across.select(F.explode(F.array("a", "b")))).distinct()
     sets = materialize(spark, _sets(docs, ranks, classes.select("id", "first").join(near, "id", "left_semi")), "sets")
