@@ -10,8 +10,9 @@ the rank of the word's slot in a table of ``SLOTS`` counts over the whole corpus
 word's hash.  Two similar sets have two tokens in common
 that follow each other in both, and not far from the start: with ``h`` words in only one
 of the sets, at most ``h + 1`` common ones stand alone before that.  Such pairs of
-neighbours are the keys by which sets meet.  Sets that meet by chance are told by their sizes, by
-parity bitmaps of their first tokens, which cannot differ in more bits than these may in tokens, and by these tokens.
+neighbours are the keys by which sets meet.  Sets that meet by chance are told by their sizes and by
+parity bitmaps of their first tokens, which cannot differ in more bits than these may in tokens; both are dealt with
+the keys.  Then they are told by these tokens.
 
 Sets that meet get a family: that of the smallest set that they meet and may be similar to.  Within a
 family nothing is paired.  A set is told by its ``d`` words that differ from the family's
