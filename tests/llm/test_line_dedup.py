@@ -88,3 +88,22 @@ def test_chance_meetings_are_told_where_they_meet(spark, monkeypatch):
     assert listed["meetings"] < 20
     crowded = [*lines, *crowd, crowd[0] + " more", crowd[1].replace("\t", "\x0b")]
     check(spark.createDataFrame(list(enumerate(crowded)), "doc_id long, text string"))
+
+
+def test_long_sets_that_meet_by_chance_are_no_rows(spark, monkeypatch):
+    """Long lines of the same words: many share neighbours, but what comes later tells them apart where they meet."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(500)]
+    lines = [" ".join(rng.sample(words, 170)) for _ in range(120)]
+    near = [" ".join(rng.sample(x.split(), 150)) for x in lines[:6]]
+    listed, write = {}, line_dedup.materialize
+
+    def counted(session, df, purpose):
+        out = write(session, df, purpose)
+        listed[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    got = check(spark.createDataFrame(list(enumerate([*lines, *near])), "doc_id long, text string"))
+    assert sum(r.n_links for r in got) == 12
+    assert listed["met"] + listed["across"] < 5000

@@ -6,13 +6,15 @@ of at least ``PERCENT`` %.
 
 Lines with one set are one class; counting them combines before the shuffle, so a line
 of every document costs one row per task.  Tokens are 63-bit numbers that sort by rarity:
-the rank of the word's slot in a table of ``SLOTS`` counts over the whole corpus, then the
+the rank of the word's slot in a table of ``SLOTS`` counts over the whole corpus, told in 64 steps before, then the
 word's hash.  Two similar sets have two tokens in common
 that follow each other in both, and not far from the start: with ``h`` words in only one
 of the sets, at most ``h + 1`` common ones stand alone before that.  Such pairs of
-neighbours are the keys by which sets meet.  Sets that meet by chance are told by their sizes and by
-parity bitmaps of their first tokens, which cannot differ in more bits than these may in tokens; both are dealt with
-the keys.  Then they are told by these tokens.
+neighbours are the keys by which sets meet.  Sets that meet by chance are told by what
+follows: where similar sets first have two neighbours in common, each common token before stands alone, so a third of
+the tokens before, counted in both, are in one set only, and the later the meeting, the less may differ after it.  Sizes,
+places and parity bitmaps of the steps after the neighbours, which cannot differ in more bits than the tokens there, are
+dealt with the keys.  Then sets are told by their first tokens.
 
 Sets that meet get a family: that of the smallest set that they meet and may be similar to.  Within a
 family nothing is paired.  A set is told by its ``d`` words that differ from the family's
@@ -35,8 +37,6 @@ taken whole.  Other columns are ignored.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -44,8 +44,6 @@ from ..session import materialize
 
 PERCENT = 80
 SLOTS = 1 << 14
-#: First tokens that the bitmaps of a set tell of.
-TOLD = 32
 #: Sets that a key may have for all of them to be compared with each other.
 FEW = 8
 #: 64-bit numbers of the bitmap of documents that hold candidates.
@@ -79,23 +77,31 @@ def _bit(number: Column) -> Column:
 
 
 def word_ranks(docs: DataFrame) -> Column:
-    """For every slot of word hashes its rank by the words in it: a constant of ``SLOTS`` numbers."""
+    """For every slot of word hashes ``step * SLOTS + rank`` by the words in it, 64 steps: a constant of ``SLOTS`` numbers."""
     words = docs.withColumn("odd", _odd()).select(F.explode(_split("text")).alias("word"))
     counts = words.groupBy(F.xxhash64("word").bitwiseAND(SLOTS - 1).cast("int").alias("slot")).agg(F.count("*").alias("n"))
     n = dict(counts.collect())
-    ranks = [0] * SLOTS
+    most = sum(n.values()) / 64  # what a line holds once is no more than one step
+    weights = {slot: min(c, most) for slot, c in n.items()}
+    total, before, ranks = sum(weights.values()), 0, [0] * SLOTS
     for rank, slot in enumerate(sorted(range(SLOTS), key=lambda s: (n.get(s, 0), s))):
-        ranks[slot] = rank
+        ranks[slot] = min(int(64 * before / max(total, 1)), 63) * SLOTS + rank
+        before += weights.get(slot, 0)
     return F.from_json(F.lit(json.dumps(ranks)), "array<int>")
 
 
+def _step(token: Column) -> Column:
+    """Which of 64 steps of rarity a token is in; it does not fall along a set's tokens."""
+    return F.shiftright(token, 57).cast("int")
+
+
 def _tokens(lines: DataFrame, ranks: Column) -> DataFrame:
     """``tokens`` instead of ``words``: the line's distinct tokens, rarest first."""
 
     def token(w: Column) -> Column:
         h = F.xxhash64(w)
         rank = F.get(ranks, h.bitwiseAND(SLOTS - 1).cast("int")).cast("long")
-        return F.shiftleft(rank, 47).bitwiseOR(F.shiftrightunsigned(h, 17))
+        return F.shiftleft(rank, 43).bitwiseOR(F.shiftrightunsigned(h, 21))
 
     ids = lines.withColumn("ids", F.transform("words", token)).drop("words")
     return ids.withColumn("tokens", F.sort_array(F.array_distinct("ids"))).drop("ids")
@@ -108,57 +114,58 @@ def _reach(size: Column, percent: int) -> Column:
 
 
 def _classes(docs: DataFrame, ranks: Column, percent: int) -> DataFrame:
-    """Distinct sets: ``id, size, first, heads, x, y``."""
+    """Distinct sets: ``id, size, first, heads, x``."""
     size = F.size("tokens")
-    heads = F.transform(F.slice("tokens", 1, _reach(size, percent)), lambda x: F.shiftright(x, 25).bitwiseXOR(x).bitwiseAND(0x7FFFFFFF).cast("int"))
+    # the step, and 25 bits of rank and hash
+    folded = lambda x: F.shiftleft(_step(x), 25).bitwiseOR(F.shiftright(x, 25).bitwiseXOR(x).bitwiseAND(0x1FFFFFF).cast("int"))
     keyed = _tokens(_lines(docs), ranks).select(
         F.xxhash64("tokens").alias("set"), F.xxhash64(F.lit(77), "tokens").alias("check"), size.alias("size"),
-        F.struct("doc_id", "row", "line_no").alias("at"), heads.alias("heads"),
+        F.struct("doc_id", "row", "line_no").alias("at"),
+        F.transform(F.slice("tokens", 1, _reach(size, percent)), folded).alias("heads"),
+        # 64 bits, of which each token flips that of its step; so few flips mean few tokens.
+        F.aggregate("tokens", F.lit(0).cast("long"), lambda all_, x: all_.bitwiseXOR(_bit(_step(x)))).alias("x"),
     )
-    sets = keyed.groupBy("set", "check", "size").agg(F.min("at").alias("first"), F.any_value("heads").alias("heads"))
-    return sets.select(F.monotonically_increasing_id().alias("id"), "size", "first", "heads", _parity(lambda x: x).alias("x"))
-
-
-def _parity(bits: Callable[[Column], Column]) -> Column:
-    """64 bits, of which each of the first tokens flips one, told by the last 6 of its ``bits``; so few flips mean few tokens."""
-    flip = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), bits(x))
-    return F.aggregate(F.slice("heads", 1, TOLD), F.lit(0).cast("long"), lambda all_, x: all_.bitwiseXOR(flip(x)))
-
-
-def _beyond(size: Column, percent: int) -> Column:
-    """Less than 0 by the words of a set that its bitmaps don't tell of."""
-    return (F.least(_reach(size, percent), size, F.lit(TOLD)) - size).cast("int")
+    sets = keyed.groupBy("set", "check", "size").agg(F.min("at").alias("first"), F.any_value("heads").alias("heads"), F.any_value("x").alias("x"))
+    return sets.select(F.monotonically_increasing_id().alias("id"), "size", "first", "heads", "x")
 
 
 def _fits(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
-    """Whether sets of sizes ``n``, with ``t`` from ``_beyond`` and bitmaps (``x`` or both), may be similar."""
+    """Whether sets of sizes ``n`` may be similar and have their first two common neighbours from the ``i``-th token on,
+    with the bitmap ``x`` of later tokens."""
     na, nb = a["n"], b["n"]
-    # Of the first tokens that end sooner, those that the other's lack are words that the other set lacks.
-    most = lambda flips: (100 + percent) * (flips - F.abs(a["t"] - b["t"])) <= (100 - percent) * (na + nb)
-    few = (most(F.bit_count(a[bits].bitwiseXOR(b[bits]))) for bits in a if bits in "xy")
-    return reduce(Column.__and__, few, 100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+    after = 3 * (100 - percent) * (na + nb) - (100 + percent) * (a["i"] + b["i"])
+    most = lambda differences: 3 * (100 + percent) * differences <= after
+    sizes = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+    return sizes & most(F.abs(na - a["i"] - nb + b["i"])) & most(F.bit_count(a["x"].bitwiseXOR(b["x"])))
+
+
+def _keys(classes: DataFrame, percent: int) -> DataFrame:
+    """``key, id, n, i, x`` of the neighbours ``i`` and ``i + 1`` of a set, ``x`` the bitmap of steps after that of ``i``."""
+    # A set so small that a partner must be equal to it has none.
+    some = classes.filter(F.floor(F.col("size") * 100 / percent) > F.ceil(F.col("size") * percent / 100))
+    n = F.size("heads") - 1
+    each = F.posexplode(F.arrays_zip(F.slice("heads", F.lit(1), n).alias("h"), F.slice("heads", F.lit(2), n).alias("j"))).alias("i", "k")
+    # 40 bits: keys that are equal by chance are few against 2 ** 40, and zeros cost little in a shuffle.
+    key = F.shiftleft(F.xxhash64("k.h", "k.j"), 24)
+    later = F.call_function("shiftleft", F.lit(-2).cast("long"), F.shiftright("k.h", 25))
+    return some.select("id", F.col("size").alias("n"), "x", each).select(key.alias("key"), "id", "n", "i", F.col("x").bitwiseAND(later).alias("x"))
 
 
 def _meetings(classes: DataFrame, percent: int) -> DataFrame:
-    """``key, id, n, t, x, many, other`` of sets that share a key with a smaller set ``other`` that they may be similar to.
+    """``key, id, n, i, x, many, other`` of sets that share a key with a smaller set ``other`` that they may be similar to.
 
     Of a key that more than ``FEW`` sets have, each is one row, and the only other one is the smallest, or none.
     """
-    # A set so small that a partner must be equal to it has none.
-    some = classes.filter(F.floor(F.col("size") * 100 / percent) > F.ceil(F.col("size") * percent / 100))
-    n = F.size("heads") - 1
-    both = some.select("id", F.col("size").alias("n"), "x", F.explode(F.arrays_zip(F.slice("heads", F.lit(1), n).alias("h"), F.slice("heads", F.lit(2), n).alias("i"))).alias("k"))
-    keys = both.select(F.shiftleft(F.col("k.h").cast("long"), 31).bitwiseOR(F.col("k.i").cast("long")).alias("key"), "id", "n", "x")
     same = Window.partitionBy("key").orderBy("id")
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = keys.withColumn("c", F.count("*").over(whole)).filter("c > 1").withColumn("t", _beyond(F.col("n"), percent))
-    one = F.struct("id", "n", "t", "x")
+    met = _keys(classes, percent).withColumn("c", F.count("*").over(whole)).filter("c > 1")
+    one = F.struct("id", "n", "i", "x")
     many = F.col("c") > FEW
     others = [F.when(many, F.first(one).over(whole)), *(F.when(~many, F.lag(one, k).over(same)) for k in range(1, FEW))]
-    beside = met.select("key", "id", "n", "t", "x", many.alias("many"), *(other.alias(f"o{k}") for k, other in enumerate(others)))
-    pairs = beside.select("key", "id", "n", "t", "x", "many", F.explode(F.array(*(f"o{k}" for k in range(FEW)))).alias("o")).filter("o is not null")
-    fits = (F.col("o.id") < F.col("id")) & _fits({c: F.col(f"o.{c}") for c in "ntx"}, {c: F.col(c) for c in "ntx"}, percent)
-    told = pairs.select("key", "id", "n", "t", "x", "many", F.when(fits, F.col("o.id")).alias("other"))
+    beside = met.select("key", "id", "n", "i", "x", many.alias("many"), *(other.alias(f"o{k}") for k, other in enumerate(others)))
+    pairs = beside.select("key", "id", "n", "i", "x", "many", F.explode(F.array(*(f"o{k}" for k in range(FEW)))).alias("o")).filter("o is not null")
+    fits = (F.col("o.id") < F.col("id")) & _fits({c: F.col(f"o.{c}") for c in "nix"}, {c: F.col(c) for c in "nix"}, percent)
+    told = pairs.select("key", "id", "n", "i", "x", "many", F.when(fits, F.col("o.id")).alias("other"))
     return told.filter(F.col("many") | F.col("other").isNotNull())
 
 
@@ -260,18 +267,16 @@ def _within(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return by_number, shared.select("a", "b")
 
 
-def _across(meetings: DataFrame, stars: DataFrame, family: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _across(meetings: DataFrame, stars: DataFrame, family: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of sets of different families that meet and may be similar."""
     of = lambda s: family.select(F.col("id").alias(s), F.col("family").alias(f"f{s}"))
     apart = stars.join(of("a"), "a").join(of("b"), "b").filter("fa <> fb").select("a", "b")
     # Where few sets meet, all pairs of them are told; where many do, others may be similar.
     same = Window.partitionBy("key")
-    many = meetings.filter("many").select("key", "id", "n", "t", "x").join(family, "id", "left").withColumn("family", F.coalesce("family", "id"))
+    many = meetings.filter("many").select("key", "id", "n", "i", "x").join(family, "id", "left").withColumn("family", F.coalesce("family", "id"))
     mixed = many.select("*", F.min("family").over(same).alias("f"), F.max("family").over(same).alias("g")).filter("f < g").drop("f", "g")
-    told = classes.filter(_maybe_in(mixed.select("id"), "id")).select("id", _parity(lambda x: F.shiftright(x, 6)).alias("y"))
-    named = mixed.join(told, "id")
-    side = lambda s: named.select("key", F.col("id").alias(s), F.col("family").alias(f"f{s}"), *(F.col(c).alias(f"{c}{s}") for c in "ntxy"))
-    of_side = lambda s: {c: F.col(f"{c}{s}") for c in "ntxy"}
+    side = lambda s: mixed.select("key", F.col("id").alias(s), F.col("family").alias(f"f{s}"), *(F.col(c).alias(f"{c}{s}") for c in "nix"))
+    of_side = lambda s: {c: F.col(f"{c}{s}") for c in "nix"}
     fits = (F.col("a") < F.col("b")) & (F.col("fa") != F.col("fb")) & _fits(of_side("a"), of_side("b"), percent)
     return apart.union(side("a").join(side("b").hint("merge"), "key").filter(fits).select("a", "b")).distinct()
 
@@ -282,7 +287,7 @@ def links(docs: DataFrame, ranks: Column, classes: DataFrame, percent: int = PER
     meetings = materialize(spark, _meetings(classes, percent), "meetings")
     stars = materialize(spark, _alike(materialize(spark, _stars(meetings), "met"), classes, percent), "stars")
     family = materialize(spark, families(stars, stars.select(F.explode(F.array("a", "b")).alias("id")).distinct()), "families")
-    across = materialize(spark, _across(meetings, stars, family, classes, percent), "across")
+    across = materialize(spark, _across(meetings, stars, family, percent), "across")
     across = materialize(spark, _alike(across, classes, percent), "pairs")
     several = family.groupBy("family").agg(F.count("*").alias("c")).filter("c > 1").select("family")
     near = family.join(several, "family", "left_semi").select("id").union(across.select(F.explode(F.array("a", "b")))).distinct()
