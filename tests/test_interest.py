@@ -187,3 +187,17 @@ def test_index_rounds_halves_up_without_decimals(spark):
         want = 0 if not peak else None if n is None else (200 * n + peak) // (2 * peak)
         assert value == want, (peak, n)
     assert "round(" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_region_winners_shuffle_packed_chunks_and_blocks(spark, monkeypatch):
+    """One row per comparison and block, or per count and chunk, is not shuffled: each cell gets one packed row of both."""
+    words = [f"word {i}" for i in range(40)]
+    counts = spark.createDataFrame([(w, f"g{p}", f"G{p}", 1 + (i * p) % 7) for i, w in enumerate(words) for p in range(30)], "keyword string, geo_code string, geo_name string, n long")
+    members = spark.createDataFrame([(c, words[(c * k) % 40], k) for c in range(600) for k in (1, 2)], "comparison_id long, keyword string, pos int").filter("comparison_id % 40 <> 0")
+    monkeypatch.setattr(interest, "CHUNK", 100)
+    monkeypatch.setattr(interest, "BLOCK", 5)
+    got = interest.many_region_winners(counts, members)
+    sides = got._jdf.queryExecution().optimizedPlan().children()
+    dealt = [sides.apply(i) for i in range(sides.size())]
+    assert got.count() == 585 * 30
+    assert all("FlatMapGroupsInArrow" in side.toString() and "binary" in side.schema().simpleString() for side in dealt)
