@@ -158,3 +158,23 @@ def test_documents_are_rendered_after_their_trends_met(spark, tmp_path):
     plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
     grouped = next(i for i, line in enumerate(plan) if "Aggregate [geo" in line)
     assert not any("<item>" in line for line in plan[grouped + 1 :])
+
+
+def test_sink_files_of_the_feeds_are_small(spark, tmp_path, monkeypatch):
+    """Rows of text repeat names and addresses: what the sink queries write takes a part of that, and all of it comes back."""
+    from trendloom.plans import feeds
+
+    docs = [(f"area {i}", FULL.replace("alpha", f"alpha {i}")) for i in range(300)]
+    made = spark.createDataFrame(docs, "geo STRING, xml STRING").withColumn("fetched_at", F.lit("2026-01-01").cast("timestamp")).coalesce(1)
+    monkeypatch.setattr(feeds, "landing", lambda *_: made)
+    monkeypatch.setattr(feeds, "shared_folder", lambda _, purpose: str(tmp_path / purpose))
+    raw = feed.read_feeds(made)
+    for query, purpose, plain in (
+        (feeds.csv_sink, "csv-sink", normalize.flatten_feed(raw)),
+    ):
+        got = query(spark, "")
+        assert got.count() == plain.count() == 1200
+        text = plain.select(F.to_json(F.struct("*")).alias("t")).agg(F.sum(F.length("t"))).first()[0]
+        written = sum(f.stat().st_size for f in (tmp_path / purpose).glob("part-*"))
+        assert 0 < written < text / 5
+        assert {r.geo for r in got.select("geo").collect()} == {f"area {i}" for i in range(300)}

@@ -238,7 +238,7 @@ def csv_sink(spark: SparkSession, d: str) -> DataFrame:
     """Flat feed rows written as CSV and read back."""
     path = shared_folder(spark, "csv-sink")
     rows = normalize.flatten_feed(feed.read_feeds(landing(spark, d)))
-    files.write_csv(rows, path)
+    files.write_csv(rows, path, compression="gzip")
     back = spark.read.schema(rows.schema).options(header=True, escape='"', multiLine=True).csv(path)
     return flat(back.select("geo", "fetched_at", "rank", "trend", "traffic_min", "published", "top_article_headline"))
 

@@ -1,4 +1,8 @@
-"""File sinks.  ``mode`` is Spark's save mode; all of them write in parallel."""
+"""File sinks.  ``mode`` is Spark's save mode; all of them write in parallel.
+
+Texts repeat names and addresses in every row: plain they take several times the disk of the tables they come from, so
+that large ones are best written with a ``compression`` (``gzip``), one reading task per file.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 _ISO = "yyyy-MM-dd'T'HH:mm:ssXXX"
 
 
-def write_csv(flat: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_csv(flat: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
     """Flat columns with a header, ISO times, quotes doubled inside cells."""
-    flat.write.mode(mode).options(header=True, escape='"', timestampFormat=_ISO).csv(path)
+    flat.write.mode(mode).options(header=True, escape='"', timestampFormat=_ISO, compression=compression).csv(path)
 
 
 def write_json(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
