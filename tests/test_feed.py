@@ -170,7 +170,7 @@ def test_sink_files_of_the_feeds_are_small(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(feeds, "shared_folder", lambda _, purpose: str(tmp_path / purpose))
     raw = feed.read_feeds(made)
     for query, purpose, plain in (
-        (feeds.csv_sink, "csv-sink", normalize.flatten_feed(raw)),
+        (feeds.csv_sink, "csv-sink", normalize.flatten_feed(raw)), (feeds.json_sink, "json-sink", normalize.normalize_feed(raw))
     ):
         got = query(spark, "")
         assert got.count() == plain.count() == 1200

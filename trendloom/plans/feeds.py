@@ -246,7 +246,7 @@ def csv_sink(spark: SparkSession, d: str) -> DataFrame:
 def json_sink(spark: SparkSession, d: str) -> DataFrame:
     path = shared_folder(spark, "json-sink")
     rows = normalize.normalize_feed(feed.read_feeds(landing(spark, d)))
-    files.write_json(rows, path)
+    files.write_json(rows, path, compression="gzip")
     back = spark.read.schema(rows.schema).json(path)
     return flat(back.select("geo", "fetched_at", "keyword", "rank", "volume_min", "started_at", F.size("news").alias("news_count")))
 

@@ -16,9 +16,9 @@ def write_csv(flat: DataFrame, path: str, mode: str = "errorifexists", compressi
     flat.write.mode(mode).options(header=True, escape='"', timestampFormat=_ISO, compression=compression).csv(path)
 
 
-def write_json(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_json(rows: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
     """One JSON object per line with ISO times; NULL fields are kept."""
-    rows.write.mode(mode).options(timestampFormat=_ISO, ignoreNullFields=False).json(path)
+    rows.write.mode(mode).options(timestampFormat=_ISO, ignoreNullFields=False, compression=compression).json(path)
 
 
 def write_parquet(rows: DataFrame, path: str, mode: str = "errorifexists", partition_by: list[str] | None = None) -> None:
